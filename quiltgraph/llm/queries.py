@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltgraph.llm import chunking, language, mixing, output, packing, sharding
+from quiltgraph.llm import chunking, language, mixing, output, packing, sharding, substring
 from quiltgraph.llm.common import table
 
 
+def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup(table(spark, sf_dir, "documents"))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return chunking.fingerprints(docs, docs.count())
@@ -41,7 +45,7 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op4_fingerprints, op5_packing, op6_sharding, op7_mixing, op9_language, op10_token_output)}
+    return {f.__name__: f for f in (op1_substring, op4_fingerprints, op5_packing, op6_sharding, op7_mixing, op9_language, op10_token_output)}
 
 
 def oracle_sql() -> dict[str, str]:
