@@ -27,7 +27,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 #: (weight at t=0, weight at t=1) of the schedules, repeating in source order: fade out, hold, fade in.
 SCHEDULES = ((3.0, 1.0), (1.0, 1.0), (1.0, 3.0))
 SHARE, MOST = 1.5, 2
-ORDER_ROWS = 50_000
+ORDER_ROWS = 5_000
 
 
 def draw(key: Column) -> Column:
