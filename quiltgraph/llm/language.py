@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quiltgraph.llm.common import slices
+from quiltgraph.llm.common import DOC_COLUMNS, slices
 
 FIT_ROWS = 20_000
 WORDS, GRAMS = 60_000, 60_000
@@ -198,3 +198,16 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 def held_out(doc_id) -> F.Column:
     """crc32 of the id as text leaves 1 when divided by 3."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("null")).cast("binary")) % 3 == 1
+
+
+def accepted(docs: DataFrame, model: Model, least: float) -> DataFrame:
+    """The documents (their five columns, unchanged) whose language is found with at least this score."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = Judge(model)
+        for b in slices(batches):
+            langs, scores = judge([t or "" for t in b.column("text").to_pylist()])
+            yield b.filter(pa.array([x != "und" and s >= least for x, s in zip(langs, scores, strict=True)], pa.bool_()))
+
+    kept = docs.select(*DOC_COLUMNS)
+    return kept.mapInArrow(run, kept.schema)

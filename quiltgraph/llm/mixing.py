@@ -35,9 +35,9 @@ def draw(key: Column) -> Column:
     return F.conv(F.substring(F.md5(key.cast("binary")), 1, 12), 16, 10).cast("long")
 
 
-def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, __source (null as itself), size, __draw."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("__source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), draw(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit("/mix"))).alias("__draw"))
+def sized(docs: DataFrame, *carried: str) -> DataFrame:
+    """doc_id, __source (null as itself), size, __draw, and the carried columns."""
+    return docs.select(*carried, F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("__source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), draw(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit("/mix"))).alias("__draw"))
 
 
 def targets(totals: DataFrame) -> DataFrame:
@@ -65,15 +65,16 @@ def demand_time(share: Column, start: Column, end: Column) -> Column:
     return F.least(F.lit(1.0), 2 * goal / (start + F.sqrt(F.greatest(start * start + 2 * slope * goal, F.lit(0.0)))))
 
 
-def mix(docs: DataFrame, rows: int) -> DataFrame:
-    """doc_id, size, source_size, target, taken, position and position_again (null where not read a first or second time), sorted by position.
+def planned(docs: DataFrame, rows: int, *carried: str) -> DataFrame:
+    """doc_id, the carried columns, source_size, target, and for a first and a second reading taken_1, taken_2 (words) and position_1, position_2 (null where nothing is taken).
 
     Cumulative words are summed in two steps, within (source, bucket of the draw) and over
     bucket totals, so that a source of any size is spread over many tasks.
     """
     n = buckets_for(rows, ORDER_ROWS)
-    df = sized(docs).withColumn("__bucket", F.floor(F.col("__draw") * F.lit(n) / F.lit(2**48)).cast("long"))
-    sums = df.groupBy("__source", "__bucket").agg(F.sum("size").alias("__sum"))
+    bucket = F.floor(F.col("__draw") * F.lit(n) / F.lit(2**48)).cast("long")
+    df = sized(docs, *carried).withColumn("__bucket", bucket)
+    sums = sized(docs).withColumn("__bucket", bucket).groupBy("__source", "__bucket").agg(F.sum("size").alias("__sum"))
     per = targets(sums.groupBy("__source").agg(F.sum("__sum").alias("source_size")))
     before = Window.partitionBy("__source").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.withColumn("__base", F.coalesce(F.sum("__sum").over(before), F.lit(0))).drop("__sum")
@@ -94,5 +95,24 @@ def mix(docs: DataFrame, rows: int) -> DataFrame:
         share = (begin + again * F.col("source_size")) / F.col("target")
         return F.when(taken(again) > 0, demand_time(share, F.col("__from"), F.col("__to")))
 
-    out = df.select("doc_id", "size", "source_size", "target", (taken(0) + taken(1)).alias("taken"), position(0).alias("position"), position(1).alias("position_again"))
+    return df.select("doc_id", *carried, F.col("__source").alias("__source"), "size", "source_size", "target", taken(0).alias("taken_1"), taken(1).alias("taken_2"), position(0).alias("position_1"), position(1).alias("position_2"))
+
+
+def mix(docs: DataFrame, rows: int) -> DataFrame:
+    """doc_id, size, source_size, target, taken, position and position_again, one row a document, sorted by position."""
+    df = planned(docs, rows)
+    out = df.select("doc_id", "size", "source_size", "target", (F.col("taken_1") + F.col("taken_2")).alias("taken"), F.col("position_1").alias("position"), F.col("position_2").alias("position_again"))
     return out.orderBy(F.col("position").asc_nulls_last(), "doc_id")
+
+
+def mixed(docs: DataFrame, rows: int) -> DataFrame:
+    """The documents as the mix reads them, sorted by position: none, one or two rows each; the document at which a source's target is met is cut after the words it may still give."""
+    kept = docs.select("doc_id", "source", "text", F.col("text").alias("__text"), F.col("lang").alias("__lang"), F.col("n_chars").alias("__chars"))
+    df = planned(kept, rows, "__text", "__lang", "__chars")
+    reads = F.array(*(F.struct(F.col(f"taken_{k}").alias("taken"), F.col(f"position_{k}").alias("position")) for k in (1, 2)))
+    df = df.withColumn("__read", F.explode(F.filter(reads, lambda r: r["taken"] > 0)))
+    start = F.array_join(F.slice(F.split(F.regexp_replace("__text", r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+"), 1, F.col("__read.taken").cast("int")), " ")
+    whole = F.col("__read.taken") == F.col("size")
+    df = df.withColumn("__new", F.when(whole, F.col("__text")).otherwise(start))
+    df = df.orderBy("__read.position", "doc_id")
+    return df.select("doc_id", F.col("__new").alias("text"), F.col("__lang").alias("lang"), F.col("__source").alias("source"), F.when(whole, F.col("__chars")).otherwise(F.length("__new")).cast("long").alias("n_chars"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltgraph.llm import chunking, language, mixing, output, packing, sharding, substring
+from quiltgraph.llm import chunking, language, minhash, mixing, neighbours, output, packing, personal, sharding, substring
 from quiltgraph.llm.common import table
 
 
@@ -13,6 +13,15 @@ def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return personal.find(docs, personal.train(docs, docs.count()))
+
+
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return chunking.fingerprints(docs, docs.count())
@@ -33,6 +42,11 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, docs.count())
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.search(vectors, F.col("vec_id") % 100 == 0, vectors.count())
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language.learn(docs.where(~language.held_out(F.col("doc_id"))), docs.count())
@@ -45,7 +59,7 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_substring, op4_fingerprints, op5_packing, op6_sharding, op7_mixing, op9_language, op10_token_output)}
+    return {f.__name__: f for f in (op1_substring, op2_near_duplicates, op3_personal_data, op4_fingerprints, op5_packing, op6_sharding, op7_mixing, op8_neighbours, op9_language, op10_token_output)}
 
 
 def oracle_sql() -> dict[str, str]:
