@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quiltgraph.llm.common import slices
-from quiltgraph.llm.tokens import WordIds, vocabulary_path, with_end
+from quiltgraph.llm.tokens import encoder, vocabulary_path, with_end
 
 LENGTH, END_ID, PAD_ID, WIDTH = 4096, 49407, 0, 2
 WINDOW_TOKENS = 4 << 20
@@ -90,7 +90,7 @@ def packed_rows(docs: DataFrame, tokenizer: str | None = None, length: int = LEN
     dtype = np.dtype(f"<u{width}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, made = WordIds(path), (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
+        encode, made = encoder(path), (TaskContext.get().partitionId() if TaskContext.get() else 0) << 40
         open_: list[tuple] = []  # (doc_id, piece, start, ids)
         have = 0
 

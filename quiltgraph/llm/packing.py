@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quiltgraph.llm.common import buckets_for, slices
-from quiltgraph.llm.tokens import WordIds, vocabulary_path, with_end
+from quiltgraph.llm.tokens import encoder, vocabulary_path, with_end
 
 TOKENS, END_ID = 4096, 1
 #: tokens, documents, attention cost. A sequence of 4096 tokens never breaks the other two, so here they only choose.
@@ -92,7 +92,7 @@ def pieces_of(docs: DataFrame, tokenizer: str | None = None, tokens: int = TOKEN
     path = tokenizer or vocabulary_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = WordIds(path)
+        encode = encoder(path)
         for b in slices(batches):
             ids, at = with_end(*encode([t or "" for t in b.column("text").to_pylist()]), end_id)
             ids = ids.astype("<u4")

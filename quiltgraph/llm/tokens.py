@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import re
+from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
@@ -17,20 +19,48 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+#: A stop or comma next to another sign: together they are one unit of the pre-tokeniser.
+_JOINED = re.compile(r"[.,](?:(?<=[^\w\s][.,])|(?<=_[.,])|(?=[^\w\s]|_))")
+#: Beyond the Latin letters (and for the dotted I, whose lower case ends in a mark) words are left as they are.
+_WIDE = re.compile("[^\\x00-\u012f\u0131-\u024f]")
+_SEPARATORS = "\x1c\x1d\x1e\x1f"  # white space to Python's split, but not to the vocabulary
+
+
+def pieces(text: str) -> list[str]:
+    """Parts of a text that can be encoded one by one: blank-separated words, where possible in lower
+    case and apart from the stop or comma behind them (the vocabulary does both itself)."""
+    if any(c in text for c in _SEPARATORS):
+        return text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+    if not _WIDE.search(text):
+        text = text.lower()
+        if not _JOINED.search(text):
+            text = text.replace(",", " , ").replace(".", " . ")
+    return text.split()
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str) -> WordIds:
+    """One encoder for all tasks of a worker process."""
+    return WordIds(path)
+
+
 class WordIds:
     """Encode texts word by word with a bounded memory of known words.
 
     The vocabulary's pre-tokeniser drops white space and never joins across it, so the ids
-    of a text are those of its blank-separated pieces, one after the other (tests compare
-    with the library on whole texts). Each distinct piece is encoded once until the memory
-    is full, when it starts afresh.
+    of a text are those of its pieces, one after the other (tests compare with the library on
+    whole texts). Each distinct piece is encoded once until the memory is full, when it starts
+    afresh. New words of letters only are encoded in one go, told apart by their word ends.
     """
 
-    def __init__(self, path: str, most_words: int = 250_000, most_chars: int = 8_000_000):
+    def __init__(self, path: str, most_words: int = 400_000, most_chars: int = 12_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        names = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(max(names.values(), default=0) + 64, bool)
+        self.ends[[i for t, i in names.items() if t.endswith("</w>")]] = True
         self.most_words, self.most_chars = most_words, most_chars
         self._clear()
 
@@ -42,16 +72,28 @@ class WordIds:
         self.n = 0
 
     def _learn(self, new: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch(new, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        end = self.at[self.n] + sizes.sum()
+        plain, other = [x for x in new if x.isalpha() and x.isascii()], [x for x in new if not (x.isalpha() and x.isascii())]
+        ids, sizes = [], []
+        for k in range(0, len(plain), 1000):
+            part = plain[k : k + 1000]
+            got = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
+            stop = np.flatnonzero(self.ends[got]) + 1
+            if len(stop) != len(part):
+                raise RuntimeError("a word of letters was not encoded as one word")
+            ids.append(got)
+            sizes.append(np.diff(stop, prepend=0))
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)]
+        sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+        ids.append(np.fromiter((i for x in found for i in x), np.uint32, int(sizes[-1].sum())))
+        ids, sizes = np.concatenate(ids), np.concatenate(sizes)
+        end = self.at[self.n] + len(ids)
         while end > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), np.uint32)])
         while self.n + len(new) + 1 > len(self.at):
             self.at = np.concatenate([self.at, np.zeros(len(self.at), np.int64)])
-        self.ids[self.at[self.n] : end] = np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum()))
+        self.ids[self.at[self.n] : end] = ids
         self.at[self.n + 1 : self.n + 1 + len(new)] = self.at[self.n] + np.cumsum(sizes)
-        self.known.update(zip(new, range(self.n, self.n + len(new)), strict=True))
+        self.known.update(zip(plain + other, range(self.n, self.n + len(new)), strict=True))
         self.n += len(new)
         self.chars += sum(map(len, new))
 
@@ -59,15 +101,15 @@ class WordIds:
         """Ids of all texts in a row, and the texts' offsets in them (one more than texts)."""
         if len(self.known) > self.most_words or self.chars > self.most_chars:
             self._clear()
-        pieces: list[str] = []
+        parts: list[str] = []
         ends = [0]
         for t in texts:
-            pieces += t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-            ends.append(len(pieces))
-        k = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+            parts += pieces(t)
+            ends.append(len(parts))
+        k = np.fromiter(map(self.known.get, parts, repeat(-1)), np.int64, len(parts))
         missing = np.flatnonzero(k < 0)
         if len(missing):
-            names = [pieces[i] for i in missing.tolist()]
+            names = [parts[i] for i in missing.tolist()]
             self._learn(list(dict.fromkeys(names)))
             k[missing] = [self.known[x] for x in names]
         sizes = (self.at[1:] - self.at[:-1])[k]
