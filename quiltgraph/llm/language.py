@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
@@ -29,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quiltgraph.llm.common import DOC_COLUMNS, slices
+from quiltgraph.llm.tokens import pieces
 
 FIT_ROWS = 20_000
 WORDS, GRAMS = 60_000, 60_000
@@ -57,6 +59,7 @@ class Model:
     """Log frequencies by language. Pickled to the executors; bounded by WORDS + GRAMS entries."""
 
     def __init__(self, languages: list[str], words: dict[str, list[int]], grams: dict[str, list[int]], totals: list[list[int]]):
+        self.name = uuid.uuid4().hex
         self.languages = languages
         self.words = self._log(words, totals[0])
         self.grams = self._log(grams, totals[1])
@@ -132,10 +135,21 @@ def learn(labelled: DataFrame, rows: int) -> Model:
     return Model(languages, tables["w"], tables["g"], [[totals.get((kind, x), 0) for x in languages] for kind in ("w", "g")])
 
 
+_judges: dict[str, Judge] = {}
+
+
+def judge_of(model: Model) -> Judge:
+    """One judge for all tasks of a worker process that use the model."""
+    if model.name not in _judges:
+        _judges.clear()
+        _judges[model.name] = Judge(model)
+    return _judges[model.name]
+
+
 class Judge:
     """Scores texts; remembers a bounded number of the words it met."""
 
-    def __init__(self, model: Model, most: int = 250_000, most_chars: int = 8_000_000):
+    def __init__(self, model: Model, most: int = 400_000, most_chars: int = 12_000_000):
         self.model, self.most, self.most_chars = model, most, most_chars
         self._clear()
 
@@ -161,7 +175,7 @@ class Judge:
         tokens: list[str] = []
         ends = [0]
         for t in texts:
-            tokens += t.split()
+            tokens += pieces(t)
             ends.append(len(tokens))
         k = np.fromiter(map(self.known.get, tokens, repeat(-1)), np.int64, len(tokens))
         for i in np.flatnonzero(k < 0).tolist():
@@ -187,7 +201,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = Judge(model)
+        judge = judge_of(model)
         for b in slices(batches):
             langs, scores = judge([t or "" for t in b.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
@@ -204,7 +218,7 @@ def accepted(docs: DataFrame, model: Model, least: float) -> DataFrame:
     """The documents (their five columns, unchanged) whose language is found with at least this score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = Judge(model)
+        judge = judge_of(model)
         for b in slices(batches):
             langs, scores = judge([t or "" for t in b.column("text").to_pylist()])
             yield b.filter(pa.array([x != "und" and s >= least for x, s in zip(langs, scores, strict=True)], pa.bool_()))
