@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltgraph.llm import chunking, language, minhash, mixing, neighbours, output, packing, personal, sharding, substring
+from quiltgraph.llm import chunking, language, minhash, mixing, neighbours, oracles, output, packing, personal, sharding, substring
 from quiltgraph.llm.common import table
 
 
@@ -63,4 +63,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_mixing": oracles.op7_sql()}
