@@ -227,9 +227,10 @@ def dedup(table: DataFrame) -> DataFrame:
     spark = table.sparkSession
     docs = keyed(table)
     found = stored(anchors(docs))
-    repeated = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    repeated = stored(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
     picked = stored(found.join(repeated, "anchor", "left_semi").groupBy("did").agg(F.collect_list("start").alias("starts")))
     forget(found)
+    forget(repeated)
     release(spark)
     segs = stored(candidates(docs, picked))
     release(spark)
