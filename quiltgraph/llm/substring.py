@@ -3,7 +3,7 @@
 A window is 20 consecutive words of one document; a word goes if it lies in a window whose words also
 start earlier in the corpus (smaller doc_id, or earlier in the same document).
 
-1. Each window has an *anchor*: the leftmost six-word run with the least hash. Equal windows have equal
+1. Each window has an *anchor*: the leftmost ten-word run with the least hash. Equal windows have equal
    anchors, so the corpus falls into *segments* (neighbouring windows with one anchor) that need to be
    compared only with segments of the same anchor. Anchors are counted with partial sums; those
    that occur once are done.
@@ -38,7 +38,7 @@ from quiltgraph.llm.common import NO_ID, buckets_for, forget, keyed, release, sl
 from quiltgraph.llm.fm_index import FmIndex
 from quiltgraph.llm.textual import U, Words, _join, grams, inside, mix, word_hashes, words
 
-WINDOW, ANCHOR = 20, 6
+WINDOW, ANCHOR = 20, 10
 #: Distinct surroundings of an anchor beyond which its windows are dealt out one by one.
 HOT = 4000
 SHARD_ROWS = 20_000
