@@ -32,7 +32,8 @@ from quiltgraph.llm.textual import U, mix
 LEAST, USUAL, MOST = 8, 32, 128
 #: Bits that must be zero before and after the usual size.
 STRICT, LAX = 6, 4
-RANGE_ROWS = 20_000
+#: Rows of a range, up to MOST_RANGES ranges: what the driver holds of them is bounded, and larger ranges are sorted on disk and streamed.
+RANGE_ROWS, MOST_RANGES = 4_000, 10_000
 
 _GEAR = (mix(np.arange(1, 257, dtype=np.uint64) * U(0x9E3779B97F4A7C15)) >> U(32)).astype(np.uint32)
 
@@ -105,7 +106,7 @@ RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, e
 def with_next(docs: DataFrame, rows: int) -> DataFrame:
     """Rows (__range, __extra, did, text), sorted so that each document's next one follows it; __extra marks a range's borrowed last row."""
     df = keyed(docs)
-    n = buckets_for(rows, RANGE_ROWS)
+    n = min(MOST_RANGES, buckets_for(rows, RANGE_ROWS))
     cuts = []
     if n > 1:
         cuts = sorted(set(df.where(F.col("did") != NO_ID).approxQuantile("did", [i / n for i in range(1, n)], 0.1 / n)))
