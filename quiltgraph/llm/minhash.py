@@ -8,10 +8,11 @@ Jaccard similarity of their weights. Bands of registers bring candidates togethe
 pair is verified on the exact Jaccard similarity of its shingle sets (0.8 or more is a link), and
 classes are the connected components of the links.
 
-No bucket emits all its pairs. Equal texts count as one node. A bucket first links its members to the
-least one only; once these links are joined into components, members of a bucket that are still apart from
-its least member's component meet *all* members of other components there, so no candidate pair
-between two components is left unverified, while a group of copies never costs more than its size.
+No bucket emits all its pairs. Equal texts count as one node. A bucket first links its members to a leader
+only, the text that shares most buckets with others (the original of a group of copies); in further rounds those still
+apart from its component have a leader of their own. At last, members that are apart from the first leader's
+component meet *all* members of other components there, so no candidate pair between two components is
+left unverified, while a group of copies costs about its size.
 
 Rows with one doc_id are one document. A null id stands for a document of its own text. Texts without words
 (null, empty, blank) are in no class but their own. An empty table gives no rows. Columns besides
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quiltgraph.llm.common import DOC_COLUMNS, forget, release, slices, stored
+from quiltgraph.llm.common import DOC_COLUMNS, forget, memory, release, slices, stored
 from quiltgraph.llm.components import components
 from quiltgraph.llm.textual import U, Words, _join, grams, inside, mix, word_hashes, words
 
@@ -37,7 +38,11 @@ SHINGLE, SIMILAR = 5, 0.8
 #: A pair of similarity 0.8 meets in at least one band with probability 1 - (1 - 0.8**6)**40 > 0.99999.
 BANDS, ROWS = 40, 6
 REGISTERS = BANDS * ROWS
-SIGN_BYTES = 4 << 20
+LEADER_ROUNDS = 2
+#: Share of equal registers below which a pair is no link: 0.8 less 3.9 standard deviations.
+LIKELY = 0.7
+APART_BLOCK, MEMBER_BLOCK = 4096, 16384
+SIGN_BYTES = 3 << 20
 
 
 def shingles(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,20 +98,23 @@ def bands(signature: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """did, k1, k2 (128 bits of the text's hash), buckets (null for texts without words)."""
+    """did, k1, k2 (128 bits of the text's hash), buckets (null for texts without words), signature (16 bits a register)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory("hashes")
         for b in slices(batches, most=SIGN_BYTES):
             w = words(b.column("text"))
             doc, value, times = shingles(w)
-            bucket = bands(prob_min_hash(doc, value, 1 + np.log(times), b.num_rows)).view(np.int64)
+            signature = prob_min_hash(doc, value, 1 + np.log(times), b.num_rows)
+            bucket = bands(signature).view(np.int64)
+            kept = mix(signature).astype("<u2")
             raw = w.data.tobytes()
             key = np.frombuffer(b"".join(hashlib.blake2b(raw[i:j], digest_size=16).digest() for i, j in zip(w.text[:-1].tolist(), w.text[1:].tolist(), strict=True)), "<i8").reshape(-1, 2)
             full = w.counts > 0
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(full * BANDS)]).astype(np.int32)), pa.array(bucket[full].ravel()), mask=pa.array(~full))
-            yield pa.RecordBatch.from_arrays([b.column("did"), pa.array(key[:, 0].copy()), pa.array(key[:, 1].copy()), lists], ["did", "k1", "k2", "buckets"])
+            yield pa.RecordBatch.from_arrays([b.column("did"), pa.array(key[:, 0].copy()), pa.array(key[:, 1].copy()), lists, pa.array([x.tobytes() for x in kept], pa.binary())], ["did", "k1", "k2", "buckets", "signature"])
 
-    return docs.mapInArrow(run, "did long, k1 long, k2 long, buckets array<long>")
+    return docs.mapInArrow(run, "did long, k1 long, k2 long, buckets array<long>, signature binary")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -138,6 +146,75 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(two, "b").join(one, "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def _pair(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _leads(there: DataFrame, condition: Column) -> DataFrame:
+    """bucket, lead, lead_root: of the members that meet the condition the one of greatest weight (ties: the least)."""
+    key = F.struct(F.col("weight"), -F.col("rep"))
+    return there.where(condition).groupBy("bucket").agg(F.max_by(F.struct("rep", "root"), key).alias("l")).select("bucket", F.col("l.rep").alias("lead"), F.col("l.root").alias("lead_root"))
+
+
+def _led(there: DataFrame, first: bool) -> DataFrame:
+    """Pairs of each bucket's leader with the members of other components; not ``first``: of the leader among those
+    that are apart from the first leader's component."""
+    leads = _leads(there, F.lit(True))
+    if not first:
+        apart = there.join(leads, "bucket").where("root <> lead_root").drop("lead", "lead_root")
+        leads = _leads(apart, F.lit(True))
+    return there.join(leads, "bucket").where("root <> lead_root").select(*_pair("rep", "lead")).distinct()
+
+
+def across(there: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Pairs of different components that share a bucket and whose signatures come near SIMILAR.
+
+    ``there``: bucket, band, rep, weight, root, n. In each bucket the members apart from the first leader's component are
+    compared with all members, block by block, on their signatures; a pair is given by the first band it shares. A link
+    has at least LIKELY of its registers equal but for less than one in 10000 cases.
+    """
+    leads = _leads(there, F.lit(True)).select("bucket", "lead_root")
+    rows = there.join(leads, "bucket").withColumn("apart", F.col("root") != F.col("lead_root"))
+    some = rows.where("apart").select("bucket").distinct()
+    rows = rows.join(some, "bucket", "left_semi").join(signatures, "rep").select("bucket", "band", "rep", "root", "apart", "signature", "n")
+
+    def blocks(size: int) -> Column:
+        return F.ceil(F.col("n") / size).cast("int")
+
+    def of(size: int) -> Column:
+        return F.pmod(F.xxhash64("rep"), blocks(size)).cast("int")
+
+    def every(size: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), blocks(size) - 1))
+
+    one = rows.where("apart").withColumn("i", of(APART_BLOCK)).withColumn("j", every(MEMBER_BLOCK)).withColumn("asks", F.lit(True))
+    two = rows.withColumn("j", of(MEMBER_BLOCK)).withColumn("i", every(APART_BLOCK)).withColumn("asks", F.lit(False))
+
+    def compare(t: pa.Table) -> pa.Table:
+        asks = t.column("asks").to_numpy()
+        rep, root, apart = (t.column(c).to_numpy() for c in ("rep", "root", "apart"))
+        sig = np.frombuffer(b"".join(t.column("signature").to_pylist()), "<u2").reshape(-1, REGISTERS)
+        band = t.column("band")[0].as_py()
+        # one number a band, to tell shared bands at sight
+        short = (sig.reshape(-1, BANDS, ROWS).astype(np.uint64) * mix(np.arange(1, ROWS + 1, dtype=np.uint64))).sum(axis=2)
+        q, m = np.flatnonzero(asks), np.flatnonzero(~asks)
+        a, b = [], []
+        for s in range(0, len(q), 32):
+            x = q[s : s + 32]
+            new = (root[x][:, None] != root[m][None]) & (~apart[m][None] | (rep[x][:, None] < rep[m][None]))
+            for k in range(band):
+                new &= short[x, k][:, None] != short[m, k][None]
+            xi, mi = np.nonzero(new)
+            if len(xi):
+                near = (sig[x[xi]] == sig[m[mi]]).sum(axis=1) >= LIKELY * REGISTERS
+                a.append(rep[x[xi[near]]])
+                b.append(rep[m[mi[near]]])
+        a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return one.unionByName(two).groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
+
+
 def node_of() -> Column:
     """The doc_id, or, for a null one, a number from the text."""
     own = -F.lit(1) - F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 62))
@@ -153,26 +230,29 @@ def classes(table: DataFrame) -> DataFrame:
     member = stored(base.join(same, ["k1", "k2"], "left").select("did", F.coalesce("rep", "did").alias("rep")))
     # a document's repeated rows, and its rows of other texts, stay one node
     link = member.where("did <> rep").select(F.col("did").alias("a"), F.col("rep").alias("b"))
-    buckets = base.where("buckets IS NOT NULL").join(same, ["k1", "k2"]).where("did = rep").select("did", F.explode("buckets").alias("bucket")).distinct()
-    buckets = buckets.withColumnRenamed("did", "rep")
-    leaders = stored(buckets.groupBy("bucket").agg(F.min("rep").alias("lead"), F.count("*").alias("n")).where("n > 1"))
-    shared = stored(buckets.join(leaders, "bucket"))
+    buckets = base.where("buckets IS NOT NULL").join(same, ["k1", "k2"]).where("did = rep").select("rep", F.posexplode("buckets").alias("band", "bucket")).distinct()
+    crowd = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    shared = stored(buckets.join(crowd, "bucket"))
+    # the text that most others share buckets with stands in the middle of its class
+    middle = shared.groupBy("rep").agg(F.sum("n").alias("weight"))
+    shared = stored(shared.join(middle, "rep"))
     release(spark)
-    pairs = stored(shared.where("rep <> lead").select(F.col("lead").alias("a"), F.col("rep").alias("b")).distinct())
+    pairs = stored(_led(shared.withColumn("root", F.col("rep")), first=True))
     wanted = pairs.select(F.col("a").alias("did")).unionByName(pairs.select(F.col("b").alias("did"))).unionByName(shared.where("n > 2").select(F.col("rep").alias("did"))).distinct()
     texts = stored(docs.join(wanted, "did", "left_semi").groupBy("did").agg(F.min("text").alias("text")))
     release(spark)
     links = stored(verified(pairs, texts))
-    root = components(links)
-    # what is still apart from its bucket's leader meets the other components there
-    there = stored(shared.where("n > 2").join(root, F.col("rep") == F.col("node"), "left").select("bucket", "rep", "lead", F.coalesce("root", "rep").alias("root")))
-    lead = there.where("rep = lead").select("bucket", F.col("root").alias("lead_root"))
-    apart = there.join(lead, "bucket").where("root <> lead_root").select("bucket", F.col("rep").alias("x"), F.col("root").alias("x_root"))
-    more = apart.join(there.where("rep <> lead"), "bucket").where("root <> x_root").select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct()
-    more = stored(more.join(pairs, ["a", "b"], "left_anti"))
-    links = links.unionByName(verified(more, texts))
+    signatures = base.join(same, ["k1", "k2"]).where("did = rep").groupBy("rep").agg(F.min("signature").alias("signature"))
+    for last in (False,) * LEADER_ROUNDS + (True,):
+        root = components(links)
+        # what is still apart from its bucket's first leader meets other components there
+        there = stored(shared.where("n > 2").join(root, F.col("rep") == F.col("node"), "left").select("bucket", "band", "rep", "weight", "n", F.coalesce("root", "rep").alias("root")))
+        more = across(there, signatures) if last else _led(there, first=False)
+        more = stored(more.join(pairs, ["a", "b"], "left_anti"))
+        found = stored(verified(more, texts))
+        pairs, links = pairs.unionByName(more), links.unionByName(found)
     root = components(links.unionByName(link.distinct()))
-    for x in (base, leaders, shared, pairs, texts, there, more):
+    for x in (base, shared, texts, there):
         forget(x)
     release(spark)
     out = member.join(root, F.col("did") == F.col("node"), "left")
