@@ -87,6 +87,18 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
         yield batch.slice(start, n - start)
 
 
+#: What this worker process remembers between tasks, by kind: encoded words, judged words.
+_memories: dict[str, dict] = {}
+
+
+def memory(kind: str) -> dict:
+    """The process's memory of one kind; those of other kinds are emptied, so that a worker never holds two."""
+    for other, held in _memories.items():
+        if other != kind:
+            held.clear()
+    return _memories.setdefault(kind, {})
+
+
 def buckets_for(rows: int, each: int) -> int:
     """How many groups of about ``each`` rows; grows with the table, so a group stays bounded."""
     return max(1, -(-rows // each))

@@ -29,11 +29,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quiltgraph.llm.common import DOC_COLUMNS, slices
+from quiltgraph.llm.common import DOC_COLUMNS, memory, slices
 from quiltgraph.llm.tokens import pieces
 
 FIT_ROWS = 20_000
-WORDS, GRAMS = 60_000, 60_000
+WORDS, GRAMS = 40_000, 40_000
 LONGEST, BACKOFF, EVIDENCE = 5, -0.7, 12
 MOST_LETTERS = 64  # of one word that are judged; longer runs are cut into words of this length
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -127,29 +127,30 @@ def learn(labelled: DataFrame, rows: int) -> Model:
     by_term = by_term.persist()  # one entry a term; evicted blocks are counted again
     try:
         totals = {(r["kind"], r["lang"]): r["n"] for r in by_term.select("kind", F.explode("by").alias("lang", "n")).groupBy("kind", "lang").agg(F.sum("n").alias("n")).collect()}
-        tops = {kind: by_term.where(F.col("kind") == kind).orderBy(F.desc("all"), "term").limit(most).select("term", "by").collect() for kind, most in (("w", WORDS), ("g", GRAMS))}
+        languages = sorted({lang for _, lang in totals})
+        counts_of = [F.coalesce(F.col("by")[x], F.lit(0)).alias(f"n{i}") for i, x in enumerate(languages)]
+        tables = {}
+        for kind, most in (("w", WORDS), ("g", GRAMS)):
+            top = by_term.where(F.col("kind") == kind).orderBy(F.desc("all"), "term").limit(most).select("term", *counts_of).toArrow()
+            tables[kind] = dict(zip(top.column("term").to_pylist(), zip(*(top.column(f"n{i}").to_pylist() for i in range(len(languages))), strict=True), strict=True)) if languages else {}
     finally:
         by_term.unpersist()
-    languages = sorted({lang for _, lang in totals})
-    tables = {kind: {r["term"]: [r["by"].get(x, 0) for x in languages] for r in rows_} for kind, rows_ in tops.items()}
     return Model(languages, tables["w"], tables["g"], [[totals.get((kind, x), 0) for x in languages] for kind in ("w", "g")])
 
 
-_judges: dict[str, Judge] = {}
-
-
 def judge_of(model: Model) -> Judge:
     """One judge for all tasks of a worker process that use the model."""
-    if model.name not in _judges:
-        _judges.clear()
-        _judges[model.name] = Judge(model)
-    return _judges[model.name]
+    held = memory("language")
+    if model.name not in held:
+        held.clear()
+        held[model.name] = Judge(model)
+    return held[model.name]
 
 
 class Judge:
     """Scores texts; remembers a bounded number of the words it met."""
 
-    def __init__(self, model: Model, most: int = 400_000, most_chars: int = 12_000_000):
+    def __init__(self, model: Model, most: int = 300_000, most_chars: int = 10_000_000):
         self.model, self.most, self.most_chars = model, most, most_chars
         self._clear()
 

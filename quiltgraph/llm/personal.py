@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quiltgraph.llm.common import slices
+from quiltgraph.llm.common import memory, slices
 
 KINDS = ("email", "ip", "card", "phone")
 # Fixed patterns of the contract.
@@ -359,6 +359,7 @@ def masked(docs: DataFrame, field: Field) -> DataFrame:
     """The documents (their five columns) with every span masked in the text; n_chars follows a changed text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory("personal")
         for b in slices(batches):
             texts = b.column("text").to_pylist()
             plain = [t or "" for t in texts]

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quiltgraph.llm.common import NO_ID, buckets_for, forget, keyed, release, slices, stored
+from quiltgraph.llm.common import NO_ID, buckets_for, forget, keyed, memory, release, slices, stored
 from quiltgraph.llm.fm_index import FmIndex
 from quiltgraph.llm.textual import U, Words, _join, grams, inside, mix, word_hashes, words
 
@@ -89,6 +89,7 @@ def _longs(x: np.ndarray) -> pa.Array:
 
 def anchors(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory("hashes")
         for b in slices(batches):
             s = Segments(words(b.column("text")))
             yield pa.RecordBatch.from_arrays([_longs(s.anchor), b.column("did").take(pa.array(s.doc)), pa.array(s.start.astype(np.int32))], ["anchor", "did", "start"])

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import os
 import re
-from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
 
+from quiltgraph.llm.common import memory
+
 VOCABULARY = "word_bpe_49k.json"
 SPECIAL_TOKENS = 2  # the file holds this many ids after the largest ordinary one
 
@@ -38,10 +39,12 @@ def pieces(text: str) -> list[str]:
     return text.split()
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> WordIds:
     """One encoder for all tasks of a worker process."""
-    return WordIds(path)
+    held = memory("tokens")
+    if path not in held:
+        held[path] = WordIds(path)
+    return held[path]
 
 
 class WordIds:
@@ -53,7 +56,7 @@ class WordIds:
     afresh. New words of letters only are encoded in one go, told apart by their word ends.
     """
 
-    def __init__(self, path: str, most_words: int = 400_000, most_chars: int = 12_000_000):
+    def __init__(self, path: str, most_words: int = 300_000, most_chars: int = 10_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
