@@ -36,7 +36,7 @@ def stored(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet into the shared folder and read it again."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path  # noqa: SLF001
     return out
