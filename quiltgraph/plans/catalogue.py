@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quiltgraph.config import Config, Edge, Node, parse_config
+from quiltgraph.config import Config, Node, parse_config
 from quiltgraph.functions import names, values
 from quiltgraph.operators import delta as D
 from quiltgraph.operators.fold import fold_last
@@ -453,7 +453,7 @@ def _changes(spark, sf_dir) -> DataFrame:
     return df.select(F.lit("public.events").alias("table"), op.alias("op"), F.col("event_id").alias("seq"), data.alias("data"), F.array().cast("array<string>").alias("unchanged"))
 
 
-_EVENTS = {"events": T.StructType.fromDDL("user_id long, event_id long, event_type string, value double")}
+_EVENTS = {"events": T.StructType().add("user_id", "long").add("event_id", "long").add("event_type", "string").add("value", "double")}
 CDC_USER = node("user", "events", "User", "user_id", "id", {"last_type": "event_type", "last_value": "value"}, mode="cdc")
 _LAST = "(SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events)"
 
@@ -649,5 +649,3 @@ def fold_operator(spark, sf_dir):
     df = load(spark, sf_dir, "events").select("user_id", F.col("event_type").alias("last_type"), F.struct("event_id").alias("__order"))
     return fold_last(df, ["user_id"], "__order")
 
-
-__all__ = ["queries", "oracle_sql", "Edge"]
