@@ -1,0 +1,71 @@
+import json
+
+import pytest
+
+from quiltgraph.config import Edge, Index, Match, load_config, parse_config
+from quiltgraph.errors import ConfigError
+from quiltgraph.plans.runtime import wanted_indexes
+
+
+def node(**more):
+    return {"type": "node", "name": "n", "source": {"table": "t"}, "labels": ["N"], "key": {"column": "id", "property": "id"}} | more
+
+
+def edge(**more):
+    return {"type": "edge", "name": "e", "source": {"table": "t"}, "relationship": "R", "from": {"node_mapping": "n", "match_on": [{"column": "a", "property": "id"}]}, "to": {"node_mapping": "n", "match_on": {"column": "b", "property": "id"}}} | more
+
+
+@pytest.mark.parametrize(
+    "bad",
+    [
+        {"source": {"table": "t", "select": "SELECT 1"}},
+        {"source": {}},
+        {"source": {"table": "t", "query_count": 0}},
+        {"source": {"table": "t", "schema_strategy": "odd"}},
+        {"source": {"table": "t", "flatten_max_depth": 0}},
+        {"source": {"table": "t", "partition": {"column": "c", "lower_bound": "1"}}},
+        {"mode": "incremental"},
+        {"mode": "sometimes"},
+        {"labels": []},
+        {"key": {"column": "id"}},
+        {"properties": {"id": "other"}},
+        {"name": ""},
+        {"delta": {"deleted_flag_column": "x"}},
+    ],
+)
+def test_bad_nodes(bad):
+    with pytest.raises(ConfigError):
+        parse_config({"mappings": [node(**bad)]})
+
+
+@pytest.mark.parametrize("bad", [{"relationship": ""}, {"direction": "up"}, {"from": {"node_mapping": "n", "match_on": []}}, {"to": {"node_mapping": "x", "match_on": [{"column": "a", "property": "id"}]}}, {"to": {"match_on": [{"column": "a", "property": "id"}]}}])
+def test_bad_edges(bad):
+    with pytest.raises(ConfigError):
+        parse_config({"mappings": [node(), edge(**bad)]})
+
+
+def test_shorthand_endpoints_and_synonyms():
+    c = parse_config({"mappings": [node(source={"dbtable": "t", "limit": 5}), edge(**{"from": {"node_mapping": "n", "match_column": "a", "match_property": "id", "label": "X"}, "source": {"query": "SELECT 1"}})]})
+    e = c.edges[0]
+    assert isinstance(e, Edge) and e.start.match == (Match("a", "id"),) and c.endpoint_labels(e.start) == ("X",) and c.endpoint_labels(e.end) == ("N",)
+    assert c.nodes[0].source.limit == 5 and e.source.select == "SELECT 1"
+    assert wanted_indexes(c) == [Index(("N",), "id"), Index(("X",), "id")]
+
+
+def test_unknown_fields_repeated_names_and_switches():
+    for bad in ({"mappings": [node(), node()]}, {"source": {}, "mapping": {}}, {"mappings": [node()], "compat": ["no such"]}, {"mappings": [node()], "odd": 1}, {"mappings": [node()], "spark": {"max_retries": 99}}):
+        with pytest.raises(ConfigError):
+            parse_config(bad)
+
+
+def test_files_and_environment(tmp_path, monkeypatch):
+    monkeypatch.setenv("GRAPH_NAME", "shop")
+    text = "graph: {graph: $GRAPH_NAME}\nstate: {backend: file, file_path: s.json}\nmappings:\n- {type: node, name: n, labels: N, source: {file: rows.json}, key: {column: id, property: id}}\n"
+    (tmp_path / "c.yaml").write_text(text)
+    c = load_config(tmp_path / "c.yaml")
+    assert c.graph["graph"] == "shop" and c.state == "s.json" and c.nodes[0].labels == ("N",) and c.batch == 1000
+    (tmp_path / "c.json").write_text(json.dumps({"mappings": [node()], "state": {"backend": "none"}}))
+    assert load_config(tmp_path / "c.json").state is None
+    monkeypatch.delenv("GRAPH_NAME")
+    with pytest.raises(ConfigError):
+        load_config(tmp_path / "c.yaml")
