@@ -1,0 +1,108 @@
+"""The pipeline against a plain version, stage by stage, and the queries over files."""
+
+import sys
+from collections import Counter, defaultdict
+from pathlib import Path
+
+import numpy as np
+import pytest
+from helpers import frame, odd_rows, split
+from test_minhash import near_copies, sets_of
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+import corpus_pipeline  # noqa: E402
+
+from quiltgraph.llm import language, personal, queries  # noqa: E402
+from quiltgraph.llm.tokens import WordIds, vocabulary_path  # noqa: E402
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def rows():
+    out = [(r[0], r[1], "en", f"s{i % 4}", len(r[1])) for i, r in enumerate(near_copies(6))]
+    out += [(500 + i, r[1], r[2] if len(r) > 2 else None, r[3] if len(r) > 3 else None, None) for i, r in enumerate(odd_rows(9, 12))]
+    out += [(900, "write to ann.b@mail.example.com or +1 (988) 555-2485 please", "en", "s1", 50), (901, "12 34 !!", "en", "s1", 8)]
+    return out
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    from pyspark.sql import functions as F
+
+    path = f"file://{tmp_path_factory.mktemp('sf')}"
+    frame(spark, rows()).withColumn("extra", F.lit(1)).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(i, [float(i % 7), float(i % 11), 1.0]) for i in range(300)], "vec_id long, embedding array<float>").write.parquet(f"{path}/embeddings.parquet")
+    return path
+
+
+def test_stages(spark, folder):
+    docs, kept = spark.read.parquet(f"{folder}/documents.parquet"), rows()
+    stages = dict(corpus_pipeline.STAGES)
+    one = stages["language_id"](spark, docs, folder)
+    assert one.columns == COLUMNS
+    got = [tuple(r) for r in one.collect()]
+    gone = Counter(kept) - Counter(got)
+    assert not Counter(got) - Counter(kept)
+    assert all(not any(c.isalpha() for c in t or "") for _, t, *_ in gone)  # clean documents stay
+    two = [tuple(r) for r in stages["near_dedup"](spark, one, folder).collect()]
+    assert not Counter(two) - Counter(got)
+    left = [sets_of(t) for _, t, *_ in two]
+    assert all(len(a & b) < 0.8 * len(a | b) for i, a in enumerate(left) for b in left[:i])  # no pair of near-duplicates is left
+    for d, t, *_ in got:  # and what went has a relative that stays in its class
+        if (d, t) not in {x[:2] for x in two}:
+            assert any(len(sets_of(t) & s) >= 0.5 * len(sets_of(t) | s) for s in left)
+    again = frame(spark, two)
+    three = {r["doc_id"]: r for r in stages["personal_data"](spark, again, folder).collect()}
+    assert set(three) == {r[0] for r in two}
+    for d, t, lang, source, n in two:
+        base = personal.base_spans(t or "")
+        r = three[d]
+        assert (r["lang"], r["source"]) == (lang, source)
+        if not base:
+            assert (r["text"], r["n_chars"]) == (t, n)
+        else:
+            assert not personal.base_spans(r["text"]) and all((t[s:e] not in r["text"]) for _, s, e in base)
+    four = stages["mix_sources"](spark, again, folder)
+    assert four.columns == COLUMNS
+    words, total = Counter(), sum(len(split(r[1])) for r in two)
+    for r in four.collect():
+        words[r["doc_id"]] += len(split(r["text"]))
+    assert abs(sum(words.values()) - min(1.5, 2) * total) <= 8 and all(words[r[0]] <= 2 * len(split(r[1])) for r in two)
+
+
+def test_run_packs_every_token(spark, folder):
+    out = corpus_pipeline.run(spark, folder).collect()
+    encode = WordIds(vocabulary_path())
+    bins = defaultdict(list)
+    for r in out:
+        bins[r["sequence_id"]].append((r["offset"], r["length"]))
+    for x in bins.values():
+        assert [o for o, _ in sorted(x)] == np.cumsum([0, *(n for _, n in sorted(x))])[:-1].tolist() and sum(n for _, n in x) <= 4096
+    assert len(out) > 0 and encode(["a"])[0].size == 1
+
+
+def test_empty_table(spark, tmp_path):
+    frame(spark, []).write.parquet(f"file://{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, f"file://{tmp_path}").count() == 0
+
+
+def test_queries_give_a_row_for_every_document(spark, folder):
+    q, n = queries.queries(), len(rows())
+    assert sorted(q, key=lambda x: int(x[2:].split("_")[0])) == [x for x in q]
+    for name in ("op1_substring", "op2_near_duplicates", "op3_personal_data", "op4_fingerprints", "op6_sharding", "op7_mixing", "op9_language"):
+        got = q[name](spark, folder)
+        assert Counter(r["doc_id"] for r in got.select("doc_id").collect()) == Counter(r[0] for r in rows()), name
+        assert got.count() == n
+    r = q["op9_language"](spark, folder).first()
+    assert isinstance(r["held_out"], bool)
+    assert q["op8_neighbours"](spark, folder).count() == 30
+    assert q["op10_token_output"](spark, folder).count() >= 1 and q["op5_packing"](spark, folder).count() >= n
+
+
+def test_model_keeps_to_training_rows(spark, folder):
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    a = language.learn(docs.where(~language.held_out(F.col("doc_id"))), 50)
+    b = language.learn(docs.where(~language.held_out(F.col("doc_id"))).withColumn("n_chars", F.lit(0)), 50)
+    assert a.words == b.words and a.grams == b.grams
