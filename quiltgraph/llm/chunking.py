@@ -125,7 +125,7 @@ def with_next(docs: DataFrame, rows: int) -> DataFrame:
     lookup = F.element_at(F.create_map(*(F.lit(x) for pair in before.items() for x in pair)), F.col("did"))
     extra = extra.select("did", "text", lookup.cast("int").alias("__range"), F.lit(1).alias("__extra"))
     both = df.withColumn("__extra", F.lit(0)).unionByName(extra)
-    return both.repartition(2 * n, "__range").sortWithinPartitions("__range", "__extra", "did", "text")
+    return both.repartitionById(n, F.col("__range")).sortWithinPartitions("__range", "__extra", "did", "text")
 
 
 def fingerprints(docs: DataFrame, rows: int) -> DataFrame:
