@@ -230,7 +230,7 @@ def classes(table: DataFrame) -> DataFrame:
     member = stored(base.join(same, ["k1", "k2"], "left").select("did", F.coalesce("rep", "did").alias("rep")))
     # a document's repeated rows, and its rows of other texts, stay one node
     link = member.where("did <> rep").select(F.col("did").alias("a"), F.col("rep").alias("b"))
-    buckets = base.where("buckets IS NOT NULL").join(same, ["k1", "k2"]).where("did = rep").select("rep", F.posexplode("buckets").alias("band", "bucket")).distinct()
+    buckets = base.where("buckets IS NOT NULL").join(same, ["k1", "k2"]).where("did = rep").select("rep", F.posexplode("buckets").alias("band", "bucket"))  # a row that repeats only repeats its pairs
     crowd = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     shared = stored(buckets.join(crowd, "bucket"))
     # the text that most others share buckets with stands in the middle of its class
@@ -239,7 +239,8 @@ def classes(table: DataFrame) -> DataFrame:
     release(spark)
     pairs = stored(_led(shared.withColumn("root", F.col("rep")), first=True))
     wanted = pairs.select(F.col("a").alias("did")).unionByName(pairs.select(F.col("b").alias("did"))).unionByName(shared.where("n > 2").select(F.col("rep").alias("did"))).distinct()
-    texts = stored(docs.join(wanted, "did", "left_semi").groupBy("did").agg(F.min("text").alias("text")))
+    # the ids grow with the corpus, so the plan is the same at every size: no broadcast
+    texts = stored(docs.join(wanted.hint("merge"), "did", "left_semi").groupBy("did").agg(F.min("text").alias("text")))
     release(spark)
     links = stored(verified(pairs, texts))
     signatures = base.join(same, ["k1", "k2"]).where("did = rep").groupBy("rep").agg(F.min("signature").alias("signature"))
