@@ -39,6 +39,7 @@ class GraphStore:
         self.nodes: dict[Labels, DataFrame] = {}
         self.edges: dict[tuple[str, Labels, Labels], DataFrame] = {}
         self.indexes: set[tuple[str, str]] = set()
+        self.keys: dict[Labels, str] = {}  # the property that is unique in a node table
         self._files: dict[tuple, str] = {}
         self._changed: set[tuple] = set()
         if path:
@@ -75,7 +76,9 @@ class GraphStore:
     def merge_nodes(self, labels: Iterable[str], key_property: str, batch: DataFrame) -> None:
         """Upsert nodes (__key, __order, properties). A node that already carries these labels among others is updated
         where it is; the rest go to the table of exactly these labels."""
-        own, b = label_set(labels), fold_last(batch, [KEY], ORDER)
+        own, props = label_set(labels), [c for c in batch.columns if c not in (KEY, ORDER, key_property)]
+        b = fold_last(batch.drop(key_property), [KEY], ORDER)
+        b = b.select(KEY, F.col(KEY).alias(key_property), *map(field, props))  # an alias keeps the fold's partitioning for the join
         new = b
         for s in self.label_tables(own):
             if s == own or key_property not in self.nodes[s].columns:
@@ -85,6 +88,8 @@ class GraphStore:
             self._put_node(s, upsert(t, hit.drop(KEY), [key_property]))
             new = new.join(t.select(field(key_property).alias("__k")).distinct(), F.col(KEY) == F.col("__k"), "left_anti")
         t = self.nodes.get(own)
+        if t is None:
+            self.keys[own] = key_property
         if t is not None and key_property not in t.columns:
             t = t.unionByName(new, allowMissingColumns=True)
         elif t is not None:
@@ -109,14 +114,21 @@ class GraphStore:
     def resolved(self, batch: DataFrame, start: Endpoint, start_labels: Labels, end: Endpoint, end_labels: Labels, direction: str, first_key_only: bool = False):
         """((src table, dst table), edges) for each pair of tables that the endpoints can be in; folded to one row an identity."""
         same = [c for c in batch.columns if c.startswith(("__from_", "__to_"))] + [EDGE_KEY]
-        folded = batch.groupBy(*same).agg(F.max_by(F.struct(*(field(c) for c in batch.columns if c not in same)), ORDER).alias("__last"))  # before the joins
-        first = folded.select(*same, "__last.*")
+        # endpoints found by a unique key cannot bring two edges together: those are folded before the joins for good
+        single = {(x, s): len(x.match) == 1 and x.match[0].property == self.keys.get(s) for x, labels in ((start, start_labels), (end, end_labels)) for s in self.label_tables(labels)}
+        rest = [c for c in batch.columns if c not in same and (c != ORDER or not all(single.values()))]
+        if rest:
+            last = batch.groupBy(*same).agg(F.max_by(F.struct(*(field(c).alias(f"v{i}") for i, c in enumerate(rest))), ORDER).alias("__last"))
+            first = last.select(*same, *(F.col(f"__last.v{i}").alias(c) for i, c in enumerate(rest)))
+        else:
+            first = batch.select(*same).distinct()
         for a in self.label_tables(start_labels):
             for b in self.label_tables(end_labels):
                 if any(m.property not in self.nodes[a].columns for m in start.match) or any(m.property not in self.nodes[b].columns for m in end.match):
                     continue
                 e = resolve(first, start, self.nodes[a], end, self.nodes[b], direction, first_key_only).withColumnRenamed(EDGE_KEY, "edge_key")
-                yield ((b, a) if direction == "in" else (a, b)), fold_last(e, EDGE_ID, ORDER)
+                once = single[start, a] and single[end, b]
+                yield ((b, a) if direction == "in" else (a, b)), (e.drop(ORDER) if once else fold_last(e, EDGE_ID, ORDER))
 
     def merge_edges(self, relationship: str, start: Endpoint, start_labels: Labels, end: Endpoint, end_labels: Labels, batch: DataFrame, direction: str = "out", first_key_only: bool = False) -> None:
         for (a, b), e in self.resolved(batch, start, start_labels, end, end_labels, direction, first_key_only):
@@ -135,13 +147,14 @@ class GraphStore:
     def purge(self) -> None:
         for k in [("node", *k) for k in self.nodes] + [("edge", *k) for k in self.edges]:
             self._files.pop(k, None)
-        self.nodes, self.edges, self._changed = {}, {}, set()
+        self.nodes, self.edges, self.keys, self._changed = {}, {}, {}, set()
 
     def purge_nodes(self, labels: Iterable[str]) -> None:
         """Remove all nodes with these labels, and their edges."""
         gone = set(self.label_tables(labels))
         for s in gone:
             del self.nodes[s]
+            self.keys.pop(s, None)
             self._forget(("node", *s))
         for e in [e for e in self.edges if e[1] in gone or e[2] in gone]:
             del self.edges[e]
@@ -194,7 +207,7 @@ class GraphStore:
         """Make everything flushed so far the current graph."""
         self.flush()
         if self.path:
-            tables = [{"kind": k[0], "key": _plain(k[1:]), "table": name, "schema": self._frame(k).schema.json()} for k, name in sorted(self._files.items(), key=repr)]
+            tables = [{"kind": k[0], "key": _plain(k[1:]), "table": name, "schema": self._frame(k).schema.json(), "unique": self.keys.get(k[1:]) if k[0] == "node" else None} for k, name in sorted(self._files.items(), key=repr)]
             write_json(self.spark, f"{self.path}/_CURRENT", {"tables": tables, "indexes": sorted(self.indexes)})
 
     def vacuum(self) -> int:
@@ -226,6 +239,8 @@ class GraphStore:
             key = t["key"]
             k = (t["kind"], *key) if t["kind"] == "node" else (t["kind"], key[0], tuple(key[1]), tuple(key[2]))
             self._files[k] = t["table"]
+            if t.get("unique"):
+                self.keys[k[1:]] = t["unique"]
             self._read(k, t["table"], StructType.fromJson(json.loads(t["schema"])))
 
 
