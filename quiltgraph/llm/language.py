@@ -158,12 +158,23 @@ class Judge:
         self.known: dict[str, int] = {}
         self.chars = 0
         self.rows = np.zeros((1 << 12, len(self.model.languages) + 1))  # scores and the number of words
+        self.uses = np.zeros(0, np.int64)
         self.n = 0
 
+    def _forget(self) -> None:
+        """Keep the half used most, and at most half of the characters."""
+        keep = np.sort(np.argsort(-self.uses, kind="stable")[: self.most // 2])
+        tokens, rows, uses = list(self.known), self.rows[keep], self.uses[keep] // 2
+        names = [tokens[i] for i in keep.tolist()]
+        self._clear()
+        if sum(map(len, names)) <= self.most_chars // 2:
+            self.rows, self.uses, self.n = rows, uses, len(names)
+            self.known, self.chars = dict(zip(names, range(len(names)), strict=True)), sum(map(len, names))
+
     def _learn(self, token: str) -> None:
         ws = letters_of(token)
         if self.n == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            self.rows = np.concatenate([self.rows, np.zeros((max(1 << 12, len(self.rows)), self.rows.shape[1]))])
         self.rows[self.n] = [*map(sum, zip(*map(self.model.score, ws), strict=True)), len(ws)] if ws else 0
         self.known[token] = self.n
         self.chars += len(token)
@@ -172,7 +183,7 @@ class Judge:
     def __call__(self, texts: list[str]) -> tuple[list[str], list[float]]:
         """Language and score of each text. Blank-separated tokens are remembered whole, so a token is taken apart once."""
         if self.n > self.most or self.chars > self.most_chars:
-            self._clear()
+            self._forget()
         tokens: list[str] = []
         ends = [0]
         for t in texts:
@@ -183,6 +194,7 @@ class Judge:
             if tokens[i] not in self.known:
                 self._learn(tokens[i])
             k[i] = self.known[tokens[i]]
+        self.uses = np.concatenate([self.uses, np.zeros(self.n - len(self.uses), np.int64)]) + np.bincount(k, minlength=self.n)
         at = np.array(ends)
         sums = np.zeros((len(texts), self.rows.shape[1]))
         full = np.flatnonzero(at[1:] > at[:-1])

@@ -52,8 +52,8 @@ class WordIds:
 
     The vocabulary's pre-tokeniser drops white space and never joins across it, so the ids
     of a text are those of its pieces, one after the other (tests compare with the library on
-    whole texts). Each distinct piece is encoded once until the memory is full, when it starts
-    afresh. New words of letters only are encoded in one go, told apart by their word ends.
+    whole texts). Each distinct piece is encoded once; when the memory is full, the half used
+    least is forgotten. New words of letters only are encoded in one go, told apart by their word ends.
     """
 
     def __init__(self, path: str, most_words: int = 300_000, most_chars: int = 10_000_000):
@@ -72,17 +72,36 @@ class WordIds:
         self.chars = 0
         self.ids = np.zeros(1 << 16, np.uint32)
         self.at = np.zeros(1 << 15, np.int64)
+        self.uses = np.zeros(1 << 15, np.int64)
         self.n = 0
 
+    def _forget(self) -> None:
+        """Keep the half used most, and at most half of the characters."""
+        keep = np.sort(np.argsort(-self.uses[: self.n], kind="stable")[: self.most_words // 2])
+        words, ids, at = list(self.known), self.ids, self.at
+        names = [words[i] for i in keep.tolist()]
+        if sum(map(len, names)) > self.most_chars // 2:
+            self._clear()
+            return
+        uses = self.uses[keep] // 2
+        sizes = (at[1:] - at[:-1])[keep]
+        self._clear()
+        end = np.cumsum(sizes)
+        self.ids = ids[np.repeat(at[keep] - (end - sizes), sizes) + np.arange(int(sizes.sum()))]
+        self.at, self.uses = np.concatenate([[0], end]), uses
+        self.known, self.n, self.chars = dict(zip(names, range(len(names)), strict=True)), len(names), sum(map(len, names))
+
     def _learn(self, new: list[str]) -> None:
-        plain, other = [x for x in new if x.isalpha() and x.isascii()], [x for x in new if not (x.isalpha() and x.isascii())]
-        ids, sizes = [], []
+        plain, other, ids, sizes = [], [], [], []
+        for x in new:
+            (plain if x.isalpha() and not _WIDE.search(x) else other).append(x)
         for k in range(0, len(plain), 1000):
             part = plain[k : k + 1000]
             got = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
             stop = np.flatnonzero(self.ends[got]) + 1
-            if len(stop) != len(part):
-                raise RuntimeError("a word of letters was not encoded as one word")
+            if len(stop) != len(part):  # cannot be told apart after all
+                each = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+                got, stop = np.array([i for x in each for i in x], np.uint32), np.cumsum([len(x) for x in each])
             ids.append(got)
             sizes.append(np.diff(stop, prepend=0))
         found = [e.ids for e in self.tokenizer.encode_batch_fast(other, add_special_tokens=False)]
@@ -94,6 +113,8 @@ class WordIds:
             self.ids = np.concatenate([self.ids, np.zeros(len(self.ids), np.uint32)])
         while self.n + len(new) + 1 > len(self.at):
             self.at = np.concatenate([self.at, np.zeros(len(self.at), np.int64)])
+        if self.n + len(new) > len(self.uses):
+            self.uses = np.concatenate([self.uses, np.zeros(len(self.at) - len(self.uses), np.int64)])
         self.ids[self.at[self.n] : end] = ids
         self.at[self.n + 1 : self.n + 1 + len(new)] = self.at[self.n] + np.cumsum(sizes)
         self.known.update(zip(plain + other, range(self.n, self.n + len(new)), strict=True))
@@ -103,7 +124,7 @@ class WordIds:
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the texts' offsets in them (one more than texts)."""
         if len(self.known) > self.most_words or self.chars > self.most_chars:
-            self._clear()
+            self._forget()
         parts: list[str] = []
         ends = [0]
         for t in texts:
@@ -115,6 +136,7 @@ class WordIds:
             names = [parts[i] for i in missing.tolist()]
             self._learn(list(dict.fromkeys(names)))
             k[missing] = [self.known[x] for x in names]
+        self.uses[: self.n] += np.bincount(k, minlength=self.n)
         sizes = (self.at[1:] - self.at[:-1])[k]
         out = np.concatenate([[0], np.cumsum(sizes)])
         flat = np.repeat(self.at[k] - out[:-1], sizes) + np.arange(out[-1])

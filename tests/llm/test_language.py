@@ -72,3 +72,12 @@ def test_held_out_rule(spark):
 
     for r in spark.range(40).select("id", L.held_out(F.col("id")).alias("h")).collect():
         assert r["h"] == (zlib.crc32(str(r["id"]).encode()) % 3 == 1)
+
+
+def test_memory_of_words_does_not_change_results(spark):
+    model = L.learn(frame(spark, rows()), 240)
+    texts = [t for _, t, _ in rows(150, 3)] + ["one two", "", "x " * 50]
+    whole, small = L.Judge(model), L.Judge(model, most=12)
+    got = [small(texts[i : i + 7]) for i in range(0, len(texts), 7)]
+    langs, scores = whole(texts)
+    assert sum((g[0] for g in got), []) == langs and np.allclose(sum((g[1] for g in got), []), scores)
