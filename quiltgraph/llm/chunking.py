@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quiltgraph.llm.common import NO_ID, SLICE_BYTES, buckets_for, keyed, slices
+from quiltgraph.llm.common import NO_ID, SLICE_BYTES, buckets_for, keyed, slices, small_batches
 from quiltgraph.llm.textual import U, mix
 
 LEAST, USUAL, MOST = 8, 32, 128
@@ -105,7 +105,7 @@ RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, e
 
 def with_next(docs: DataFrame, rows: int) -> DataFrame:
     """Rows (__range, __extra, did, text), sorted so that each document's next one follows it; __extra marks a range's borrowed last row."""
-    df = keyed(docs)
+    df = keyed(small_batches(docs))
     n = min(MOST_RANGES, buckets_for(rows, RANGE_ROWS))
     cuts = []
     if n > 1:

@@ -59,6 +59,15 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()  # noqa: SLF001
 
 
+def small_batches(df: DataFrame, most: int = 16 << 20) -> DataFrame:
+    """Texts reach Python workers in batches of at most ``most`` bytes or one row, whatever their lengths; a lower session setting stays."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    have = conf.get(name).lower().rstrip("b")
+    if not have.isdigit() or int(have) > most:
+        conf.set(name, str(most))
+    return df
+
+
 def keyed(docs: DataFrame, *more: str) -> DataFrame:
     """``did`` (the id, NO_ID for null) and ``text`` (null: empty); nothing else, so clashing names cannot arise."""
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("did"), F.coalesce("text", F.lit("")).alias("text"), *more)

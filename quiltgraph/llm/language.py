@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quiltgraph.llm.common import DOC_COLUMNS, memory, slices
+from quiltgraph.llm.common import DOC_COLUMNS, memory, slices, small_batches
 from quiltgraph.llm.tokens import pieces
 
 FIT_ROWS = 20_000
@@ -94,7 +94,7 @@ def learn(labelled: DataFrame, rows: int) -> Model:
     """A model from columns doc_id, text and lang. ``rows``: how many there are, for the sample's rate."""
     rate = min(1.0, FIT_ROWS / max(1, rows))
     pick = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), F.lit(1 << 30)) < F.lit(int(rate * (1 << 30)))
-    sample = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & pick).select("lang", "text")
+    sample = small_batches(labelled).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & pick).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[tuple[str, str], Counter] = {}
@@ -219,7 +219,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             langs, scores = judge([t or "" for t in b.column("text").to_pylist()])
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
 def held_out(doc_id) -> F.Column:
@@ -236,5 +236,5 @@ def accepted(docs: DataFrame, model: Model, least: float) -> DataFrame:
             langs, scores = judge([t or "" for t in b.column("text").to_pylist()])
             yield b.filter(pa.array([x != "und" and s >= least for x, s in zip(langs, scores, strict=True)], pa.bool_()))
 
-    kept = docs.select(*DOC_COLUMNS)
+    kept = small_batches(docs).select(*DOC_COLUMNS)
     return kept.mapInArrow(run, kept.schema)

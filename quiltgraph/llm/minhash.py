@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quiltgraph.llm.common import DOC_COLUMNS, forget, memory, release, slices, stored
+from quiltgraph.llm.common import DOC_COLUMNS, forget, memory, release, slices, small_batches, stored
 from quiltgraph.llm.components import components
 from quiltgraph.llm.textual import U, Words, _join, grams, inside, mix, word_hashes, words
 
@@ -42,7 +42,7 @@ LEADER_ROUNDS = 2
 #: Share of equal registers below which a pair is no link: 0.8 less 3.9 standard deviations.
 LIKELY = 0.7
 APART_BLOCK, MEMBER_BLOCK = 4096, 16384
-SIGN_BYTES = 3 << 20
+SIGN_BYTES = 2 << 20
 
 
 def shingles(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -224,7 +224,7 @@ def node_of() -> Column:
 def classes(table: DataFrame) -> DataFrame:
     """did (see node_of), class_id (the least did of the class) of every document; a row for each row of the table."""
     spark = table.sparkSession
-    docs = table.select(node_of().alias("did"), F.coalesce("text", F.lit("")).alias("text"))
+    docs = small_batches(table).select(node_of().alias("did"), F.coalesce("text", F.lit("")).alias("text"))
     base = stored(signed(docs))
     same = base.where("buckets IS NOT NULL").groupBy("k1", "k2").agg(F.min("did").alias("rep"))
     member = stored(base.join(same, ["k1", "k2"], "left").select("did", F.coalesce("rep", "did").alias("rep")))

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltgraph.llm.common import slices
+from quiltgraph.llm.common import slices, small_batches
 from quiltgraph.llm.tokens import encoder, vocabulary_path, with_end
 
 LENGTH, END_ID, PAD_ID, WIDTH = 4096, 49407, 0, 2
@@ -133,7 +133,7 @@ def packed_rows(docs: DataFrame, tokenizer: str | None = None, length: int = LEN
         names = [x.split(" ")[0] for x in ROWS.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ROWS)
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ROWS)
 
 
 def write_packed(docs: DataFrame, path: str, **options) -> None:

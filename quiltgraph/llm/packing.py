@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quiltgraph.llm.common import buckets_for, slices
+from quiltgraph.llm.common import buckets_for, slices, small_batches
 from quiltgraph.llm.tokens import encoder, vocabulary_path, with_end
 
 TOKENS, END_ID = 4096, 1
@@ -106,7 +106,7 @@ def pieces_of(docs: DataFrame, tokenizer: str | None = None, tokens: int = TOKEN
             crc = [zlib.crc32(ids[s:e]) for s, e in zip(first.tolist(), (first + length).tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id").take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length), pa.array(crc, pa.int64())], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, PIECES)
 
 
 def pack(pieces: DataFrame, rows: int, capacity=CAPACITY, weights=WEIGHTS, rule: str = "norm") -> DataFrame:

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quiltgraph.llm.common import memory, slices
+from quiltgraph.llm.common import memory, slices, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
 # Fixed patterns of the contract.
@@ -304,7 +304,7 @@ def train(docs: DataFrame, rows: int) -> Field:
     """Fit on about FIT_ROWS texts that hold digits (all, in a smaller table): feature rows are made where the texts are."""
     rate = min(1.0, FIT_ROWS / max(1, rows))
     pick = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), F.lit(1 << 30)) < F.lit(int(rate * (1 << 30)))
-    sample = docs.where(pick & F.col("text").isNotNull()).select("text")
+    sample = small_batches(docs).where(pick & F.col("text").isNotNull()).select("text")
 
     def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):  # only what stands around the tokens travels: a bounded excerpt of a bounded sample
@@ -352,7 +352,7 @@ def find(docs: DataFrame, field: Field) -> DataFrame:
             digest = [hashlib.sha256(spell(s).encode()).hexdigest() for s in base]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(counts[:, k]) for k in range(4)), pa.array(digest, pa.string()), pa.array([spell(s + m) for s, m in zip(base, more, strict=True)], pa.string()), pa.array([len(m) for m in more], pa.int64())], ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_added"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
+    return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_added long")
 
 
 def masked(docs: DataFrame, field: Field) -> DataFrame:
@@ -369,5 +369,5 @@ def masked(docs: DataFrame, field: Field) -> DataFrame:
             size = [n if t is u or u is None else len(u) for t, u, n in zip(texts, new, b.column("n_chars").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(new, pa.string()), b.column("lang"), b.column("source"), pa.array(size, pa.int64())], ["doc_id", "text", "lang", "source", "n_chars"])
 
-    kept = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), F.col("n_chars").cast("long").alias("n_chars"))
+    kept = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source"), F.col("n_chars").cast("long").alias("n_chars"))
     return kept.mapInArrow(run, "doc_id long, text string, lang string, source string, n_chars long")

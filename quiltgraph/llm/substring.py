@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quiltgraph.llm.common import NO_ID, buckets_for, forget, keyed, memory, release, slices, stored
+from quiltgraph.llm.common import NO_ID, buckets_for, forget, keyed, memory, release, slices, small_batches, stored
 from quiltgraph.llm.fm_index import FmIndex
 from quiltgraph.llm.textual import U, Words, _join, grams, inside, mix, word_hashes, words
 
@@ -226,7 +226,7 @@ def removed(docs: DataFrame, picked: DataFrame, firsts: DataFrame) -> DataFrame:
 def dedup(table: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document."""
     spark = table.sparkSession
-    docs = keyed(table)
+    docs = keyed(small_batches(table))
     found = stored(anchors(docs))
     repeated = stored(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
     picked = stored(found.join(repeated, "anchor", "left_semi").groupBy("did").agg(F.collect_list("start").alias("starts")))
