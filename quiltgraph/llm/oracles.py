@@ -1,12 +1,43 @@
-"""DuckDB SQL for the queries that SQL can express: mixing, and the placement part of sharding (a CRC-32 is beyond it; tests compare with zlib).
-
-Both use MD5 draws, which any engine can make."""
+"""DuckDB SQL for the queries that SQL can express: substring dedup, near-duplicate classes, mixing, and the placement part of
+sharding (a CRC-32 is beyond it; tests compare with zlib). Draws are MD5, which any engine can make."""
 
 from __future__ import annotations
 
 from quiltgraph.llm import mixing, sharding
 
 
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+def op1_sql() -> str:
+    """All windows as text, the first place of each, the words that later ones cover."""
+    return f"""
+WITH d AS MATERIALIZED (SELECT doc_id, {WORDS} AS w FROM documents),
+x AS (SELECT doc_id, unnest(range(1, len(w) - 18)) AS i, w FROM d WHERE len(w) >= 20),
+k AS MATERIALIZED (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS words FROM x),
+f AS (SELECT words, min((doc_id, i)) AS first FROM k GROUP BY words HAVING count(*) > 1),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM k JOIN f USING (words) WHERE (doc_id, i) > first),
+n AS (SELECT doc_id, list(p) AS gone FROM g GROUP BY doc_id),
+r AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+             CASE WHEN gone IS NULL THEN w ELSE list_transform(list_filter(range(1, len(w) + 1), lambda p: NOT list_contains(gone, p)), lambda p: w[p]) END AS kept
+      FROM d LEFT JOIN n ON d.doc_id = n.doc_id)
+SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM r"""
+
+
+def op2_sql() -> str:
+    """All pairs of texts that share a shingle, their Jaccard similarity, and components by recursion."""
+    return f"""
+WITH RECURSIVE d AS MATERIALIZED (SELECT doc_id, {WORDS} AS w FROM documents),
+x AS (SELECT doc_id, unnest(range(1, greatest(len(w) - 3, 2))) AS i, w FROM d WHERE len(w) > 0),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM x),
+z AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS MATERIALIZED (SELECT a, b FROM p JOIN z y ON y.doc_id = a JOIN z q ON q.doc_id = b WHERE p.n >= 0.8 * (y.n + q.n - p.n)),
+e AS MATERIALIZED (SELECT a, b FROM l UNION SELECT b, a FROM l),
+c(node, root) AS (SELECT doc_id, doc_id FROM d UNION SELECT e.b, c.root FROM c JOIN e ON e.a = c.node)
+SELECT doc_id, min(root) AS class_id FROM d JOIN c ON c.node = doc_id GROUP BY doc_id"""
+
+
 def _unit(key: str, node: str) -> str:
     return f"((('0x' || substr(md5({key} || '/{node}'), 1, 12))::BIGINT::DOUBLE + 0.5) / {float(2**48)!r})"
 

@@ -63,4 +63,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_mixing": oracles.op7_sql()}
+    return {"op1_substring": oracles.op1_sql(), "op2_near_duplicates": oracles.op2_sql(), "op7_mixing": oracles.op7_sql()}
