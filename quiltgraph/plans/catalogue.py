@@ -427,8 +427,8 @@ def json_property(spark, sf_dir):
 @query("SELECT count(*) FILTER (WHERE o_orderstatus <> 'F') AS active, count(*) FILTER (WHERE o_orderstatus = 'F') AS deleted FROM orders")
 def active_deleted_counts(spark, sf_dir):
     d = parse_config({"mappings": [node("m", "orders", "Order", "o_orderkey", "id", delta=FLAGGED)]}).nodes[0].delta
-    active, gone = D.split(load(spark, sf_dir, "orders"), d)
-    return active.agg(F.count("*").alias("active")).crossJoin(gone.agg(F.count("*").alias("deleted")))
+    df = load(spark, sf_dir, "orders")
+    return df.agg(F.count_if(~D.deleted(df, d)).alias("active"), F.count_if(D.deleted(df, d)).alias("deleted"))
 
 
 @query("""SELECT count(*) FILTER (WHERE toxic = 1) AS by_number, count(*) FILTER (WHERE toxic = 1) AS by_text, count(*) FILTER (WHERE toxic = 1) AS by_boolean FROM labels""")
