@@ -150,19 +150,24 @@ def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _leads(there: DataFrame, condition: Column) -> DataFrame:
-    """bucket, lead, lead_root: of the members that meet the condition the one of greatest weight (ties: the least)."""
+def _leads(there: DataFrame) -> DataFrame:
+    """bucket, lead, lead_root of the buckets that hold more than one component: the member of greatest weight (ties: the least).
+
+    Stored, so that the joins with it have a shuffle of their own on both sides, which Spark can split where a bucket is large."""
     key = F.struct(F.col("weight"), -F.col("rep"))
-    return there.where(condition).groupBy("bucket").agg(F.max_by(F.struct("rep", "root"), key).alias("l")).select("bucket", F.col("l.rep").alias("lead"), F.col("l.root").alias("lead_root"))
+    best = there.groupBy("bucket").agg(F.max_by(F.struct("rep", "root"), key).alias("l"), (F.min("root") != F.max("root")).alias("mixed"))
+    return stored(best.where("mixed").select("bucket", F.col("l.rep").alias("lead"), F.col("l.root").alias("lead_root")))
 
 
 def _led(there: DataFrame, first: bool) -> DataFrame:
     """Pairs of each bucket's leader with the members of other components; not ``first``: of the leader among those
     that are apart from the first leader's component."""
-    leads = _leads(there, F.lit(True))
+    leads = _leads(there)
     if not first:
         apart = there.join(leads, "bucket").where("root <> lead_root").drop("lead", "lead_root")
-        leads = _leads(apart, F.lit(True))
+        # a component of its own is enough here: the pairs are with all others in the bucket
+        second = apart.groupBy("bucket").agg(F.max_by(F.struct("rep", "root"), F.struct(F.col("weight"), -F.col("rep"))).alias("l"))
+        leads = stored(second.select("bucket", F.col("l.rep").alias("lead"), F.col("l.root").alias("lead_root")))
     return there.join(leads, "bucket").where("root <> lead_root").select(*_pair("rep", "lead")).distinct()
 
 
@@ -173,10 +178,9 @@ def across(there: DataFrame, signatures: DataFrame) -> DataFrame:
     compared with all members, block by block, on their signatures; a pair is given by the first band it shares. A link
     has at least LIKELY of its registers equal but for less than one in 10000 cases.
     """
-    leads = _leads(there, F.lit(True)).select("bucket", "lead_root")
+    leads = _leads(there).select("bucket", "lead_root")
     rows = there.join(leads, "bucket").withColumn("apart", F.col("root") != F.col("lead_root"))
-    some = rows.where("apart").select("bucket").distinct()
-    rows = rows.join(some, "bucket", "left_semi").join(signatures, "rep").select("bucket", "band", "rep", "root", "apart", "signature", "n")
+    rows = rows.join(signatures, "rep").select("bucket", "band", "rep", "root", "apart", "signature", "n")
 
     def blocks(size: int) -> Column:
         return F.ceil(F.col("n") / size).cast("int")
@@ -231,7 +235,7 @@ def classes(table: DataFrame) -> DataFrame:
     # a document's repeated rows, and its rows of other texts, stay one node
     link = member.where("did <> rep").select(F.col("did").alias("a"), F.col("rep").alias("b"))
     buckets = base.where("buckets IS NOT NULL").join(same, ["k1", "k2"]).where("did = rep").select("rep", F.posexplode("buckets").alias("band", "bucket"))  # a row that repeats only repeats its pairs
-    crowd = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    crowd = stored(buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
     shared = stored(buckets.join(crowd, "bucket"))
     # the text that most others share buckets with stands in the middle of its class
     middle = shared.groupBy("rep").agg(F.sum("n").alias("weight"))
