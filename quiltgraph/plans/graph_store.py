@@ -32,16 +32,21 @@ def label_set(labels: Iterable[str]) -> Labels:
 
 
 class GraphStore:
-    """``path``: where versions live; None keeps everything lazy in this session."""
+    """``path``: where versions live; None keeps everything lazy in this session.
 
-    def __init__(self, spark: SparkSession, path: str | None = None):
-        self.spark, self.path = spark, path
+    ``buckets``: write node tables bucketed and sorted by their unique property, so that merges and endpoint joins
+    read them without a shuffle: only the batch moves, however large the graph has grown.
+    """
+
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
+        self.spark, self.path, self.buckets = spark, path, buckets
         self.nodes: dict[Labels, DataFrame] = {}
         self.edges: dict[tuple[str, Labels, Labels], DataFrame] = {}
         self.indexes: set[tuple[str, str]] = set()
         self.keys: dict[Labels, str] = {}  # the property that is unique in a node table
         self._files: dict[tuple, str] = {}
         self._changed: set[tuple] = set()
+        self._bucketed: dict[tuple, tuple[int, str]] = {}
         if path:
             self._load()
 
@@ -194,12 +199,21 @@ class GraphStore:
         def write(k: tuple) -> tuple[tuple, str]:
             df = self.nodes[k[1:]] if k[0] == "node" else self.edges[k[1:]]
             name = f"{k[0]}-{uuid.uuid4().hex}"
-            df.write.parquet(f"{self.path}/tables/{name}")
+            by = self._bucket_column(k)
+            if by is None:
+                df.write.parquet(f"{self.path}/tables/{name}")
+            else:  # one task a bucket, so one file a bucket
+                writer = df.repartition(self.buckets, field(by)).write.format("parquet").bucketBy(self.buckets, by).sortBy(by)
+                writer.option("path", f"{self.path}/tables/{name}").saveAsTable(_table_name(name))
             return k, name
 
         with ThreadPoolExecutor(threads) as pool:
             for k, name in pool.map(write, sorted(self._changed, key=repr)):
                 self._files[k] = name
+                by = self._bucket_column(k)
+                self._bucketed.pop(k, None)
+                if by is not None:
+                    self._bucketed[k] = (self.buckets, by)
                 self._read(k, name)
         self._changed = set()
 
@@ -207,7 +221,7 @@ class GraphStore:
         """Make everything flushed so far the current graph."""
         self.flush()
         if self.path:
-            tables = [{"kind": k[0], "key": _plain(k[1:]), "table": name, "schema": self._frame(k).schema.json(), "unique": self.keys.get(k[1:]) if k[0] == "node" else None} for k, name in sorted(self._files.items(), key=repr)]
+            tables = [{"kind": k[0], "key": _plain(k[1:]), "table": name, "schema": self._frame(k).schema.json(), "unique": self.keys.get(k[1:]) if k[0] == "node" else None, "buckets": self._bucketed.get(k)} for k, name in sorted(self._files.items(), key=repr)]
             write_json(self.spark, f"{self.path}/_CURRENT", {"tables": tables, "indexes": sorted(self.indexes)})
 
     def vacuum(self) -> int:
@@ -215,14 +229,25 @@ class GraphStore:
         now = {t["table"] for t in (read_json(self.spark, f"{self.path}/_CURRENT") or {"tables": []})["tables"]}
         old = [f for f in folders(self.spark, f"{self.path}/tables") if f not in now and f not in self._files.values()]
         for f in old:
+            self.spark.sql(f"DROP TABLE IF EXISTS {_table_name(f)}")
             remove(self.spark, f"{self.path}/tables/{f}")
         return len(old)
 
+    def _bucket_column(self, k: tuple) -> str | None:
+        return self.keys.get(k[1:]) if self.buckets and k[0] == "node" else None
+
     def _frame(self, k: tuple) -> DataFrame:
         return self.nodes[k[1:]] if k[0] == "node" else self.edges[k[1:]]
 
     def _read(self, k: tuple, name: str, schema=None) -> None:
-        df = self.spark.read.schema(schema if schema is not None else self._frame(k).schema).parquet(f"{self.path}/tables/{name}")
+        schema, where = schema if schema is not None else self._frame(k).schema, f"{self.path}/tables/{name}"
+        if k in self._bucketed:
+            n, by = self._bucketed[k]
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {_table_name(name)} ({columns}) USING parquet CLUSTERED BY (`{by}`) SORTED BY (`{by}`) INTO {n} BUCKETS LOCATION '{where}'")
+            df = self.spark.table(_table_name(name))
+        else:
+            df = self.spark.read.schema(schema).parquet(where)
         if k[0] == "node":
             self.nodes[k[1:]] = df
         else:
@@ -241,8 +266,15 @@ class GraphStore:
             self._files[k] = t["table"]
             if t.get("unique"):
                 self.keys[k[1:]] = t["unique"]
+            if t.get("buckets"):
+                self._bucketed[k] = tuple(t["buckets"])
             self._read(k, t["table"], StructType.fromJson(json.loads(t["schema"])))
 
 
+def _table_name(name: str) -> str:
+    """The catalog's name of a bucketed table."""
+    return "graph_" + name.replace("-", "_")
+
+
 def _plain(k: tuple) -> list:
     return [list(x) if isinstance(x, tuple) else x for x in k]

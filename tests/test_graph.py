@@ -129,3 +129,25 @@ def test_daemon_counts_failures():
             raise RuntimeError
 
     assert run_daemon(run, 0.01, most=3) == (3, 1) and seen == [True, False, False]
+
+
+def test_bucketed_nodes_merge_without_moving_the_graph(spark, tmp_path):
+    path = f"file://{tmp_path}/g"
+    m = parse_config({"mappings": [node(props=("a",))]}).nodes[0]
+    g = GraphStore(spark, path, buckets=4)
+    apply_node(g, m, spark.range(200).selectExpr("id", "'old' AS a"))
+    g.commit()
+    g = GraphStore(spark, path, buckets=4)  # as another session would: from the manifest
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        apply_node(g, m, spark.range(150, 250).selectExpr("id", "'new' AS a"))
+        plan = g.node_frame(["N"])._jdf.queryExecution().executedPlan().toString()
+        join = plan[plan.index("FullOuter") :]
+        assert "Bucketed: true" in join and join.index("Bucketed: true") < join.index("Exchange hashpartitioning")
+        g.commit()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    g = GraphStore(spark, path)
+    assert g.node_frame(["N"]).groupBy("a").count().orderBy("a").collect() == [("new", 100), ("old", 150)]
+    assert g.vacuum() == 1 and g.node_frame(["N"]).count() == 250
