@@ -32,10 +32,22 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+def work_dir(spark: SparkSession) -> str:
+    """This application's own part of the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/quiltgraph-{spark.sparkContext.applicationId}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete every table that operators stored in this session; results that were not written yet are lost with them."""
+    jvm = spark._jvm  # noqa: SLF001
+    p = jvm.org.apache.hadoop.fs.Path(work_dir(spark))
+    p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)  # noqa: SLF001
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet into the shared folder and read it again."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark)}/t-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path  # noqa: SLF001
