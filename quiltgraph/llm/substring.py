@@ -7,9 +7,8 @@ start earlier in the corpus (smaller doc_id, or earlier in the same document).
    anchors, so the corpus falls into *segments* (neighbouring windows with one anchor) that need to be
    compared only with segments of the same anchor. Anchors are counted with partial sums; those
    that occur once are done.
-2. The remaining segments, with their words, are grouped by content: all but the first of equal
-   segments are wholly repeated.
-3. Where an anchor has several contents, the first of each goes to the anchor's shard. A shard's
+2. The remaining segments are grouped by content: all but the first of equal segments are wholly repeated.
+3. Where an anchor has several contents, the first of each goes, with its words, to the anchor's shard. A shard's
    texts make up an FM-index, whose wavelet tree answers backward search; the same segments are
    streamed through it, and their matching statistics give, where they reach 20 words,
    the suffix interval and with it the first place where the window starts.
@@ -97,23 +96,25 @@ def anchors(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "anchor long, did long, start int")
 
 
-def candidates(docs: DataFrame, picked: DataFrame) -> DataFrame:
-    """The picked segments (did, starts) of each text, with their words."""
+def candidates(docs: DataFrame, picked: DataFrame, with_words: bool = False) -> DataFrame:
+    """The picked segments (did, starts) of each text: anchor, content, did, start, and their words if asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             w = words(b.column("text"))
             s = Segments(w)
-            chosen = b.column("starts").combine_chunks() if isinstance(b.column("starts"), pa.ChunkedArray) else b.column("starts")
+            chosen = b.column("starts")
             owner = np.repeat(np.arange(b.num_rows), np.diff(chosen.offsets.to_numpy()))
-            at = chosen.flatten().to_numpy()
-            keep = np.flatnonzero(np.isin((s.doc << 32) + s.start, (owner << 32) + at))
-            raw = w.data.tobytes()
-            ends = w.end[s.word[keep] + s.count[keep] + WINDOW - 2]
-            text = [raw[i:j] for i, j in zip(w.start[s.word[keep]].tolist(), ends.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([_longs(s.anchor[keep]), _longs(s.content[keep]), b.column("did").take(pa.array(s.doc[keep])), pa.array(s.start[keep].astype(np.int32)), pa.array(s.count[keep].astype(np.int32)), pa.array(text, pa.binary())], ["anchor", "content", "did", "start", "count", "words"])
+            keep = np.flatnonzero(np.isin((s.doc << 32) + s.start, (owner << 32) + chosen.flatten().to_numpy()))
+            out = [_longs(s.anchor[keep]), _longs(s.content[keep]), b.column("did").take(pa.array(s.doc[keep])), pa.array(s.start[keep].astype(np.int32))]
+            if with_words:
+                raw = w.data.tobytes()
+                ends = w.end[s.word[keep] + s.count[keep] + WINDOW - 2]
+                out.append(pa.array([raw[i:j] for i, j in zip(w.start[s.word[keep]].tolist(), ends.tolist(), strict=True)], pa.binary()))
+            yield pa.RecordBatch.from_arrays(out, ["anchor", "content", "did", "start", "words"][: len(out)])
 
-    return docs.join(picked, "did").select("did", "text", "starts").mapInArrow(run, "anchor long, content long, did long, start int, count int, words binary")
+    kinds = "anchor long, content long, did long, start int" + ", words binary" * with_words
+    return docs.join(picked.hint("merge"), "did").select("did", "text", "starts").mapInArrow(run, kinds)
 
 
 def earliest(texts: list[bytes], did: np.ndarray, start: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -239,7 +240,11 @@ def dedup(table: DataFrame) -> DataFrame:
     several = firsts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
     open_ = stored(firsts.join(several, "anchor"))
     n = {r["hot"]: r["n"] for r in open_.groupBy((F.col("n") > HOT).alias("hot")).agg(F.count("*").alias("n")).collect()}
-    with_words = stored(open_.join(segs.select("anchor", "content", "did", "start", "words"), ["anchor", "content", "did", "start"]))
+    forget(segs)
+    release(spark)
+    texts = candidates(docs, open_.groupBy("did").agg(F.collect_list("start").alias("starts")), True)
+    with_words = stored(open_.join(texts, ["anchor", "content", "did", "start"]))
+    release(spark)
     marks = search(with_words.where(F.col("n") <= HOT).withColumn("shard_key", F.col("anchor")), n.get(False, 0)).select("did", "start", "content", "mask")
     if n.get(True):
         wins = stored(windows_of(with_words.where(F.col("n") > HOT).select("content", "did", "start", "words")))
@@ -253,7 +258,7 @@ def dedup(table: DataFrame) -> DataFrame:
     marks = firsts.select("did", "start", "content").join(stored(marks), ["did", "start", "content"], "left")
     marks = marks.groupBy("did").agg(F.collect_list(F.struct("start", "content", F.coalesce("mask", F.lit(0)).cast("long").alias("mask"))).alias("firsts"))
     marks = stored(marks)
-    for x in (segs, open_, with_words, firsts):
+    for x in (open_, with_words, firsts):
         forget(x)
     release(spark)
     return removed(docs, picked, marks)
