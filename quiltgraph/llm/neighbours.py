@@ -31,7 +31,7 @@ from quiltgraph.llm.common import buckets_for, stored
 
 SAMPLE, GRAPH, HIDDEN, RECALL = 4096, 10, 64, 0.96
 PART_ROWS, MOST_PARTS = 4_000, 32
-BLOCK, QUERIES, NEAREST = 4_000, 2_000, 10
+BLOCK, QUERIES, NEAREST = 16_000, 2_000, 10
 
 
 def usable(e: Column) -> Column:
