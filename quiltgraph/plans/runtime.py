@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import threading
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +16,7 @@ from quiltgraph.operators import delta as D
 from quiltgraph.operators.mapping import require_keys, to_edges, to_nodes
 from quiltgraph.plans.files import read_json, write_json
 from quiltgraph.plans.graph_store import GraphStore
-from quiltgraph.sources.readers import read_source
+from quiltgraph.sources.readers import needed_columns, read_source
 
 COUNTERS = ("runs", "failed_runs", "rows_fetched", "rows_written", "rows_deleted")
 
@@ -116,9 +116,40 @@ def purge(store: GraphStore, cfg: Config, graph: bool = False, mappings: tuple[s
             store.purge_edges(m.relationship, cfg.endpoint_labels(m.start), cfg.endpoint_labels(m.end), way)
 
 
-def run_once(spark: SparkSession, cfg: Config, store: GraphStore, state: State | None = None, metrics: Metrics | None = None, tables: Callable[[str], DataFrame] | None = None, purge_graph: bool = False, purge_mappings: tuple[str, ...] = (), now: Callable[[], datetime] = lambda: datetime.now(timezone.utc), on_null: str = "error") -> Metrics:
-    """Nodes, then edges, then one commit, then the watermarks. A failure leaves graph and state as they were."""
+class SharedSources:
+    """Reads each distinct source once."""
+
+    def __init__(self, spark: SparkSession, cfg: Config, tables: Callable[[str], DataFrame] | None):
+        self.spark, self.cfg, self.tables = spark, cfg, tables
+        self.kept: dict[tuple, DataFrame] = {}
+
+    def _key(self, m: Node | Edge, since: datetime | None) -> tuple:
+        return (m.source, since, m.delta.updated_at if since and m.delta else None)
+
+    def read(self, m: Node | Edge, since: datetime | None) -> DataFrame:
+        key = self._key(m, since)
+        alike = [o for o in self.cfg.mappings if o.source == m.source and o.mode == m.mode]
+        if len(alike) < 2:
+            return read_source(self.spark, self.cfg, m, since, self.tables)
+        if key not in self.kept:
+            more = {f"__{i}": c for i, c in enumerate(dict.fromkeys(c for o in alike for c in needed_columns(o)))}
+            self.kept[key] = read_source(self.spark, self.cfg, replace(m, properties=m.properties | more), since, self.tables).persist()
+        have = self.kept[key]
+        return have.select(*(F.col(f"`{c}`") for c in needed_columns(m) if c in have.columns))
+
+    def close(self) -> None:
+        for df in self.kept.values():
+            df.unpersist()
+
+
+def run_once(spark: SparkSession, cfg: Config, store: GraphStore, state: State | None = None, metrics: Metrics | None = None, tables: Callable[[str], DataFrame] | None = None, purge_graph: bool = False, purge_mappings: tuple[str, ...] = (), now: Callable[[], datetime] = lambda: datetime.now(timezone.utc), on_null: str = "error", share_sources: bool = False) -> Metrics:
+    """Nodes, then edges, then one commit, then the watermarks. A failure leaves graph and state as they were.
+
+    ``share_sources``: a source that several mappings read alike is read once, with the columns of all of them, and kept
+    (on disk where memory is short) until the run ends: for sources outside of Spark, which prune and scan no cheaper.
+    """
     state, metrics = state or State(spark, cfg.state), metrics or Metrics()
+    shared = SharedSources(spark, cfg, tables) if share_sources else None
     counted: list[tuple[str, int, int]] = []
     marks: dict[str, datetime] = {}
     try:
@@ -134,7 +165,7 @@ def run_once(spark: SparkSession, cfg: Config, store: GraphStore, state: State |
                 if m.mode == "incremental" and since is None and not m.delta.initial_full_load:
                     marks[m.name] = now()  # start from here on
                     continue
-                rows = read_source(spark, cfg, m, since, tables)
+                rows = shared.read(m, since) if shared else read_source(spark, cfg, m, since, tables)
                 # before the rows themselves are read: what arrives in between is read again next time
                 top = D.max_watermark(rows, m.delta)
                 found = rows.agg(F.count("*").alias("n"), F.count_if(D.deleted(rows, m.delta)).alias("gone"), *([F.unix_micros(top).alias("top")] if top is not None else [])).first()
@@ -151,6 +182,9 @@ def run_once(spark: SparkSession, cfg: Config, store: GraphStore, state: State |
         metrics.add("runs")
         metrics.add("failed_runs")
         raise
+    finally:
+        if shared:
+            shared.close()
     for name, when in marks.items():
         state.set(name, when)
     state.save()

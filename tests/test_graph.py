@@ -151,3 +151,21 @@ def test_bucketed_nodes_merge_without_moving_the_graph(spark, tmp_path):
     g = GraphStore(spark, path)
     assert g.node_frame(["N"]).groupBy("a").count().orderBy("a").collect() == [("new", 100), ("old", 150)]
     assert g.vacuum() == 1 and g.node_frame(["N"]).count() == 250
+
+
+def test_shared_sources_are_read_once(spark, tmp_path):
+    calls = []
+    rows = spark.createDataFrame([(1, 2, "x", 0.5), (2, 1, "y", 0.7)], "id long, t long, a string, w double")
+
+    def tables(name):
+        calls.append(name)
+        return rows
+
+    cfg = parse_config({"mappings": [node("n", props=("a",), source={"table": "both"}), edge(source={"table": "both"}, **{"from": {"node_mapping": "n", "match_on": [{"column": "id", "property": "id"}]}})]})
+    for share in (True, False):
+        calls.clear()
+        g = GraphStore(spark, f"file://{tmp_path}/{share}")
+        run_once(spark, cfg, g, State(spark), tables=tables, share_sources=share)
+        assert len(calls) == 2 - share
+        assert {tuple(r) for r in g.node_frame(["N"]).select("id", "a").collect()} == {(1, "x"), (2, "y")}
+        assert {tuple(r) for r in g.edge_frame("R").select("src_key", "dst_key", "w").collect()} == {(1, 2, 0.5), (2, 1, 0.7)}
