@@ -230,7 +230,7 @@ def classes(table: DataFrame) -> DataFrame:
     spark = table.sparkSession
     docs = small_batches(table).select(node_of().alias("did"), F.coalesce("text", F.lit("")).alias("text"))
     base = stored(signed(docs))
-    same = base.where("buckets IS NOT NULL").groupBy("k1", "k2").agg(F.min("did").alias("rep"))
+    same = stored(base.where("buckets IS NOT NULL").groupBy("k1", "k2").agg(F.min("did").alias("rep")))
     member = stored(base.join(same, ["k1", "k2"], "left").select("did", F.coalesce("rep", "did").alias("rep")))
     # a document's repeated rows, and its rows of other texts, stay one node
     link = member.where("did <> rep").select(F.col("did").alias("a"), F.col("rep").alias("b"))
@@ -257,7 +257,7 @@ def classes(table: DataFrame) -> DataFrame:
         found = stored(verified(more, texts))
         pairs, links = pairs.unionByName(more), links.unionByName(found)
     root = components(links.unionByName(link.distinct()))
-    for x in (base, shared, texts, there):
+    for x in (base, same, shared, texts, there):
         forget(x)
     release(spark)
     out = member.join(root, F.col("did") == F.col("node"), "left")
