@@ -42,6 +42,8 @@ LEADER_ROUNDS = 2
 #: Share of equal registers below which a pair is no link: 0.8 less 3.9 standard deviations.
 LIKELY = 0.7
 APART_BLOCK, MEMBER_BLOCK = 4096, 16384
+#: Numbers below stand for documents without an id.
+NULL_IDS = -(1 << 62)
 SIGN_BYTES = 2 << 20
 
 
@@ -220,8 +222,8 @@ def across(there: DataFrame, signatures: DataFrame) -> DataFrame:
 
 
 def node_of() -> Column:
-    """The doc_id, or, for a null one, a number from the text."""
-    own = -F.lit(1) - F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 62))
+    """The doc_id, or, for a null one, a number below NULL_IDS from the text."""
+    own = F.lit(NULL_IDS - 1) - F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 61))
     return F.coalesce(F.col("doc_id").cast("long"), own)
 
 
@@ -266,7 +268,7 @@ def classes(table: DataFrame) -> DataFrame:
 
 def near_duplicates(table: DataFrame) -> DataFrame:
     """doc_id, class_id, one row for each row of the table."""
-    return classes(table).select(F.when(F.col("did") >= 0, F.col("did")).alias("doc_id"), "class_id")
+    return classes(table).select(F.when(F.col("did") >= NULL_IDS, F.col("did")).alias("doc_id"), "class_id")
 
 
 def deduplicated(table: DataFrame) -> DataFrame:

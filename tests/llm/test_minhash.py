@@ -66,6 +66,9 @@ def test_null_ids_and_empty_table(spark):
     c = {r["did"]: r["class_id"] for r in out}
     assert c[7] == min(c) or c[7] < 0  # the null row has an equal text
     assert c[8] == 8
+    rows = [(-5, text), (-3, text), (None, "one two three four five six"), (4, "one two three four five six")]
+    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(frame(spark, rows)).collect()}
+    assert set(got) == {-5, -3, None, 4} and got[-5] == got[-3] == -5 and got[None] == got[4] < minhash.NULL_IDS
 
 
 def test_signature_estimates_similarity():
