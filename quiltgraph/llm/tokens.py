@@ -56,7 +56,7 @@ class WordIds:
     least is forgotten. New words of letters only are encoded in one go, told apart by their word ends.
     """
 
-    def __init__(self, path: str, most_words: int = 300_000, most_chars: int = 10_000_000):
+    def __init__(self, path: str, most_words: int = 500_000, most_chars: int = 16_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
