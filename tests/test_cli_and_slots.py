@@ -22,9 +22,9 @@ def test_run_introspect_and_template(spark, tmp_path, capsys):
     spark.sql("DROP TABLE IF EXISTS people")
     spark.sql("CREATE TABLE people (people_id BIGINT, name STRING, updated_at TIMESTAMP) USING parquet")
     main(["--config", path, "--introspect-schema"], spark)
-    assert json.loads(capsys.readouterr().out)[0]["name"] == "people"
+    assert "people" in [t["name"] for t in json.loads(capsys.readouterr().out)]
     main(["--config", path, "--generate-template", "--output", str(tmp_path / "t.yaml")], spark)
-    assert load_config(tmp_path / "t.yaml").nodes[0].mode == "incremental"
+    assert next(n for n in load_config(tmp_path / "t.yaml").nodes if n.name == "people").mode == "incremental"
     spark.sql("DROP TABLE people")
     for bad in (["--generate-template", "--daemon"], ["--output", "x"]):
         with pytest.raises(SystemExit):
