@@ -27,7 +27,7 @@ WEIGHTS = (5.0, 2.0, 1.0)
 #: (weight at t=0, weight at t=1) of the schedules, repeating in source order: fade out, hold, fade in.
 SCHEDULES = ((3.0, 1.0), (1.0, 1.0), (1.0, 3.0))
 SHARE, MOST = 1.5, 2
-ORDER_ROWS = 5_000
+ORDER_ROWS = 1_000
 
 
 def draw(key: Column) -> Column:
@@ -36,8 +36,8 @@ def draw(key: Column) -> Column:
 
 
 def sized(docs: DataFrame, *carried: str) -> DataFrame:
-    """doc_id, __source (null as itself), size, __draw, and the carried columns."""
-    return docs.select(*carried, F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("__source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), draw(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit("/mix"))).alias("__draw"))
+    """doc_id, __source (null as itself), __key (the source, never null), size, __draw, and the carried columns."""
+    return docs.select(*carried, F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("__source"), F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")).alias("__key"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), draw(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit("/mix"))).alias("__draw"))
 
 
 def targets(totals: DataFrame) -> DataFrame:
@@ -74,17 +74,17 @@ def planned(docs: DataFrame, rows: int, *carried: str) -> DataFrame:
     n = buckets_for(rows, ORDER_ROWS)
     bucket = F.floor(F.col("__draw") * F.lit(n) / F.lit(2**48)).cast("long")
     df = sized(docs, *carried).withColumn("__bucket", bucket)
-    sums = sized(docs).withColumn("__bucket", bucket).groupBy("__source", "__bucket").agg(F.sum("size").alias("__sum"))
-    per = targets(sums.groupBy("__source").agg(F.sum("__sum").alias("source_size")))
-    before = Window.partitionBy("__source").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sized(docs).withColumn("__bucket", bucket).groupBy("__key", "__bucket").agg(F.sum("size").alias("__sum"))
+    name = F.when(F.col("__key") != "n", F.expr("substring(__key, 2)"))
+    per = targets(sums.groupBy("__key").agg(F.sum("__sum").alias("source_size")).withColumn("__source", name))
+    before = Window.partitionBy("__key").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.withColumn("__base", F.coalesce(F.sum("__sum").over(before), F.lit(0))).drop("__sum")
     pick = [F.array(*(F.lit(s[k]) for s in SCHEDULES)) for k in (0, 1)]
-    per = per.select("__source", "source_size", "target", *(F.element_at(pick[k], (F.col("__rank") % len(SCHEDULES) + 1).cast("int")).alias(name) for k, name in enumerate(("__from", "__to"))))
-    same = starts["__source"].eqNullSafe(per["__source"])
-    starts = starts.join(per, same).select(starts["__source"].alias("__s"), F.col("__bucket").alias("__b"), "__base", "source_size", "target", "__from", "__to")
-    upto = Window.partitionBy("__source", "__bucket").orderBy("__draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-    df = df.withColumn("__end", F.sum("size").over(upto))
-    df = df.join(starts, F.col("__source").eqNullSafe(F.col("__s")) & (F.col("__bucket") == F.col("__b")))
+    per = per.select("__key", "source_size", "target", *(F.element_at(pick[k], (F.col("__rank") % len(SCHEDULES) + 1).cast("int")).alias(name) for k, name in enumerate(("__from", "__to"))))
+    starts = starts.join(per, "__key")
+    # the join has the window's keys, so the documents move once for both
+    upto = Window.partitionBy("__key", "__bucket").orderBy("__draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    df = df.withColumn("__end", F.sum("size").over(upto)).join(starts, ["__key", "__bucket"])
     begin = F.col("__base") + F.col("__end") - F.col("size")
     goal = F.floor(F.col("target"))
 
