@@ -1 +1 @@
-"""Package."""
+"""Names, graph types, property values, schema strategies, timestamps."""
