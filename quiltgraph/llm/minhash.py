@@ -1,11 +1,11 @@
 """Near-duplicate classes by ProbMinHash (operator 2).
 
-Shingles are five consecutive words (a shorter text is one shingle), weighted by 1 + ln(times). Each
-shingle sends exponential arrivals, at its weight's rate, to random registers, from its own hash; a
-register keeps the shingle that came first. A shingle stops once its next arrival is later than the last
-open register (early termination). Two documents share a register's shingle with the probability
-Jaccard similarity of their weights. Bands of registers bring candidates together; every candidate
-pair is verified on the exact Jaccard similarity of its shingle sets (0.8 or more is a link), and
+Shingles are five consecutive words (a shorter text is one shingle). Each distinct shingle has weight 1, however
+often it stands in the text, as links are defined on sets. It sends exponential arrivals, at its weight's rate, to
+random registers, from its own hash; a register keeps the shingle that came first. A shingle stops once its next
+arrival is later than the last open register (early termination). Two documents share a register's shingle with a
+probability that is the Jaccard similarity of their shingle sets. Bands of registers bring candidates together; every
+candidate pair is verified on that similarity, computed exactly (0.8 or more is a link), and
 classes are the connected components of the links.
 
 No bucket emits all its pairs. Equal texts count as one node. A bucket first links its members to a leader
@@ -47,8 +47,8 @@ NULL_IDS = -(1 << 62)
 SIGN_BYTES = 2 << 20
 
 
-def shingles(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingles of a batch's texts: text number, hash, times; sorted by both."""
+def shingles(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of a batch's texts: text number, hash; sorted by both."""
     h = word_hashes(w)
     at = np.flatnonzero(inside(w, SHINGLE))
     doc, value = w.owner()[at], grams(h, SHINGLE)[at] if len(at) else np.zeros(0, U)
@@ -63,8 +63,7 @@ def shingles(w: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     doc, value = doc[order], value[order]
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
-    first = np.flatnonzero(new)
-    return doc[first], value[first], np.diff(np.append(first, len(doc)))
+    return doc[new], value[new]
 
 
 def prob_min_hash(doc: np.ndarray, value: np.ndarray, weight: np.ndarray, docs: int, registers: int = REGISTERS) -> np.ndarray:
@@ -106,8 +105,9 @@ def signed(docs: DataFrame) -> DataFrame:
         memory("hashes")
         for b in slices(batches, most=SIGN_BYTES):
             w = words(b.column("text"))
-            doc, value, times = shingles(w)
-            signature = prob_min_hash(doc, value, 1 + np.log(times), b.num_rows)
+            doc, value = shingles(w)
+            # weights other than 1 would bring pairs together by another similarity than the one that is verified
+            signature = prob_min_hash(doc, value, np.ones(len(doc)), b.num_rows)
             bucket = bands(signature).view(np.int64)
             kept = mix(signature).astype("<u2")
             raw = w.data.tobytes()

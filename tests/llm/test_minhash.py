@@ -51,6 +51,25 @@ def test_near_copies_match_brute_force(spark):
     assert got == brute(rows)
 
 
+def repeated_passages(seed=5):
+    """Pairs of similarity just above 0.8; in one text of each a passage of half its words repeats 10 to 1000 times."""
+    rng = random.Random(seed)
+    rows = []
+    for times in (10, 100, 1000) * 12:
+        passage, rest = prose(rng, 60, 10**6).split(), prose(rng, 60, 10**6).split()
+        rows.append((len(rows), " ".join(passage + rest)))
+        rest[20] = rest[40] = f"edit{len(rows)}"
+        rows.append((len(rows), " ".join(passage * times + rest)))
+    return rows
+
+
+def test_passages_that_repeat_in_one_text_only(spark):
+    rows = repeated_passages()
+    want = brute(rows)
+    assert all(want[i] == i - i % 2 for i in want)
+    assert dict(map(tuple, minhash.near_duplicates(frame(spark, rows)).collect())) == want
+
+
 def test_odd_rows(spark):
     rows = [r for r in odd_rows(4) if r[0] is not None]
     out = [tuple(r) for r in minhash.near_duplicates(frame(spark, rows, ["did", "rep", "k1"])).collect()]
