@@ -14,8 +14,8 @@ clamped to "none", which cuts the chain there). Potentials:
 
 Loopy sum-product passes run over all tokens of a batch at once; a run of neighbouring tokens whose posterior for
 one kind reaches CERTAIN, and which touches no base span, becomes a span. So a number or name that
-stands elsewhere in the document as personal data is found again in another form, and text without such a
-link keeps what the patterns said.
+stands elsewhere in the document as personal data is found again in another form. Every document that has such tokens
+is inferred, with or without base spans and links, and its spans do not depend on the other documents of its batch.
 
 Null and empty texts have no spans. Repeated rows are judged each for itself. An empty table gives no rows;
 columns besides doc_id and text are ignored.
@@ -174,8 +174,6 @@ class Field:
         out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
         spans, rows, owner, label, chain, skip = [], [], [], [], [], []
         for d, text in enumerate(texts):
-            if not base[d]:
-                continue  # nothing observed, so no posterior can leave "none" behind LEAK
             own = tokens(text)
             f, keys = features(text, own)
             first = len(spans)
@@ -192,7 +190,7 @@ class Field:
             rows += f
             label += labels
             owner += [d] * len(own)
-        if not skip:
+        if not spans:
             return out
         observed = np.array(label)
         unary = scores(rows, self.unary)
@@ -202,7 +200,7 @@ class Field:
         unary[fixed] = -OBSERVED
         unary[fixed, observed[fixed]] = 0
         right = np.array(chain, np.int64)
-        pairs = np.array(skip, np.int64)
+        pairs = np.array(skip, np.int64).reshape(-1, 2)
         a, b = np.concatenate([right - 1, pairs[:, 0]]), np.concatenate([right, pairs[:, 1]])
         same = np.eye(5) * SAME
         potential = np.concatenate([np.broadcast_to(self.chain, (len(right), 5, 5)), np.broadcast_to(same, (len(pairs), 5, 5))])

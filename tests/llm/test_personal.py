@@ -51,6 +51,17 @@ def test_skip_links_find_another_form():
     assert "988-555-2485" in found
 
 
+def test_spans_are_the_same_alone_and_in_a_batch():
+    unary = np.zeros((P.FEATURES, 5))
+    unary[:, 3] = 4.0
+    field = P.Field(unary, 6 * np.diag([0, 1, 1, 1, 1]) - 3)  # neighbours alone can settle a kind
+    texts = [TEXTS[0], "card 4111 1111 1111 1111  1234", "4111 1111 1111 1112", "no tokens", ""]
+    base = [P.base_spans(t) for t in texts]
+    alone = [field.added([t], [b])[0] for t, b in zip(texts, base, strict=True)]
+    assert field.added(texts, base) == alone
+    assert alone[1] and alone[2]  # without a link, and without a base span
+
+
 def test_loopy_is_exact_on_a_chain():
     rng = np.random.default_rng(1)
     unary, pot = rng.normal(size=(3, 5)), rng.normal(size=(2, 5, 5))
