@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by learned partitions (operator 8).
 
-Fit, on a sample of at most SAMPLE vectors (by the hash of vec_id; all of them in a smaller table): the
+Fit, on a sample of about SAMPLE usable vectors (by the hash of vec_id; all of them where there are fewer): the
 sample's nearest-neighbour graph is cut into balanced parts by recursive spectral bisection with pairwise
 refinement; a small classifier (one hidden layer) learns which parts hold the neighbours of a vector.
 Index: every vector goes to its most probable part. Search: a query goes to its most probable parts, as many as
@@ -10,15 +10,14 @@ and every vector there is compared with it in double precision.
 Parts are dealt out in blocks of about BLOCK vectors and QUERIES queries, so that neither a large part nor
 a large query set meets in one task; each block gives its nearest k, which are merged for each query.
 
-Vectors that are null, zero, hold null or non-finite components, are of another length than most of the
-sample, or have no vec_id take no part. A vec_id that repeats counts once, at its least distance; as a query it
+Vectors that are null, zero, hold null or non-finite components, are of another length than most (ties: the
+shorter), or have no vec_id take no part. A vec_id that repeats counts once, at its least distance; as a query it
 is the least of its vectors. Ties go to the smaller vec_id. An empty table gives no rows; columns besides
 vec_id and embedding are ignored.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -180,15 +179,15 @@ def search(table: DataFrame, is_query: Column, rows: int, k: int = NEAREST) -> D
     """query_id, rank, vec_id, score: the k nearest rows of each query among all rows but its own."""
     e = F.col("embedding").cast("array<double>")
     found = table.select(F.col("vec_id").cast("long").alias("vec_id"), e.alias("x"), is_query.alias("asks")).where(F.col("vec_id").isNotNull() & usable(F.col("x")))
-    rate = min(1.0, SAMPLE / max(1, rows))
+    most = found.groupBy(F.size("x").alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "size").first()
+    size, n_usable = (most["size"], most["n"]) if most else (0, 0)
+    rate = min(1.0, SAMPLE / max(1, n_usable))
     pick = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < F.lit(int(rate * (1 << 30)))
-    sample = sorted((r["vec_id"], tuple(r["x"])) for r in found.where(pick).select("vec_id", "x").collect())
-    sizes = Counter(len(x) for _, x in sample).most_common(1)
-    size = sizes[0][0] if sizes else 0
+    sample = sorted((r["vec_id"], tuple(r["x"])) for r in found.where(pick & (F.size("x") == size)).select("vec_id", "x").collect())
     parts = 1
     while parts < MOST_PARTS and parts * PART_ROWS < rows and parts * 64 < len(sample):
         parts *= 2
-    router = Router(np.array([x for _, x in sample if len(x) == size]).reshape(-1, size) if size else np.zeros((1, 1)), parts)
+    router = Router(np.array([x for _, x in sample]).reshape(-1, size) if sample else np.zeros((1, max(1, size))), parts)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

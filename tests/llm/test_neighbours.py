@@ -45,6 +45,13 @@ def test_small_tables_are_exact(spark):
         assert np.allclose([s for s, _ in got[q]], [s for s, _ in want[q]], rtol=1e-12, atol=0)
 
 
+def test_few_usable_vectors_among_many_rows(spark):
+    rng = random.Random(3)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(6)]) for i in range(60)] + [(1000 + i, [1.0, 2.0]) for i in range(20)]
+    got, want = run(table(spark, rows + [(2000 + i, None) for i in range(100)]), 10**9), brute(rows[:60])
+    assert {q: [v for _, v in x] for q, x in got.items()} == {q: [v for _, v in x] for q, x in want.items()} and got
+
+
 def test_few_and_no_rows(spark):
     assert run(table(spark, []), 0) == {}
     rows = [(0, [1.0, 2.0]), (1, [1.0, 2.5]), (3, [4.0, 2.5])]
