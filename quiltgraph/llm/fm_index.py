@@ -3,7 +3,8 @@
 The Burrows-Wheeler transform of the text is kept as a wavelet tree in matrix form: one packed bit
 vector a level with counts every 64 bits. Suffixes are sorted to ``depth`` symbols, which is all that
 backward search of patterns of up to ``depth`` symbols needs; ``lcp`` keeps, to that depth, what
-neighbouring suffixes share, so that an interval can be widened to a shorter prefix.
+neighbouring suffixes share (a byte each), so that an interval can be widened to a shorter prefix. The suffix order
+itself is not kept: the least ``key`` of each full-depth interval stands for its places.
 """
 
 from __future__ import annotations
@@ -53,24 +54,30 @@ class WaveletTree:
 class FmIndex:
     """Symbols are 1 to n_symbols - 1; 0 separates documents and is never searched."""
 
-    def __init__(self, text: np.ndarray, n_symbols: int, depth: int):
+    def __init__(self, text: np.ndarray, n_symbols: int, depth: int, key: np.ndarray | None = None):
         if not len(text) or text[-1]:
             text = np.append(text, 0)  # the end is a separator, so no match runs over it
         n = len(text)
+        key = np.arange(n) if key is None else key
         self.n, self.depth = n, depth
-        self.order = np.argsort(_ranks(text, depth), kind="stable")
-        self.tree = WaveletTree(text[self.order - 1], n_symbols)
+        order = np.argsort(_ranks(text, depth), kind="stable")
+        self.tree = WaveletTree(text[order - 1], n_symbols)
         self.below = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=n_symbols))])
         same = np.ones(max(0, n - 1), bool)
         shared = np.zeros(n, np.uint8)
         padded = np.concatenate([text, np.zeros(depth, text.dtype)])
         for d in range(depth):
-            at = self.order + d
+            at = order + d
             here = padded[at]
             same &= (here[1:] == here[:-1]) & (here[1:] != 0)
             shared[1:] += same
         self.lcp = shared
         self._edges: dict[int, np.ndarray] = {}
+        self._least = np.minimum.reduceat(key[order], self.edges(depth))
+
+    def least(self, lo: np.ndarray) -> np.ndarray:
+        """The least key of the places of full-depth intervals, by their starts."""
+        return self._least[np.searchsorted(self.edges(self.depth), lo, "right") - 1]
 
     def edges(self, length: int) -> np.ndarray:
         """Where suffixes begin that differ from the one before within ``length`` symbols."""

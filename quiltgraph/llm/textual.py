@@ -6,6 +6,7 @@ and carriage return. Hashes are fixed functions of the bytes, alike in every pro
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -14,10 +15,10 @@ import pyarrow as pa
 U = np.uint64
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_BYTE = np.random.Generator(np.random.PCG64(20240229)).integers(0, 2**64, 256, dtype=np.uint64)
 _R = 0x9E3779B97F4A7C15
-_R_INV = pow(_R, -1, 2**64)
-_power = [np.ones(1, U), np.ones(1, U)]
+#: Bytes of a word that are hashed in blocks of eight; longer words take a digest.
+_BLOCKS = 32
+_MASK = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -27,15 +28,6 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U(31))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_power[0]) < n:
-        for k, base in enumerate((_R, _R_INV)):
-            x = np.full(n, base, U)
-            x[0] = 1
-            _power[k] = np.multiply.accumulate(x)
-    return _power[0], _power[1]
-
-
 @dataclass
 class Words:
     data: np.ndarray  # bytes of all texts
@@ -81,13 +73,39 @@ def words(column: pa.Array) -> Words:
 
 
 def word_hashes(w: Words) -> np.ndarray:
-    """A 64-bit hash of each word's bytes: a polynomial over bytes, shifted to the word's start, then mixed with its length."""
+    """A 64-bit hash of each word's bytes: blocks of eight bytes, mixed one after the other; a BLAKE2b digest of long words."""
     if not len(w.start):
         return np.zeros(0, U)
-    up, down = _powers(len(w.data) + 1)
-    sums = np.zeros(len(w.data) + 1, U)
-    np.cumsum(_BYTE[w.data] * up[: len(w.data)], out=sums[1:])
-    return mix((sums[w.end] - sums[w.start]) * down[w.start] + (w.end - w.start).astype(U) * U(0xD6E8FEB86659FD93))
+    size = w.end - w.start
+    padded = np.concatenate([w.data, np.zeros(8, np.uint8)])
+    block = np.ndarray((len(w.data) + 1,), "<u8", padded, strides=(1,))
+    h = mix(size.astype(U) * U(0xD6E8FEB86659FD93) + U(_R))
+    live = np.flatnonzero(size <= _BLOCKS)
+    for k in range(0, _BLOCKS, 8):
+        live = live[size[live] > k]
+        if not len(live):
+            break
+        h[live] = mix(h[live] * U(_R) ^ (block[w.start[live] + k] & _MASK[np.minimum(size[live] - k, 8)]))
+    for i in np.flatnonzero(size > _BLOCKS).tolist():
+        h[i] = U(int.from_bytes(hashlib.blake2b(w.data[w.start[i] : w.end[i]].tobytes(), digest_size=8).digest(), "little"))
+    return h
+
+
+def single_spaced(w: Words) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """All words in a row, one blank after each, and where each begins and ends there."""
+    size = w.end - w.start
+    start = np.cumsum(size + 1) - size - 1
+    end = start + size
+    out = np.full(int(end[-1]) + 1 if len(end) else 0, 0x20, np.uint8)
+    mine = np.ones(len(out), bool)
+    mine[end] = False
+    out[mine] = w.data[~_SPACE[w.data]]
+    return out.tobytes(), start, end
+
+
+def digest(part: bytes) -> bytes:
+    """128 bits that stand for a run of words: without a key, but collision-resistant."""
+    return hashlib.blake2b(part, digest_size=16).digest()
 
 
 def _join(a: np.ndarray, b: np.ndarray) -> np.ndarray:
