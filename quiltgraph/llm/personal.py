@@ -16,6 +16,8 @@ Loopy sum-product passes run over all tokens of a batch at once; a run of neighb
 one kind reaches CERTAIN, and which touches no base span, becomes a span. So a number or name that
 stands elsewhere in the document as personal data is found again in another form. Every document that has such tokens
 is inferred, with or without base spans and links, and its spans do not depend on the other documents of its batch.
+Tokens are taken whole, however long, and all tokens of a text take part, in fitting too: what is fitted on are counts of
+feature sets, made where the texts are.
 
 Null and empty texts have no spans. Repeated rows are judged each for itself. An empty table gives no rows;
 columns besides doc_id and text are ignored.
@@ -25,6 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,10 +51,10 @@ LEAK, CERTAIN, PASSES = 0.02, 0.9, 6
 SHAPE = 4.0  # the most that a shape says for or against a kind
 SAME = 10.0  # log potential of equal labels across a skip link
 OBSERVED = 20.0
-TOKEN = 80  # code points of a token that are looked at, on either side of its digits or at sign
 
 _NOT_DIGIT = re.compile(r"[^0-9]+")
-_SEED = re.compile(r"[0-9@]+")
+_SEED = re.compile(r"[0-9@]")
+_BLANK = re.compile(r"\s")
 _EDGE = "()[]{}<>\"',;:!?.|*_"
 
 
@@ -109,21 +112,17 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def tokens(text: str) -> list[tuple[int, int]]:
-    """Blank-separated tokens that hold a digit or an at sign (of very long ones, TOKEN code points around it)."""
+    """Blank-separated tokens that hold a digit or an at sign. No code point is looked at more than twice."""
     out, free = [], 0
-    for m in _SEED.finditer(text):
-        if m.start() < free:
-            continue
+    m = _SEED.search(text)
+    while m:
         s = m.start()
-        low = max(free, s - TOKEN)
-        while s > low and not text[s - 1].isspace():
+        while s > free and not text[s - 1].isspace():
             s -= 1
-        e = m.start() + 1
-        high = min(len(text), e + TOKEN)
-        while e < high and not text[e].isspace():
-            e += 1
-        out.append((s, e))
-        free = e
+        end = _BLANK.search(text, m.end())
+        free = end.start() if end else len(text)
+        out.append((s, free))
+        m = _SEED.search(text, free)
     return out
 
 
@@ -270,54 +269,68 @@ def loopy(unary: np.ndarray, a: np.ndarray, b: np.ndarray, potential: np.ndarray
     return np.exp(belief - _log_sum(belief, 1)[:, None])
 
 
-def fit(texts: list[str], steps: int = 150) -> Field:
-    """Piecewise training: unary weights by multinomial logistic regression, chain potentials from counts."""
-    rows, labels, follows = [], [], np.full((5, 5), 0.5)
-    for text in texts:
-        own = tokens(text)
-        f, keys = features(text, own)
-        y = label_of(own, base_spans(text))
-        known = {k for k, v in zip(keys, y, strict=True) if v and k}
-        for x, v, k in zip(f, y, keys, strict=True):
-            if v or k not in known:  # another form of a known span is neither for nor against
-                rows.append(x)
-                labels.append(v)
-        for i in range(1, len(own)):
-            if text[own[i - 1][1] : own[i][0]].isspace():
-                follows[y[i - 1], y[i]] += 1
+def evidence(text: str) -> tuple[list[tuple[tuple[int, ...], int]], list[tuple[int, int]]]:
+    """What a text teaches: (features, label) of its tokens, and the labels of neighbouring tokens."""
+    own = tokens(text)
+    f, keys = features(text, own)
+    y = label_of(own, base_spans(text))
+    known = {k for k, v in zip(keys, y, strict=True) if v and k}
+    # another form of a known span is neither for nor against
+    seen = [(tuple(x), v) for x, v, k in zip(f, y, keys, strict=True) if v or k not in known]
+    return seen, [(y[i - 1], y[i]) for i in range(1, len(own)) if text[own[i - 1][1] : own[i][0]].isspace()]
+
+
+def fitted(seen: dict[tuple[tuple[int, ...], int], int], follows: dict[tuple[int, int], int], steps: int = 150) -> Field:
+    """Piecewise training from counts: unary weights by multinomial logistic regression, chain potentials from pairs."""
     weights = np.zeros((FEATURES, 5))
-    if rows:
-        x = np.zeros((len(rows), FEATURES))
-        for i, r in enumerate(rows):
-            x[i, r] = 1
-        y = np.eye(5)[labels]
+    if seen:
+        rows = sorted(seen)  # one order, so that sums do not hang on where the counts were made
+        x, y, n = np.zeros((len(rows), FEATURES)), np.zeros((len(rows), 5)), np.array([seen[r] for r in rows], float)
+        for i, (f, label) in enumerate(rows):
+            x[i, list(f)] = 1
+            y[i, label] = 1
+        n = (n / n.sum())[:, None]
         for _ in range(steps):
             p = np.exp((z := x @ weights) - _log_sum(z, 1)[:, None])
-            weights += 2.0 * (x.T @ (y - p) / len(x) - 1e-4 * weights)
-    p = follows / follows.sum()
+            weights += 2.0 * (x.T @ (n * (y - p)) - 1e-4 * weights)
+    pairs = np.full((5, 5), 0.5)
+    for (a, b), k in follows.items():
+        pairs[a, b] += k
+    p = pairs / pairs.sum()
     return Field(weights, np.log(p / (p.sum(1, keepdims=True) * p.sum(0, keepdims=True))).clip(-3, 3))
 
 
+def fit(texts: list[str]) -> Field:
+    """A field from texts at hand."""
+    seen, follows = Counter(), Counter()
+    for text in texts:
+        own, pairs = evidence(text)
+        seen.update(own)
+        follows.update(pairs)
+    return fitted(seen, follows)
+
+
 def train(docs: DataFrame, rows: int) -> Field:
-    """Fit on about FIT_ROWS texts that hold digits (all, in a smaller table): feature rows are made where the texts are."""
+    """Fit on about FIT_ROWS whole texts (all, in a smaller table). Only counts leave the tasks: one row a feature set and label
+    (a feature set is one of 8 x 5 x 3 x 2**7 x 3 x 3 x 7), whatever the texts hold."""
     rate = min(1.0, FIT_ROWS / max(1, rows))
     pick = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), F.lit(1 << 30)) < F.lit(int(rate * (1 << 30)))
     sample = small_batches(docs).where(pick & F.col("text").isNotNull()).select("text")
 
-    def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches):  # only what stands around the tokens travels: a bounded excerpt of a bounded sample
-            out = []
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            seen = Counter()
             for text in b.column("text").to_pylist():
-                own = tokens(text)[:200]
-                parts, end = [], 0
-                for s, e in own:
-                    parts.append(text[max(end, s - 4) : min(len(text), e + 4)])
-                    end = min(len(text), e + 4)
-                if own:
-                    out.append("".join(parts))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["text"])
-
-    return fit(sorted(r["text"] for r in sample.mapInArrow(around, "text string").collect()))
+                own, pairs = evidence(text)
+                seen.update(own)
+                seen.update((None, p) for p in pairs)
+            keys = [(f, label, None) if f is not None else (None, label[0], label[1]) for f, label in seen]
+            kinds = (pa.list_(pa.int32()), pa.int32(), pa.int32())
+            cols = zip(*keys, strict=True) if keys else ((), (), ())
+            yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(cols, kinds, strict=True)), pa.array(list(seen.values()), pa.int64())], ["f", "label", "next", "n"])
+
+    counts = sample.mapInArrow(count, "f array<int>, label int, next int, n long").groupBy("f", "label", "next").agg(F.sum("n").alias("n")).collect()
+    return fitted({(tuple(r["f"]), r["label"]): r["n"] for r in counts if r["f"] is not None}, {(r["label"], r["next"]): r["n"] for r in counts if r["f"] is None})
 
 
 def spell(spans: list[tuple[int, int, int]]) -> str:

@@ -1,4 +1,5 @@
 import hashlib
+import itertools
 import random
 import re
 
@@ -62,6 +63,68 @@ def test_spans_are_the_same_alone_and_in_a_batch():
     assert alone[1] and alone[2]  # without a link, and without a base span
 
 
+def enumerated(field, text):
+    """Posteriors of all tokens by summing over every labelling: the field written once more, from its definition."""
+    own = P.tokens(text)
+    rows, keys = P.features(text, own)
+    label = P.label_of(own, P.base_spans(text))
+    unary = np.array([[field.unary[r, k].sum() for k in range(5)] for r in rows])
+    unary = np.clip(unary - unary[:, :1], -P.SHAPE, P.SHAPE)
+    unary[:, 1:] += np.log(P.LEAK)
+    for i, k in enumerate(label):
+        if k:
+            unary[i] = -P.OBSERVED
+            unary[i, k] = 0
+    links = [(i - 1, i, field.chain) for i in range(1, len(own)) if text[own[i - 1][1] : own[i][0]].isspace()]
+    for key in set(keys) - {""}:
+        same = [i for i, k in enumerate(keys) if k == key]
+        links += [(a, b, P.SAME * np.eye(5)) for a, b in zip(same, same[1:])]
+    out = np.zeros((len(own), 5))
+    for y in itertools.product(range(5), repeat=len(own)):
+        p = np.exp(sum(unary[i, k] for i, k in enumerate(y)) + sum(f[y[a], y[b]] for a, b, f in links))
+        for i, k in enumerate(y):
+            out[i, k] += p
+    return out / out.sum(1, keepdims=True), label
+
+
+def test_added_spans_equal_enumeration_of_the_field():
+    field = P.fit(TEXTS)
+    rng = random.Random(3)
+    parts = ["988-555-2485", "+1 (988) 555-2485", "anna.27@", "anna.27@mail.example.com", "1234567", "word", "x,", "10.20.30.40", "(988)", "4111 1111"]
+    added = 0
+    for _ in range(60):
+        text = " ".join(rng.choice(parts) for _ in range(rng.randrange(1, 6)))
+        if not 0 < len(P.tokens(text)) <= 6:
+            continue
+        base = P.base_spans(text)
+        got = field.added([text], [base])[0]
+        p, label = enumerated(field, text)
+        sure = [(int(q.argmax()) - 1, *P.trimmed(text, *s)) for q, s, k in zip(p, P.tokens(text), label) if not k and q.argmax() and q.max() >= P.CERTAIN]
+        sure = [x for x in sure if x[1] < x[2] and not any(a < x[2] and x[1] < b for _, a, b in base)]
+        covered = {(k, i) for k, s, e in got for i in range(s, e) if not text[i].isspace()}
+        assert {(k, i) for k, s, e in sure for i in range(s, e)} <= covered | {(k, i) for k, s, e in sure for i in range(s, e) if text[i] in P._EDGE}
+        assert {(k, s) for k, s, _ in got} <= {(k, s) for k, s, _ in sure}
+        added += len(got)
+    assert added > 5
+
+
+def test_tokens_are_whole_and_late_ones_count():
+    long = "a" * 500 + "7" + "b" * 500
+    assert P.tokens(f"x {long}\u2003y 1") == [(2, 1003), (1006, 1007)]
+    text = " ".join(f"n{i}" for i in range(400)) + " call +1 (988) 555-2485"
+    seen, _ = P.evidence(text)
+    assert len(seen) == 403 and sum(v == 4 for _, v in seen) == 3
+
+
+def test_spans_do_not_depend_on_partitions(spark):
+    rows = [(i, t) for i, t in enumerate(TEXTS[:9] + ["4111 1111 1111 1112 a@b.cd 10.20.30.40 988-555-2485"] * 3)]
+    docs = frame(spark, rows)
+    field, other = P.train(docs.coalesce(1), len(rows)), P.train(docs.repartition(7), len(rows))
+    assert np.array_equal(field.unary, other.unary) and np.array_equal(field.chain, other.chain)
+    one = {r["doc_id"]: r["spans"] for r in P.find(docs.coalesce(1), field).collect()}
+    assert one == {r["doc_id"]: r["spans"] for r in P.find(docs.repartition(12), field).collect()}
+
+
 def test_loopy_is_exact_on_a_chain():
     rng = np.random.default_rng(1)
     unary, pot = rng.normal(size=(3, 5)), rng.normal(size=(2, 5, 5))
