@@ -3,8 +3,8 @@
 A task reads its documents in windows of a bounded number of tokens. Each window is packed
 by best fit decreasing: a segment tree over the remaining capacities finds the smallest
 one that still holds a piece in a logarithmic number of steps. Sequences that are not nearly
-full go back into the next window, so only the last window of a task leaves gaps. Nothing
-is shuffled.
+full go back into the next window, the emptiest first and at most half a window of tokens of them, so what a task holds
+and packs again is bounded whatever the sizes; the rest is written as it is. Nothing is shuffled.
 
 One row a sequence: ids (little-endian, ``width`` bytes each, padded to the sequence length with
 ``pad_id``), n_tokens, cu_seqlens (cumulative segment lengths from 0), positions (as ids,
@@ -18,7 +18,7 @@ empty table gives no rows; columns besides doc_id and text are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -85,8 +85,8 @@ def best_fit_decreasing(sizes: list[int], length: int) -> list[list[int]]:
     return out
 
 
-def packed_rows(docs: DataFrame, tokenizer: str | None = None, length: int = LENGTH, end_id: int = END_ID, pad_id: int = PAD_ID, width: int = WIDTH, window: int = WINDOW_TOKENS) -> DataFrame:
-    path = tokenizer or vocabulary_path()
+def packer(path: str, length: int = LENGTH, end_id: int = END_ID, pad_id: int = PAD_ID, width: int = WIDTH, window: int = WINDOW_TOKENS) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What a task does: batches of doc_id and text in, batches of ROWS out."""
     dtype = np.dtype(f"<u{width}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,12 +96,12 @@ def packed_rows(docs: DataFrame, tokenizer: str | None = None, length: int = LEN
 
         def emit(last: bool) -> Iterator[pa.RecordBatch]:
             nonlocal open_, have, made
-            rows, rest = [], []
-            for seq in best_fit_decreasing([len(x[3]) for x in open_], length):
-                parts = [open_[i] for i in seq]
-                n = sum(len(x[3]) for x in parts)
-                if not last and n < FULL * length:
+            rows, rest, back = [], [], 0
+            packed = [[open_[i] for i in seq] for seq in best_fit_decreasing([len(x[3]) for x in open_], length)]
+            for n, parts in sorted(((sum(len(x[3]) for x in parts), parts) for parts in packed), key=lambda x: x[0]):
+                if not last and n < FULL * length and back + n <= window // 2:
                     rest += parts
+                    back += n
                     continue
                 ids, pos = np.full(length, pad_id, dtype), np.zeros(length, dtype)
                 ids[:n] = np.concatenate([x[3] for x in parts])
@@ -114,7 +114,7 @@ def packed_rows(docs: DataFrame, tokenizer: str | None = None, length: int = LEN
                     rows = []
             if rows:
                 yield as_batch(rows)
-            open_, have = rest, sum(len(x[3]) for x in rest)
+            open_, have = rest, back
 
         for b in slices(batches):
             ids, at = with_end(*encode([t or "" for t in b.column("text").to_pylist()]), end_id)
@@ -133,6 +133,12 @@ def packed_rows(docs: DataFrame, tokenizer: str | None = None, length: int = LEN
         names = [x.split(" ")[0] for x in ROWS.split(", ")]
         return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
+    return run
+
+
+def packed_rows(docs: DataFrame, tokenizer: str | None = None, **options) -> DataFrame:
+    """One row a sequence (ROWS); options are those of :func:`packer`."""
+    run = packer(tokenizer or vocabulary_path(), **options)
     return small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ROWS)
 
 

@@ -29,7 +29,7 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return packing.pack(packing.pieces_of(docs), docs.count())
+    return packing.pack(packing.pieces_of(docs), docs.count(), **packing.FEWEST)
 
 
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

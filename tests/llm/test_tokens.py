@@ -1,8 +1,10 @@
 import random
+import time
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from helpers import frame, odd_rows, prose
 from tokenizers import Tokenizer
 
@@ -38,7 +40,7 @@ def packing_rows():
 
 def test_packing_contract(spark):
     rows = packing_rows()
-    got = packing.pack(packing.pieces_of(frame(spark, rows, ["piece", "length"])), len(rows)).collect()
+    got = packing.pack(packing.pieces_of(frame(spark, rows, ["piece", "length"])), len(rows), **packing.FEWEST).collect()
     need = sorted((d is None, d or 0, k, 4096 * k, len(ids[4096 * k : 4096 * k + 4096]), zlib.crc32(np.array(ids[4096 * k : 4096 * k + 4096], "<u4").tobytes())) for d, ids in want(rows, 1) for k in range(-(-len(ids) // 4096)))
     assert sorted((r[0] is None, r[0] or 0, *r[1:5]) for r in got) == need
     bins = defaultdict(list)
@@ -57,7 +59,7 @@ def test_every_capacity_holds():
     rng = random.Random(0)
     sizes = [rng.randrange(1, 60) for _ in range(400)]
     for rule in ("norm", "dot"):
-        where, offset = packing.best_fit(sizes, (100, 4, 5000), (1, 0.1, 0.1), rule)
+        where, offset = packing.best_fit(sizes, (100, 4, 5000), (1, 0.1, 0.1), rule, 1)
         by = defaultdict(list)
         for s, n, o in zip(sizes, where, offset):
             by[n].append((o, s))
@@ -67,10 +69,79 @@ def test_every_capacity_holds():
 
 
 def test_norm_choice_is_the_best_of_all_open_sequences():
-    where, _ = packing.best_fit([90, 80, 70, 20, 10, 10], (100, 10, 10**6), (1, 0, 0))
+    where, _ = packing.best_fit([90, 80, 70, 20, 10, 10], (100, 10, 10**6), (1, 0, 0), "norm", 1)
     assert where == [0, 1, 2, 1, 0, 2]
 
 
+def scan(sizes, capacity, weights, rule, tile):
+    """The same choice by looking at every open sequence."""
+    (T, D, A), (wt, wd, wa) = capacity, weights
+    open_, where = [], [0] * len(sizes)
+    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
+        n, a = sizes[i], packing.attention(sizes[i], tile)
+        fit = [(wt * ((r - n) / T) ** 2 + (wd * ((d - 1) / D) ** 2 + wa * ((c - a) / A) ** 2) if rule == "norm" else -wt * n * r / T / T - (wd * d / D / D + wa * a * c / A / A), b) for b, (r, d, c) in enumerate(open_) if r >= n and d and c >= a]
+        where[i] = min(fit)[1] if fit else len(open_)
+        if not fit:
+            open_.append((T, D, A))
+        r, d, c = open_[where[i]]
+        open_[where[i]] = (r - n, d - 1, c - a)
+    return where, open_
+
+
+def test_choice_equals_a_scan_of_all_sequences():
+    rng = random.Random(5)
+    for case in range(40):
+        sizes = [rng.randrange(1, rng.choice((6, 60))) for _ in range(120)]
+        rule, tile = ("norm", "dot")[case % 2], (1, 8)[case // 2 % 2]
+        cap, weights = (100, rng.choice((5, 100)), 12000), (1, rng.random(), rng.random())
+        where, _ = packing.best_fit(sizes, cap, weights, rule, tile)
+        want, open_ = scan(sizes, cap, weights, rule, tile)
+        used = lambda w: sorted(sorted(sizes[i] for i in range(len(sizes)) if w[i] == b) for b in set(w))
+        assert used(where) == used(want)
+
+
+def test_the_vector_lowers_the_count_where_capacities_bind():
+    rng = random.Random(1)
+    sizes = [rng.choice([rng.randrange(1, 30)] * 6 + [rng.randrange(1000, 3000)]) for _ in range(20000)]
+    vector, tokens = (max(packing.best_fit(sizes, packing.CAPACITY, w, r)[0]) for w, r in ((packing.WEIGHTS, packing.RULE), ((1, 0, 0), "norm")))
+    assert vector < tokens
+
+
+def test_ties_are_one_lookup():
+    began = time.time()
+    for rule in ({}, packing.FEWEST):
+        where, _ = packing.best_fit([3000] * 50_000 + [500] * 50_000, **rule)
+        assert max(where) + 1 == 50_000
+    assert time.time() - began < 20
+
+
+def test_equal_rows_are_dealt_to_many_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP_ROWS", 500)
+    docs = spark.range(4000).selectExpr("CAST(NULL AS LONG) AS doc_id", "'' AS text")
+    got = packing.pack(packing.pieces_of(docs), 4000, **packing.FEWEST)
+    n = got.selectExpr("shiftright(sequence_id, 40) AS g", "ids_crc32").groupBy("g").count().collect()
+    assert len(n) == 8 and max(r["count"] for r in n) < 700 and sum(r["count"] for r in n) == 4000
+    empty = frame(spark, [])
+    assert packing.pack(packing.pieces_of(empty), 0).count() == 0
+
+
+def test_what_is_carried_is_bounded(spark):
+    text = " ".join("ab" for _ in range(30))
+    docs = spark.range(900).selectExpr("id AS doc_id", f"'{text}' AS text").coalesce(1)
+    size = len(plain().encode(text, add_special_tokens=False).ids) + 1
+    packed = output.packed_rows(docs, length=size + size // 3, window=50 * size).collect()
+    assert len(packed) == 900 and all(r["n_tokens"] == size for r in packed)
+    held = []
+    fit = output.best_fit_decreasing
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(k, k + 50)), pa.array([text] * 50)], ["doc_id", "text"]) for k in range(0, 900, 50)]
+    try:
+        output.best_fit_decreasing = lambda sizes, n: held.append(sum(sizes)) or fit(sizes, n)
+        assert sum(b.num_rows for b in output.packer(vocabulary_path(), length=size + size // 3, window=50 * size)(iter(batches))) == 900
+    finally:
+        output.best_fit_decreasing = fit
+    assert max(held) <= 1.5 * 50 * size + size
+
+
 def test_capacity_tree_is_best_fit():
     rng = random.Random(1)
     sizes = [rng.randrange(1, 101) for _ in range(500)]
