@@ -1,14 +1,18 @@
 """Approximate nearest neighbours by learned partitions (operator 8).
 
-Fit, on a sample of about SAMPLE usable vectors (by the hash of vec_id; all of them where there are fewer): the
+Fit, on a sample of usable vectors (by the hash of vec_id; all of them where there are fewer): the
 sample's nearest-neighbour graph is cut into balanced parts by recursive spectral bisection with pairwise
 refinement; a small classifier (one hidden layer) learns which parts hold the neighbours of a vector.
+There is a part for about PART_ROWS vectors, and the sample holds PER_PART vectors a part, so both grow with the table, up to
+MOST_SAMPLE vectors; from there on (4 million vectors) parts grow instead, and recall stays what it is.
 Index: every vector goes to its most probable part. Search: a query goes to its most probable parts, as many as
-reached RECALL on queries of the sample (all of them, if need be), or more until they hold enough vectors,
-and every vector there is compared with it in double precision.
+reached RECALL on a share of the sample that was held out of the fit (all of them, if need be), or more until they hold
+enough vectors, and every vector there is compared with it in double precision, centred on the block at hand, so that
+vectors far from the origin are told apart as well as those near it. With one part the search is exact.
 
-Parts are dealt out in blocks of about BLOCK vectors and QUERIES queries, so that neither a large part nor
-a large query set meets in one task; each block gives its nearest k, which are merged for each query.
+Parts are dealt out in blocks of bounded size, and the queries that reach a part in groups of bounded size; both follow from
+counts. A vector is copied only where more than one group of queries reaches its part. Each block gives its nearest
+k, which are merged for each query.
 
 Vectors that are null, zero, hold null or non-finite components, are of another length than most (ties: the
 shorter), or have no vec_id take no part. A vec_id that repeats counts once, at its least distance; as a query it
@@ -21,16 +25,20 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quiltgraph.llm.common import buckets_for, stored
+from quiltgraph.llm.common import stored
 
-SAMPLE, GRAPH, HIDDEN, RECALL = 4096, 10, 64, 0.96
-PART_ROWS, MOST_PARTS = 4_000, 32
-BLOCK, QUERIES, NEAREST = 16_000, 2_000, 10
+GRAPH, HIDDEN, RECALL, NEAREST = 10, 64, 0.96, 10
+PART_ROWS, PER_PART = 4_000, 64
+#: Vectors of the sample, at least (where there are as many) and at most.
+SAMPLE, MOST_SAMPLE = 4_096, 65_536
+#: Every so many-th vector of the sample is held out of the fit, as a query.
+HELD_OUT = 8
+#: Bytes of a block of vectors, and of a group of queries, that a task compares.
+BLOCK_BYTES, QUERY_BYTES = 16 << 20, 32 << 20
 
 
 def usable(e: Column) -> Column:
@@ -40,15 +48,17 @@ def usable(e: Column) -> Column:
 
 
 def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Squared distances by the binomial formula: for choosing candidates only."""
-    return np.maximum((a * a).sum(1)[:, None] - 2 * a @ b.T + (b * b).sum(1)[None], 0)
+    """Squared distances by the binomial formula, for choosing candidates only: off by a few roundings of the squared norms."""
+    return (a * a).sum(1)[:, None] - 2 * a @ b.T + (b * b).sum(1)[None]
 
 
-def nearest_graph(x: np.ndarray, k: int) -> np.ndarray:
-    out = np.zeros((len(x), k), np.int64)
-    for s in range(0, len(x), 512):
-        d = distances(x[s : s + 512], x)
-        d[np.arange(len(d)), np.arange(s, s + len(d))] = np.inf
+def nearest(q: np.ndarray, x: np.ndarray, k: int, same: bool) -> np.ndarray:
+    """The k nearest rows of x to each row of q; ``same``: q is x, and a row is not its own neighbour."""
+    out = np.zeros((len(q), k), np.int64)
+    for s in range(0, len(q), 512):
+        d = distances(q[s : s + 512], x)
+        if same:
+            d[np.arange(len(d)), np.arange(s, s + len(d))] = np.inf
         out[s : s + 512] = np.argpartition(d, k - 1, axis=1)[:, :k]
     return out
 
@@ -101,25 +111,34 @@ class Router:
     def __init__(self, x: np.ndarray, parts: int, seed: int = 7):
         rng = np.random.default_rng(seed)
         self.parts, self.probes = parts, parts
-        self.shift, self.scale = x.mean(0), 1 / max(x.std(), 1e-12)
+        self.shift = x.mean(0)
+        self.scale = 1 / max((x - self.shift).std(), 1e-300)
         d = x.shape[1]
         self.w = [rng.normal(size=(d, HIDDEN)) / np.sqrt(d), np.zeros(HIDDEN), rng.normal(size=(HIDDEN, parts)) / np.sqrt(HIDDEN), np.zeros(parts)]
-        if parts == 1 or len(x) <= 2 * GRAPH:
+        if parts == 1 or len(x) <= 2 * GRAPH * HELD_OUT:
             return
-        graph = nearest_graph(x, GRAPH)
+        out = np.arange(len(x)) % HELD_OUT == 0
+        x, asks = x[~out], x[out]
+        graph = nearest(x - self.shift, x - self.shift, GRAPH, True)
         part = balanced_parts(graph, parts, rng)
-        goal = np.zeros((len(x), parts))
+        goal = np.zeros((len(x), parts), np.float32)
         goal[np.arange(len(x)), part] += 1
         for k in range(GRAPH):
             np.add.at(goal, (np.arange(len(x)), part[graph[:, k]]), 1)
         self._train(x, goal / goal.sum(1, keepdims=True), rng)
-        p = self(x)
-        at = p.argmax(1)
-        rank = np.argsort(np.argsort(-p, axis=1, kind="stable"), axis=1)
-        ask = np.arange(0, len(x), 4)
-        needed = np.sort(rank[ask[:, None], at[graph[ask]]].ravel())
+        at = self.best(x)
+        near = nearest(asks - self.shift, x - self.shift, GRAPH, False)
+        needed = []
+        for s in range(0, len(asks), 1024):
+            rank = np.argsort(np.argsort(-self(asks[s : s + 1024]), axis=1, kind="stable"), axis=1)
+            needed.append(np.take_along_axis(rank, at[near[s : s + 1024]], 1).ravel())
+        needed = np.sort(np.concatenate(needed))
         self.probes = int(needed[min(len(needed) - 1, int(np.ceil(RECALL * len(needed))))]) + 1
 
+    def best(self, x: np.ndarray) -> np.ndarray:
+        """The most probable part of each vector."""
+        return np.concatenate([self(x[s : s + 2048]).argmax(1) for s in range(0, len(x), 2048)]) if len(x) else np.zeros(0, np.int64)
+
     def __call__(self, x: np.ndarray) -> np.ndarray:
         h = np.maximum(((x - self.shift) * self.scale) @ self.w[0] + self.w[1], 0)
         z = h @ self.w[2] + self.w[3]
@@ -147,89 +166,134 @@ def matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
+def exact(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Distances of rows of x from q; components are added in order, as SQL does."""
+    d = x - q
+    out = np.sqrt(np.cumsum(d * d, axis=1)[:, -1])
+    far = np.flatnonzero(~np.isfinite(out))
+    if len(far):  # squares beyond the range of a double
+        m = np.abs(d[far]).max(axis=1)
+        out[far] = m * np.sqrt(((d[far] / m[:, None]) ** 2).sum(axis=1))
+    return out
+
+
 def top(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """query, vec_id, score of the k nearest of each query; scores are exact."""
+    """query, vec_id, score of the k nearest of each query; scores are exact.
+
+    A candidate is whatever the error of the binomial formula cannot rule out: its least possible distance is not above the
+    k-th of the greatest possible ones.
+    """
     out = []
+    shift = x.mean(0)
+    xs, qs = x - shift, q - shift
+    x2, q2 = (xs * xs).sum(1), (qs * qs).sum(1)
+    extra = len(ids) - len(np.unique(ids))  # repeated ids take places
+    reach = k + extra
     for s in range(0, len(q), 256):
-        rough = distances(q[s : s + 256], x)
-        rough[query_ids[s : s + 256, None] == ids[None]] = np.inf
-        for i, row in enumerate(rough):
-            n = int(np.isfinite(row).sum())
-            if not n:
+        rough = distances(qs[s : s + 256], xs)
+        error = 4 * np.finfo(float).eps * (x.shape[1] + 8) * (q2[s : s + 256, None] + x2[None])
+        low, high = rough - error, rough + error
+        other = query_ids[s : s + 256, None] != ids[None]
+        low[~np.isfinite(low)] = -np.inf
+        high[~np.isfinite(high) | ~other] = np.inf
+        bounds = np.partition(high, reach - 1, axis=1)[:, reach - 1] if len(ids) > reach else np.full(len(high), np.inf)
+        for i in range(len(rough)):
+            near = np.flatnonzero(other[i] & (low[i] <= bounds[i]))
+            if not len(near):
                 continue
-            bound = np.partition(row, min(k, n) - 1)[min(k, n) - 1]
-            near = np.flatnonzero(row <= bound + 1e-7 * (1 + bound))  # what rounding may have put behind counts too
-            near = near[np.isfinite(row[near])]
-            score = np.sqrt(((x[near] - q[s + i]) ** 2).sum(1))
-            order = np.lexsort((ids[near], score))
-            _, first = np.unique(ids[near][order], return_index=True)
-            if len(first) < min(k, n) and len(near) < n:  # repeated ids took places: look at all
-                near = np.flatnonzero(np.isfinite(row))
-                score = np.sqrt(((x[near] - q[s + i]) ** 2).sum(1))
-                order = np.lexsort((ids[near], score))
-                _, first = np.unique(ids[near][order], return_index=True)
-            pick = order[np.sort(first)[:k]]
+            score = exact(x[near], q[s + i])
+            by = np.lexsort((ids[near], score))
+            if extra:
+                _, first = np.unique(ids[near][by], return_index=True)
+                by = by[np.sort(first)]
+            pick = by[:k]
             out.append((np.full(len(pick), query_ids[s + i]), ids[near][pick], score[pick]))
     if not out:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-def search(table: DataFrame, is_query: Column, rows: int, k: int = NEAREST) -> DataFrame:
+def parts_for(rows: int) -> int:
+    """A power of two that grows with the table as far as the sample does."""
+    parts = 1
+    while parts * PART_ROWS < rows and 2 * parts * PER_PART <= MOST_SAMPLE:
+        parts *= 2
+    return parts
+
+
+def search(table: DataFrame, is_query: Column, k: int = NEAREST) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest rows of each query among all rows but its own."""
     e = F.col("embedding").cast("array<double>")
     found = table.select(F.col("vec_id").cast("long").alias("vec_id"), e.alias("x"), is_query.alias("asks")).where(F.col("vec_id").isNotNull() & usable(F.col("x")))
     most = found.groupBy(F.size("x").alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "size").first()
-    size, n_usable = (most["size"], most["n"]) if most else (0, 0)
-    rate = min(1.0, SAMPLE / max(1, n_usable))
+    size, n = (most["size"], most["n"]) if most else (0, 0)
+    parts = parts_for(n)
+    rate = min(1.0, max(SAMPLE, PER_PART * parts) / max(1, n))
     pick = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < F.lit(int(rate * (1 << 30)))
-    sample = sorted((r["vec_id"], tuple(r["x"])) for r in found.where(pick & (F.size("x") == size)).select("vec_id", "x").collect())
-    parts = 1
-    while parts < MOST_PARTS and parts * PART_ROWS < rows and parts * 64 < len(sample):
-        parts *= 2
+    sample = sorted((r["vec_id"], tuple(r["x"])) for r in found.where(pick & (F.size("x") == size)).select("vec_id", "x").collect()) if parts > 1 else []
     router = Router(np.array([x for _, x in sample]).reshape(-1, size) if sample else np.zeros((1, max(1, size))), parts)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                yield b.append_column("part", pa.array(router(matrix(b.column("x"))).argmax(1).astype(np.int32)))
+                yield b.append_column("part", pa.array(router.best(matrix(b.column("x"))).astype(np.int32)))
 
     rows_ = stored(found.where(F.size("x") == size).mapInArrow(assign, "vec_id long, x array<double>, asks boolean, part int"))
-    held = {r["part"]: r["n"] for r in rows_.groupBy("part").agg(F.count("*").alias("n")).collect()}
-    blocks = {p: buckets_for(n, BLOCK) for p, n in held.items()}
-    enough = 4 * k
+
+    def counts(df: DataFrame) -> np.ndarray:
+        out = np.zeros(parts, np.int64)
+        for r in df.groupBy("part").agg(F.count("*").alias("n")).collect():  # one row a part
+            out[r["part"]] = r["n"]
+        return out
+
+    held = counts(rows_)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight = np.array([held.get(p, 0) for p in range(parts)])
         for b in batches:
-            if not b.num_rows:
-                continue
-            order = np.argsort(-router(matrix(b.column("x"))), axis=1, kind="stable")
-            before = np.cumsum(weight[order], axis=1) - weight[order]
-            probes = (np.arange(parts)[None] < router.probes) | (before < enough)
-            q, j = np.nonzero(probes & (weight[order] > 0))
-            part = order[q, j]
-            n = np.array([blocks.get(p, 0) for p in range(parts)])[part]
-            take = np.repeat(q, n)
-            block = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            t = pa.array(take)
-            yield pa.RecordBatch.from_arrays([b.column("vec_id").take(t), b.column("x").take(t), pa.array(np.repeat(part, n).astype(np.int32)), pa.array(block.astype(np.int32)), b.column("group").take(t)], ["query_id", "q", "part", "block", "group"])
+            for s in range(0, b.num_rows, 2048):
+                some = b.slice(s, 2048)
+                order = np.argsort(-router(matrix(some.column("x"))), axis=1, kind="stable")
+                before = np.cumsum(held[order], axis=1) - held[order]
+                probes = (np.arange(parts)[None] < router.probes) | (before < 4 * k)
+                q, j = np.nonzero(probes & (held[order] > 0))
+                take = pa.array(q)
+                yield pa.RecordBatch.from_arrays([some.column("vec_id").take(take), some.column("x").take(take), pa.array(order[q, j].astype(np.int32))], ["query_id", "q", "part"])
 
     queries = rows_.where("asks").groupBy("vec_id").agg(F.min("x").alias("x"))
-    n_queries = max(1, sum(held.values()) // 100)
-    groups = buckets_for(n_queries, QUERIES)
-    asked = queries.withColumn("group", F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(groups)).cast("int")).mapInArrow(route, "query_id long, q array<double>, part int, block int, group int")
-    many = F.element_at(F.create_map(*(F.lit(v) for pair in blocks.items() for v in pair)), F.col("part")) if blocks else F.lit(1)
-    dealt = rows_.select("vec_id", "x", "part", F.pmod(F.xxhash64("vec_id", F.lit(2)), many).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
-
-    def compare(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": np.zeros(0, np.int64), "vec_id": np.zeros(0, np.int64), "score": np.zeros(0)})
-        q, v, s = top(left["query_id"].to_numpy(), np.stack(left["q"].to_numpy()), right["vec_id"].to_numpy(), np.stack(right["x"].to_numpy()), k)
-        return pd.DataFrame({"query_id": q, "vec_id": v, "score": s})
+    asked = stored(queries.mapInArrow(route, "query_id long, q array<double>, part int"))
+    blocks = -(-held // max(1, BLOCK_BYTES // (8 * max(1, size))))
+    groups = -(-counts(asked) // max(1, QUERY_BYTES // (8 * max(1, size))))
+
+    def deal(df: DataFrame, own: str, sizes: np.ndarray, other: str, copies: np.ndarray, kinds: str) -> DataFrame:
+        """Add the columns ``own`` (by the hash of the first column) and ``other`` (every number below the part's ``copies``)."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                part = b.column("part").to_numpy()
+                mine = b.column("hash").to_numpy() % np.maximum(sizes[part], 1)
+                many = copies[part]
+                take = np.repeat(np.arange(len(part)), many)
+                number = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+                kept = b.drop_columns(["hash"]).take(pa.array(take))
+                yield kept.append_column(own, pa.array(mine[take].astype(np.int32))).append_column(other, pa.array(number.astype(np.int32)))
+
+        first = df.columns[0]
+        return df.withColumn("hash", F.pmod(F.xxhash64(first, F.lit(2)), F.lit(1 << 40))).mapInArrow(run, f"{kinds}, part int, {own} int, {other} int")
+
+    left = deal(asked, "group", groups, "block", blocks, "query_id long, q array<double>")
+    right = deal(rows_.select("vec_id", "x", "part"), "block", blocks, "group", groups, "vec_id long, x array<double>")
+
+    def compare(a: pa.Table, b: pa.Table) -> pa.Table:
+        q, v, s = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        if len(a) and len(b):
+            a, b = a.combine_chunks(), b.combine_chunks()
+            q, v, s = top(a["query_id"].to_numpy(), matrix(a["q"].combine_chunks()), b["vec_id"].to_numpy(), matrix(b["x"].combine_chunks()), k)
+        return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(v, pa.int64()), "score": pa.array(s, pa.float64())})
 
     key = ["part", "block", "group"]
-    near = asked.groupBy(*key).cogroup(dealt.groupBy(*key)).applyInPandas(compare, "query_id long, vec_id long, score double")
+    near = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(compare, "query_id long, vec_id long, score double")
     near = near.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
     return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -44,7 +44,7 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
-    return neighbours.search(vectors, F.col("vec_id") % 100 == 0, vectors.count())
+    return neighbours.search(vectors, F.col("vec_id") % 100 == 0)
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
