@@ -12,7 +12,13 @@ Targets: the sources share ``share`` times all words by weight; none takes more
 (water filling, in closed form over the per-source totals).
 
 Null texts have size 0; a null source is a source of its own, last in order. Documents of
-size 0 take nothing. Rows that repeat are rows of their own. An empty table gives none.
+size 0 take nothing. Rows that repeat are rows of their own. An empty table gives none. Long texts are only counted (and cut, in
+:func:`mixed`). Columns besides those of documents are ignored; those may have any name, as working columns begin with
+two underscores.
+
+The order of a source is by a draw from id and text, then id, size and all that is carried along: a total order but for rows
+alike in everything, so reruns agree however the rows are read. Rows alike in id and text share a bucket, which one task
+sorts (on disk where it is large). What is known of the sources (one row a source) is sorted in one task.
 """
 
 from __future__ import annotations
@@ -20,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quiltgraph.llm.common import buckets_for
+from quiltgraph.llm.common import buckets_for, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -37,7 +43,7 @@ def draw(key: Column) -> Column:
 
 def sized(docs: DataFrame, *carried: str) -> DataFrame:
     """doc_id, __source (null as itself), __key (the source, never null), size, __draw, and the carried columns."""
-    return docs.select(*carried, F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("__source"), F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")).alias("__key"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), draw(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit("/mix"))).alias("__draw"))
+    return docs.select(*carried, F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("__source"), F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")).alias("__key"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), draw(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.lit("/"), F.md5(F.coalesce("text", F.lit("")).cast("binary")), F.lit("/mix"))).alias("__draw"))
 
 
 def targets(totals: DataFrame) -> DataFrame:
@@ -73,8 +79,9 @@ def planned(docs: DataFrame, rows: int, *carried: str) -> DataFrame:
     """
     n = buckets_for(rows, ORDER_ROWS)
     bucket = F.floor(F.col("__draw") * F.lit(n) / F.lit(2**48)).cast("long")
-    df = sized(docs, *carried).withColumn("__bucket", bucket)
-    sums = sized(docs).withColumn("__bucket", bucket).groupBy("__key", "__bucket").agg(F.sum("size").alias("__sum"))
+    # sizes alone are stored, so that texts are read once; rows that carry texts are read a second time instead
+    df = sized(docs, *carried).withColumn("__bucket", bucket) if carried else stored(sized(docs).withColumn("__bucket", bucket))
+    sums = (sized(docs).withColumn("__bucket", bucket) if carried else df).groupBy("__key", "__bucket").agg(F.sum("size").alias("__sum"))
     name = F.when(F.col("__key") != "n", F.expr("substring(__key, 2)"))
     per = targets(sums.groupBy("__key").agg(F.sum("__sum").alias("source_size")).withColumn("__source", name))
     before = Window.partitionBy("__key").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -83,7 +90,7 @@ def planned(docs: DataFrame, rows: int, *carried: str) -> DataFrame:
     per = per.select("__key", "source_size", "target", *(F.element_at(pick[k], (F.col("__rank") % len(SCHEDULES) + 1).cast("int")).alias(name) for k, name in enumerate(("__from", "__to"))))
     starts = starts.join(per, "__key")
     # the join has the window's keys, so the documents move once for both
-    upto = Window.partitionBy("__key", "__bucket").orderBy("__draw", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy("__key", "__bucket").orderBy("__draw", "doc_id", "size", *carried).rowsBetween(Window.unboundedPreceding, 0)
     df = df.withColumn("__end", F.sum("size").over(upto)).join(starts, ["__key", "__bucket"])
     begin = F.col("__base") + F.col("__end") - F.col("size")
     goal = F.floor(F.col("target"))
@@ -114,5 +121,5 @@ def mixed(docs: DataFrame, rows: int) -> DataFrame:
     start = F.array_join(F.slice(F.split(F.regexp_replace("__text", r"^[\x20\x09-\x0D]+", ""), r"[\x20\x09-\x0D]+"), 1, F.col("__read.taken").cast("int")), " ")
     whole = F.col("__read.taken") == F.col("size")
     df = df.withColumn("__new", F.when(whole, F.col("__text")).otherwise(start))
-    df = df.orderBy("__read.position", "doc_id")
+    df = df.orderBy("__read.position", "doc_id", "size", "__text")
     return df.select("doc_id", F.col("__new").alias("text"), F.col("__lang").alias("lang"), F.col("__source").alias("source"), F.when(whole, F.col("__chars")).otherwise(F.length("__new")).cast("long").alias("n_chars"))

@@ -52,7 +52,7 @@ def _least(key: str, children: list[tuple[str, float, int]]) -> str:
 def _tree(tree: sharding.HashTree) -> tuple[str, str, str]:
     """Region, rack and shard expressions; each uses the one before by its name."""
     racks = [(r, k, s) for r, region in enumerate(tree.regions) for k, s in enumerate(region)]
-    region = _least("k", [(f"r{r}", tree.weight(s for x in c for s in x), r) for r, c in enumerate(tree.regions)] + [(f"g{s}", w, -1 - s) for s, w in tree.grafts])
+    region = _least("k", [(f"r{r}", tree.weight(s for x in c for s in x), r) for r, c in enumerate(tree.regions)] + [(f"g{s}", w, -1 - s) for s, w, *_ in tree.grafts])
     rack, at = "CASE WHEN {region} < 0 THEN {region}", 0
     for r, content in enumerate(tree.regions):
         rack += f" WHEN {{region}} = {r} THEN " + _least("k", [(f"r{r}k{k}", tree.weight(s), at + k) for k, s in enumerate(content)])
@@ -70,7 +70,7 @@ def op7_sql() -> str:
     return rf"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || '/mix'), 1, 12))::BIGINT AS draw
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || '/' || md5(coalesce(text, '')) || '/mix'), 1, 12))::BIGINT AS draw
   FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
 r AS (SELECT *, row_number() OVER (ORDER BY source IS NULL, encode(coalesce(source, ''))) - 1 AS rk FROM s),

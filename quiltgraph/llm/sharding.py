@@ -2,14 +2,18 @@
 
 A key descends region, rack and shard. At each level every child draws an exponential
 variate ``-ln(u) / weight`` from the hash of (key, child); the smallest draw wins, so a
-child is chosen in proportion to its weight. Capacity added later enters as a *graft*: one
-more arrival, with the added weight, that competes with the regions at the root. A key for
-which the graft's arrival is first goes straight down the graft's path to the new shard,
-all other keys keep their whole path. Growth therefore moves rows into the subtree whose
+child is chosen in proportion to its weight. Only the children of the node chosen above draw.
+
+Capacity added later stands in a rack of a region, whose weights grow by it. It enters as a *graft*: one more arrival, with
+the added weight. The first of the region's own arrival and the graft's is an exponential draw of the region's new weight, and
+likewise for the rack, so drawing the graft beside the regions chooses region, rack and shard with the right
+probabilities at once: a key for which the graft's arrival is first goes down the graft's path (``HashTree.path``) to the new
+shard, all other keys keep their whole path. Growth therefore moves rows into the subtree whose
 weight grew and nowhere else, and only into the new shard.
 
-Null ids hash like the text ``null``; equal ids go to the same shard; an empty table gives
-no rows; other columns are ignored whatever their names.
+Null ids hash like the text ``null``; equal ids go to the same shard; long texts are only measured and summed (CRC-32), once;
+an empty table gives no rows; other columns are ignored whatever their names. Rows alike in all columns are rows of their
+own: their slots are dealt in any order.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quiltgraph.llm.common import buckets_for
+from quiltgraph.llm.common import buckets_for, stored
 
 #: Rows in one numbering group.
 SLOT_ROWS = 50_000
@@ -31,14 +35,24 @@ class HashTree:
 
     regions: tuple[tuple[tuple[int, ...], ...], ...]
     weights: dict[int, float] = field(default_factory=dict)
-    grafts: tuple[tuple[int, float], ...] = ()  # (new shard, weight)
+    grafts: tuple[tuple[int, float, int, int], ...] = ()  # (new shard, weight, region, rack)
 
     def weight(self, shards) -> float:
         return float(sum(self.weights.get(s, 1.0) for s in shards))
 
-    def grown(self, shard: int, weight: float = 1.0) -> HashTree:
-        """The tree with one more shard."""
-        return HashTree(self.regions, self.weights, (*self.grafts, (shard, weight)))
+    def path(self, shard: int) -> tuple[int, int]:
+        """Region and rack of a shard."""
+        own = [(r, k) for r, region in enumerate(self.regions) for k, rack in enumerate(region) if shard in rack]
+        return (own + [(r, k) for s, _, r, k in self.grafts if s == shard])[0]
+
+    def loads(self) -> list[tuple[float, int, int]]:
+        """(weight, region, rack) of every rack, grafts included."""
+        return [(self.weight(rack) + sum(w for _, w, i, j in self.grafts if (i, j) == (r, k)), r, k) for r, region in enumerate(self.regions) for k, rack in enumerate(region)]
+
+    def grown(self, shard: int, weight: float = 1.0, region: int | None = None) -> HashTree:
+        """The tree with one more shard, in the lightest rack (of a region, if one is named)."""
+        _, r, k = min(x for x in self.loads() if region in (None, x[1]))
+        return HashTree(self.regions, self.weights, (*self.grafts, (shard, weight, r, k)))
 
 
 def production_tree() -> HashTree:
@@ -46,57 +60,93 @@ def production_tree() -> HashTree:
     return HashTree(tuple(tuple(tuple(range(12 * r + 4 * k, 12 * r + 4 * k + 4)) for k in range(3)) for r in range(2)))
 
 
-def unit(key: Column, node: str) -> Column:
+def unit(key: Column, node: Column) -> Column:
     """A number strictly between 0 and 1 from the hash of (key, node): the first 48 bits of MD5."""
-    digits = F.substring(F.md5(F.concat(key, F.lit("/" + node)).cast("binary")), 1, 12)
+    digits = F.substring(F.md5(F.concat(key, F.lit("/"), node).cast("binary")), 1, 12)
     return (F.conv(digits, 16, 10).cast("double") + F.lit(0.5)) / F.lit(float(2**48))
 
 
-def _winner(key: Column, children: list[tuple[str, float, Column]]) -> Column:
-    """The value of the child with the smallest draw (ties: the smaller value)."""
-    if len(children) == 1:
-        return children[0][2]
-    draws = [F.struct((-F.log(unit(key, name)) / F.lit(w)).alias("draw"), value.cast("int").alias("value")) for name, w, value in children]
-    return F.least(*draws)["value"]
-
-
-def tree_columns(df: DataFrame, key: Column, tree: HashTree, out: str) -> DataFrame:
-    """Add ``out``: the shard of ``key``. Each level is drawn once a row, and only within the subtree chosen above."""
-    racks = [(r, k, shards) for r, region in enumerate(tree.regions) for k, shards in enumerate(region)]
-    top = [(f"r{r}", tree.weight(s for shards in region for s in shards), F.lit(r)) for r, region in enumerate(tree.regions)]
-    top += [(f"g{s}", w, F.lit(-1 - s)) for s, w in tree.grafts]  # negative: follow the graft down
-    region, rack = f"__{out}_region", f"__{out}_rack"
-    df = df.withColumn(region, _winner(key, top))
-    choice = F.when(F.col(region) < 0, F.col(region))
-    for r, content in enumerate(tree.regions):
-        first = next(i for i, x in enumerate(racks) if x[0] == r)
-        choice = choice.when(F.col(region) == r, _winner(key, [(f"r{r}k{k}", tree.weight(s), F.lit(first + k)) for k, s in enumerate(content)]))
-    df = df.withColumn(rack, choice)
-    leaf = F.when(F.col(rack) < 0, -1 - F.col(rack))
-    for i, (r, k, shards) in enumerate(racks):
-        leaf = leaf.when(F.col(rack) == i, _winner(key, [(f"r{r}k{k}s{s}", self_weight, F.lit(s)) for s, self_weight in ((s, tree.weights.get(s, 1.0)) for s in shards)]))
-    return df.withColumn(out, leaf.cast("int")).drop(region, rack)
+def draw(key: Column, node: Column, weight: Column, value: Column) -> Column:
+    """One child's arrival and what it stands for; null if there is no such child."""
+    return F.when(weight.isNotNull(), F.struct((-F.log(unit(key, node)) / weight).alias("draw"), value.cast("int").alias("value")))
+
+
+def first(draws: list[Column]) -> Column:
+    """The smallest draw (ties: the smaller value)."""
+    return F.least(*draws) if len(draws) > 1 else draws[0]
+
+
+def _look_up(table: list[list[float | None]], row: Column, at: int) -> Column:
+    """``table[row][at]``: null beyond a row's end. A constant where all rows agree."""
+    column = [r[at] if at < len(r) else None for r in table]
+    if len(set(column)) == 1:
+        return F.lit(column[0])
+    return F.get(F.array(*(F.lit(x).cast("double") for x in column)), row)
+
+
+def tree_columns(df: DataFrame, key: Column, trees: dict[str, HashTree]) -> DataFrame:
+    """Add a column for each tree: the shard of ``key``. The trees differ in grafts only, so one descent serves them all.
+
+    Each level draws for as many children as a node has at most, with names and weights looked up by the node chosen above:
+    the expression grows with the width of the levels, not with the tree.
+    """
+    regions, weights = next(iter(trees.values())).regions, next(iter(trees.values())).weights
+    if any(t.regions != regions or t.weights != weights for t in trees.values()):
+        raise ValueError("the trees must share regions and weights")
+    base = HashTree(regions, weights)
+    racks = [rack for region in regions for rack in region]
+    begin = [sum(map(len, regions[:r])) for r in range(len(regions))]
+    one = len(regions) == 1 and not any(t.grafts for t in trees.values())
+    region = [draw(key, F.lit(f"r{r}"), F.lit(base.weight(s for rack in x for s in rack)), F.lit(r)) for r, x in enumerate(regions)]
+    df = df.withColumn("__top", F.struct(F.lit(0.0).alias("draw"), F.lit(0).alias("value")) if one else first(region))
+    df = df.withColumn("__region", F.col("__top.value"))
+    widest = max(map(len, regions))
+    loads = [[base.weight(rack) for rack in x] for x in regions]
+    node = F.concat(F.lit("r"), F.col("__region").cast("string"))
+    draws = [draw(key, F.concat(node, F.lit(f"k{k}")), _look_up(loads, F.col("__region"), k), F.lit(k)) for k in range(widest)]
+    df = df.withColumn("__rack", first(draws)["value"] if widest > 1 else F.lit(0))
+    df = df.withColumn("__place", F.get(F.array(*map(F.lit, begin)), F.col("__region")) + F.col("__rack"))
+    widest = max(map(len, racks))
+    shares = [[float(weights.get(s, 1.0)) for s in rack] for rack in racks]
+    node = F.concat(node, F.lit("k"), F.col("__rack").cast("string"), F.lit("s"))
+    shard = [F.get(F.array(*(F.lit(rack[k] if k < len(rack) else None).cast("int") for rack in racks)), F.col("__place")) for k in range(widest)]
+    draws = [draw(key, F.concat(node, shard[k].cast("string")), _look_up(shares, F.col("__place"), k), shard[k]) for k in range(widest)]
+    df = df.withColumn("__leaf", first(draws)["value"] if widest > 1 else shard[0])
+    for out, tree in trees.items():
+        won = F.col("__leaf")
+        if tree.grafts:
+            arrival = first([draw(key, F.lit(f"g{s}"), F.lit(float(w)), F.lit(-1 - s)) for s, w, *_ in tree.grafts] + [F.struct(F.col("__top.draw").alias("draw"), F.col("__top.value").alias("value"))])["value"]
+            won = F.when(arrival < 0, -1 - arrival).otherwise(won)
+        df = df.withColumn(out, won.cast("int"))
+    return df.drop("__top", "__region", "__rack", "__place", "__leaf")
 
 
 def assign(docs: DataFrame, tree: HashTree, rows: int) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row.
 
-    Slots are numbered in two steps so that no task sorts a whole shard: rows are numbered
-    within (shard, bucket), and each bucket starts at the sum of those before it. The number
-    of buckets grows with ``rows``.
+    Texts are read once; what is known of each row is stored in the shared folder. Slots are numbered in two steps so that no
+    task sorts a whole shard: rows are numbered within (shard, bucket), and each bucket starts at the sum of those before it. The
+    number of buckets grows with ``rows``; a bucket that rows alike have filled is split by the rows' numbers.
     """
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     n = buckets_for(rows, SLOT_ROWS)
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 8
     crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
     df = docs.select(F.col("doc_id").cast("long").alias("doc_id"), size.alias("size"), crc.alias("text_crc32"))
-    df = tree_columns(df, key, tree, "shard")
-    df = tree_columns(df, key, tree.grown(1 + max(s for region in tree.regions for rack in region for s in rack)), "grown_shard")
-    bucket = F.floor(unit(F.concat_ws("/", key, F.col("text_crc32").cast("string")), "slot") * n).cast("long")
-    df = df.withColumn("__bucket", bucket)
+    bucket = F.floor(unit(F.concat_ws("/", key, F.col("text_crc32").cast("string")), F.lit("slot")) * n).cast("long")
+    df = df.withColumn("__bucket", bucket).withColumn("__row", F.monotonically_increasing_id())
+    more = tree.grown(1 + max(s for region in tree.regions for rack in region for s in rack))
+    df = stored(tree_columns(df, key, {"shard": tree, "grown_shard": more}))
     sums = df.groupBy("shard", "__bucket").agg(F.count("*").alias("__n"))
-    before = F.sum("__n").over(Window.partitionBy("shard").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1))
-    starts = sums.select("shard", "__bucket", F.coalesce(before, F.lit(0)).alias("__start"))
-    within = F.row_number().over(Window.partitionBy("shard", "__bucket").orderBy("doc_id", "size", "text_crc32"))
-    df = df.withColumn("__within", within).join(starts, ["shard", "__bucket"])
+    most = sums.agg(F.max("__n")).first()[0] or 0
+    if most > 4 * SLOT_ROWS:
+        split = sums.select("shard", "__bucket", F.greatest(F.lit(1), F.ceil(F.col("__n") / (4 * SLOT_ROWS))).alias("__split"))
+        df = df.join(split, ["shard", "__bucket"]).withColumn("__salt", F.pmod(F.xxhash64("__row"), F.col("__split")))
+        sums = df.groupBy("shard", "__bucket", "__salt").agg(F.count("*").alias("__n"))
+    else:
+        df, sums = df.withColumn("__salt", F.lit(0).cast("long")), sums.withColumn("__salt", F.lit(0).cast("long"))
+    before = F.sum("__n").over(Window.partitionBy("shard").orderBy("__bucket", "__salt").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sums.select("shard", "__bucket", "__salt", F.coalesce(before, F.lit(0)).alias("__start"))
+    within = F.row_number().over(Window.partitionBy("shard", "__bucket", "__salt").orderBy("doc_id", "size", "text_crc32"))
+    df = df.withColumn("__within", within).join(starts, ["shard", "__bucket", "__salt"])
     return df.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("__start") + F.col("__within") - 1).alias("slot"), "grown_shard")

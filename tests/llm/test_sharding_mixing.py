@@ -43,14 +43,36 @@ def test_uneven_weights_and_growth_move_little(spark):
 
     tree = sharding.HashTree((((0, 1), (2,)), ((3, 4),)), {0: 3.0, 3: 2.0})
     df = spark.range(8000).select(F.col("id").cast("string").alias("k"))
-    df = sharding.tree_columns(df, F.col("k"), tree, "a")
-    rows = sharding.tree_columns(df, F.col("k"), tree.grown(5, 2.0), "b").collect()
+    more = tree.grown(5, 2.0)
+    assert more.path(5) == (0, 1) and tree.grown(5, 2.0, region=1).path(5) == (1, 0) and tree.path(3) == (1, 0)
+    rows = sharding.tree_columns(df, F.col("k"), {"a": tree, "b": more}).collect()
     n = Counter(r["a"] for r in rows)
     for s, w in ((0, 3), (1, 1), (2, 1), (3, 2), (4, 1)):
         assert abs(n[s] / 8000 - w / 8) < 0.03
     assert all(r["b"] in (r["a"], 5) for r in rows) and abs(sum(r["b"] == 5 for r in rows) / 8000 - 0.2) < 0.03
 
 
+def test_rows_alike_get_slots_of_their_own_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "SLOT_ROWS", 30)
+    docs = spark.range(1000).selectExpr("CAST(NULL AS LONG) AS doc_id", "'' AS text").repartition(5)
+    got = sharding.assign(docs, sharding.production_tree(), 1000).collect()
+    assert len({r["shard"] for r in got}) == 1 and sorted(r["slot"] for r in got) == list(range(1000))
+
+
+def test_descent_stays_in_generated_code(spark):
+    df = spark.range(10).selectExpr("CAST(id AS STRING) AS k")
+    tree = sharding.production_tree()
+    out = sharding.tree_columns(df, df["k"], {"shard": tree, "grown": tree.grown(24)})
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert all("*(" in line for line in plan.splitlines() if "Project" in line or "Range" in line), plan
+    before = spark.conf.get("spark.sql.codegen.fallback")
+    spark.conf.set("spark.sql.codegen.fallback", "false")  # code that cannot be compiled is an error then
+    try:
+        assert out.count() == 10 and len(out.collect()) == 10
+    finally:
+        spark.conf.set("spark.sql.codegen.fallback", before)
+
+
 def fill(sizes):
     """Targets by plain water filling."""
     order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
@@ -91,6 +113,13 @@ def test_mixing_contract(spark, monkeypatch):
     assert spark_rows == duck
 
 
+def test_reruns_agree_whatever_the_order_of_rows(spark):
+    rows = [(i % 3 if i % 4 else None, f"w{i % 5} b{i} " + "x " * (i % 7), "en", "abc"[i % 3], i) for i in range(120)] + [(1, "same text", "en", "a", k) for k in range(4)]
+    one = [tuple(r) for r in mixing.mixed(frame(spark, rows), len(rows)).collect()]
+    two = [tuple(r) for r in mixing.mixed(frame(spark, rows[::-1]), len(rows)).collect()]
+    assert one == two
+
+
 def test_curriculum_follows_its_schedules(spark):
     rows = [(i, "w " * 10, "en", "abc"[i % 3], None) for i in range(900)]
     got = mixing.mix(frame(spark, rows), len(rows)).collect()
