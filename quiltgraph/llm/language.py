@@ -6,19 +6,21 @@ to one) is used, with a penalty for every step down; what no language knows scor
 The language with the highest sum wins; ``score`` is its posterior over the languages, from
 the mean per word times at most ``EVIDENCE`` words, so that it tells doubt in any text length.
 
-Training counts words and n-grams over a sample of the labelled texts (at most about
-``FIT_ROWS`` documents, by the hash of doc_id; all of them in a smaller table) and keeps
-the ``WORDS`` and ``GRAMS`` most frequent entries: the model's size does not grow with the corpus.
+Training counts words and n-grams over a sample of the labelled texts, drawn for each language apart (at most about
+``FIT_ROWS`` documents of each, by the hash of doc_id; all of them where there are fewer), and keeps each language's
+``WORDS`` and ``GRAMS`` most frequent entries: the model does not grow with the corpus, and a rare language is learned as
+well as a common one. A word beyond them is not lost: it is judged by its n-grams.
 
-``und``, score 0: text null or without a letter; also everything if no language can be
+``und``, score 0: text null or without a letter (``str.isalpha``); also everything if no language can be
 learned. Ties go to the language whose name sorts first. Repeated rows are judged each for
-itself; null ids hash as the text ``null``; columns not used are ignored.
+itself; null ids hash as the text ``null``; an empty table gives no rows; very long words are cut; columns not used are ignored.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import sys
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -26,17 +28,20 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quiltgraph.llm.common import DOC_COLUMNS, memory, slices, small_batches
 from quiltgraph.llm.tokens import pieces
 
-FIT_ROWS = 20_000
-WORDS, GRAMS = 40_000, 40_000
+#: Of each language.
+FIT_ROWS = 5_000
+WORDS, GRAMS = 10_000, 10_000
 LONGEST, BACKOFF, EVIDENCE = 5, -0.7, 12
 MOST_LETTERS = 64  # of one word that are judged; longer runs are cut into words of this length
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Numbers that are no decimal digits and no letters (fractions, powers, circled ones): word characters to ``re`` all the same.
+_NUMBERS = "".join(c for c in map(chr, range(0x80, sys.maxunicode + 1)) if c.isnumeric() and not c.isdecimal() and not c.isalpha())
+LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
 
 
 def terms(word: str) -> Iterator[str]:
@@ -90,11 +95,14 @@ class Model:
         return tuple(s / n for s in sums)
 
 
-def learn(labelled: DataFrame, rows: int) -> Model:
-    """A model from columns doc_id, text and lang. ``rows``: how many there are, for the sample's rate."""
-    rate = min(1.0, FIT_ROWS / max(1, rows))
-    pick = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), F.lit(1 << 30)) < F.lit(int(rate * (1 << 30)))
-    sample = small_batches(labelled).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & pick).select("lang", "text")
+def learn(labelled: DataFrame) -> Model:
+    """A model from columns doc_id, text and lang."""
+    labelled = small_batches(labelled).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
+    whole = 1 << 30
+    rates = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, int(min(1.0, FIT_ROWS / n) * whole)))) if sizes else F.lit(None)
+    draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), F.lit(whole))
+    sample = labelled.where(draw < F.element_at(rates, F.col("lang")) if sizes else F.lit(False)).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[tuple[str, str], Counter] = {}
@@ -123,7 +131,7 @@ def learn(labelled: DataFrame, rows: int) -> Model:
                     c[g] += n
 
     counts = sample.mapInArrow(count, "lang string, kind string, term string, n long").groupBy("kind", "term", "lang").agg(F.sum("n").alias("n"))
-    by_term = counts.groupBy("kind", "term").agg(F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
+    by_term = counts.groupBy("kind", "term").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
     by_term = by_term.persist()  # one entry a term; evicted blocks are counted again
     try:
         totals = {(r["kind"], r["lang"]): r["n"] for r in by_term.select("kind", F.explode("by").alias("lang", "n")).groupBy("kind", "lang").agg(F.sum("n").alias("n")).collect()}
@@ -131,7 +139,9 @@ def learn(labelled: DataFrame, rows: int) -> Model:
         counts_of = [F.coalesce(F.col("by")[x], F.lit(0)).alias(f"n{i}") for i, x in enumerate(languages)]
         tables = {}
         for kind, most in (("w", WORDS), ("g", GRAMS)):
-            top = by_term.where(F.col("kind") == kind).orderBy(F.desc("all"), "term").limit(most).select("term", *counts_of).toArrow()
+            each = by_term.where(F.col("kind") == kind).select("term", F.explode("by").alias("lang", "n"))
+            best = each.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "term"))).where(F.col("rank") <= most).select("term").distinct()
+            top = by_term.where(F.col("kind") == kind).join(best, "term", "left_semi").select("term", *counts_of).toArrow()
             tables[kind] = dict(zip(top.column("term").to_pylist(), zip(*(top.column(f"n{i}").to_pylist() for i in range(len(languages))), strict=True), strict=True)) if languages else {}
     finally:
         by_term.unpersist()
@@ -228,13 +238,15 @@ def held_out(doc_id) -> F.Column:
 
 
 def accepted(docs: DataFrame, model: Model, least: float) -> DataFrame:
-    """The documents (their five columns, unchanged) whose language is found with at least this score."""
+    """The documents (their five columns, unchanged) in which a language is found. Those without a letter go, and those of
+    EVIDENCE words or more whose score is below ``least``: in a shorter text a close race is want of evidence, no verdict."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = judge_of(model)
         for b in slices(batches):
-            langs, scores = judge([t or "" for t in b.column("text").to_pylist()])
-            yield b.filter(pa.array([x != "und" and s >= least for x, s in zip(langs, scores, strict=True)], pa.bool_()))
+            texts = [t or "" for t in b.column("text").to_pylist()]
+            langs, scores = judge(texts)
+            yield b.filter(pa.array([x != "und" and (s >= least or len(letters_of(t)) < EVIDENCE) for x, s, t in zip(langs, scores, texts, strict=True)], pa.bool_()))
 
     kept = small_batches(docs).select(*DOC_COLUMNS)
     return kept.mapInArrow(run, kept.schema)

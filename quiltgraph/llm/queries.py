@@ -49,7 +49,7 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = language.learn(docs.where(~language.held_out(F.col("doc_id"))), docs.count())
+    model = language.learn(docs.where(~language.held_out(F.col("doc_id"))))
     out = language.predict(docs, model)
     return out.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 

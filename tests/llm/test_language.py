@@ -40,7 +40,7 @@ def brute_score(model, text):
 def test_held_out_accuracy_and_brute_force(spark):
     data = rows()
     docs = frame(spark, data + odd_rows(2), ["lang_pred", "score"])
-    model = L.learn(frame(spark, data).where(~L.held_out(F.col("doc_id"))), len(data))
+    model = L.learn(frame(spark, data).where(~L.held_out(F.col("doc_id"))))
     got = {}
     for r in L.predict(docs, model).collect():
         got.setdefault(r["doc_id"], []).append(r)
@@ -56,15 +56,35 @@ def test_held_out_accuracy_and_brute_force(spark):
 
 
 def test_no_letters_and_no_model(spark):
-    model = L.learn(frame(spark, rows()), 240)
-    docs = frame(spark, [(1, None), (2, ""), (3, "12 34 ... 5"), (4, "the water"), (5, "unseenword zzz")])
+    model = L.learn(frame(spark, rows()))
+    docs = frame(spark, [(1, None), (2, ""), (3, "12 34 ... 5"), (6, "½ ² ① Ⅷ _ ٣"), (7, "½a"), (4, "the water"), (5, "unseenword zzz")])
     got = {r["doc_id"]: r for r in L.predict(docs, model).collect()}
-    assert [got[i]["lang_pred"] for i in (1, 2, 3)] == ["und"] * 3 and got[3]["score"] == 0
+    assert [got[i]["lang_pred"] for i in (1, 2, 3, 6)] == ["und"] * 4 and got[3]["score"] == 0
     assert got[4]["lang_pred"] == "en" and 0 < got[5]["score"] <= 1
     kept = L.accepted(docs.withColumn("extra", F.lit(1)), model, 0.0)
-    assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"] and {r["doc_id"] for r in kept.collect()} == {4, 5}
-    empty = L.learn(frame(spark, []), 0)
-    assert [r["lang_pred"] for r in L.predict(docs, empty).collect()] == ["und"] * 5
+    assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"] and {r["doc_id"] for r in kept.collect()} == {4, 5, 7}
+    empty = L.learn(frame(spark, []))
+    assert [r["lang_pred"] for r in L.predict(docs, empty).collect()] == ["und"] * 7
+
+
+def test_letters_are_those_of_isalpha():
+    import sys
+
+    found = {c for c in map(chr, range(sys.maxunicode + 1)) if L.LETTERS.fullmatch(c)}
+    assert found == {c for c in map(chr, range(sys.maxunicode + 1)) if c.isalpha()}
+
+
+def test_rare_languages_are_learned_and_short_texts_stay(spark, monkeypatch):
+    monkeypatch.setattr(L, "FIT_ROWS", 30)
+    monkeypatch.setattr(L, "WORDS", 12)
+    monkeypatch.setattr(L, "GRAMS", 80)
+    data = rows(900) + [(2000 + i, "rzeka dom szybko woda", "pl") for i in range(4)]
+    model = L.learn(frame(spark, data))
+    assert model.languages == ["de", "en", "fr", "pl"]
+    docs = frame(spark, [(1, "woda dom rzeka"), (2, "eau"), (3, "house water"), (4, "qqq"), (5, None)])
+    got = {r["doc_id"]: r["lang_pred"] for r in L.predict(docs, model).collect()}
+    assert (got[1], got[2], got[3]) == ("pl", "fr", "en")
+    assert {r["doc_id"] for r in L.accepted(docs, model, 0.99).collect()} == {1, 2, 3, 4}
 
 
 def test_held_out_rule(spark):
@@ -75,7 +95,7 @@ def test_held_out_rule(spark):
 
 
 def test_memory_of_words_does_not_change_results(spark):
-    model = L.learn(frame(spark, rows()), 240)
+    model = L.learn(frame(spark, rows()))
     texts = [t for _, t, _ in rows(150, 3)] + ["one two", "", "x " * 50]
     whole, small = L.Judge(model), L.Judge(model, most=12)
     got = [small(texts[i : i + 7]) for i in range(0, len(texts), 7)]

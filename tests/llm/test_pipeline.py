@@ -103,6 +103,6 @@ def test_model_keeps_to_training_rows(spark, folder):
     from pyspark.sql import functions as F
 
     docs = spark.read.parquet(f"{folder}/documents.parquet")
-    a = language.learn(docs.where(~language.held_out(F.col("doc_id"))), 50)
-    b = language.learn(docs.where(~language.held_out(F.col("doc_id"))).withColumn("n_chars", F.lit(0)), 50)
+    a = language.learn(docs.where(~language.held_out(F.col("doc_id"))))
+    b = language.learn(docs.where(~language.held_out(F.col("doc_id"))).withColumn("n_chars", F.lit(0)))
     assert a.words == b.words and a.grams == b.grams
