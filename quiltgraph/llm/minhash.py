@@ -11,17 +11,19 @@ classes are the connected components of the links.
 No bucket emits all its pairs. Equal texts count as one node. A bucket first links its members to a leader
 only, the text that shares most buckets with others (the original of a group of copies); in further rounds those still
 apart from its component have a leader of their own. At last, members that are apart from the first leader's
-component meet *all* members of other components there, so no candidate pair between two components is
-left unverified, while a group of copies costs about its size.
-
-Rows with one doc_id are one document. A null id stands for a document of its own text. Texts without words
-(null, empty, blank) are in no class but their own. An empty table gives no rows. Columns besides
-doc_id and text are ignored.
+component meet the members of other components there, on their signatures first. In a bucket of at most SPLIT texts they meet
+all of them; a larger one is banded again, so that they meet those that share a second band with them: what is compared
+grows with the bucket, not with its square. A pair of similarity 0.8 shares one band only, and that a
+large one, with probability under 0.0001. Groups that are still larger are compared block by block.
+
+A class is named by its least doc_id. Each row is judged by its own text, so rows that share a doc_id but not a text may be in
+two classes, and a null doc_id is no obstacle; a class of null ids only has a number below NULL_IDS. Texts without words
+(null, empty, blank) are in no class but their own. Long texts are signed one at a time. An empty table gives no rows. Columns
+besides doc_id and text are ignored.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections import OrderedDict
 from collections.abc import Iterator
 
@@ -30,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quiltgraph.llm.common import DOC_COLUMNS, forget, memory, release, slices, small_batches, stored
+from quiltgraph.llm.common import DOC_COLUMNS, NO_ID, forget, memory, release, slices, small_batches, stored
 from quiltgraph.llm.components import components
 from quiltgraph.llm.textual import U, Words, _join, grams, inside, mix, word_hashes, words
 
@@ -41,8 +43,9 @@ REGISTERS = BANDS * ROWS
 LEADER_ROUNDS = 2
 #: Share of equal registers below which a pair is no link: 0.8 less 3.9 standard deviations.
 LIKELY = 0.7
-APART_BLOCK, MEMBER_BLOCK = 4096, 16384
-#: Numbers below stand for documents without an id.
+#: Texts of a bucket beyond which it is banded again; and texts of a block, where even that leaves more.
+SPLIT, BLOCK = 4096, 4096
+#: Classes without any id have numbers below.
 NULL_IDS = -(1 << 62)
 SIGN_BYTES = 2 << 20
 
@@ -99,7 +102,7 @@ def bands(signature: np.ndarray) -> np.ndarray:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """did, k1, k2 (128 bits of the text's hash), buckets (null for texts without words), signature (16 bits a register)."""
+    """doc_id, key (as given), buckets (null for texts without words), signature (16 bits a register)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory("hashes")
@@ -110,13 +113,11 @@ def signed(docs: DataFrame) -> DataFrame:
             signature = prob_min_hash(doc, value, np.ones(len(doc)), b.num_rows)
             bucket = bands(signature).view(np.int64)
             kept = mix(signature).astype("<u2")
-            raw = w.data.tobytes()
-            key = np.frombuffer(b"".join(hashlib.blake2b(raw[i:j], digest_size=16).digest() for i, j in zip(w.text[:-1].tolist(), w.text[1:].tolist(), strict=True)), "<i8").reshape(-1, 2)
             full = w.counts > 0
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(full * BANDS)]).astype(np.int32)), pa.array(bucket[full].ravel()), mask=pa.array(~full))
-            yield pa.RecordBatch.from_arrays([b.column("did"), pa.array(key[:, 0].copy()), pa.array(key[:, 1].copy()), lists, pa.array([x.tobytes() for x in kept], pa.binary())], ["did", "k1", "k2", "buckets", "signature"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("key"), lists, pa.array([x.tobytes() for x in kept], pa.binary())], ["doc_id", "key", "buckets", "signature"])
 
-    return docs.mapInArrow(run, "did long, k1 long, k2 long, buckets array<long>, signature binary")
+    return docs.mapInArrow(run, "doc_id long, key binary, buckets array<long>, signature binary")
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -144,7 +145,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     keep.append(i)
             yield b.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
-    one, two = texts.select(F.col("did").alias("a"), F.col("text").alias("text_a")), texts.select(F.col("did").alias("b"), F.col("text").alias("text_b"))
+    one, two = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     return pairs.join(two, "b").join(one, "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
@@ -173,70 +174,77 @@ def _led(there: DataFrame, first: bool) -> DataFrame:
     return there.join(leads, "bucket").where("root <> lead_root").select(*_pair("rep", "lead")).distinct()
 
 
-def across(there: DataFrame, signatures: DataFrame) -> DataFrame:
-    """Pairs of different components that share a bucket and whose signatures come near SIMILAR.
+def groups(there: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Where members of different components meet: bucket, band, band_2, rep, root, apart, n, signature, buckets.
 
-    ``there``: bucket, band, rep, weight, root, n. In each bucket the members apart from the first leader's component are
-    compared with all members, block by block, on their signatures; a pair is given by the first band it shares. A link
-    has at least LIKELY of its registers equal but for less than one in 10000 cases.
+    ``there``: bucket, band, rep, weight, root, n. ``apart`` tells members that are apart from the first leader's component.
+    Buckets of at most SPLIT texts are groups; larger ones are banded again (band_2 is not null).
     """
-    leads = _leads(there).select("bucket", "lead_root")
-    rows = there.join(leads, "bucket").withColumn("apart", F.col("root") != F.col("lead_root"))
-    rows = rows.join(signatures, "rep").select("bucket", "band", "rep", "root", "apart", "signature", "n")
-
-    def blocks(size: int) -> Column:
-        return F.ceil(F.col("n") / size).cast("int")
+    found = there.join(_leads(there).select("bucket", "lead_root"), "bucket").withColumn("apart", F.col("root") != F.col("lead_root"))
+    found = found.join(signatures, "rep").select("bucket", "band", "rep", "root", "apart", "n", "signature", "buckets")
+    small = found.where(F.col("n") <= SPLIT).withColumn("band_2", F.lit(None).cast("int"))
+    again = found.where(F.col("n") > SPLIT).select("*", F.posexplode("buckets").alias("band_2", "second")).where("band_2 <> band")
+    again = again.withColumn("bucket", F.xxhash64("bucket", "second")).drop("second", "n")
+    # a hash that two groups share makes them one: more is compared, nothing is lost
+    crowd = again.groupBy("bucket", "band", "band_2").agg(F.count("*").alias("n"), F.max("apart").alias("mixed")).where("n > 1 AND mixed").drop("mixed")
+    return small.unionByName(again.join(crowd, ["bucket", "band", "band_2"]).select(*small.columns))
 
-    def of(size: int) -> Column:
-        return F.pmod(F.xxhash64("rep"), blocks(size)).cast("int")
 
-    def every(size: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), blocks(size) - 1))
+def across(there: DataFrame, signatures: DataFrame) -> DataFrame:
+    """Pairs of different components that share a bucket and whose signatures come near SIMILAR.
 
-    one = rows.where("apart").withColumn("i", of(APART_BLOCK)).withColumn("j", every(MEMBER_BLOCK)).withColumn("asks", F.lit(True))
-    two = rows.withColumn("j", of(MEMBER_BLOCK)).withColumn("i", every(APART_BLOCK)).withColumn("asks", F.lit(False))
+    In each of the :func:`groups` the members apart are compared with all members, block by block, on their signatures. A link
+    has at least LIKELY of its registers equal but for less than one in 10000 cases.
+    """
+    rows = groups(there, signatures)
+    size = F.ceil(F.col("n") / BLOCK).cast("int")
+    of = F.pmod(F.xxhash64("rep"), size).cast("int")
+    every = F.explode(F.sequence(F.lit(0), size - 1))
+    one = rows.where("apart").withColumn("i", of).withColumn("j", every).withColumn("asks", F.lit(True))
+    two = rows.withColumn("j", of).withColumn("i", every).withColumn("asks", F.lit(False))
 
     def compare(t: pa.Table) -> pa.Table:
         asks = t.column("asks").to_numpy()
         rep, root, apart = (t.column(c).to_numpy() for c in ("rep", "root", "apart"))
         sig = np.frombuffer(b"".join(t.column("signature").to_pylist()), "<u2").reshape(-1, REGISTERS)
-        band = t.column("band")[0].as_py()
-        # one number a band, to tell shared bands at sight
-        short = (sig.reshape(-1, BANDS, ROWS).astype(np.uint64) * mix(np.arange(1, ROWS + 1, dtype=np.uint64))).sum(axis=2)
+        bucket = t.column("buckets").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        # of a bucket that is not banded again a pair is given by the first one it shares
+        earlier = t.column("band")[0].as_py() if t.column("band_2")[0].as_py() is None else 0
         q, m = np.flatnonzero(asks), np.flatnonzero(~asks)
         a, b = [], []
         for s in range(0, len(q), 32):
             x = q[s : s + 32]
             new = (root[x][:, None] != root[m][None]) & (~apart[m][None] | (rep[x][:, None] < rep[m][None]))
-            for k in range(band):
-                new &= short[x, k][:, None] != short[m, k][None]
+            for k in range(earlier):
+                new &= bucket[x, k][:, None] != bucket[m, k][None]
             xi, mi = np.nonzero(new)
-            if len(xi):
-                near = (sig[x[xi]] == sig[m[mi]]).sum(axis=1) >= LIKELY * REGISTERS
-                a.append(rep[x[xi[near]]])
-                b.append(rep[m[mi[near]]])
+            for at in range(0, len(xi), 1 << 16):
+                p, r = x[xi[at : at + (1 << 16)]], m[mi[at : at + (1 << 16)]]
+                near = (sig[p] == sig[r]).sum(axis=1) >= LIKELY * REGISTERS
+                a.append(rep[p[near]])
+                b.append(rep[r[near]])
         a, b = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (a, b))
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    return one.unionByName(two).groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
+    return one.unionByName(two).groupBy("bucket", "band", "band_2", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
-def node_of() -> Column:
-    """The doc_id, or, for a null one, a number below NULL_IDS from the text."""
-    own = F.lit(NULL_IDS - 1) - F.pmod(F.xxhash64(F.coalesce("text", F.lit(""))), F.lit(1 << 61))
-    return F.coalesce(F.col("doc_id").cast("long"), own)
+def keyed_texts(table: DataFrame) -> DataFrame:
+    """doc_id, text (null: empty), key (128 bits that stand for the text)."""
+    text = F.coalesce("text", F.lit(""))
+    return table.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.unhex(F.md5(text.cast("binary"))).alias("key"))
 
 
-def classes(table: DataFrame) -> DataFrame:
-    """did (see node_of), class_id (the least did of the class) of every document; a row for each row of the table."""
+def classes(table: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows``: doc_id and class_id of each row of the table. ``kept``: doc_id and key of the row that each class keeps, the one
+    of least id (rows without words are classes of their own and not among them)."""
     spark = table.sparkSession
-    docs = small_batches(table).select(node_of().alias("did"), F.coalesce("text", F.lit("")).alias("text"))
-    base = stored(signed(docs))
-    same = stored(base.where("buckets IS NOT NULL").groupBy("k1", "k2").agg(F.min("did").alias("rep")))
-    member = stored(base.join(same, ["k1", "k2"], "left").select("did", F.coalesce("rep", "did").alias("rep")))
-    # a document's repeated rows, and its rows of other texts, stay one node
-    link = member.where("did <> rep").select(F.col("did").alias("a"), F.col("rep").alias("b"))
-    buckets = base.where("buckets IS NOT NULL").join(same, ["k1", "k2"]).where("did = rep").select("rep", F.posexplode("buckets").alias("band", "bucket"))  # a row that repeats only repeats its pairs
+    docs = keyed_texts(small_batches(table))
+    base = stored(signed(docs).withColumn("row", F.monotonically_increasing_id()))  # rows are numbered once, and stored
+    # a text is known by the least of its rows
+    same = stored(base.where("buckets IS NOT NULL").groupBy("key").agg(F.min("row").alias("rep"), F.min("doc_id").alias("low")))
+    signatures = stored(base.join(same.select(F.col("rep").alias("row")).hint("merge"), "row").select(F.col("row").alias("rep"), "buckets", "signature"))
+    buckets = signatures.select("rep", F.posexplode("buckets").alias("band", "bucket"))
     crowd = stored(buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
     shared = stored(buckets.join(crowd, "bucket"))
     # the text that most others share buckets with stands in the middle of its class
@@ -244,12 +252,13 @@ def classes(table: DataFrame) -> DataFrame:
     shared = stored(shared.join(middle, "rep"))
     release(spark)
     pairs = stored(_led(shared.withColumn("root", F.col("rep")), first=True))
-    wanted = pairs.select(F.col("a").alias("did")).unionByName(pairs.select(F.col("b").alias("did"))).unionByName(shared.where("n > 2").select(F.col("rep").alias("did"))).distinct()
-    # the ids grow with the corpus, so the plan is the same at every size: no broadcast
-    texts = stored(docs.join(wanted.hint("merge"), "did", "left_semi").groupBy("did").agg(F.min("text").alias("text")))
+    wanted = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).unionByName(shared.where("n > 2").select("rep")).distinct()
+    # one row of each wanted text (of rows alike in id and text any); they grow with the corpus, so the plan is the same at every size
+    own = same.join(wanted.hint("merge"), "rep").select("key", F.col("rep").alias("node"), F.coalesce("low", F.lit(NO_ID)).alias("id"))
+    texts = docs.withColumn("id", F.coalesce("doc_id", F.lit(NO_ID))).join(own.hint("merge"), ["key", "id"]).groupBy("node").agg(F.min("text").alias("text"))
+    texts = stored(texts)
     release(spark)
     links = stored(verified(pairs, texts))
-    signatures = base.join(same, ["k1", "k2"]).where("did = rep").groupBy("rep").agg(F.min("signature").alias("signature"))
     for last in (False,) * LEADER_ROUNDS + (True,):
         root = components(links)
         # what is still apart from its bucket's first leader meets other components there
@@ -258,22 +267,32 @@ def classes(table: DataFrame) -> DataFrame:
         more = stored(more.join(pairs, ["a", "b"], "left_anti"))
         found = stored(verified(more, texts))
         pairs, links = pairs.unionByName(more), links.unionByName(found)
-    root = components(links.unionByName(link.distinct()))
-    for x in (base, same, shared, texts, there):
+    root = components(links)
+    named = stored(same.join(root, F.col("rep") == F.col("node"), "left").select("key", "rep", "low", F.coalesce("root", "rep").alias("root")))
+    first = F.struct(F.coalesce("low", F.lit(NO_ID)).alias("id"), F.col("rep"))
+    best = stored(named.groupBy("root").agg(F.min("low").alias("low"), F.min_by(F.struct("low", "key"), first).alias("kept")))
+    number = F.coalesce("low", F.lit(NULL_IDS - 1) - F.col("root"))
+    known = named.select("key", "root").join(best.select("root", number.alias("class_id")), "root").select("key", "class_id")
+    own_class = F.coalesce("class_id", "doc_id", F.lit(NULL_IDS - 1) - F.col("row"))
+    rows = stored(base.select("row", "doc_id", "key").join(known, "key", "left").select("doc_id", own_class.alias("class_id")))
+    for x in (base, same, signatures, shared, texts, there, named):
         forget(x)
     release(spark)
-    out = member.join(root, F.col("did") == F.col("node"), "left")
-    return out.select("did", F.coalesce("root", "did").alias("class_id"))
+    return rows, best.select(F.col("kept.low").alias("doc_id"), "kept.key")
 
 
 def near_duplicates(table: DataFrame) -> DataFrame:
     """doc_id, class_id, one row for each row of the table."""
-    return classes(table).select(F.when(F.col("did") >= NULL_IDS, F.col("did")).alias("doc_id"), "class_id")
+    return classes(table)[0]
 
 
 def deduplicated(table: DataFrame) -> DataFrame:
-    """The documents (their five columns) without near-duplicates: of each class the row with the least id (ties: least text) stays."""
-    keep = classes(table).where("did = class_id").select("did").distinct()
-    docs = table.select(*DOC_COLUMNS).withColumn("did", node_of()).join(keep, "did", "left_semi")
-    first = F.row_number().over(Window.partitionBy("did").orderBy("text", "lang", "source", "n_chars"))
-    return docs.withColumn("first", first).where("first = 1").select(*DOC_COLUMNS)
+    """The documents (their five columns) without near-duplicates: of each class the row with the least id stays, and every row
+    without words but for repetitions. Of rows alike in id and text the first by the other columns stays."""
+    _, kept = classes(table)
+    text = F.coalesce("text", F.lit(""))
+    docs = table.select(*DOC_COLUMNS).withColumn("__key", F.unhex(F.md5(text.cast("binary")))).withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
+    keep = kept.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"), F.col("key").alias("__key"), F.lit(True).alias("__keep"))
+    docs = docs.join(keep, ["__id", "__key"], "left").where(F.col("__keep") | ~F.regexp_like(text, F.lit(r"[^\x20\x09-\x0D]")))
+    first = F.row_number().over(Window.partitionBy("__id", "__key").orderBy("lang", "source", "n_chars", "text"))
+    return docs.withColumn("__first", first).where("__first = 1").select(*DOC_COLUMNS)

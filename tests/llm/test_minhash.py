@@ -80,14 +80,51 @@ def test_odd_rows(spark):
 def test_null_ids_and_empty_table(spark):
     assert minhash.near_duplicates(frame(spark, [])).count() == 0
     text = prose(random.Random(1), 60)
-    out = minhash.classes(frame(spark, [(None, text), (7, text), (None, "another text of its own here"), (None, None), (8, None)])).collect()
-    assert len(out) == 5
-    c = {r["did"]: r["class_id"] for r in out}
-    assert c[7] == min(c) or c[7] < 0  # the null row has an equal text
-    assert c[8] == 8
-    rows = [(-5, text), (-3, text), (None, "one two three four five six"), (4, "one two three four five six")]
-    got = {r["doc_id"]: r["class_id"] for r in minhash.near_duplicates(frame(spark, rows)).collect()}
-    assert set(got) == {-5, -3, None, 4} and got[-5] == got[-3] == -5 and got[None] == got[4] < minhash.NULL_IDS
+    rows = [(-5, text), (-3, text), (None, "one two three four five six"), (4, "one two three four five six"), (None, text), (None, "another text of its own"), (None, None), (8, None)]
+    got = Counter(map(tuple, minhash.near_duplicates(frame(spark, rows)).collect()))
+    named = Counter({k: n for k, n in got.items() if k[1] > minhash.NULL_IDS})
+    assert named == Counter([(-5, -5), (-3, -5), (None, 4), (4, 4), (None, -5), (8, 8)])
+    rest = [k for k in got if k[1] < minhash.NULL_IDS]
+    assert len(rest) == 2 and all(d is None for d, _ in rest)
+
+
+def test_rows_that_share_an_id_but_not_a_text(spark):
+    rng = random.Random(12)
+    one, two = prose(rng, 80, 10**6), prose(rng, 80, 10**6)
+    rows = [(1, one), (2, one), (2, two), (3, two), (5, two + " end"), (5, prose(rng, 50, 10**6)), (3, two)]
+    got = Counter(map(tuple, minhash.near_duplicates(frame(spark, rows)).collect()))
+    assert got == Counter([(1, 1), (2, 1), (2, 2), (3, 2), (3, 2), (5, 2), (5, 5)])
+    kept = sorted((r["doc_id"], r["text"]) for r in minhash.deduplicated(frame(spark, rows)).collect())
+    assert kept == sorted([(1, one), (2, two), (5, rows[5][1])])
+
+
+def crowd(n, seed=3):
+    """One bucket that n texts of their own share, half of them near copies of another there (equal second bands)."""
+    rng = np.random.default_rng(seed)
+    buckets = rng.integers(1, 2**62, (n, minhash.BANDS))
+    signature = rng.integers(0, 2**16, (n, minhash.REGISTERS)).astype("<u2")
+    for i in range(1, n, 4):
+        signature[i, :200] = signature[i - 1, :200]
+        buckets[i, 3:12] = buckets[i - 1, 3:12]
+    buckets[:, 0] = 77
+    there = [(77, 0, i, int(1000 - i), i, n) for i in range(n)]
+    return there, [(i, buckets[i].tolist(), signature[i].tobytes()) for i in range(n)]
+
+
+def test_a_hot_bucket_is_banded_again(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "SPLIT", 64)
+    compared = {}
+    for n in (200, 400):
+        there, sign = crowd(n)
+        there, sign = spark.createDataFrame(there, "bucket long, band int, rep long, weight long, root long, n long"), spark.createDataFrame(sign, "rep long, buckets array<long>, signature binary")
+        sizes = [r["count"] for r in minhash.groups(there, sign).groupBy("bucket", "band", "band_2").count().collect()]
+        compared[n] = sum(x * x for x in sizes)
+        got = {tuple(r) for r in minhash.across(there, sign).collect()}
+        assert got == {(i - 1, i) for i in range(1, n, 4)}
+    assert compared[400] <= 2.1 * compared[200]
+    monkeypatch.setattr(minhash, "SPLIT", 10**6)
+    monkeypatch.setattr(minhash, "BLOCK", 50)
+    assert {tuple(r) for r in minhash.across(there, sign).collect()} == got
 
 
 def test_signature_estimates_similarity():
