@@ -58,6 +58,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     from quiltgraph.plans import scaffold
     from quiltgraph.plans.graph_store import GraphStore
     from quiltgraph.plans.runtime import Metrics, State, run_daemon, run_once
+    from quiltgraph.streaming.capture import changing, run_all, run_changes
 
     cfg = load_config(args.config)
     spark = spark or SparkSession.builder.appName("quiltgraph").getOrCreate()
@@ -82,14 +83,25 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     store, state, metrics = GraphStore(spark, args.graph_path or cfg.graph.get("path")), State(spark, cfg.state), Metrics()
     server = metrics_server(metrics, args.metrics_port) if args.metrics_port is not None else None
 
+    captured = changing(cfg)
+    flush = float(cfg.connection.get("flush_interval_ms") or 5000) / 1000
+
+    def purges(first: bool) -> dict:
+        return {"purge_graph": first and args.purge_graph, "purge_mappings": tuple(args.purge_mapping) if first else ()}
+
     def run(first: bool) -> None:
-        run_once(spark, cfg, store, state, metrics, purge_graph=first and args.purge_graph, purge_mappings=tuple(args.purge_mapping) if first else ())
+        run_once(spark, cfg, store, state, metrics, skip_changes=True, **purges(first))
+
+    def capture() -> None:
+        run_changes(spark, cfg, store, state, metrics)
 
     try:
-        if args.daemon:
-            run_daemon(run, args.interval_secs)
+        if not args.daemon:
+            run_all(spark, cfg, store, state, metrics, **purges(True))
+        elif len(captured) == len(cfg.mappings):  # nothing but changes: one loop
+            run_daemon(lambda first: run_all(spark, cfg, store, state, metrics, **purges(first)), flush)
         else:
-            run(True)
+            run_daemon(run, args.interval_secs, capture=capture if captured else None, flush=flush)
     finally:
         if server:
             server.shutdown()

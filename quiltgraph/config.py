@@ -272,8 +272,10 @@ def parse_config(d: Any) -> Config:
         raise ConfigError("mappings must be a list")
     graph = d.get("graph") or (d[graph_keys[0]] if graph_keys else {})
     graph = {"graph": graph} if isinstance(graph, str) else dict(graph)
-    connection = next((d[k] for k in _CONNECTIONS if isinstance(d.get(k), dict)), {})
-    connection = {k: resolve(v, k) for k, v in connection.items()}
+    block = next((k for k in _CONNECTIONS if isinstance(d.get(k), dict)), None)
+    connection = {k: resolve(v, k) for k, v in (d[block] if block else {}).items()}
+    if block and block != "connection":
+        connection.setdefault("engine", block)  # a block named after an engine is one of it
     for name in ("max_retries", "http_max_retries"):
         if connection.get(name) is not None and not 0 <= int(connection[name]) <= MOST_RETRIES:
             raise ConfigError(f"{name} must be between 0 and {MOST_RETRIES}")

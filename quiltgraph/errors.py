@@ -7,3 +7,7 @@ class ConfigError(ValueError):
 
 class MappingError(ValueError):
     """A mapping that does not fit its rows."""
+
+
+class ConflictError(RuntimeError):
+    """Two writers of one graph."""

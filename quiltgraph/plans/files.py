@@ -6,6 +6,7 @@ import json
 import uuid
 from typing import Any
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -27,16 +28,24 @@ def read_json(spark: SparkSession, path: str) -> Any | None:
         stream.close()
 
 
-def write_json(spark: SparkSession, path: str, value: Any) -> None:
-    """Write beside the file, then rename over it."""
+def write_json(spark: SparkSession, path: str, value: Any, replace: bool = True) -> bool:
+    """Write beside the file, then rename to it. Without ``replace`` a file that is there already stays, and the answer is False."""
     jvm, p, fs = _fs(spark, path)
     beside = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
     stream = fs.create(beside, True)
     stream.write(bytearray(json.dumps(value, indent=1, sort_keys=True).encode()))
     stream.close()
-    option = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)  # noqa: SLF001
-    option[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri()).rename(fs.makeQualified(beside), fs.makeQualified(p), option)
+    kinds = jvm.org.apache.hadoop.fs.Options.Rename
+    option = spark.sparkContext._gateway.new_array(kinds, 1)  # noqa: SLF001
+    option[0] = kinds.OVERWRITE if replace else kinds.NONE
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri()).rename(fs.makeQualified(beside), fs.makeQualified(p), option)
+    except Py4JJavaError:
+        if replace or not fs.exists(p):
+            raise
+        fs.delete(beside, False)
+        return False
+    return True
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -47,3 +56,8 @@ def remove(spark: SparkSession, path: str) -> None:
 def folders(spark: SparkSession, path: str) -> list[str]:
     _, p, fs = _fs(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()] if fs.exists(p) else []
+
+
+def files(spark: SparkSession, path: str) -> list[str]:
+    _, p, fs = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isFile()] if fs.exists(p) else []

@@ -1,8 +1,9 @@
 """The property graph as typed tables: one for each label set, one for each (relationship, label set, label set).
 
 Writes are functional: each merge or delete replaces a table's lazy plan. ``flush`` writes the changed tables as a new
-version, ``commit`` makes the versions current for readers by one atomic rename of the graph's manifest; a run that
-fails before that leaves the old graph as it was.
+version, ``commit`` makes the versions current for readers by one atomic rename to the manifest of the next version, which
+fails where another writer was first; a run that fails before that leaves the old graph as it was, and ``rollback`` brings a store
+in use back to it.
 """
 
 from __future__ import annotations
@@ -16,15 +17,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quiltgraph.config import Endpoint, Index
+from quiltgraph.errors import ConflictError
 from quiltgraph.functions.values import field
 from quiltgraph.operators.endpoints import resolve
 from quiltgraph.operators.fold import fold_last
 from quiltgraph.operators.mapping import EDGE_KEY, KEY, ORDER
 from quiltgraph.operators.merge import delete, detach, upsert
-from quiltgraph.plans.files import folders, read_json, remove, write_json
+from quiltgraph.plans.files import files, folders, read_json, remove, write_json
 
 Labels = tuple[str, ...]
 EDGE_ID = ["src_key", "dst_key", "edge_key"]
+#: Manifests that are kept for readers of older versions; their tables stay until ``vacuum``.
+KEPT_VERSIONS = 20
 
 
 def label_set(labels: Iterable[str]) -> Labels:
@@ -47,8 +51,10 @@ class GraphStore:
         self._files: dict[tuple, str] = {}
         self._changed: set[tuple] = set()
         self._bucketed: dict[tuple, tuple[int, str]] = {}
+        self.version = 0
         if path:
             self._load()
+        self._remember()
 
     # reading
 
@@ -218,21 +224,45 @@ class GraphStore:
         self._changed = set()
 
     def commit(self) -> None:
-        """Make everything flushed so far the current graph."""
+        """Make everything flushed so far the current graph. An error if someone else has committed since this store was loaded."""
         self.flush()
         if self.path:
             tables = [{"kind": k[0], "key": _plain(k[1:]), "table": name, "schema": self._frame(k).schema.json(), "unique": self.keys.get(k[1:]) if k[0] == "node" else None, "buckets": self._bucketed.get(k)} for k, name in sorted(self._files.items(), key=repr)]
-            write_json(self.spark, f"{self.path}/_CURRENT", {"tables": tables, "indexes": sorted(self.indexes)})
+            if not write_json(self.spark, self._manifest(self.version + 1), {"tables": tables, "indexes": sorted(self.indexes)}, replace=False):
+                raise ConflictError(f"{self.path}: version {self.version + 1} was committed by another writer")
+            self.version += 1
+            if self.version > KEPT_VERSIONS:
+                remove(self.spark, self._manifest(self.version - KEPT_VERSIONS))
+        self._remember()
+
+    def rollback(self) -> None:
+        """Forget what was not committed: with a path, the store becomes the current version there."""
+        for name, value in self._committed.items():
+            setattr(self, name, value.copy())
+        if self.path:
+            for x in (self.nodes, self.edges, self.keys, self._files, self._changed, self._bucketed):
+                x.clear()
+            self._load()
+            self._remember()
+
+    def _remember(self) -> None:
+        self._committed = {name: getattr(self, name).copy() for name in ("nodes", "edges", "indexes", "keys", "_files", "_changed", "_bucketed")}
+
+    def _manifest(self, version: int) -> str:
+        return f"{self.path}/versions/{version:012d}.json"
 
     def vacuum(self) -> int:
         """Delete tables that the current version does not use; no reader of an older version may be left."""
-        now = {t["table"] for t in (read_json(self.spark, f"{self.path}/_CURRENT") or {"tables": []})["tables"]}
+        now = {t["table"] for t in (read_json(self.spark, self._manifest(self._newest())) or {"tables": []})["tables"]}
         old = [f for f in folders(self.spark, f"{self.path}/tables") if f not in now and f not in self._files.values()]
         for f in old:
             self.spark.sql(f"DROP TABLE IF EXISTS {_table_name(f)}")
             remove(self.spark, f"{self.path}/tables/{f}")
         return len(old)
 
+    def _newest(self) -> int:
+        return max((int(f[:-5]) for f in files(self.spark, f"{self.path}/versions") if f.endswith(".json") and f[:-5].isdigit()), default=0)
+
     def _bucket_column(self, k: tuple) -> str | None:
         return self.keys.get(k[1:]) if self.buckets and k[0] == "node" else None
 
@@ -258,7 +288,8 @@ class GraphStore:
 
         from pyspark.sql.types import StructType
 
-        found = read_json(self.spark, f"{self.path}/_CURRENT") or {"tables": [], "indexes": []}
+        self.version = self._newest()
+        found = read_json(self.spark, self._manifest(self.version)) or {"tables": [], "indexes": []}
         self.indexes = {tuple(x) for x in found["indexes"]}
         for t in found["tables"]:
             key = t["key"]

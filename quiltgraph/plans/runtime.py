@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import threading
+import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 from datetime import datetime, timezone
@@ -11,23 +13,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quiltgraph.config import Config, Edge, Index, Node
+from quiltgraph.errors import ConfigError
 from quiltgraph.functions.values import parse_rfc3339
 from quiltgraph.operators import delta as D
 from quiltgraph.operators.mapping import require_keys, to_edges, to_nodes
-from quiltgraph.plans.files import read_json, write_json
+from quiltgraph.plans.files import read_json, remove, write_json
 from quiltgraph.plans.graph_store import GraphStore
-from quiltgraph.sources.readers import needed_columns, read_source
+from quiltgraph.sources.readers import is_outside, needed_columns, read_source
 
 COUNTERS = ("runs", "failed_runs", "rows_fetched", "rows_written", "rows_deleted")
 
 
 class State:
-    """Watermarks of the mappings, as RFC 3339 text in a JSON file (None: in memory only)."""
+    """Watermarks of the mappings, as RFC 3339 text, and the places of change logs, in a JSON file (None: in memory only)."""
 
     def __init__(self, spark: SparkSession, path: str | None = None):
         self.spark, self.path = spark, path
         found = (read_json(spark, path) or {}) if path else {}
         self.mappings: dict[str, str] = dict(found.get("mappings", {}))
+        self.places: dict[str, str] = dict(found.get("places", {}))
 
     def watermark(self, name: str) -> datetime | None:
         return parse_rfc3339(self.mappings[name]) if name in self.mappings else None
@@ -47,7 +51,7 @@ class State:
 
     def save(self) -> None:
         if self.path:
-            write_json(self.spark, self.path, {"mappings": self.mappings})
+            write_json(self.spark, self.path, {"mappings": self.mappings} | ({"places": self.places} if self.places else {}))
 
 
 @dataclass
@@ -142,14 +146,44 @@ class SharedSources:
             df.unpersist()
 
 
-def run_once(spark: SparkSession, cfg: Config, store: GraphStore, state: State | None = None, metrics: Metrics | None = None, tables: Callable[[str], DataFrame] | None = None, purge_graph: bool = False, purge_mappings: tuple[str, ...] = (), now: Callable[[], datetime] = lambda: datetime.now(timezone.utc), on_null: str = "error", share_sources: bool = False) -> Metrics:
-    """Nodes, then edges, then one commit, then the watermarks. A failure leaves graph and state as they were.
+class Staged:
+    """Rows of sources outside of Spark, read once and kept beside the graph until the run ends: counts, watermarks and
+    writes then speak of the same rows, also after an executor is lost."""
 
-    ``share_sources``: a source that several mappings read alike is read once, with the columns of all of them, and kept
-    (on disk where memory is short) until the run ends: for sources outside of Spark, which prune and scan no cheaper.
+    def __init__(self, store: GraphStore):
+        self.store, self.paths, self.held = store, [], []
+
+    def keep(self, rows: DataFrame) -> DataFrame:
+        if not self.store.path:
+            self.held.append(rows.persist())
+            return self.held[-1]
+        self.paths.append(f"{self.store.path}/staged/{uuid.uuid4().hex}")
+        rows.write.parquet(self.paths[-1])
+        return rows.sparkSession.read.schema(rows.schema).parquet(self.paths[-1])
+
+    def close(self) -> None:
+        for path in self.paths:
+            remove(self.store.spark, path)
+        for df in self.held:
+            df.unpersist()
+
+
+def run_once(spark: SparkSession, cfg: Config, store: GraphStore, state: State | None = None, metrics: Metrics | None = None, tables: Callable[[str], DataFrame] | None = None, purge_graph: bool = False, purge_mappings: tuple[str, ...] = (), now: Callable[[], datetime] = lambda: datetime.now(timezone.utc), on_null: str = "error", share_sources: bool = False, skip_changes: bool = False) -> Metrics:
+    """Nodes, then edges, then one commit, then the watermarks. A failure leaves graph and state as they were, those in
+    memory too.
+
+    Mappings in ``cdc`` mode are an error here unless ``skip_changes`` says that they are run elsewhere
+    (``streaming.capture.run_all``). ``share_sources``: a source that several mappings read alike is read once, with the columns
+    of all of them, and kept (on disk where memory is short) until the run ends: for sources outside of Spark, which prune
+    and scan no cheaper.
     """
     state, metrics = state or State(spark, cfg.state), metrics or Metrics()
+    changes = [m.name for m in cfg.mappings if m.mode == "cdc"]
+    if changes and not skip_changes:
+        raise ConfigError(f"{', '.join(changes)}: mode cdc needs a run that captures changes")
     shared = SharedSources(spark, cfg, tables) if share_sources else None
+    staged = Staged(store)
+    before = dict(state.mappings)
     counted: list[tuple[str, int, int]] = []
     marks: dict[str, datetime] = {}
     try:
@@ -166,6 +200,8 @@ def run_once(spark: SparkSession, cfg: Config, store: GraphStore, state: State |
                     marks[m.name] = now()  # start from here on
                     continue
                 rows = shared.read(m, since) if shared else read_source(spark, cfg, m, since, tables)
+                if is_outside(cfg, m):
+                    rows = staged.keep(rows)
                 # before the rows themselves are read: what arrives in between is read again next time
                 top = D.max_watermark(rows, m.delta)
                 found = rows.agg(F.count("*").alias("n"), F.count_if(D.deleted(rows, m.delta)).alias("gone"), *([F.unix_micros(top).alias("top")] if top is not None else [])).first()
@@ -179,12 +215,15 @@ def run_once(spark: SparkSession, cfg: Config, store: GraphStore, state: State |
             store.flush()  # nodes stand before edges look for them
         store.commit()
     except Exception:
+        state.mappings = before
+        store.rollback()
         metrics.add("runs")
         metrics.add("failed_runs")
         raise
     finally:
         if shared:
             shared.close()
+        staged.close()
     for name, when in marks.items():
         state.set(name, when)
     state.save()
@@ -198,15 +237,29 @@ def run_once(spark: SparkSession, cfg: Config, store: GraphStore, state: State |
     return metrics
 
 
-def run_daemon(run: Callable[[bool], None], interval: float = 60.0, stop: threading.Event | None = None, most: int | None = None) -> tuple[int, int]:
-    """Call ``run(first)`` at once and then at a fixed interval; failures are counted, not fatal. Gives (runs, failures)."""
+def run_daemon(run: Callable[[bool], None], interval: float = 60.0, stop: threading.Event | None = None, most: int | None = None, capture: Callable[[], None] | None = None, flush: float = 5.0) -> tuple[int, int]:
+    """Call ``run(first)`` at once and then at a fixed interval; failures are counted, not fatal. Gives (runs, failures).
+
+    ``capture``: called every ``flush`` seconds as well, never beside a run; ``most`` limits calls of either kind.
+    """
     stop, n, failed = stop or threading.Event(), 0, 0
+    tasks = [[0.0, interval, run]] + ([[0.0, flush, capture]] if capture else [])
+    first, clock = True, time.monotonic
+    for t in tasks:
+        t[0] = clock()
     while not stop.is_set() and (most is None or n < most):
+        due = min(tasks, key=lambda t: t[0])
+        stop.wait(max(0.0, due[0] - clock()))
+        if stop.is_set():
+            break
+        due[0] = clock() + due[1]
         try:
-            run(n == 0)
+            if due[2] is run:
+                is_first, first = first, False
+                run(is_first)
+            else:
+                capture()
         except Exception:  # noqa: BLE001
             failed += 1
         n += 1
-        if most is None or n < most:
-            stop.wait(interval)
     return n, failed

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import json
+from datetime import datetime, timedelta, timezone
 from typing import Any
 
 
@@ -50,6 +51,11 @@ def cell(value: Any, kind: str, mode: str = "NULLABLE", fields: list[dict] | Non
     text = value
     if kind in ("BOOL", "BOOLEAN"):
         return {"true": True, "1": True, "false": False, "0": False}.get(str(text).lower(), text)
+    if kind == "TIMESTAMP":  # seconds since the epoch
+        try:
+            return (datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=round(float(text) * 1e6))).isoformat()
+        except (ValueError, TypeError):
+            return text
     for kinds, make in ((("INT64", "INTEGER"), int), (("FLOAT64", "FLOAT"), float), (("JSON",), json.loads)):
         if kind in kinds:
             try:
@@ -59,17 +65,13 @@ def cell(value: Any, kind: str, mode: str = "NULLABLE", fields: list[dict] | Non
     return text
 
 
-def paged_rows(pages: list[dict]) -> list[dict]:
-    """Rows of all result pages in order; the first page's schema holds for all."""
-    fields = next((p["schema"]["fields"] for p in pages if p.get("schema")), [])
+def paged_rows(pages: list[dict], fields: list[dict] | None = None) -> list[dict]:
+    """Rows of result pages in order, by the given schema or else the first page's."""
+    if fields is None:
+        fields = next((p["schema"]["fields"] for p in pages if p.get("schema")), [])
     return [{f["name"]: cell(c.get("v"), f["type"], f.get("mode", "NULLABLE"), f.get("fields")) for f, c in zip(fields, row.get("f", []), strict=False)} for p in pages for row in p.get("rows") or []]
 
 
-def statement_rows(columns: list[str], chunks: list[list[list[Any]]]) -> list[dict]:
-    """Rows of a statement service that sends arrays in chunks."""
-    return [{(columns[i] if i < len(columns) else f"col_{i + 1}"): v for i, v in enumerate(row)} for chunk in chunks for row in chunk]
-
-
 # Wrappers of typed cells, in order of preference.
 _WRAPPERS = ("stringVal", "longVal", "intVal", "doubleVal", "floatVal", "boolVal", "booleanVal", "decimalVal", "dateVal", "timestampVal", "value")
 

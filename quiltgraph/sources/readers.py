@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import time
 import urllib.error
 import urllib.request
@@ -18,8 +17,8 @@ from quiltgraph.config import Config, Edge, Node
 from quiltgraph.errors import ConfigError, MappingError
 from quiltgraph.functions import names
 from quiltgraph.functions.values import apply_strategy, field, literal, watermark_value
-from quiltgraph.sources.decoders import basic_auth, json_lines, paged_rows, statement_rows, with_format
 from quiltgraph.sources.dialects import DIALECTS, build_sql
+from quiltgraph.sources.services import read_service, service_of
 
 
 def json_file(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -105,10 +104,15 @@ def read_source(spark: SparkSession, cfg: Config, m: Node | Edge, watermark=None
     return df.select(*(field(c) for c in needed_columns(m) if c in df.columns))
 
 
+def is_outside(cfg: Config, m: Node | Edge) -> bool:
+    """Whether a mapping reads from another system, where two reads can have two answers."""
+    return not m.source.file and bool(service_of(cfg.connection) or cfg.connection.get("url"))
+
+
 def _scan(spark: SparkSession, cfg: Config, m: Node | Edge, watermark, tables) -> DataFrame:
     s, engine = m.source, cfg.connection.get("engine", "spark")
-    if engine in ("clickhouse_http", "bigquery", "databricks_http"):
-        return spark.createDataFrame(http_rows(engine, cfg.connection, m, watermark))
+    if service_of(cfg.connection):
+        return read_service(spark, cfg.connection, m, watermark, request)
     if cfg.connection.get("url"):
         return jdbc(spark, engine, cfg.connection, m, watermark)
     if s.select:
@@ -148,35 +152,3 @@ def request(url: str, body: bytes | None, headers: dict[str, str], timeout: floa
                 raise RuntimeError(names.truncate_message(f"{url}: {e}")) from e
         time.sleep(names.backoff_ms(attempt, base_ms, most_ms) / 1000)
     raise AssertionError
-
-
-def http_rows(engine: str, c: dict[str, Any], m: Node | Edge, watermark=None, call: Callable[..., bytes] = request) -> list[dict]:
-    """Rows of a query service; ``call`` is the HTTP client."""
-    sql = build_sql({"clickhouse_http": "clickhouse", "databricks_http": "databricks"}.get(engine, engine), m, None if watermark is None else watermark.isoformat(sep=" "))
-    if engine == "clickhouse_http":
-        return json_lines(call(c["url"], with_format(sql).encode(), basic_auth(c.get("user", "default"), c.get("password", "")) | {"Content-Type": "text/plain"}).decode())
-    head = {"Authorization": f"Bearer {c['token']}", "Content-Type": "application/json"}
-    if engine == "bigquery":
-        base = c.get("url", "https://bigquery.googleapis.com/bigquery/v2") + f"/projects/{c['project']}/queries"
-        page = json.loads(call(base, json.dumps({"query": sql, "useLegacySql": False, "maxResults": 10_000}).encode(), head))
-        pages, job = [page], page["jobReference"]["jobId"]
-        for _ in range(int(c.get("most_polls", 240))):
-            if pages[-1].get("jobComplete", True):
-                break
-            time.sleep(0.5)
-            pages[-1] = json.loads(call(f"{base}/{job}?maxResults=10000", None, head))
-        else:
-            raise TimeoutError("the query did not end in time")
-        while pages[-1].get("pageToken"):
-            pages.append(json.loads(call(f"{base}/{job}?maxResults=10000&pageToken={pages[-1]['pageToken']}", None, head)))
-        return paged_rows(pages)
-    got = json.loads(call(c["url"] + "/api/2.0/sql/statements", json.dumps({"statement": sql, "warehouse_id": c["warehouse_id"], "wait_timeout": "50s"}).encode(), head))
-    if got["status"]["state"] != "SUCCEEDED":
-        raise RuntimeError(names.truncate_message(f"statement: {got['status']}"))
-    columns = [x["name"] for x in got["manifest"]["schema"]["columns"]]
-    part, chunks = got.get("result") or {}, []
-    while part:
-        chunks.append(part.get("data_array") or [])
-        link = part.get("next_chunk_internal_link")
-        part = json.loads(call(c["url"] + link, None, head)) if link else None
-    return statement_rows(columns, chunks)

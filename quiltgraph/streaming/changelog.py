@@ -36,7 +36,7 @@ def typed_rows(changes: DataFrame, schema: T.StructType) -> DataFrame:
 
 def schema_for(m: Node | Edge, schemas: dict[str, T.StructType] | None) -> T.StructType:
     """The table's columns that the mapping reads; text where the catalog is not given."""
-    known = (schemas or {}).get(m.source.table or "")
+    known = (schemas or {}).get(m.source.table or m.source.stream or "")
     return T.StructType([(known[c] if known is not None and c in known.names else T.StructField(c, T.StringType())) for c in needed_columns(m)])
 
 
@@ -66,9 +66,10 @@ def last_changes(rows: DataFrame, keys: list[str], columns: dict[str, str], dele
 def apply_changelog(store: GraphStore, cfg: Config, changes: DataFrame, schemas: dict[str, T.StructType] | None = None, ignore_case: bool = False) -> None:
     """Apply a batch of changes to all mappings in ``cdc`` mode: nodes first, then edges."""
     for m in (*cfg.nodes, *cfg.edges):
-        if m.mode != "cdc" or not m.source.table:
+        name = m.source.table or m.source.stream
+        if m.mode != "cdc" or not name:
             continue
-        rows = typed_rows(of_table(changes, m.source.table, ignore_case), schema_for(m, schemas))
+        rows = typed_rows(of_table(changes, name, ignore_case), schema_for(m, schemas))
         if isinstance(m, Node):
             _apply_nodes(store, cfg, m, rows)
         else:
@@ -127,23 +128,34 @@ def _apply_edges(store: GraphStore, cfg: Config, m: Edge, rows: DataFrame) -> No
         step()
 
 
+def commit_changes(store: GraphStore, cfg: Config, changes: DataFrame, schemas: dict[str, T.StructType] | None = None, metrics: Metrics | None = None, ignore_case: bool = False) -> None:
+    """Apply a batch and commit the graph; after a failure the store is what it was before."""
+    cached = changes.persist()
+    try:
+        apply_changelog(store, cfg, cached, schemas, ignore_case)
+        store.commit()
+        if metrics is not None:
+            n = cached.agg(F.count("*").alias("n"), F.count_if(F.col("op") == "D").alias("d")).first()
+            metrics.add("runs")
+            metrics.add("rows_fetched", n["n"])
+            metrics.add("rows_written", n["n"] - n["d"])
+            metrics.add("rows_deleted", n["d"])
+    except Exception:
+        store.rollback()
+        if metrics is not None:
+            metrics.add("runs")
+            metrics.add("failed_runs")
+        raise
+    finally:
+        cached.unpersist()
+
+
 def stream_to_graph(changes: DataFrame, cfg: Config, store: GraphStore, checkpoint: str, schemas: dict[str, T.StructType] | None = None, interval: str | None = None, metrics: Metrics | None = None, ignore_case: bool = False):
     """A streaming query that applies each micro-batch and commits the graph; its place in the stream is saved only
     after that, so a batch may be applied again but is never lost. Without an interval it takes what is there and ends."""
 
     def each(batch: DataFrame, number: int) -> None:
-        cached = batch.persist()
-        try:
-            apply_changelog(store, cfg, cached, schemas, ignore_case)
-            store.commit()
-            if metrics is not None:
-                n = cached.agg(F.count("*").alias("n"), F.count_if(F.col("op") == "D").alias("d")).first()
-                metrics.add("runs")
-                metrics.add("rows_fetched", n["n"])
-                metrics.add("rows_written", n["n"] - n["d"])
-                metrics.add("rows_deleted", n["d"])
-        finally:
-            cached.unpersist()
+        commit_changes(store, cfg, batch, schemas, metrics, ignore_case)
 
     writer = changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()

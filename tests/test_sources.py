@@ -1,4 +1,6 @@
 import json
+import threading
+from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
 import pytest
 
@@ -53,23 +55,124 @@ def test_decoders():
     assert decoders.paged_rows([{"schema": {"fields": fields}, "rows": [row]}, {"rows": [row]}]) == [{"i": 5, "d": "1.10", "t": ["x"], "r": {"b": True}, "j": {"a": 1}}] * 2
     assert decoders.session_rows({"data": {"application/json": {"schema": {"fields": [{"name": "a"}, {"name": "b"}]}, "data": [[1, {"longVal": 2}], [3, None]]}}}) == [{"a": 1, "b": 2}, {"a": 3, "b": None}]
     assert decoders.session_rows({"data": {"text/plain": "[[1,2]]"}}) == [{"col_1": 1, "col_2": 2}]
-    assert decoders.statement_rows(["a"], [[[1, 2]], [[3, 4]]]) == [{"a": 1, "col_2": 2}, {"a": 3, "col_2": 4}]
+    assert decoders.cell("1.5", "TIMESTAMP") == "1970-01-01T00:00:01.500000+00:00"
 
 
-def test_http_services_with_a_stub():
-    calls = []
+class Stub:
+    """An HTTP server whose answers are made by ``answer(method, path, body)``."""
 
-    def call(url, body, headers, **_):
-        calls.append((url, body))
-        if "queries" in url:
-            more = "pageToken" not in url and body is None
-            return json.dumps({"jobComplete": body is None, "jobReference": {"jobId": "j"}, "schema": {"fields": [{"name": "id", "type": "INT64"}]}, "rows": [{"f": [{"v": str(len(calls))}]}], **({"pageToken": "n"} if more else {})}).encode()
-        return b'{"id": 1}\n{"id": 2}\n'
+    def __init__(self, answer):
+        self.seen = []
 
-    m = node({"table": "t"})
-    assert readers.http_rows("clickhouse_http", {"url": "http://x"}, m, call=call) == [{"id": 1}, {"id": 2}]
-    assert calls[0][1] == b"SELECT * FROM t FORMAT JSONEachRow"
-    assert [r["id"] for r in readers.http_rows("bigquery", {"url": "http://x", "project": "p", "token": "k"}, m, call=call)] == [3, 4]
+        class Handler(BaseHTTPRequestHandler):
+            def reply(handler):
+                n = int(handler.headers.get("Content-Length") or 0)
+                body = handler.rfile.read(n).decode()
+                self.seen.append((handler.command, handler.path, body))
+                out = answer(handler.command, handler.path, body)
+                out = (out if isinstance(out, str) else json.dumps(out)).encode()
+                handler.send_response(200)
+                handler.send_header("Content-Length", str(len(out)))
+                handler.end_headers()
+                handler.wfile.write(out)
+
+            do_GET = do_POST = do_DELETE = reply
+
+            def log_message(self, *_):
+                pass
+
+        self.server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+        threading.Thread(target=self.server.serve_forever, daemon=True).start()
+        self.url = f"http://127.0.0.1:{self.server.server_address[1]}"
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        self.server.shutdown()
+
+
+def rows_through(spark, engine, connection, source, **more):
+    cfg = parse_config({engine: connection, "mappings": [{"type": "node", "name": "n", "labels": ["N"], "key": {"column": "id", "property": "id"}, "properties": {"v": "v"}, "source": source, **more}]})
+    df = readers.read_source(spark, cfg, cfg.nodes[0])
+    return df.schema.simpleString(), sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+FIELDS = [{"name": "id", "type": "INT64"}, {"name": "v", "type": "FLOAT64"}]
+
+
+@pytest.mark.parametrize("total", [0, 3, 25])
+def test_pages_of_a_query_service(spark, total):
+    page, short = 10, 7  # answers may hold fewer rows than were asked for
+
+    def answer(method, path, body):
+        if method == "POST":
+            return {"jobComplete": False, "jobReference": {"jobId": "j", "location": "eu"}}
+        start = int(path.split("startIndex=")[1].split("&")[0]) if "startIndex" in path else 0
+        n = min(short if start else page, total - start)
+        return {"jobComplete": True, "jobReference": {"jobId": "j"}, "totalRows": str(total), "schema": {"fields": FIELDS}, "rows": [{"f": [{"v": str(i)}, {"v": None if i < 12 else "0.5"}]} for i in range(start, start + n)]}
+
+    with Stub(answer) as s:
+        kind, rows = rows_through(spark, "bigquery", {"url": s.url, "project": "p", "dataset": "d", "token": "k", "max_results": page, "poll_secs": 0}, {"table": "t"})
+        assert kind == "struct<v:double,id:bigint>"  # whatever the rows hold
+        assert sorted(r[1] for r in rows) == list(range(total)) and {r[0] for r in rows} <= {None, 0.5}
+        assert "`p.d.t`" in json.loads(s.seen[0][2])["query"]
+        if total > page:
+            assert all("location=eu" in p for m, p, _ in s.seen[1:])
+
+
+@pytest.mark.parametrize("chunks", [0, 1, 3])
+def test_chunks_of_a_statement_service(spark, chunks):
+    def part(i):
+        return {"chunk_index": i, "data_array": [[str(i), None if i < 2 else "[1, 2]"], [str(10 + i), None]]}
+
+    def answer(method, path, body):
+        if "/chunks/" in path:
+            return part(int(path.rsplit("/", 1)[1]))
+        state = "PENDING" if method == "POST" else "SUCCEEDED"
+        out = {"statement_id": "x", "status": {"state": state}}
+        if state == "SUCCEEDED":
+            out |= {"manifest": {"total_chunk_count": chunks, "schema": {"columns": [{"name": "v", "type_text": "ARRAY<INT>", "position": 1}, {"name": "id", "type_text": "BIGINT", "position": 0}]}}, "result": part(0) if chunks else {}}
+        return out
+
+    with Stub(answer) as s:
+        kind, rows = rows_through(spark, "databricks", {"url": s.url, "warehouse_id": "w", "token": "k", "poll_secs": 0, "catalog": "c", "schema_strategy": "preserve"}, {"table": "t"})
+        assert kind == "struct<v:array<int>,id:bigint>" and len(rows) == 2 * chunks
+        assert ([1, 2], 2) in rows or chunks < 3
+        assert json.loads(s.seen[0][2])["catalog"] == "c"
+
+
+def test_ranges_of_a_line_service(spark):
+    def answer(method, path, body):
+        if body.startswith("DESCRIBE"):
+            return '{"name": "id", "type": "UInt32"}\n{"name": "v", "type": "Nullable(Decimal(10, 2))"}\n{"name": "w", "type": "LowCardinality(String)"}\n'
+        low = int(body.split("id >= ")[1].split(" ")[0])
+        return "".join(json.dumps({"id": i, "v": None if i < 5 else f"{i}.25", "w": "x"}) + "\n" for i in range(low, low + 4)) if low < 8 else ""
+
+    with Stub(answer) as s:
+        kind, rows = rows_through(spark, "clickhouse", {"url": s.url}, {"table": "t", "partition": {"column": "id", "lower_bound": "0", "upper_bound": "12", "num_partitions": 3}})
+        assert kind == "struct<v:decimal(10,2),id:bigint>" and [r[1] for r in sorted(rows, key=lambda r: r[1])] == list(range(8))
+        asked = sorted(b for _, _, b in s.seen if not b.startswith("DESCRIBE"))
+        assert len(asked) == 3 and asked[0].endswith("(id >= 0 AND id < 4) FORMAT JSONEachRow")
+
+
+def test_a_statement_in_another_session(spark):
+    states = iter(["starting", "idle", "waiting", "available"])
+
+    def answer(method, path, body):
+        if method == "DELETE":
+            return {}
+        if method == "POST":
+            return {"id": 7 if path.endswith("sessions") else 1}
+        out = {"state": next(states)}
+        if out["state"] == "available":
+            out["output"] = {"status": "ok", "data": {"application/json": {"schema": {"fields": [{"name": "id", "type": "bigint"}, {"name": "v", "type": "string"}]}, "data": [[1, None], [2, "b"]]}}}
+        return out
+
+    with Stub(answer) as s:
+        kind, rows = rows_through(spark, "spark", {"livy_url": s.url, "poll_secs": 0}, {"select": "SELECT 1"})
+        assert kind == "struct<v:string,id:bigint>" and rows == [("b", 2), (None, 1)]
+        assert s.seen[-1][:2] == ("DELETE", "/sessions/7")
 
 
 def test_files_and_missing_columns(spark, tmp_path):
