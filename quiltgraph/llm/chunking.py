@@ -12,13 +12,17 @@ contained only in another empty one).
 
 Next documents: rows are dealt to ranges of doc_id and sorted there; the first row of each range is
 sent to the range before it as well. Each range is streamed; no task holds more than a range's
-sort needs. A null text counts as empty; null ids come last; rows with one doc_id follow in order of
-their text. An empty table gives no rows; columns besides doc_id and text are ignored.
+sort needs. A null text counts as empty; null ids come last; rows with one doc_id (or none) follow in order of a hash of
+their text, and an id with very many rows has several ranges. Rows alike in both meet in one range, which is sorted on disk and
+streamed. Very long texts are held two at a time. An empty table gives no rows; columns besides doc_id and text are ignored.
+
+``near_edited`` and ``near_next`` are containments of the document's fingerprint in the other one, so they are not symmetric.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -103,29 +107,50 @@ def edited(text: str, following: str) -> str:
 RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
+def ranges_for(docs: DataFrame, rows: int) -> list[tuple[int, int]]:
+    """(first id, number of ranges for that very id) in ascending order: ids from one entry to the next share a range. An id
+    with more rows than a range holds gets several, by the hash of the text."""
+    n = min(MOST_RANGES, buckets_for(rows, RANGE_ROWS))
+    if n < 2:
+        return []
+    nulls = docs.where(F.col("did") == NO_ID).count()
+    cuts = Counter(int(c) for c in docs.where(F.col("did") != NO_ID).approxQuantile("did", [i / n for i in range(1, n)], 0.1 / n))
+    if nulls:
+        cuts[NO_ID] = min(n, buckets_for(nulls, RANGE_ROWS))
+    return sorted(cuts.items())
+
+
 def with_next(docs: DataFrame, rows: int) -> DataFrame:
     """Rows (__range, __extra, did, text), sorted so that each document's next one follows it; __extra marks a range's borrowed last row."""
-    df = keyed(small_batches(docs))
-    n = min(MOST_RANGES, buckets_for(rows, RANGE_ROWS))
-    cuts = []
-    if n > 1:
-        cuts = sorted(set(df.where(F.col("did") != NO_ID).approxQuantile("did", [i / n for i in range(1, n)], 0.1 / n)))
-    place = F.lit(0)
+    df = keyed(small_batches(docs)).withColumn("__hash", F.xxhash64("text"))
+    cuts = ranges_for(df, rows)
+    place, total = F.lit(0), 1
     if cuts:
         # binary search in a sorted literal: its length follows the number of ranges
-        place = F.aggregate(F.array(*(F.lit(1 << b) for b in range(len(cuts).bit_length() - 1, -1, -1))), F.lit(0), lambda lo, step: F.when(lo + step <= len(cuts), F.when(F.element_at(F.array(*(F.lit(int(c)) for c in cuts)), F.greatest(F.lit(1), F.least(F.lit(len(cuts)), lo + step))) <= F.col("did"), lo + step).otherwise(lo)).otherwise(lo))
-    df = df.withColumn("__range", place.cast("int"))
-    heads = df.groupBy("__range").agg(F.min("did").alias("__first"))
-    order = sorted((r["__range"], r["__first"]) for r in heads.collect())  # one row a range
+        first = F.array(*(F.lit(c) for c, _ in cuts))
+        at = F.aggregate(F.array(*(F.lit(1 << b) for b in range(len(cuts).bit_length() - 1, -1, -1))), F.lit(0), lambda lo, step: F.when(lo + step <= len(cuts), F.when(F.element_at(first, F.greatest(F.lit(1), F.least(F.lit(len(cuts)), lo + step))) <= F.col("did"), lo + step).otherwise(lo)).otherwise(lo))
+        begin, total = [], 1
+        for _, many in cuts:
+            begin.append(total)
+            total += many + 1 if many > 1 else 1
+        df = df.withColumn("__at", at)
+        own = F.floor((F.col("__hash").cast("double") / F.lit(2.0**64) + 0.5) * F.col("__many")).cast("int")
+        look = F.col("__at") > 0
+        df = df.withColumn("__many", F.when(look, F.element_at(F.array(*(F.lit(m) for _, m in cuts)), F.greatest(F.lit(1), F.col("__at")))).otherwise(1))
+        hot = look & (F.col("did") == F.element_at(first, F.greatest(F.lit(1), F.col("__at"))))
+        inner = F.when(F.col("__many") > 1, F.when(hot, F.least(own, F.col("__many") - 1)).otherwise(F.col("__many"))).otherwise(0)
+        place = F.when(look, F.element_at(F.array(*(F.lit(b) for b in begin)), F.greatest(F.lit(1), F.col("__at"))) + inner).otherwise(0)
+    df = df.withColumn("__range", place.cast("int")).drop("__at", "__many")
+    heads = df.groupBy("__range").agg(F.min(F.struct("did", "__hash")).alias("h"))
+    order = sorted((r["__range"], r["h"]["did"], r["h"]["__hash"]) for r in heads.collect())  # one row a range
     if not order:
         return df.withColumn("__extra", F.lit(0))
-    before = {first: order[i - 1][0] for i, (_, first) in enumerate(order)}  # the first document follows the last
-    wanted = df.where(F.col("did").isin([first for _, first in order]))
-    extra = wanted.groupBy("did").agg(F.min("text").alias("text"))
-    lookup = F.element_at(F.create_map(*(F.lit(x) for pair in before.items() for x in pair)), F.col("did"))
-    extra = extra.select("did", "text", lookup.cast("int").alias("__range"), F.lit(1).alias("__extra"))
+    # the first document follows the last; as many rows as ranges, at most about 2 x MOST_RANGES
+    borrowed = df.sparkSession.createDataFrame([(did, h, order[i - 1][0]) for i, (_, did, h) in enumerate(order)], "did long, __hash long, __range int")
+    wanted = df.drop("__range").join(F.broadcast(borrowed), ["did", "__hash"])
+    extra = wanted.groupBy("did", "__hash", "__range").agg(F.min("text").alias("text")).withColumn("__extra", F.lit(1))
     both = df.withColumn("__extra", F.lit(0)).unionByName(extra)
-    return both.repartitionById(n, F.col("__range")).sortWithinPartitions("__range", "__extra", "did", "text")
+    return both.repartitionById(total, F.col("__range")).sortWithinPartitions("__range", "__extra", "did", "__hash")
 
 
 def fingerprints(docs: DataFrame, rows: int) -> DataFrame:

@@ -24,9 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); a temporary one only where none is set, as in tests."""
+    """The cluster's shared folder (``spark.checkpoint.dir``); a temporary one only where none is set and Spark is one process."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="quiltgraph-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path
@@ -72,7 +75,8 @@ def release(spark: SparkSession) -> None:
 
 
 def small_batches(df: DataFrame, most: int = 16 << 20) -> DataFrame:
-    """Texts reach Python workers in batches of at most ``most`` bytes or one row, whatever their lengths; a lower session setting stays."""
+    """Texts reach Python workers in batches of at most ``most`` bytes or one row, whatever their lengths; a lower session setting
+    stays. Spark reads the setting when a query runs, so it holds for the session from here on."""
     conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
     have = conf.get(name).lower().rstrip("b")
     if not have.isdigit() or int(have) > most:

@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import xxhash
 from helpers import frame, odd_rows, prose
 
 from quiltgraph.llm import chunking as C
@@ -37,7 +38,11 @@ def test_chunks_resist_shifts_and_containment():
 def check(spark, rows, monkeypatch, ranges):
     monkeypatch.setattr(C, "RANGE_ROWS", ranges)
     got = C.fingerprints(frame(spark, rows, ["did", "fingerprint"]), len(rows)).collect()
-    full = sorted(((r[0] is None, r[0] or 0, r[1] or "") for r in rows), key=lambda r: (r[0], r[1], r[2]))
+    def by(r):
+        h = xxhash.xxh64_intdigest(r[2].encode(), seed=42)
+        return r[0], r[1], h - (h >> 63 << 64)
+
+    full = sorted(((r[0] is None, r[0] or 0, r[1] or "") for r in rows), key=by)
     want = Counter()
     for i, (null, d, t) in enumerate(full):
         nxt = full[(i + 1) % len(full)][2]
@@ -57,6 +62,15 @@ def test_next_documents_many_ranges(spark, monkeypatch):
     check(spark, [(i * 7, prose(rng, rng.randrange(0, 40))) for i in range(200)] + [(None, "null id")], monkeypatch, 9)
 
 
+def test_ids_with_many_rows_have_several_ranges(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(rng.choice((None, 4, 4, 4, 9, 11, 12)), prose(rng, rng.randrange(0, 9))) for _ in range(400)] + [(None, ""), (None, ""), (4, None)]
+    check(spark, rows, monkeypatch, 10)
+    monkeypatch.setattr(C, "RANGE_ROWS", 10)
+    sizes = [r["count"] for r in C.with_next(frame(spark, rows), len(rows)).groupBy("__range").count().collect()]
+    assert max(sizes) < 60 and len(sizes) > 25
+
+
 def test_single_and_no_document(spark, monkeypatch):
     check(spark, [(5, "alone here with a few words")], monkeypatch, 10)
     assert C.fingerprints(frame(spark, []), 0).count() == 0
