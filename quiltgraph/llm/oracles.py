@@ -1,5 +1,6 @@
-"""DuckDB SQL for the queries that SQL can express: substring dedup, near-duplicate classes, mixing, and the placement part of
-sharding (a CRC-32 is beyond it; tests compare with zlib). Draws are MD5, which any engine can make."""
+"""DuckDB SQL for the queries that SQL can express: substring dedup, near-duplicate classes, sharding, mixing, exact neighbours (what
+the search gives while its table falls into one part), and what is plain in two others: counts of base spans, edited texts.
+Draws are MD5, which any engine can make; a CRC-32 is a fold over bytes."""
 
 from __future__ import annotations
 
@@ -93,11 +94,66 @@ SELECT doc_id, size, source_size, target, (t1 + t2)::BIGINT AS taken,
 FROM g"""
 
 
-def placement_sql() -> str:
-    """Shards of all documents, without slot and CRC: for tests."""
+def _crc_table() -> list[int]:
+    out = []
+    for n in range(256):
+        for _ in range(8):
+            n = n >> 1 ^ (0xEDB88320 if n & 1 else 0)
+        out.append(n)
+    return out
+
+
+def crc32(text: str) -> str:
+    """CRC-32 of a text's UTF-8 bytes."""
+    step = f"lambda c, x: xor(c >> 8, ([{', '.join(map(str, _crc_table()))}]::BIGINT[])[(xor(c, x) & 255) + 1])"
+    bytes_ = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda x: ('0x' || x)::BIGINT)"
+    return f"xor(list_reduce({bytes_}, {step}, 4294967295::BIGINT), 4294967295)::BIGINT"
+
+
+def op6_sql() -> str:
     old, new = _tree(sharding.production_tree()), _tree(sharding.production_tree().grown(24))
+    n = f"greatest(1, (((SELECT count(*) FROM documents) + {sharding.SLOT_ROWS - 1}) // {sharding.SLOT_ROWS}))"
     return f"""
-WITH d AS (SELECT doc_id, coalesce(doc_id::VARCHAR, 'null') AS k, (coalesce(strlen(text), 0) + 8)::BIGINT AS size FROM documents),
+WITH d AS (SELECT doc_id, coalesce(doc_id::VARCHAR, 'null') AS k, (coalesce(strlen(text), 0) + 8)::BIGINT AS size, {crc32("coalesce(text, '')")} AS text_crc32 FROM documents),
 a AS (SELECT *, {old[0]} AS r1, {new[0]} AS r2 FROM d),
-b AS (SELECT *, {old[1].format(region="r1")} AS k1, {new[1].format(region="r2")} AS k2 FROM a)
-SELECT doc_id, size, ({old[2].format(rack="k1")})::INT AS shard, ({new[2].format(rack="k2")})::INT AS grown_shard FROM b"""
+b AS (SELECT *, {old[1].format(region="r1")} AS k1, {new[1].format(region="r2")} AS k2 FROM a),
+c AS (SELECT doc_id, size, text_crc32, ({old[2].format(rack="k1")})::INT AS shard, ({new[2].format(rack="k2")})::INT AS grown_shard,
+             floor({_unit("(k || '/' || text_crc32::VARCHAR)", "slot")} * {n})::BIGINT AS bucket FROM b)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY bucket, doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown_shard FROM c"""
+
+
+def op8_sql() -> str:
+    """All queries against all vectors, components added in order."""
+    return """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+z AS (SELECT len(e) AS size FROM v GROUP BY len(e) ORDER BY count(*) DESC, size LIMIT 1),
+u AS (SELECT vec_id, e FROM v, z WHERE len(e) = size),
+q AS (SELECT vec_id AS query_id, min(e) AS e FROM u WHERE vec_id % 100 = 0 GROUP BY vec_id),
+d AS (SELECT query_id, vec_id, min(sqrt(list_reduce(list_transform(range(1, len(u.e) + 1), lambda i: (u.e[i] - q.e[i]) * (u.e[i] - q.e[i])), lambda a, b: a + b, 0.0::DOUBLE))) AS score
+      FROM q JOIN u ON u.vec_id <> q.query_id GROUP BY query_id, vec_id),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)::INT AS rank, vec_id, score FROM d)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
+
+
+def base_counts_sql() -> str:
+    """Matches of the four patterns that pass their checks."""
+    digits = "regexp_replace(m, '[^0-9]', '', 'g')"
+    luhn = f"list_sum(list_transform(regexp_extract_all(reverse({digits}), '.'), lambda c, i: CASE WHEN i % 2 = 1 THEN c::INT WHEN c::INT > 4 THEN 2 * c::INT - 9 ELSE 2 * c::INT END)) % 10 = 0"
+    octets = "len(list_filter(string_split(m, '.'), lambda p: length(ltrim(p, '0')) > 3 OR coalesce(try_cast(nullif(ltrim(p, '0'), '') AS INT), 0) > 255)) = 0"
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+SELECT doc_id,
+  len(regexp_extract_all(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+'))::BIGINT AS n_email,
+  len(list_filter(regexp_extract_all(t, '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'), lambda m: {octets}))::BIGINT AS n_ip,
+  len(list_filter(regexp_extract_all(t, '[0-9]([ -]?[0-9])+'), lambda m: length({digits}) BETWEEN 13 AND 19 AND {luhn}))::BIGINT AS n_card,
+  len(list_filter(regexp_extract_all(t, '\+[0-9][ ().0-9-]+[0-9]'), lambda m: length({digits}) BETWEEN 9 AND 15))::BIGINT AS n_phone
+FROM d"""
+
+
+def edited_sql() -> str:
+    """Texts whose last quarter comes from the next document."""
+    return """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM documents),
+x AS (SELECT *, coalesce(lead(t) OVER (ORDER BY doc_id), first_value(t) OVER (ORDER BY doc_id)) AS u FROM d)
+SELECT doc_id, n::BIGINT AS n_chars, sha256(CASE WHEN n // 4 > 0 THEN substring(t, 1, n - n // 4) || substring(u, 1, n // 4) ELSE t END) AS edited_sha256 FROM x"""

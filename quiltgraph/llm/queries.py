@@ -58,9 +58,21 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return output.packed_rows(table(spark, sf_dir, "documents"))
 
 
+def personal_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op3 that SQL can say."""
+    return op3_personal_data(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone")
+
+
+def fingerprint_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op4 that SQL can say."""
+    return op4_fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_substring, op2_near_duplicates, op3_personal_data, op4_fingerprints, op5_packing, op6_sharding, op7_mixing, op8_neighbours, op9_language, op10_token_output)}
+    own = (op1_substring, op2_near_duplicates, op3_personal_data, op4_fingerprints, op5_packing, op6_sharding, op7_mixing, op8_neighbours, op9_language, op10_token_output)
+    return {f.__name__: f for f in (*own, personal_base_counts, fingerprint_texts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring": oracles.op1_sql(), "op2_near_duplicates": oracles.op2_sql(), "op7_mixing": oracles.op7_sql()}
+    found = {"op1_substring": oracles.op1_sql, "op2_near_duplicates": oracles.op2_sql, "op6_sharding": oracles.op6_sql, "op7_mixing": oracles.op7_sql, "op8_neighbours": oracles.op8_sql}
+    return {k: f() for k, f in (found | {"personal_base_counts": oracles.base_counts_sql, "fingerprint_texts": oracles.edited_sql}).items()}

@@ -88,7 +88,7 @@ def test_empty_table(spark, tmp_path):
 
 def test_queries_give_a_row_for_every_document(spark, folder):
     q, n = queries.queries(), len(rows())
-    assert sorted(q, key=lambda x: int(x[2:].split("_")[0])) == [x for x in q]
+    assert [x.split("_")[0] for x in q][:10] == [f"op{k}" for k in range(1, 11)]
     for name in ("op1_substring", "op2_near_duplicates", "op3_personal_data", "op4_fingerprints", "op6_sharding", "op7_mixing", "op9_language"):
         got = q[name](spark, folder)
         assert Counter(r["doc_id"] for r in got.select("doc_id").collect()) == Counter(r[0] for r in rows()), name
