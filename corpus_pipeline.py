@@ -1,7 +1,8 @@
 """From raw documents to packed sequences: language ID, near-dedup, personal data, mixing, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all that the one before kept; its result is written as
-Parquet and read again. All but the last return the columns of ``documents``.
+Parquet and read again. All but the last return the columns of ``documents``; other columns, whatever their names, are
+dropped by the first. Any column may be null; empty tables pass through every stage; long texts are held one at a time.
 """
 
 from __future__ import annotations
@@ -17,28 +18,33 @@ LEAST_SCORE = 0.5
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language is found stay."""
+    """Documents in which a language is found stay, as they are. Null and empty texts, and texts without a letter, go; repeated
+    rows are judged each for itself; ties between languages do not reject."""
     model = language.learn(docs.where(~language.held_out(F.col("doc_id"))))
     return language.accepted(docs, model, LEAST_SCORE)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near-duplicates stays."""
+    """One document of each class of near-duplicates stays: the row of least id (null last; ties: the first by language,
+    source and n_chars). Repeated rows are duplicates; rows of one id and other texts are not; texts without words stay."""
     return minhash.deduplicated(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data is masked in the texts; every document stays."""
+    """Personal data is masked in the texts; every document stays, repeated rows too. Null stays null; n_chars follows a
+    changed text, else it is kept."""
     return personal.masked(docs, personal.train(docs, docs.count()))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix reads them, in training order."""
+    """Documents as often as the mix reads them, in training order. Null and empty texts take no words, so they are not read; a null
+    source is a source of its own. Ties of the draw are settled by id, size, text and the other columns."""
     return mixing.mixed(docs, docs.count())
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents with their place in sequences of 4096 tokens."""
+    """Pieces of documents with their place in sequences of 4096 tokens. A null or empty text is its end token; repeated rows
+    are packed each for itself; ties in length go by id, piece and checksum."""
     return packing.pack(packing.pieces_of(docs), docs.count(), **packing.FEWEST)
 
 
