@@ -39,10 +39,14 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict[str, Query]:
+    from quiltgraph.plans import catalogue_data  # noqa: F401  registers its own
+
     return dict(_queries)
 
 
 def oracle_sql() -> dict[str, str]:
+    from quiltgraph.plans import catalogue_data  # noqa: F401
+
     return dict(_sql)
 
 

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
+import threading
+import time
 import uuid
+from collections.abc import Callable
 from datetime import datetime, timezone
 from pathlib import Path
 from typing import Any
@@ -11,6 +14,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quiltgraph.plans.files import read_json, write_json
+
 MANIFEST = "tool.manifest.json"
 STATUSES = ("running", "succeeded", "failed", "stopped")
 LOG_TAIL, MOST_LOG = 2000, 10_000
@@ -38,46 +43,112 @@ def require_capability(manifest: dict, name: str) -> None:
 
 
 class Registry:
-    """Configurations and runs. A run that was stopped stays stopped whatever its job reports later."""
-
-    def __init__(self):
-        self.configs: dict[str, dict] = {}
-        self.runs: dict[str, dict] = {}
+    """Configurations and runs, kept in a JSON file (None: in memory only). A run that was stopped stays stopped whatever its job
+    reports later; one that was running when its process ended is found as failed."""
+
+    def __init__(self, spark: SparkSession | None = None, path: str | None = None):
+        self.spark, self.path = spark, path
+        found = (read_json(spark, path) or {}) if path else {}
+        self.configs: dict[str, dict] = {k: _timed(v) for k, v in found.get("configs", {}).items()}
+        self.runs: dict[str, dict] = {k: _timed(v) for k, v in found.get("runs", {}).items()}
+        for key, r in self.runs.items():
+            if r["status"] == "running":
+                self.finish(key, False, "the process ended")
+
+    def _save(self) -> None:
+        if self.path:
+            plain = lambda d: {k: v.isoformat() if isinstance(v, datetime) else v for k, v in d.items()}
+            write_json(self.spark, self.path, {"configs": {k: plain(v) for k, v in self.configs.items()}, "runs": {k: plain(v) for k, v in self.runs.items()}})
 
     def put_config(self, tool: str, name: str, content: str, id: str | None = None) -> str:
         now = datetime.now(timezone.utc)
         key = id or uuid.uuid4().hex
         made = self.configs[key]["created_at"] if key in self.configs else now
         self.configs[key] = {"id": key, "tool": tool, "name": name, "content": content, "created_at": made, "updated_at": now}
+        self._save()
         return key
 
     def delete_config(self, key: str) -> bool:
-        return self.configs.pop(key, None) is not None
+        found = self.configs.pop(key, None) is not None
+        self._save()
+        return found
 
     def start(self, tool: str, config: str, mode: str = "once") -> str:
         if config not in self.configs:
             raise KeyError(config)
         key = uuid.uuid4().hex
         self.runs[key] = {"id": key, "tool": tool, "config": config, "mode": mode, "status": "running", "started_at": datetime.now(timezone.utc), "ended_at": None, "error": None}
+        self._save()
         return key
 
     def finish(self, key: str, ok: bool, error: str | None = None) -> None:
         r = self.runs[key]
         if r["status"] == "running":
             r |= {"status": "succeeded" if ok else "failed", "ended_at": datetime.now(timezone.utc), "error": error}
+            self._save()
 
     def stop(self, key: str, spark: SparkSession | None = None) -> None:
         """Mark as stopped and cancel the jobs that were started under the run's id."""
         r = self.runs[key]
         if r["status"] == "running":
             r |= {"status": "stopped", "ended_at": datetime.now(timezone.utc)}
+            self._save()
         if spark is not None:
             spark.sparkContext.cancelJobGroup(key)
 
     def frame(self, spark: SparkSession, what: str = "runs") -> DataFrame:
-        if what == "configs":
-            return spark.createDataFrame([tuple(c.values()) for c in self.configs.values()], "id string, tool string, name string, content string, created_at timestamp, updated_at timestamp")
-        return spark.createDataFrame([tuple(r.values()) for r in self.runs.values()], "id string, tool string, config string, mode string, status string, started_at timestamp, ended_at timestamp, error string")
+        configs = "id string, tool string, name string, content string, created_at timestamp, updated_at timestamp"
+        runs = "id string, tool string, config string, mode string, status string, started_at timestamp, ended_at timestamp, error string"
+        rows, schema = (self.configs, configs) if what == "configs" else (self.runs, runs)
+        names = [x.split(" ")[0] for x in schema.split(", ")]
+        return spark.createDataFrame([tuple(r[n] for n in names) for r in rows.values()], schema)
+
+
+def _timed(d: dict) -> dict:
+    return {k: datetime.fromisoformat(v) if k.endswith("_at") and v else v for k, v in d.items()}
+
+
+SCRAPES = "tool string, config string, at timestamp, line string, warning string"
+
+
+def scrape(targets: list[dict[str, str]], call: Callable[[str], str], prefix: str = "") -> list[tuple]:
+    """Lines of each target's metrics page (tool, config, url) as rows of SCRAPES; a target that does not answer, or has no
+    sample of the prefix, gives a warning instead."""
+    out, now = [], datetime.now(timezone.utc)
+    for t in targets:
+        try:
+            lines = [x for x in call(t["url"]).splitlines() if x.startswith(prefix or x[:1]) and not x.startswith("#") and x.strip()]
+            warning = None if lines else f"no sample that begins with {prefix!r}"
+        except Exception as e:  # noqa: BLE001
+            lines, warning = [], str(e)
+        out += [(t["tool"], t.get("config"), now, x, None) for x in lines]
+        if warning:
+            out.append((t["tool"], t.get("config"), now, None, warning))
+    return out
+
+
+def watch(spark: SparkSession, path: str, targets: list[dict[str, str]], call: Callable[[str], str], prefix: str = "", interval: float = 1.0, keep: float = 60.0, stop: threading.Event | None = None, most: int | None = None) -> int:
+    """Scrape at a fixed interval; what was seen is appended to a table at ``path`` every ``keep`` seconds, and at the end, so that
+    files stay few."""
+    stop, n, held, kept = stop or threading.Event(), 0, [], time.monotonic()
+    while not stop.is_set() and (most is None or n < most):
+        held += scrape(targets, call, prefix)
+        n += 1
+        if held and (time.monotonic() - kept >= keep or n == most):
+            spark.createDataFrame(held, SCRAPES).coalesce(1).write.mode("append").parquet(path)
+            held, kept = [], time.monotonic()
+        if most is None or n < most:
+            stop.wait(interval)
+    if held:
+        spark.createDataFrame(held, SCRAPES).coalesce(1).write.mode("append").parquet(path)
+    return n
+
+
+def latest_samples(spark: SparkSession, path: str, metrics: list[str]) -> DataFrame:
+    """The last value of each metric by tool, configuration and mapping."""
+    seen = prometheus_samples(spark.read.schema(SCRAPES).parquet(path).where("line IS NOT NULL"))
+    last = seen.groupBy("tool", "config", "mapping", "metric").agg(F.max_by("value", "at").alias("value"))
+    return last.groupBy("tool", "config", "mapping").pivot("metric", metrics).agg(F.first("value"))
 
 
 SAMPLE = r'^([A-Za-z_:][A-Za-z0-9_:]*)(?:\{(.*)\})?\s+([^\s]+)(?:\s+-?\d+)?$'

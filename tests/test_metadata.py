@@ -95,7 +95,63 @@ def test_scrape_lines(spark):
 
 def test_statements(spark):
     assert cypher.text({"a`b": ["x'\\", None, True, float("inf")]}) == "{`a``b`: ['x\\'\\\\', null, true, null]}"
-    assert "MERGE (src)<-[r:`R` {`k`: row.key}]-(tgt)" in cypher.edge_statement("R", ["A"], ["id"], ["B"], ["id"], [], "k", "in")
+    assert cypher.edge_statement("R", ("A",), "id", ("B",), "k", [{"a": 1, "z": 2, "id": 3, "put": {}}], "key").endswith("MATCH (a:`A` {`id`: item.a}) MATCH (z:`B` {`k`: item.z}) MERGE (a)-[r:`R` {`key`: item.id}]->(z) SET r += item.put")
+    assert cypher.edge_removal("R", ("A",), "id", ("B",), "id", []).endswith("MATCH (a)-[r:`R`]->(z) DELETE r")
+    assert cypher.node_removal(["A", "B"], "id", [1, "x"]) == "UNWIND [1, 'x'] AS item MATCH (n:`A`:`B` {`id`: item}) DETACH DELETE n"
+    assert [cypher.purge_statement(), cypher.purge_statement(["A"]), cypher.purge_statement(["A"], "R", ["B"])] == ["MATCH (n) DETACH DELETE n", "MATCH (n:`A`) DETACH DELETE n", "MATCH (:`A`)-[r:`R`]->(:`B`) DELETE r"]
     df = spark.createDataFrame([(i, f"n{i}") for i in range(5)], "id long, name string").coalesce(1)
     got = [r["statement"] for r in cypher.node_statements(df, ["A", "B"], "id", 2).collect()]
-    assert len(got) == 3 and got[0].startswith("UNWIND [{`key`: 0, `props`: {`id`: 0, `name`: 'n0'}}") and "MERGE (n:`A`:`B` {`id`: row.key})" in got[0]
+    assert len(got) == 3 and got[0].startswith("UNWIND [{`id`: 0, `put`: {`id`: 0, `name`: 'n0'}}") and "MERGE (n:`A`:`B` {`id`: item.id})" in got[0]
+
+
+def test_statements_are_sent_again_after_a_failure(spark, tmp_path):
+    """A statement that fails twice comes through; one that always fails is an error."""
+    from quiltgraph.plans.graph_store import GraphStore
+
+    store = GraphStore(spark)
+    store.merge_nodes(["A"], "id", spark.createDataFrame([(i, 0, i) for i in range(6)], "__key long, __order int, id long").coalesce(2))
+    folder = str(tmp_path)
+
+    def connect():
+        import os
+        import uuid
+
+        tries = {}
+
+        def to(statement):
+            tries[statement] = tries.get(statement, 0) + 1
+            if tries[statement] < 3:
+                raise OSError("busy")
+            with open(os.path.join(folder, uuid.uuid4().hex), "w") as f:
+                f.write(statement)
+
+        return to
+
+    cypher.send_graph(store, connect, batch=2)
+    found = [p.read_text() for p in tmp_path.iterdir()]
+    assert sorted(i for x in found for i in range(6) if f"`put`: {{`id`: {i}}}" in x) == list(range(6)) and all(x.count("`put`") <= 2 for x in found)
+    with pytest.raises(Exception, match="busy"):
+        cypher.send_graph(store, connect, batch=2, retries=1)
+
+
+def test_registry_and_samples_outlive_their_process(spark, tmp_path):
+    path = f"file://{tmp_path}/registry.json"
+    r = control.Registry(spark, path)
+    c = r.put_config("spark", "x", "{}")
+    a, b = r.start("spark", c), r.start("spark", c)
+    r.stop(a)
+    again = control.Registry(spark, path)
+    assert again.configs[c]["name"] == "x" and again.configs[c]["created_at"] == r.configs[c]["created_at"]
+    assert (again.runs[a]["status"], again.runs[b]["status"]) == ("stopped", "failed") and again.frame(spark).count() == 2
+    pages = iter(["# x\nqg_runs 1\nother 5", "qg_runs 2\nqg_rows{mapping=\"m\"} 7", ""])
+
+    def call(url):
+        if url == "down":
+            raise OSError("no answer")
+        return next(pages)
+
+    n = control.watch(spark, f"file://{tmp_path}/samples", [{"tool": "t", "config": "c", "url": "up"}, {"tool": "u", "config": "c", "url": "down"}], call, "qg_", 0.01, most=3)
+    rows = {(r["tool"], r["mapping"]): (r["qg_runs"], r["qg_rows"]) for r in control.latest_samples(spark, f"file://{tmp_path}/samples", ["qg_runs", "qg_rows"]).collect()}
+    assert n == 3 and rows == {("t", None): (2.0, None), ("t", "m"): (None, 7.0)}
+    warned = spark.read.parquet(f"file://{tmp_path}/samples").where("warning IS NOT NULL").groupBy("tool").count().collect()
+    assert {r["tool"]: r["count"] for r in warned} == {"t": 1, "u": 3}
