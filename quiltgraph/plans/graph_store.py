@@ -4,17 +4,24 @@ Writes are functional: each merge or delete replaces a table's lazy plan. ``flus
 version, ``commit`` makes the versions current for readers by one atomic rename to the manifest of the next version, which
 fails where another writer was first; a run that fails before that leaves the old graph as it was, and ``rollback`` brings a store
 in use back to it.
+
+A stored table is a base and a layer: the keys that changed since the base was written, and their rows as they are now.
+A merge or delete looks up the keys of its batch and writes the layer only, so what is written follows the changes and not
+the table; once the layer holds more than COMPACT of the base, both are written as a new base.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quiltgraph.config import Endpoint, Index
 from quiltgraph.errors import ConflictError
@@ -29,6 +36,34 @@ Labels = tuple[str, ...]
 EDGE_ID = ["src_key", "dst_key", "edge_key"]
 #: Manifests that are kept for readers of older versions; their tables stay until ``vacuum``.
 KEPT_VERSIONS = 20
+#: Share of a table's base that its layer of changes may hold.
+COMPACT = 0.2
+
+
+@dataclass(frozen=True)
+class Layer:
+    """``base`` without the rows whose ``on`` columns are among ``keys``, and ``rows`` in their place (None: no changes)."""
+
+    base: DataFrame
+    on: tuple[str, ...]
+    keys: DataFrame | None = None
+    rows: DataFrame | None = None
+
+    def change(self, keys: DataFrame, rows: DataFrame) -> Layer:
+        """``rows`` are now all there is of ``keys`` (distinct)."""
+        if self.keys is None or self.rows is None:
+            return Layer(self.base, self.on, keys, rows)
+        return Layer(self.base, self.on, self.keys.unionByName(keys), _without(self.rows, keys, self.on).unionByName(rows, allowMissingColumns=True))
+
+    def frame(self) -> DataFrame:
+        return self.base if self.keys is None or self.rows is None else _without(self.base, self.keys, self.on).unionByName(self.rows, allowMissingColumns=True)
+
+
+def _without(df: DataFrame, keys: DataFrame, on: tuple[str, ...], how: str = "left_anti") -> DataFrame:
+    """Rows whose ``on`` columns are not among ``keys`` (with ``left_semi``: are). Edge keys compare null-safe."""
+    k = keys.select(*(field(c).alias(f"__l{i}") for i, c in enumerate(on)))
+    same = reduce(lambda a, b: a & b, [field(c).eqNullSafe(F.col(f"__l{i}")) if c == "edge_key" else field(c) == F.col(f"__l{i}") for i, c in enumerate(on)])
+    return df.join(k, same, how)
 
 
 def label_set(labels: Iterable[str]) -> Labels:
@@ -51,6 +86,9 @@ class GraphStore:
         self._files: dict[tuple, str] = {}
         self._changed: set[tuple] = set()
         self._bucketed: dict[tuple, tuple[int, str]] = {}
+        self._layers: dict[tuple, Layer] = {}  # of tables that are stored
+        self._layer_files: dict[tuple, str] = {}
+        self._stages: list[str] = []
         self.version = 0
         if path:
             self._load()
@@ -90,23 +128,26 @@ class GraphStore:
         own, props = label_set(labels), [c for c in batch.columns if c not in (KEY, ORDER, key_property)]
         b = fold_last(batch.drop(key_property), [KEY], ORDER)
         b = b.select(KEY, F.col(KEY).alias(key_property), *map(field, props))  # an alias keeps the fold's partitioning for the join
-        new = b
+        new = b = self._staged(b, *(("node", *s) for s in self.label_tables(own)))
         for s in self.label_tables(own):
             if s == own or key_property not in self.nodes[s].columns:
                 continue
             t = self.nodes[s]
             hit = b.join(t.select(field(key_property).alias("__k")).distinct(), F.col(KEY) == F.col("__k"), "left_semi")
-            self._put_node(s, upsert(t, hit.drop(KEY), [key_property]))
+            self._replace(("node", *s), (key_property,), hit, lambda part, hit=hit: upsert(part, hit.drop(KEY), [key_property]))
             new = new.join(t.select(field(key_property).alias("__k")).distinct(), F.col(KEY) == F.col("__k"), "left_anti")
         t = self.nodes.get(own)
         if t is None:
             self.keys[own] = key_property
-        if t is not None and key_property not in t.columns:
-            t = t.unionByName(new, allowMissingColumns=True)
-        elif t is not None:
-            t = upsert(t, new.withColumnRenamed(KEY, "__new"), [key_property])
-            t = t.withColumn(KEY, F.coalesce(KEY, "__new")).drop("__new")  # an existing node keeps its key
-        self._put_node(own, new if t is None else t)
+            self._put(("node", *own), new)
+        elif key_property not in t.columns:
+            self._put(("node", *own), t.unionByName(new, allowMissingColumns=True))
+        else:
+            def merged(part: DataFrame) -> DataFrame:
+                out = upsert(part, new.withColumnRenamed(KEY, "__new"), [key_property])
+                return out.withColumn(KEY, F.coalesce(KEY, "__new")).drop("__new")  # an existing node keeps its key
+
+            self._replace(("node", *own), (key_property,), new, merged)
 
     def delete_nodes(self, labels: Iterable[str], key_property: str, keys: DataFrame) -> None:
         """Remove nodes whose key is among ``keys`` (__key), with every edge that touches them."""
@@ -114,11 +155,17 @@ class GraphStore:
             t = self.nodes[s]
             if key_property not in t.columns:
                 continue
-            k = keys.select(F.col(KEY).alias("__k")).distinct()
+            k = self._staged(keys.select(F.col(KEY).alias("__k")).distinct(), ("node", *s))
             gone = t.join(k, field(key_property) == F.col("__k"), "left_semi").select(KEY)
-            self._put_node(s, t.join(k, field(key_property) == F.col("__k"), "left_anti"))
             for e in [e for e in self.edges if s in e[1:]]:
-                self._put_edge(e, detach(self.edges[e], gone, e[1] == s, e[2] == s))
+                table = self.edges[e]
+                if ("edge", *e) in self._layers:
+                    ends = [c for c, end in (("src_key", e[1]), ("dst_key", e[2])) if end == s]
+                    touching = reduce(DataFrame.unionByName, [_without(table, gone.select(F.col(KEY).alias(c)), (c,), "left_semi").select(*EDGE_ID) for c in ends])
+                    self._replace(("edge", *e), tuple(EDGE_ID), touching.distinct(), lambda part: part.where("false"))
+                else:
+                    self._put(("edge", *e), detach(table, gone, e[1] == s, e[2] == s))
+            self._replace(("node", *s), (key_property,), k.select(F.col("__k").alias(key_property)), lambda part: part.where("false"), lambda whole, k=k: whole.join(k, field(key_property) == F.col("__k"), "left_anti"))
 
     # edges
 
@@ -143,22 +190,28 @@ class GraphStore:
 
     def merge_edges(self, relationship: str, start: Endpoint, start_labels: Labels, end: Endpoint, end_labels: Labels, batch: DataFrame, direction: str = "out", first_key_only: bool = False) -> None:
         for (a, b), e in self.resolved(batch, start, start_labels, end, end_labels, direction, first_key_only):
-            k = (relationship, a, b)
-            self._put_edge(k, upsert(self.edges.get(k), e, EDGE_ID))
+            k = ("edge", relationship, a, b)
+            if k[1:] in self.edges:
+                e = self._staged(e, k)
+                self._replace(k, tuple(EDGE_ID), e, lambda part, e=e: upsert(part, e, EDGE_ID))
+            else:
+                self._put(k, e)
 
     def delete_edges(self, relationship: str, start: Endpoint, start_labels: Labels, end: Endpoint, end_labels: Labels, batch: DataFrame, direction: str = "out", keyed: bool = False, first_key_only: bool = False) -> None:
         """Remove the edges of the batch; without an edge key, all edges of the relationship between the pair."""
         for (a, b), e in self.resolved(batch, start, start_labels, end, end_labels, direction, first_key_only):
-            k = (relationship, a, b)
-            if k in self.edges:
-                self._put_edge(k, delete(self.edges[k], e, EDGE_ID if keyed else EDGE_ID[:2]))
+            k, on = ("edge", relationship, a, b), EDGE_ID if keyed else EDGE_ID[:2]
+            if k[1:] in self.edges:
+                e = self._staged(e.select(*on).distinct(), k)
+                found = e if keyed else _without(self.edges[k[1:]], e, tuple(on), "left_semi").select(*EDGE_ID).distinct() if k in self._layers else e
+                self._replace(k, tuple(EDGE_ID), found, lambda part: part.where("false"), lambda whole, e=e, on=on: delete(whole, e, on))
 
     # purges
 
     def purge(self) -> None:
         for k in [("node", *k) for k in self.nodes] + [("edge", *k) for k in self.edges]:
             self._files.pop(k, None)
-        self.nodes, self.edges, self.keys, self._changed = {}, {}, {}, set()
+        self.nodes, self.edges, self.keys, self._changed, self._layers, self._layer_files = {}, {}, {}, set(), {}, {}
 
     def purge_nodes(self, labels: Iterable[str]) -> None:
         """Remove all nodes with these labels, and their edges."""
@@ -185,16 +238,43 @@ class GraphStore:
 
     # versions
 
-    def _put_node(self, k: Labels, df: DataFrame) -> None:
-        self.nodes[k] = df
-        self._changed.add(("node", *k))
-
-    def _put_edge(self, k: tuple[str, Labels, Labels], df: DataFrame) -> None:
-        self.edges[k] = df
-        self._changed.add(("edge", *k))
+    def _put(self, k: tuple, df: DataFrame) -> None:
+        """A table as a whole."""
+        self._layers.pop(k, None)
+        self._set(k, df)
+
+    def _set(self, k: tuple, df: DataFrame) -> None:
+        (self.nodes if k[0] == "node" else self.edges)[k[1:]] = df
+        self._changed.add(k)
+
+    def _replace(self, k: tuple, on: tuple[str, ...], batch: DataFrame, change, whole=None) -> None:
+        """Change the rows of a table whose ``on`` columns are among those of ``batch``: ``change`` takes them and gives what they become.
+        Where nothing is stored yet, the whole table is taken (by ``whole``, if that can be said more simply)."""
+        t, layer = self._frame(k), self._layers.get(k)
+        if layer is None or layer.on != on:
+            self._put(k, (whole or change)(t))
+            return
+        keys = batch.select(*map(field, on)).distinct()
+        layer = layer.change(keys, change(_without(t, keys, on, "left_semi")))
+        self._layers[k] = layer
+        self._set(k, layer.frame())
+
+    def _staged(self, batch: DataFrame, *tables: tuple) -> DataFrame:
+        """A batch is made once and stored until the commit where it will be read several times: for layers of stored tables."""
+        if not any(k in self._layers for k in tables):
+            return batch
+        where = f"{self.path}/staged/{uuid.uuid4().hex}"
+        self._stages.append(where)
+        batch.write.parquet(where)
+        return self.spark.read.schema(batch.schema).parquet(where)
+
+    def _unstage(self) -> None:
+        while self._stages:
+            remove(self.spark, self._stages.pop())
 
     def _forget(self, k: tuple) -> None:
-        self._files.pop(k, None)
+        for held in (self._files, self._layers, self._layer_files):
+            held.pop(k, None)
         self._changed.discard(k)
 
     def flush(self, threads: int = 4) -> None:
@@ -202,20 +282,33 @@ class GraphStore:
         if not self.path or not self._changed:
             return
 
-        def write(k: tuple) -> tuple[tuple, str]:
-            df = self.nodes[k[1:]] if k[0] == "node" else self.edges[k[1:]]
-            name = f"{k[0]}-{uuid.uuid4().hex}"
+        def write(k: tuple) -> tuple[tuple, str, bool]:
+            df, name, layer = self._frame(k), f"{k[0]}-{uuid.uuid4().hex}", self._layers.get(k)
+            if layer is not None:
+                where = f"{self.path}/tables/{name}"
+                layer.keys.distinct().write.parquet(f"{where}/keys")
+                n = self.spark.read.parquet(f"{where}/keys").count()
+                if n <= COMPACT * layer.base.count():
+                    layer.rows.write.parquet(f"{where}/rows")
+                    return k, name, True
+                remove(self.spark, where)
+                name = f"{k[0]}-{uuid.uuid4().hex}"
             by = self._bucket_column(k)
             if by is None:
                 df.write.parquet(f"{self.path}/tables/{name}")
             else:  # one task a bucket, so one file a bucket
                 writer = df.repartition(self.buckets, field(by)).write.format("parquet").bucketBy(self.buckets, by).sortBy(by)
                 writer.option("path", f"{self.path}/tables/{name}").saveAsTable(_table_name(name))
-            return k, name
+            return k, name, False
 
         with ThreadPoolExecutor(threads) as pool:
-            for k, name in pool.map(write, sorted(self._changed, key=repr)):
+            for k, name, is_layer in pool.map(write, sorted(self._changed, key=repr)):
+                if is_layer:
+                    self._layer_files[k] = name
+                    self._read_layer(k, name, self._layers[k].rows.schema)
+                    continue
                 self._files[k] = name
+                self._layer_files.pop(k, None)
                 by = self._bucket_column(k)
                 self._bucketed.pop(k, None)
                 if by is not None:
@@ -227,34 +320,37 @@ class GraphStore:
         """Make everything flushed so far the current graph. An error if someone else has committed since this store was loaded."""
         self.flush()
         if self.path:
-            tables = [{"kind": k[0], "key": _plain(k[1:]), "table": name, "schema": self._frame(k).schema.json(), "unique": self.keys.get(k[1:]) if k[0] == "node" else None, "buckets": self._bucketed.get(k)} for k, name in sorted(self._files.items(), key=repr)]
+            tables = [{"kind": k[0], "key": _plain(k[1:]), "table": name, "schema": (self._layers[k].base if k in self._layers else self._frame(k)).schema.json(), "unique": self.keys.get(k[1:]) if k[0] == "node" else None, "buckets": self._bucketed.get(k)} | ({"layer": self._layer_files[k], "layer_schema": self._layers[k].rows.schema.json()} if k in self._layer_files else {}) for k, name in sorted(self._files.items(), key=repr)]
             if not write_json(self.spark, self._manifest(self.version + 1), {"tables": tables, "indexes": sorted(self.indexes)}, replace=False):
                 raise ConflictError(f"{self.path}: version {self.version + 1} was committed by another writer")
             self.version += 1
             if self.version > KEPT_VERSIONS:
                 remove(self.spark, self._manifest(self.version - KEPT_VERSIONS))
+        self._unstage()
         self._remember()
 
     def rollback(self) -> None:
         """Forget what was not committed: with a path, the store becomes the current version there."""
+        self._unstage()
         for name, value in self._committed.items():
             setattr(self, name, value.copy())
         if self.path:
-            for x in (self.nodes, self.edges, self.keys, self._files, self._changed, self._bucketed):
+            for x in (self.nodes, self.edges, self.keys, self._files, self._changed, self._bucketed, self._layers, self._layer_files):
                 x.clear()
             self._load()
             self._remember()
 
     def _remember(self) -> None:
-        self._committed = {name: getattr(self, name).copy() for name in ("nodes", "edges", "indexes", "keys", "_files", "_changed", "_bucketed")}
+        self._committed = {name: getattr(self, name).copy() for name in ("nodes", "edges", "indexes", "keys", "_files", "_changed", "_bucketed", "_layers", "_layer_files")}
 
     def _manifest(self, version: int) -> str:
         return f"{self.path}/versions/{version:012d}.json"
 
     def vacuum(self) -> int:
         """Delete tables that the current version does not use; no reader of an older version may be left."""
-        now = {t["table"] for t in (read_json(self.spark, self._manifest(self._newest())) or {"tables": []})["tables"]}
-        old = [f for f in folders(self.spark, f"{self.path}/tables") if f not in now and f not in self._files.values()]
+        now = {f for t in (read_json(self.spark, self._manifest(self._newest())) or {"tables": []})["tables"] for f in (t["table"], t.get("layer"))}
+        now |= {*self._files.values(), *self._layer_files.values()}
+        old = [f for f in folders(self.spark, f"{self.path}/tables") if f not in now]
         for f in old:
             self.spark.sql(f"DROP TABLE IF EXISTS {_table_name(f)}")
             remove(self.spark, f"{self.path}/tables/{f}")
@@ -278,16 +374,20 @@ class GraphStore:
             df = self.spark.table(_table_name(name))
         else:
             df = self.spark.read.schema(schema).parquet(where)
-        if k[0] == "node":
-            self.nodes[k[1:]] = df
-        else:
-            self.edges[k[1:]] = df
+        on = tuple(EDGE_ID) if k[0] == "edge" else (self.keys[k[1:]],) if k[1:] in self.keys else None
+        if on and set(on) <= set(df.columns):
+            self._layers[k] = Layer(df, on)
+        (self.nodes if k[0] == "node" else self.edges)[k[1:]] = df
+
+    def _read_layer(self, k: tuple, name: str, schema) -> None:
+        base = self._layers[k]
+        where = f"{self.path}/tables/{name}"
+        keys = StructType([base.base.schema[c] for c in base.on])
+        layer = Layer(base.base, base.on, self.spark.read.schema(keys).parquet(f"{where}/keys"), self.spark.read.schema(schema).parquet(f"{where}/rows"))
+        self._layers[k] = layer
+        (self.nodes if k[0] == "node" else self.edges)[k[1:]] = layer.frame()
 
     def _load(self) -> None:
-        import json
-
-        from pyspark.sql.types import StructType
-
         self.version = self._newest()
         found = read_json(self.spark, self._manifest(self.version)) or {"tables": [], "indexes": []}
         self.indexes = {tuple(x) for x in found["indexes"]}
@@ -300,6 +400,9 @@ class GraphStore:
             if t.get("buckets"):
                 self._bucketed[k] = tuple(t["buckets"])
             self._read(k, t["table"], StructType.fromJson(json.loads(t["schema"])))
+            if t.get("layer"):
+                self._layer_files[k] = t["layer"]
+                self._read_layer(k, t["layer"], StructType.fromJson(json.loads(t["layer_schema"])))
 
 
 def _table_name(name: str) -> str:
