@@ -171,3 +171,17 @@ def test_two_loops_in_one_daemon():
     seen = []
     n, failed = run_daemon(lambda first: seen.append(("run", first)), 10.0, most=4, capture=lambda: seen.append("capture"), flush=0.01)
     assert (n, failed) == (4, 0) and seen == [("run", True), "capture", "capture", "capture"]
+
+
+def test_command_line_runs_changes(spark, tmp_path):
+    from quiltgraph.__main__ import main
+
+    (tmp_path / "log").mkdir()
+    (tmp_path / "log" / "1.json").write_text(json.dumps({"table": "app.users", "op": "I", "seq": 1, "data": json.dumps({"id": "a", "name": "ann"})}))
+    cfg = {"graph": {"path": f"file://{tmp_path}/g"}, "spark": {"changes": {"format": "json", "path": f"file://{tmp_path}/log"}}, "mappings": [NODE]}
+    (tmp_path / "c.json").write_text(json.dumps(cfg))
+    assert main(["--config", str(tmp_path / "c.json")], spark) == 0
+    assert people(GraphStore(spark, f"file://{tmp_path}/g")) == {"a": "ann"}
+    (tmp_path / "bad.json").write_text(json.dumps({"clickhouse": {"url": "http://127.0.0.1:9"}, "mappings": [NODE]}))
+    with pytest.raises(ConfigError):
+        main(["--config", str(tmp_path / "bad.json")], spark)

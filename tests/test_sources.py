@@ -199,3 +199,34 @@ def test_watermark_reaches_the_scan(spark, tmp_path):
     assert df.count() == 10
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(updated_at" in plan.replace("\n", "") and "unused" not in plan.split("ReadSchema")[1]
+
+
+def test_jdbc_against_an_embedded_database(spark, tmp_path):
+    """Queries, partitioned reads, watermarks and a whole run, through a driver that comes with Spark."""
+    from datetime import datetime, timezone
+
+    from quiltgraph.plans.graph_store import GraphStore
+    from quiltgraph.plans.runtime import State, run_once
+
+    url = "jdbc:derby:memory:shop;create=true"
+    spark._jvm.java.lang.Class.forName("org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    c = spark._jvm.java.sql.DriverManager.getConnection(url)
+    s = c.createStatement()
+    s.execute("CREATE TABLE people (id INT, name VARCHAR(20), updated_at TIMESTAMP)")
+    for i in range(20):
+        s.execute(f"INSERT INTO people VALUES ({i}, 'p{i}', TIMESTAMP('2024-01-{i + 1:02d} 00:00:00'))")
+    person = {"type": "node", "name": "person", "labels": ["Person"], "key": {"column": "ID", "property": "id"}, "properties": {"name": "NAME"}, "mode": "incremental", "delta": {"updated_at_column": "UPDATED_AT"}}
+    link = {"url": url, "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver", "query_timeout_secs": 30, "fetch_size": 7}
+    whole = {"table": "people", "where": "id >= 5 OR id = 1"}
+    cfg = parse_config({"oracle": link, "mappings": [person | {"source": whole}]})
+    assert readers.read_source(spark, cfg, cfg.nodes[0]).count() == 16
+    assert readers.read_source(spark, cfg, cfg.nodes[0], datetime(2024, 1, 15, tzinfo=timezone.utc).replace(tzinfo=None)).count() == 5
+    ranged = parse_config({"oracle": link, "mappings": [person | {"mode": "full", "source": {"table": "people", "partition": {"column": "ID", "lower_bound": "0", "upper_bound": "20", "num_partitions": 4}}}]})
+    df = readers.read_source(spark, ranged, ranged.nodes[0])
+    assert df.rdd.getNumPartitions() == 4 and df.count() == 20
+    store, state = GraphStore(spark, f"file://{tmp_path}/g"), State(spark)
+    assert readers.is_outside(cfg, cfg.nodes[0])
+    run_once(spark, cfg, store, state)
+    assert store.node_frame(["Person"]).count() == 16 and state.mappings == {"person": "2024-01-20T00:00:00+00:00"}
+    assert not list((tmp_path / "g" / "staged").iterdir())
+    c.close()
