@@ -33,8 +33,8 @@ from quiltgraph.llm.common import stored
 
 GRAPH, HIDDEN, RECALL, NEAREST = 10, 64, 0.96, 10
 PART_ROWS, PER_PART = 4_000, 64
-#: Vectors of the sample, at least (where there are as many) and at most.
-SAMPLE, MOST_SAMPLE = 4_096, 65_536
+#: Vectors of the sample, at least (where there are as many) and at most; fewer where they would take more bytes.
+SAMPLE, MOST_SAMPLE, SAMPLE_BYTES = 4_096, 65_536, 64 << 20
 #: Every so many-th vector of the sample is held out of the fit, as a query.
 HELD_OUT = 8
 #: Bytes of a block of vectors, and of a group of queries, that a task compares.
@@ -213,10 +213,10 @@ def top(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k:
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-def parts_for(rows: int) -> int:
-    """A power of two that grows with the table as far as the sample does."""
-    parts = 1
-    while parts * PART_ROWS < rows and 2 * parts * PER_PART <= MOST_SAMPLE:
+def parts_for(rows: int, size: int = 1) -> int:
+    """A power of two that grows with the table as far as the sample (of vectors of ``size`` components) does."""
+    parts, most = 1, max(SAMPLE, min(MOST_SAMPLE, SAMPLE_BYTES // (8 * max(1, size))))
+    while parts * PART_ROWS < rows and 2 * parts * PER_PART <= most:
         parts *= 2
     return parts
 
@@ -227,11 +227,15 @@ def search(table: DataFrame, is_query: Column, k: int = NEAREST) -> DataFrame:
     found = table.select(F.col("vec_id").cast("long").alias("vec_id"), e.alias("x"), is_query.alias("asks")).where(F.col("vec_id").isNotNull() & usable(F.col("x")))
     most = found.groupBy(F.size("x").alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "size").first()
     size, n = (most["size"], most["n"]) if most else (0, 0)
-    parts = parts_for(n)
+    parts = parts_for(n, size)
     rate = min(1.0, max(SAMPLE, PER_PART * parts) / max(1, n))
     pick = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < F.lit(int(rate * (1 << 30)))
-    sample = sorted((r["vec_id"], tuple(r["x"])) for r in found.where(pick & (F.size("x") == size)).select("vec_id", "x").collect()) if parts > 1 else []
-    router = Router(np.array([x for _, x in sample]).reshape(-1, size) if sample else np.zeros((1, max(1, size))), parts)
+    sample = np.zeros((1, max(1, size)))
+    if parts > 1:
+        got = found.where(pick & (F.size("x") == size)).select("vec_id", "x").toArrow().combine_chunks()
+        sample = matrix(got.column("x").combine_chunks())
+        sample = sample[np.lexsort((*sample.T[::-1], got.column("vec_id").to_numpy()))]  # one order, whatever the partitions
+    router = Router(sample, parts)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
