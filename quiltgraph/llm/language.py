@@ -42,6 +42,8 @@ MOST_LETTERS = 64  # of one word that are judged; longer runs are cut into words
 #: Numbers that are no decimal digits and no letters (fractions, powers, circled ones): word characters to ``re`` all the same.
 _NUMBERS = "".join(c for c in map(chr, range(0x80, sys.maxunicode + 1)) if c.isnumeric() and not c.isdecimal() and not c.isalpha())
 LETTERS = re.compile(rf"[^\W\d_{_NUMBERS}]+")
+#: Faster, but lets those numbers pass: what it finds is letters alone nearly always.
+_NEARLY = re.compile(r"[^\W\d_]+")
 
 
 def terms(word: str) -> Iterator[str]:
@@ -57,7 +59,8 @@ def split_long(word: str) -> list[str]:
 
 
 def letters_of(text: str) -> list[str]:
-    return [x for w in LETTERS.findall(text.lower()) for x in split_long(w)]
+    found = _NEARLY.findall(text.lower())
+    return [x for w in found for y in ([w] if w.isalpha() else LETTERS.findall(w)) for x in split_long(y)]
 
 
 class Model:
