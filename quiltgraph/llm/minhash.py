@@ -246,10 +246,12 @@ def classes(table: DataFrame) -> tuple[DataFrame, DataFrame]:
     signatures = stored(base.join(same.select(F.col("rep").alias("row")).hint("merge"), "row").select(F.col("row").alias("rep"), "buckets", "signature"))
     buckets = signatures.select("rep", F.posexplode("buckets").alias("band", "bucket"))
     crowd = stored(buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"))
-    shared = stored(buckets.join(crowd, "bucket"))
+    met = stored(buckets.join(crowd, "bucket"))
     # the text that most others share buckets with stands in the middle of its class
-    middle = shared.groupBy("rep").agg(F.sum("n").alias("weight"))
-    shared = stored(shared.join(middle, "rep"))
+    middle = met.groupBy("rep").agg(F.sum("n").alias("weight"))
+    shared = stored(met.join(middle, "rep"))
+    forget(crowd)
+    forget(met)
     release(spark)
     pairs = stored(_led(shared.withColumn("root", F.col("rep")), first=True))
     wanted = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).unionByName(shared.where("n > 2").select("rep")).distinct()
@@ -266,6 +268,8 @@ def classes(table: DataFrame) -> tuple[DataFrame, DataFrame]:
         more = across(there, signatures) if last else _led(there, first=False)
         more = stored(more.join(pairs, ["a", "b"], "left_anti"))
         found = stored(verified(more, texts))
+        forget(there)
+        forget(root)
         pairs, links = pairs.unionByName(more), links.unionByName(found)
     root = components(links)
     named = stored(same.join(root, F.col("rep") == F.col("node"), "left").select("key", "rep", "low", F.coalesce("root", "rep").alias("root")))
@@ -275,7 +279,7 @@ def classes(table: DataFrame) -> tuple[DataFrame, DataFrame]:
     known = named.select("key", "root").join(best.select("root", number.alias("class_id")), "root").select("key", "class_id")
     own_class = F.coalesce("class_id", "doc_id", F.lit(NULL_IDS - 1) - F.col("row"))
     rows = stored(base.select("row", "doc_id", "key").join(known, "key", "left").select("doc_id", own_class.alias("class_id")))
-    for x in (base, same, signatures, shared, texts, there, named):
+    for x in (base, same, signatures, shared, texts, root, named):
         forget(x)
     release(spark)
     return rows, best.select(F.col("kept.low").alias("doc_id"), "kept.key")
