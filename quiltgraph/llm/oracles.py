@@ -1,10 +1,10 @@
-"""DuckDB SQL for the queries that SQL can express: substring dedup, near-duplicate classes, sharding, mixing, exact neighbours (what
+"""DuckDB SQL for the queries that SQL can express: substring dedup, near-duplicate classes, sharding, mixing, hard negatives, vector codes, exact neighbours (what
 the search gives while its table falls into one part), and what is plain in two others: counts of base spans, edited texts.
 Draws are MD5, which any engine can make; a CRC-32 is a fold over bytes."""
 
 from __future__ import annotations
 
-from quiltgraph.llm import mixing, sharding
+from quiltgraph.llm import mixing, negatives, sharding, vector_codes
 
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -136,6 +136,49 @@ r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score,
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
 
 
+_FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def op12_sql() -> str:
+    """All anchors against all rows."""
+    return f"""
+WITH k AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor({negatives.SCALE} * x::DOUBLE)::BIGINT) AS x
+  FROM embeddings WHERE label IS NOT NULL AND {_FINITE}),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_sum(list_transform(range(1, len(a.x) + 1), lambda i: a.x[i] * b.x[i]))::BIGINT AS score
+  FROM k a JOIN k b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {negatives.POSITIVES})
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND {negatives.LOW} * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= {negatives.NEGATIVES}"""
+
+
+def op13_sql() -> str:
+    """Each round as a full comparison of all parts with all entries."""
+    n = vector_codes.PARTS
+
+    def nearest(name: str, entries: str) -> str:
+        return f"""
+d{name} AS (SELECT vec_id, part, entry, sum((x.v - c.v) * (x.v - c.v))::BIGINT AS d FROM x JOIN {entries} c USING (part, place) GROUP BY ALL),
+a{name} AS MATERIALIZED (SELECT vec_id, part, min((d, entry)) AS best FROM d{name} GROUP BY ALL),"""
+
+    def moved(name: str, entries: str) -> str:
+        return f"""
+c{name} AS MATERIALIZED (SELECT part, entry, place, CASE WHEN s IS NULL THEN c.v ELSE (s - (s % k + k) % k) // k END AS v FROM {entries} c LEFT JOIN
+  (SELECT part, best[2] AS entry, place, sum(v)::BIGINT AS s, count(*) AS k FROM x JOIN a{name} USING (vec_id, part) GROUP BY ALL) m USING (part, entry, place)),"""
+
+    steps = "".join(nearest(str(r), f"c{r}") + moved(str(r + 1), f"c{r}").replace(f"JOIN a{r + 1} ", f"JOIN a{r} ") for r in range(vector_codes.ROUNDS))
+    last = vector_codes.ROUNDS
+    return f"""
+WITH k AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda x: floor({vector_codes.SCALE} * x::DOUBLE)::BIGINT) AS e, len(embedding) // {n} AS m FROM embeddings WHERE {_FINITE}),
+x AS MATERIALIZED (SELECT vec_id, (i - 1) // m AS part, (i - 1) % m AS place, e[i] AS v FROM (SELECT *, unnest(range(1, len(e) + 1)) AS i FROM k)),
+f AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM k ORDER BY vec_id LIMIT {vector_codes.ENTRIES}),
+c0 AS MATERIALIZED (SELECT part, entry, place, v FROM f JOIN x USING (vec_id)),{steps}{nearest(str(last), f"c{last}")}
+b AS (SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, place)) AS codebooks_sha256 FROM c{last}),
+r AS (SELECT vec_id, label, string_agg(printf('%02x', best[2]), '' ORDER BY part) AS code, sum(best[1])::BIGINT AS error FROM a{last} JOIN k USING (vec_id) GROUP BY ALL)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM r, b"""
+
+
 def base_counts_sql() -> str:
     """Matches of the four patterns that pass their checks."""
     digits = "regexp_replace(m, '[^0-9]', '', 'g')"

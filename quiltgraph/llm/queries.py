@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quiltgraph.llm import chunking, language, minhash, mixing, neighbours, oracles, output, packing, personal, sharding, substring
+from quiltgraph.llm import chunking, language, minhash, mixing, negatives, neighbours, oracles, output, packing, personal, sharding, substring, toxicity, vector_codes
 from quiltgraph.llm.common import table
 
 
@@ -58,6 +58,20 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return output.packed_rows(table(spark, sf_dir, "documents"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), label, F.col("vec_id") % 100 == 0)
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.codes(table(spark, sf_dir, "embeddings"))
+
+
 def personal_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of op3 that SQL can say."""
     return op3_personal_data(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone")
@@ -69,10 +83,10 @@ def fingerprint_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    own = (op1_substring, op2_near_duplicates, op3_personal_data, op4_fingerprints, op5_packing, op6_sharding, op7_mixing, op8_neighbours, op9_language, op10_token_output)
+    own = (op1_substring, op2_near_duplicates, op3_personal_data, op4_fingerprints, op5_packing, op6_sharding, op7_mixing, op8_neighbours, op9_language, op10_token_output, op11_toxicity, op12_hard_negatives, op13_vector_codes)
     return {f.__name__: f for f in (*own, personal_base_counts, fingerprint_texts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    found = {"op1_substring": oracles.op1_sql, "op2_near_duplicates": oracles.op2_sql, "op6_sharding": oracles.op6_sql, "op7_mixing": oracles.op7_sql, "op8_neighbours": oracles.op8_sql}
+    found = {"op1_substring": oracles.op1_sql, "op2_near_duplicates": oracles.op2_sql, "op6_sharding": oracles.op6_sql, "op7_mixing": oracles.op7_sql, "op8_neighbours": oracles.op8_sql, "op12_hard_negatives": oracles.op12_sql, "op13_vector_codes": oracles.op13_sql}
     return {k: f() for k, f in (found | {"personal_base_counts": oracles.base_counts_sql, "fingerprint_texts": oracles.edited_sql}).items()}
