@@ -1,7 +1,7 @@
 """Toxicity by the nearest labelled examples (operator 11).
 
-Terms are lower-case words (runs of letters) of up to LONGEST letters, and the first 4, 5 and 6 letters of longer words (a stem:
-inflected and made-up forms share it). From a sample of the labelled documents, drawn for each label apart, the terms are
+Terms are lower-case words (runs of letters) of up to LONGEST letters, the first 4 to 8 letters of longer words (a stem:
+inflected and made-up forms share it), and either of them once more as a term of its own if it occurs twice, or four times. From a sample of the labelled documents, drawn for each label apart, the terms are
 kept whose document counts tell the labels apart (log-likelihood ratio of at least STRENGTH); an example is the vector of its kept
 terms, (1 + ln times) * idf, of length one. A document's neighbours are the K examples of highest cosine, found exactly:
 examples stand in blocks, an inverted index keeps the postings of each term and its highest weight in each block, and blocks are
@@ -37,16 +37,21 @@ from pyspark.sql import functions as F
 
 from quiltgraph.llm.common import memory, slices, small_batches, stored
 from quiltgraph.llm.language import LETTERS, _NEARLY, held_out
+from quiltgraph.llm.textual import ragged
 
 #: Documents of each label that are learned from; terms that are kept.
 FIT_ROWS, MOST_TERMS = 10_000, 20_000
-STEMS, LONGEST = (4, 5, 6), 32
-#: Least log-likelihood ratio of a kept term: by chance alone one in a hundred million terms has it.
-STRENGTH = 33.0
+STEMS, LONGEST = (4, 5, 6, 7, 8), 32
+#: A term that occurs so often in a document counts as another term as well.
+OFTEN = (2, 4)
+#: Least log-likelihood ratio of a kept term: by chance alone one in a million terms has it.
+STRENGTH = 24.0
 NEIGHBOURS, BLOCK, EVIDENCE = 15, 64, 5
 LEAST_SCORE = 0.7
-#: Marks whole words among the terms; no letter.
-WHOLE = "="
+#: Counts of terms whose scores a task remembers, as copies have equal ones.
+REMEMBERED = 10_000
+#: Marks whole words among the terms, and ends the number of a repeated one; no letters.
+WHOLE, TIMES = "=", "*"
 
 
 def words_of(text: str) -> Iterator[str]:
@@ -66,25 +71,24 @@ def terms(text: str) -> Counter:
     for w, n in Counter(words_of(text.lower())).items():
         for t in terms_of_word(w):
             out[t] += n
-    return out
+    return Counter({k: v for t, n in out.items() for k, v in ((t, n), *((f"{m}{TIMES}{t}", 1) for m in OFTEN if n >= m))})
 
 
 class Finder:
     """Counts the kept terms of whole texts in one scan, as :func:`terms` would."""
 
     def __init__(self, kept: list[str]):
-        by: dict[str, tuple[int | None, int | None]] = {}
-        for i, t in enumerate(kept):
-            stem, whole = by.get(t.removeprefix(WHOLE), (None, None))
-            by[t.removeprefix(WHOLE)] = (stem, i) if t[0] == WHOLE else (i, whole)
+        self.number = {t: i for i, t in enumerate(kept)}
+        plain = {t.rpartition(TIMES)[2] for t in kept}
         self.scan = ahocorasick.Automaton()
-        for s, pair in by.items():
-            self.scan.add_word(s, (len(s), *pair))
-        self.empty = not by
-        if by:
+        for s in {t.removeprefix(WHOLE) for t in plain}:
+            self.scan.add_word(s, (len(s), s if s in plain else None, WHOLE + s if WHOLE + s in plain else None))
+        self.empty = not plain
+        if plain:
             self.scan.make_automaton()
 
-    def __call__(self, text: str) -> Counter:
+    def __call__(self, text: str) -> dict[int, int]:
+        """How often each kept term (by its number) occurs."""
         out: Counter = Counter()
         if self.empty:
             return out
@@ -96,7 +100,12 @@ class Finder:
             found = stem if more else whole
             if found is not None:
                 out[found] += 1
-        return out
+        found = {}
+        for term, times in out.items():
+            for name, value in ((term, times), *((f"{m}{TIMES}{term}", 1) for m in OFTEN if times >= m)):
+                if name in self.number:
+                    found[self.number[name]] = value
+        return found
 
 
 def strength(a, b, n_a: float, n_b: float):
@@ -169,21 +178,25 @@ class Index:
         of = np.repeat(w, self.of_term[at + 1] - self.of_term[at])
         bound = np.bincount(self.block[runs], of * self.most[runs], self.blocks) * (1 + 1e-9)
         order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
         by_block = np.argsort(self.block[runs], kind="stable")
         edge = np.searchsorted(self.block[runs][by_block], np.arange(self.blocks + 1))
-        ids, cosines, least = np.zeros(0, np.int64), np.zeros(0), -1.0
-        for b in order.tolist():
-            if bound[b] <= 0 or (len(ids) == k and bound[b] < least):
-                break
-            sums = np.zeros(BLOCK)
-            for r in by_block[edge[b] : edge[b + 1]].tolist():
-                p = slice(self.begin[runs[r]], self.begin[runs[r] + 1])
-                sums[self.example[p] - b * BLOCK] += of[r] * self.weight[p]
-            self.scored += 1
-            if besides is not None:
-                sums[besides[besides // BLOCK == b] - b * BLOCK] = 0
+        ids, cosines, least, done, step = np.zeros(0, np.int64), np.zeros(0), -1.0, 0, 1
+        while done < len(order) and (len(ids) < k or bound[order[done]] >= least):
+            some = order[done : done + step]  # twice as many blocks at each turn
+            done, step = done + step, 2 * step
+            self.scored += len(some)
+            r = by_block[ragged(edge, some)[0]]
+            p, ends = ragged(self.begin, runs[r])
+            slot = np.zeros(self.blocks, np.int64)
+            slot[some] = np.arange(len(some))
+            own = self.example[p]
+            sums = np.bincount(slot[own // BLOCK] * BLOCK + own % BLOCK, np.repeat(of[r], np.diff(ends)) * self.weight[p], len(some) * BLOCK)
+            number = (some[:, None] * BLOCK + np.arange(BLOCK)).ravel()
             found = np.flatnonzero(sums > 0)
-            ids, cosines = np.concatenate([ids, found + b * BLOCK]), np.concatenate([cosines, sums[found]])
+            if besides is not None:
+                found = found[~np.isin(number[found], besides)]
+            ids, cosines = np.concatenate([ids, number[found]]), np.concatenate([cosines, sums[found]])
             best = np.lexsort((ids, -cosines))[:k]
             ids, cosines = ids[best], cosines[best]
             if len(ids) == k:
@@ -315,9 +328,18 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, held_out, score, predicted, evidence (nearest examples), cosine (the highest; null without any) of every whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = scorer(model)
+        finder, known = scorer(model), {}
+
+        def judged(counts: dict[int, int]) -> tuple[float, np.ndarray, np.ndarray]:
+            key = tuple(sorted(counts.items()))
+            if key not in known:
+                if len(known) >= REMEMBERED or len(key) > 1000:
+                    known.clear()
+                known[key] = model.score(counts)
+            return known[key]
+
         for b in slices(batches):
-            out = [model.score(finder(t or "")) for t in b.column("text").to_pylist()]
+            out = [judged(finder(t or "")) for t in b.column("text").to_pylist()]
             score = np.array([s for s, _, _ in out])
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("held_out"), pa.array(score), pa.array((score >= LEAST_SCORE).astype(np.int32)), pa.array([model.ids[near[:EVIDENCE]] for _, near, _ in out], pa.list_(pa.int64())), pa.array([float(c[0]) if len(c) else None for _, _, c in out], pa.float64())],
