@@ -1,24 +1,25 @@
 """Change capture as runs: mappings in ``cdc`` mode, fed by what their engine offers.
 
 ================= ===========================================================================
-postgres          a replication slot; a batch of messages is decoded where it lies
+postgres          a replication slot
 oracle            the redo log; inserts and updates are looked up as they are now
 mysql, mariadb    the binlog
-snowflake         a change stream on each table, read in the transaction that moves it on
-spark             files or a topic of changelog rows, as a streaming query
+snowflake         a change stream on each table
+spark             files or a topic of changelog rows
 ================= ===========================================================================
 
-A place in a log is saved, and a slot or stream moved on, only after the graph is committed: a batch may come twice, and is
-then applied twice to the same result, but is never lost. Drivers are imported only where they are needed; ``execute`` and
-``events`` take their place in tests.
+Each is a streaming query (``streaming.logs``): tasks read the log, a batch is applied and the graph committed, then Spark's checkpoint
+notes the place, and the engine may forget what lies before it. A batch may come twice, and is then applied twice to the same result, but
+is never lost. Drivers are imported only where they are needed; ``log`` takes the engine's place in tests.
+
+With ``cdc: {snapshot: true}`` a first run notes the place, loads the tables in full, and goes on with the changes from that
+place: what changed during the load is applied once more, in order, so that the graph ends where the tables are.
 """
 
 from __future__ import annotations
 
-import importlib
-import itertools
 import json
-from collections.abc import Callable, Iterable, Iterator
+from dataclasses import replace
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,85 +28,43 @@ from pyspark.sql import types as T
 
 from quiltgraph.config import Config, Edge, Node
 from quiltgraph.errors import ConfigError
+from quiltgraph.plans.files import files
 from quiltgraph.plans.graph_store import GraphStore
 from quiltgraph.plans.runtime import Metrics, State, run_once
-from quiltgraph.sources.dialects import stream_name, stream_statements
 from quiltgraph.sources.readers import needed_columns
-from quiltgraph.streaming.changelog import CHANGELOG, commit_changes, stream_to_graph
-from quiltgraph.streaming.pgoutput import decode_frame
-from quiltgraph.streaming.rowlogs import binlog_row
-from quiltgraph.streaming.slots import Execute, Slot, pull_redo, pull_slot, redo_changes
+from quiltgraph.streaming import logs
+from quiltgraph.streaming.changelog import CHANGELOG, stream_to_graph
+from quiltgraph.streaming.slots import REDO_WINDOW, Slot
 
-# Modules that speak with an engine (Python's database interface).
-DRIVERS = {"postgres": "psycopg", "oracle": "oracledb", "mysql": "pymysql", "mariadb": "pymysql", "snowflake": "snowflake.connector"}
-#: Rows looked up by their addresses in one statement; changes of a binlog applied at once.
-LOOK_UP, BINLOG_BATCH = 500, 10_000
-BINLOG_PLACE = "binlog"
+#: Where a state file keeps the place at which the first query of an engine's log begins.
+BEGIN = "changes"
 
 
 def changing(cfg: Config) -> list[Node | Edge]:
     return [m for m in (*cfg.nodes, *cfg.edges) if m.mode == "cdc"]
 
 
-def executor(connect: Callable[[], Any]) -> Execute:
-    """Statements through a connection of Python's database interface; rows as dictionaries with lower-case names."""
-    held: list[Any] = []
-
-    def execute(sql: str) -> list[dict[str, Any]]:
-        if not held:
-            held.append(connect())
-        cursor = held[0].cursor()
-        try:
-            cursor.execute(sql)
-            if cursor.description is None:
-                return []
-            names = [d[0].lower() for d in cursor.description]
-            return [dict(zip(names, r, strict=True)) for r in cursor.fetchall()]
-        finally:
-            cursor.close()
-
-    return execute
-
-
-def _driver(engine: str, module: str) -> Any:
-    try:
-        return importlib.import_module(module)
-    except ImportError as e:
-        raise ConfigError(f"{engine}: capturing changes needs the Python module {module}") from e
-
-
-def connected(cfg: Config) -> Execute:
-    """``execute`` for the configured engine."""
-    c, engine = cfg.connection, cfg.connection.get("engine", "spark")
-    if engine not in DRIVERS:
-        raise ConfigError(f"{engine}: changes cannot be captured from it")
-    driver, options = _driver(engine, DRIVERS[engine]), dict(c.get("connect") or {})
-
-    def connect() -> Any:
-        out = driver.connect(**options)
-        if hasattr(out, "autocommit"):
-            out.autocommit = True
-        return out
-
-    return executor(connect)
-
-
-def changelog(spark: SparkSession, rows: Iterable[tuple]) -> DataFrame:
-    """Rows (table, op, seq, data, unchanged) as a DataFrame."""
-    return spark.createDataFrame(list(rows), CHANGELOG)
-
-
-def named(row: dict[str, Any], mappings: list[Node | Edge]) -> dict[str, Any]:
-    """Column names as the mappings spell them, where they differ in case only."""
-    known = {c.upper(): c for m in mappings for c in needed_columns(m)}
-    return {known.get(k.upper(), k): v for k, v in row.items()}
-
-
-def _text(row: dict[str, Any]) -> str:
-    return json.dumps(row, default=str, sort_keys=True)
+def log_of(cfg: Config) -> Any:
+    """The configured engine's log; None where changes come from Spark itself."""
+    found, c, engine = changing(cfg), cfg.connection, cfg.connection.get("engine", "spark")
+    if engine == "spark":
+        return None
+    if engine not in logs.DRIVERS:
+        raise ConfigError(f"{engine}: changes cannot be captured; {', '.join(m.name for m in found)} cannot be in mode cdc")
+    logs.driver(engine, logs.DRIVERS[engine])
+    s, options = c.get("cdc") or {}, dict(c.get("connect") or {})
+    connect, names = logs.Connector(engine, options), logs.spelled(x for m in found for x in needed_columns(m))
+    if engine == "postgres":
+        return logs.SlotLog(connect, Slot(s.get("slot", "quiltgraph"), s.get("publication", "quiltgraph")))
+    if engine == "oracle":
+        return logs.RedoLog(connect, sorted({m.source.table for m in found}), names, int(s.get("window", REDO_WINDOW)))
+    if engine == "snowflake":
+        return logs.StreamLog(connect, logs.table_streams(found), names)
+    events = logs.BinlogEvents(engine, options, int(s.get("server_id", 1001)))
+    return logs.BinlogLog(connect, events, {(m.source.table or "").rsplit(".", 1)[-1] for m in found}, s.get("status", "SHOW MASTER STATUS"))
 
 
-def run_changes(spark: SparkSession, cfg: Config, store: GraphStore, state: State | None = None, metrics: Metrics | None = None, execute: Execute | None = None, events: Callable[[str | None], Iterator[dict]] | None = None, schemas: dict[str, T.StructType] | None = None) -> int:
+def run_changes(spark: SparkSession, cfg: Config, store: GraphStore, state: State | None = None, metrics: Metrics | None = None, log: Any = None, schemas: dict[str, T.StructType] | None = None, **options) -> int:
     """Apply what has changed since the last call; gives the number of changes. Unknown set-ups are errors."""
     found = changing(cfg)
     if not found:
@@ -114,137 +73,38 @@ def run_changes(spark: SparkSession, cfg: Config, store: GraphStore, state: Stat
     nameless = [m.name for m in found if not (m.source.table or m.source.stream)]
     if nameless:
         raise ConfigError(f"{', '.join(nameless)}: mode cdc needs a table or a stream")
-    fold = engine in ("oracle", "snowflake")  # names there differ in case only
-
-    def apply(changes: DataFrame) -> None:
-        commit_changes(store, cfg, changes, schemas, metrics, fold)
-
-    if engine == "postgres":
-        s = c.get("cdc") or {}
-        slot = Slot(s.get("slot", "quiltgraph"), s.get("publication", "quiltgraph"), int(s.get("fetch_batch_size", Slot.batch)))
-        return _drain(lambda: pull_slot(execute or connected(cfg), slot, lambda rows: apply(decode_frame(spark.createDataFrame(rows, "seq long, data binary")))), slot.batch)
-    if engine == "oracle":
-        execute = execute or connected(cfg)
-        n = pull_redo(execute, state.places, sorted({m.source.table for m in found}), lambda rows: apply(changelog(spark, redo_rows(rows, execute, found))), int((c.get("cdc") or {}).get("window", 50_000)))
-        state.save()
-        return n
-    if engine in ("mysql", "mariadb"):
-        return pull_binlog(events or binlog_events(cfg), state, {(m.source.table or "").rsplit(".", 1)[-1] for m in found}, lambda rows: apply(changelog(spark, rows)))
-    if engine == "snowflake":
-        execute = execute or connected(cfg)
-        return sum(pull_stream(execute, m, found, lambda rows: apply(changelog(spark, rows))) for m in _streams(found))
-    if engine == "spark":
-        changes = c.get("changes")
-        if not changes:
-            raise ConfigError("mode cdc on Spark needs connection.changes: the format and path (or options) of changelog rows")
-        if not (c.get("checkpoint") or store.path):
-            raise ConfigError("mode cdc on Spark needs connection.checkpoint or a graph path")
-        have = metrics.total["rows_fetched"] if metrics else 0
-        counted = metrics or Metrics()
-        stream_to_graph(change_stream(spark, changes), cfg, store, c.get("checkpoint") or f"{store.path}/changes", schemas, metrics=counted).awaitTermination()
-        return counted.total["rows_fetched"] - have
-    raise ConfigError(f"{engine}: changes cannot be captured; {', '.join(m.name for m in found)} cannot be in mode cdc")
-
-
-def _drain(pull: Callable[[], int], batch: int) -> int:
-    n = 0
-    while True:
-        got = pull()
-        n += got
-        if got < batch:
-            return n
-
-
-def redo_rows(rows: list[dict], execute: Execute, mappings: list[Node | Edge]) -> list[tuple]:
-    """Redo records as changelog rows. Deleted rows come from their undo statements; inserted and updated ones are
-    looked up by their addresses, as they are now, and those that are gone since are left out."""
-    gone, touched = redo_changes(rows)
-    out = [(g["table"], "D", g["seq"], _text(named(g["row"], mappings)), []) for g in gone]
-    for table, some in itertools.groupby(sorted(touched, key=lambda t: t["table"]), key=lambda t: t["table"]):
-        some = list(some)
-        ids = sorted({t["row_id"] for t in some})
-        now: dict[str, dict] = {}
-        for k in range(0, len(ids), LOOK_UP):
-            marks = ", ".join("'" + i.replace("'", "''") + "'" for i in ids[k : k + LOOK_UP])
-            for r in execute(f"SELECT ROWIDTOCHAR(t.ROWID) AS quilt_row, t.* FROM {table} t WHERE t.ROWID IN ({marks})"):
-                now[r.pop("quilt_row")] = r
-        out += [(table, t["op"], t["seq"], _text(named(now[t["row_id"]], mappings)), []) for t in some if t["row_id"] in now]
-    return out
-
-
-def pull_binlog(read: Callable[[str | None], Iterator[dict]], state: State, tables: set[str], apply: Callable[[list[tuple]], None], batch: int = BINLOG_BATCH) -> int:
-    """``read(place)`` yields events: place (where the log goes on after it), table, op (I, U or D), names, values.
-    Those of other tables only move the place on."""
-    n, rows, place = 0, [], None
-    for seq, e in enumerate(read(state.places.get(BINLOG_PLACE))):
-        place = e["place"]
-        if e.get("table", "").rsplit(".", 1)[-1] in tables:
-            rows.append((e["table"], e["op"], seq, _text(binlog_row(e["names"], e["values"])), []))
-        if len(rows) >= batch:
-            apply(rows)
-            n, rows = n + len(rows), []
-            state.places[BINLOG_PLACE] = place
+    log = log or log_of(cfg)
+    if log is None and not c.get("changes"):
+        raise ConfigError("mode cdc on Spark needs connection.changes: the format and path (or options) of changelog rows")
+    checkpoint = c.get("checkpoint") or (f"{store.path}/changes" if store.path else None)
+    if not checkpoint:
+        raise ConfigError("mode cdc needs connection.checkpoint or a graph path")
+    counted = metrics or Metrics()
+    have = counted.total["rows_fetched"]
+    if log is None:
+        changes = change_stream(spark, c["changes"])
+    else:
+        fresh = not files(spark, f"{checkpoint}/offsets")
+        if fresh and BEGIN not in state.places:
+            state.places[BEGIN] = log.first()
             state.save()
-    if rows:
-        apply(rows)
-    if place is not None:
-        state.places[BINLOG_PLACE] = place
-        state.save()
-    return n + len(rows)
-
-
-def binlog_events(cfg: Config) -> Callable[[str | None], Iterator[dict]]:
-    """Row events of a server's binlog up to its present end, from ``file:position`` or from now on."""
-    m = _driver(cfg.connection["engine"], "pymysqlreplication")
-    kinds = importlib.import_module("pymysqlreplication.row_event")
-    options = dict(cfg.connection.get("connect") or {})
-
-    def read(place: str | None) -> Iterator[dict]:
-        at = place.rsplit(":", 1) if place else None
-        stream = m.BinLogStreamReader(connection_settings=options, server_id=int((cfg.connection.get("cdc") or {}).get("server_id", 1001)), only_events=[kinds.WriteRowsEvent, kinds.UpdateRowsEvent, kinds.DeleteRowsEvent], resume_stream=bool(at), log_file=at[0] if at else None, log_pos=int(at[1]) if at else None, blocking=False)
-        try:
-            for event in stream:
-                op = {"WriteRowsEvent": "I", "UpdateRowsEvent": "U", "DeleteRowsEvent": "D"}[type(event).__name__]
-                for r in event.rows:
-                    values = r["after_values"] if op == "U" else r["values"]
-                    yield {"place": f"{stream.log_file}:{stream.log_pos}", "table": f"{event.schema}.{event.table}", "op": op, "names": list(values), "values": list(values.values())}
-        finally:
-            stream.close()
-
-    return read
-
-
-def _streams(mappings: list[Node | Edge]) -> list[Node | Edge]:
-    """One mapping for each stream: several mappings of a table share what it gives."""
-    return list({m.source.stream or m.source.table: m for m in mappings}.values())
+        if fresh and (c.get("cdc") or {}).get("snapshot"):
+            snapshot(spark, cfg, store, state, metrics, **options)
+        changes = logs.stream_of(spark, log, state.places.get(BEGIN))
+    fold = engine in ("oracle", "snowflake")  # names there differ in case only
+    query = stream_to_graph(changes, cfg, store, checkpoint, schemas, metrics=counted, ignore_case=fold)
+    query.awaitTermination()
+    done = query.lastProgress
+    end = json.loads(done.json)["sources"][0]["endOffset"] if log is not None and done else None
+    if end:
+        log.forget(end["place"])  # Spark itself tells the source only when the next batch begins
+    return counted.total["rows_fetched"] - have
 
 
-def pull_stream(execute: Execute, m: Node | Edge, mappings: list[Node | Edge], apply: Callable[[list[tuple]], None]) -> int:
-    """Read a table's change stream in a transaction that is committed, and so moves the stream on, after the graph is.
-    An update comes as a delete and an insert that are marked as one; its delete is left out."""
-    name = m.source.stream or stream_name(m.source.table)
-    make, begin, sink, commit = stream_statements(m.source.table or "", name)
-    if not m.source.stream:
-        execute(make)
-    execute(begin)
-    try:
-        out = []
-        for seq, r in enumerate(execute(f"SELECT * FROM {name}" + (f" WHERE ({m.source.where})" if m.source.where else ""))):
-            meta = {k.lower(): v for k, v in r.items() if k.lower().startswith("metadata$")}
-            update, delete = str(meta.get("metadata$isupdate")).lower() == "true", meta.get("metadata$action") == "DELETE"
-            if update and delete:
-                continue
-            row = {k: v for k, v in r.items() if not k.lower().startswith("metadata$")}
-            out.append((m.source.table or name, "D" if delete else "U" if update else "I", seq, _text(named(row, mappings)), []))
-        if out:
-            # deletes first: a key that is deleted and inserted anew in one stream is there in the end
-            apply([(t, op, i, d, s) for i, (t, op, _, d, s) in enumerate(sorted(out, key=lambda x: (x[1] != "D", x[2])))])
-        execute(sink)
-        execute(commit)
-    except Exception:
-        execute("ROLLBACK")
-        raise
-    return len(out)
+def snapshot(spark: SparkSession, cfg: Config, store: GraphStore, state: State, metrics: Metrics | None = None, **options) -> None:
+    """Load the tables of all mappings in ``cdc`` mode as they are now, in one version of the graph; other mappings are left out."""
+    turned = tuple(replace(m, mode="full" if m.mode == "cdc" else "cdc") for m in cfg.mappings)
+    run_once(spark, replace(cfg, mappings=turned), store, state, metrics, skip_changes=True, **options)
 
 
 def change_stream(spark: SparkSession, changes: dict[str, Any]) -> DataFrame:
@@ -256,10 +116,10 @@ def change_stream(spark: SparkSession, changes: dict[str, Any]) -> DataFrame:
     return reader.schema(CHANGELOG).load(changes.get("path"))
 
 
-def run_all(spark: SparkSession, cfg: Config, store: GraphStore, state: State | None = None, metrics: Metrics | None = None, execute: Execute | None = None, events: Callable[[str | None], Iterator[dict]] | None = None, schemas: dict[str, T.StructType] | None = None, **options) -> Metrics:
+def run_all(spark: SparkSession, cfg: Config, store: GraphStore, state: State | None = None, metrics: Metrics | None = None, log: Any = None, schemas: dict[str, T.StructType] | None = None, **options) -> Metrics:
     """One run of all mappings: full and incremental ones, then what has changed for those in ``cdc`` mode."""
     state, metrics = state or State(spark, cfg.state), metrics or Metrics()
     if len(changing(cfg)) < len(cfg.mappings) or options.get("purge_graph") or options.get("purge_mappings"):
         run_once(spark, cfg, store, state, metrics, skip_changes=True, **options)
-    run_changes(spark, cfg, store, state, metrics, execute, events, schemas)
+    run_changes(spark, cfg, store, state, metrics, log, schemas)
     return metrics

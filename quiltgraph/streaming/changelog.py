@@ -1,11 +1,13 @@
 """Change data to the graph: one canonical changelog (table, op, seq, data, unchanged), one apply for batches and streams.
 
-``op`` is I, U or D, ``data`` the row as JSON, ``seq`` orders the changes of a key. For each key the last operation
+``op`` is I, U or D, ``data`` the row as JSON, ``seq`` orders the changes of a key, ``only``, where it is there, names the mappings that a change is for (null: all). For each key the last operation
 counts; a property takes its last known value, so that a column that was not sent keeps what it was.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,11 +15,14 @@ from pyspark.sql import types as T
 from quiltgraph.config import Config, Edge, Node
 from quiltgraph.functions.values import field
 from quiltgraph.operators.mapping import EDGE_KEY, KEY, ORDER, require_keys, to_edges, to_nodes
+from quiltgraph.plans.files import remove
 from quiltgraph.plans.graph_store import GraphStore
 from quiltgraph.plans.runtime import Metrics
 from quiltgraph.sources.readers import needed_columns
 
 CHANGELOG = "table string, op string, seq long, data string, unchanged array<string>"
+#: With the mappings that a change is for.
+CHANGELOG_FOR = CHANGELOG + ", only array<string>"
 
 
 def of_table(changes: DataFrame, table: str, ignore_case: bool = False) -> DataFrame:
@@ -69,7 +74,8 @@ def apply_changelog(store: GraphStore, cfg: Config, changes: DataFrame, schemas:
         name = m.source.table or m.source.stream
         if m.mode != "cdc" or not name:
             continue
-        rows = typed_rows(of_table(changes, name, ignore_case), schema_for(m, schemas))
+        own = changes.where(F.col("only").isNull() | F.array_contains("only", m.name)) if "only" in changes.columns else changes
+        rows = typed_rows(of_table(own, name, ignore_case), schema_for(m, schemas))
         if isinstance(m, Node):
             _apply_nodes(store, cfg, m, rows)
         else:
@@ -129,13 +135,21 @@ def _apply_edges(store: GraphStore, cfg: Config, m: Edge, rows: DataFrame) -> No
 
 
 def commit_changes(store: GraphStore, cfg: Config, changes: DataFrame, schemas: dict[str, T.StructType] | None = None, metrics: Metrics | None = None, ignore_case: bool = False) -> None:
-    """Apply a batch and commit the graph; after a failure the store is what it was before."""
-    cached = changes.persist()
+    """Apply a batch and commit the graph; after a failure the store is what it was before. The batch is read from its source once: it is
+    kept beside the graph until the commit, or in memory where the graph is."""
+    staged = f"{store.path}/staged/{uuid.uuid4().hex}" if store.path else None
+    kept = None
     try:
-        apply_changelog(store, cfg, cached, schemas, ignore_case)
-        store.commit()
+        if staged:
+            changes.write.parquet(staged)
+            kept = changes.sparkSession.read.schema(changes.schema).parquet(staged)
+        else:
+            kept = changes.persist()
+        n = kept.agg(F.count("*").alias("n"), F.count_if(F.col("op") == "D").alias("d")).first()
+        if n["n"]:
+            apply_changelog(store, cfg, kept, schemas, ignore_case)
+            store.commit()
         if metrics is not None:
-            n = cached.agg(F.count("*").alias("n"), F.count_if(F.col("op") == "D").alias("d")).first()
             metrics.add("runs")
             metrics.add("rows_fetched", n["n"])
             metrics.add("rows_written", n["n"] - n["d"])
@@ -147,7 +161,10 @@ def commit_changes(store: GraphStore, cfg: Config, changes: DataFrame, schemas:
             metrics.add("failed_runs")
         raise
     finally:
-        cached.unpersist()
+        if staged:
+            remove(store.spark, staged)
+        elif kept is not None:
+            kept.unpersist()
 
 
 def stream_to_graph(changes: DataFrame, cfg: Config, store: GraphStore, checkpoint: str, schemas: dict[str, T.StructType] | None = None, interval: str | None = None, metrics: Metrics | None = None, ignore_case: bool = False):
@@ -159,10 +176,3 @@ def stream_to_graph(changes: DataFrame, cfg: Config, store: GraphStore, checkpoi
 
     writer = changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
-
-
-def lookup_current(changes: DataFrame, current: DataFrame, change_key: str, table_key: str) -> DataFrame:
-    """Changes that carry only a row's address, with the row as it is now; rows that are gone since are left out."""
-    c = current.select(field(table_key).alias("__at"), F.to_json(F.struct(*map(field, current.columns)), {"ignoreNullFields": "false"}).alias("__now"))
-    kept = [x for x in changes.columns if x != "data"]
-    return changes.join(c, field(change_key) == F.col("__at"), "inner").select(*map(field, kept), F.col("__now").alias("data"))

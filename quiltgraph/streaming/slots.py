@@ -1,7 +1,4 @@
-"""Pulling changes from a database: statements, and loops that commit their place only after the graph is written.
-
-``execute`` runs a statement and gives its rows as dictionaries; it is the only part that needs a driver.
-"""
+"""Statements that read a replication slot and a redo log. ``execute`` runs one and gives its rows as dictionaries."""
 
 from __future__ import annotations
 
@@ -13,17 +10,14 @@ from quiltgraph.functions.names import escape_literal
 
 Execute = Callable[[str], list[dict[str, Any]]]
 
-# Changes taken at once from a slot; change numbers looked at once in a redo log; seconds between looks.
-SLOT_BATCH, REDO_WINDOW, POLL_SECONDS = 10_000, 50_000, 5.0
-#: Where a state file keeps the redo log's place, beside the mappings' watermarks.
-REDO_KEY = "__redo_last_change"
+# Fixed value: change numbers that one look at a redo log covers.
+REDO_WINDOW = 50_000
 
 
 @dataclass(frozen=True)
 class Slot:
     name: str
     publication: str
-    batch: int = SLOT_BATCH
 
     def ensure(self, execute: Execute) -> None:
         """Make publication and slot where they are missing."""
@@ -32,30 +26,23 @@ class Slot:
         if not execute(f"SELECT 1 AS one FROM pg_replication_slots WHERE slot_name = '{escape_literal(self.name)}'"):
             execute(f"SELECT pg_create_logical_replication_slot('{escape_literal(self.name)}', 'pgoutput')")
 
-    def peek(self) -> str:
-        return f"SELECT lsn::text AS lsn, data FROM pg_logical_slot_peek_binary_changes('{escape_literal(self.name)}', NULL, {self.batch}, 'proto_version', '1', 'publication_names', '{escape_literal(self.publication)}')"
-
-    def advance(self, lsn: str) -> str:
-        return f"SELECT pg_replication_slot_advance('{escape_literal(self.name)}', '{escape_literal(lsn)}')"
-
+    def place(self) -> str:
+        return f"SELECT confirmed_flush_lsn::text AS lsn FROM pg_replication_slots WHERE slot_name = '{escape_literal(self.name)}'"
 
-def pull_slot(execute: Execute, slot: Slot, apply: Callable[[list[tuple[int, bytes]]], None]) -> int:
-    """Peek a batch, apply it, then move the slot: a batch may come again after a failure, never be lost."""
-    slot.ensure(execute)
-    rows = execute(slot.peek())
-    if rows:
-        apply([(i, bytes(r["data"])) for i, r in enumerate(rows)])
-        execute(slot.advance(rows[-1]["lsn"]))
-    return len(rows)
+    def peek(self, end: str) -> str:
+        """Messages of all transactions that commit up to an address; the slot stays where it is."""
+        return f"SELECT lsn::text AS lsn, data FROM pg_logical_slot_peek_binary_changes('{escape_literal(self.name)}', '{escape_literal(end)}', NULL, 'proto_version', '1', 'publication_names', '{escape_literal(self.publication)}')"
 
+    def is_before(self, lsn: str) -> str:
+        """A row if the slot can be moved forward to an address."""
+        return f"SELECT 1 AS one FROM pg_replication_slots WHERE slot_name = '{escape_literal(self.name)}' AND confirmed_flush_lsn < '{escape_literal(lsn)}'::pg_lsn"
 
-def redo_range(last: int, current: int, window: int = REDO_WINDOW) -> tuple[int, int] | None:
-    """The next change numbers to look at, at most a window of them; None if there is nothing new."""
-    return None if current <= last else (last + 1, min(current, last + window))
+    def advance(self, lsn: str) -> str:
+        return f"SELECT pg_replication_slot_advance('{escape_literal(self.name)}', '{escape_literal(lsn)}')"
 
 
 def redo_statements(start: int, end: int, tables: list[str]) -> list[str]:
-    """Open the redo log for a range, read committed changes of the tables in order, close it."""
+    """Open the redo log for a range, read committed changes of the tables in the order they were made, close it."""
     names = []
     for t in tables:
         owner, _, name = t.upper().rpartition(".")
@@ -63,43 +50,6 @@ def redo_statements(start: int, end: int, tables: list[str]) -> list[str]:
     where = f" AND ({' OR '.join(names)})" if names else ""
     return [
         f"BEGIN DBMS_LOGMNR.START_LOGMNR(STARTSCN => {start}, ENDSCN => {end}, OPTIONS => DBMS_LOGMNR.DICT_FROM_ONLINE_CATALOG + DBMS_LOGMNR.COMMITTED_DATA_ONLY); END;",
-        f"SELECT scn, seg_owner, table_name, operation, row_id, sql_undo FROM v$logmnr_contents WHERE operation IN ('INSERT', 'UPDATE', 'DELETE'){where} ORDER BY scn",
+        f"SELECT scn, seg_owner, table_name, operation, row_id, sql_undo FROM v$logmnr_contents WHERE operation IN ('INSERT', 'UPDATE', 'DELETE'){where} ORDER BY scn, sequence#",
         "BEGIN DBMS_LOGMNR.END_LOGMNR; END;",
     ]
-
-
-def pull_redo(execute: Execute, state: dict[str, str], tables: list[str], apply: Callable[[list[dict]], None], window: int = REDO_WINDOW) -> int:
-    """One look at the redo log. The first only notes where it stands; later ones apply what is new, then note the place."""
-    current = int(execute("SELECT current_scn FROM v$database")[0]["current_scn"])
-    if REDO_KEY not in state:
-        state[REDO_KEY] = str(current)
-        return 0
-    span = redo_range(int(state[REDO_KEY]), current, window)
-    if span is None:
-        return 0
-    first, read, last = redo_statements(*span, tables)
-    execute(first)
-    try:
-        rows = execute(read)
-    finally:
-        execute(last)
-    if rows:
-        apply(rows)
-    state[REDO_KEY] = str(span[1])
-    return len(rows)
-
-
-def redo_changes(rows: list[dict]) -> tuple[list[dict], list[dict]]:
-    """Deletes with the row from their undo text, and inserts and updates by row address, to be looked up as they are now."""
-    from quiltgraph.streaming.rowlogs import undo_row
-
-    gone, touched = [], []
-    for r in rows:
-        base = {"table": f"{r['seg_owner']}.{r['table_name']}", "seq": int(r["scn"])}
-        if r["operation"] == "DELETE":
-            row = undo_row(r.get("sql_undo") or "")
-            if row is not None:
-                gone.append(base | {"op": "D", "row": row})
-        else:
-            touched.append(base | {"op": r["operation"][0], "row_id": r["row_id"]})
-    return gone, touched

@@ -40,46 +40,24 @@ def test_metrics_endpoint():
     server.shutdown()
 
 
-def test_slot_moves_only_after_the_graph():
-    said, fail = [], True
+def test_slot_statements():
+    said = []
 
     def execute(sql):
         said.append(sql)
-        if "peek" in sql:
-            return [{"lsn": "0/1", "data": b"B"}, {"lsn": "0/9", "data": b"C"}]
         return []
 
-    def apply(messages):
-        assert messages == [(0, b"B"), (1, b"C")]
-        if fail:
-            raise RuntimeError
+    slot = slots.Slot("s", "p'q")
+    slot.ensure(execute)
+    assert any("CREATE PUBLICATION" in s for s in said) and any("create_logical" in s for s in said) and any("p''q" in s for s in said)
+    assert slot.peek("0/9") == "SELECT lsn::text AS lsn, data FROM pg_logical_slot_peek_binary_changes('s', '0/9', NULL, 'proto_version', '1', 'publication_names', 'p''q')"
+    assert slot.advance("0/9") == "SELECT pg_replication_slot_advance('s', '0/9')" and "confirmed_flush_lsn < '0/9'" in slot.is_before("0/9")
 
-    slot = slots.Slot("s", "p", 10)
-    with pytest.raises(RuntimeError):
-        slots.pull_slot(execute, slot, apply)
-    assert not any("advance" in s for s in said) and any("CREATE PUBLICATION" in s for s in said) and any("create_logical" in s for s in said)
-    fail = False
-    assert slots.pull_slot(execute, slot, apply) == 2 and said[-1] == "SELECT pg_replication_slot_advance('s', '0/9')"
 
-
-def test_redo_log_window_and_place():
-    now, said, state, seen = [100], [], {}, []
-
-    def execute(sql):
-        said.append(sql)
-        if "current_scn" in sql:
-            return [{"current_scn": now[0]}]
-        if "v$logmnr_contents" in sql:
-            return [{"scn": 101, "seg_owner": "S", "table_name": "T", "operation": "DELETE", "row_id": "A", "sql_undo": 'insert into "S"."T"("ID") values (5);'}, {"scn": 102, "seg_owner": "S", "table_name": "T", "operation": "UPDATE", "row_id": "B", "sql_undo": None}]
-        return []
-
-    assert slots.pull_redo(execute, state, ["s.t"], seen.append) == 0 and state[slots.REDO_KEY] == "100"
-    assert slots.pull_redo(execute, state, ["s.t"], seen.append) == 0
-    now[0] = 250
-    assert slots.pull_redo(execute, state, ["s.t", "x"], seen.append, 50) == 2 and state[slots.REDO_KEY] == "150"
-    assert "STARTSCN => 101, ENDSCN => 150" in said[-3] and "(seg_owner = 'S' AND table_name = 'T') OR table_name = 'X'" in said[-2] and "END_LOGMNR" in said[-1]
-    gone, touched = slots.redo_changes(seen[0])
-    assert gone == [{"table": "S.T", "seq": 101, "op": "D", "row": {"ID": 5}}] and touched == [{"table": "S.T", "seq": 102, "op": "U", "row_id": "B"}]
+def test_redo_log_statements():
+    begin, look, end = slots.redo_statements(101, 150, ["s.t", "x"])
+    assert "STARTSCN => 101, ENDSCN => 150" in begin and "END_LOGMNR" in end
+    assert "(seg_owner = 'S' AND table_name = 'T') OR table_name = 'X'" in look and look.endswith("ORDER BY scn, sequence#")
 
 
 @pytest.mark.parametrize("engine", ["mysql", "mariadb", "postgres", "sqlserver", "oracle", "clickhouse", "snowflake", "bigquery", "databricks"])

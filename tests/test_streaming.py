@@ -105,10 +105,7 @@ def test_stream_equals_batch(spark, tmp_path):
     assert metrics.total["rows_fetched"] == 7  # the checkpoint remembers
 
 
-def test_table_names_and_lookup(spark):
+def test_table_names(spark):
     df = spark.createDataFrame([("S.T", 1), ("T", 2), ("X.T", 3), ("s.t", 4)], "table string, seq long")
     got = lambda t, **k: {r["seq"] for r in C.of_table(df, t, **k).collect()}
     assert got("T") == {1, 2, 3} and got("S.T") == {1, 2} and got("s.t", ignore_case=True) == {1, 2, 4}
-    ch = spark.createDataFrame([("T", "U", 1, "r1"), ("T", "U", 2, "r9")], "table string, op string, seq long, row_id string")
-    now = C.lookup_current(ch, spark.createDataFrame([("r1", 5)], "rid string, id long"), "row_id", "rid").collect()
-    assert len(now) == 1 and json.loads(now[0]["data"])["id"] == 5
