@@ -23,8 +23,9 @@ from quiltgraph.plans.runtime import apply_node
 from quiltgraph.sources.decoders import paged_rows, session_rows
 from quiltgraph.sources.dialects import build_sql
 from quiltgraph.sources.readers import is_missing, json_variant_file, read_source, variant_field
-from quiltgraph.streaming.changelog import apply_changelog, lookup_current, of_table
-from quiltgraph.streaming.pgoutput import decode_frame
+from quiltgraph.streaming.changelog import CHANGELOG_FOR, apply_changelog, of_table
+from quiltgraph.streaming.logs import BinlogLog, after, redo_changes
+from quiltgraph.streaming.pgoutput import decode, decode_frame
 from quiltgraph.streaming.rowlogs import binlog_row, undo_row
 
 # statements
@@ -238,13 +239,87 @@ def undo_statements(spark, sf_dir):
     return _decoded(sql, decode, "id long, name string, segment string, inserts boolean")
 
 
-@query("SELECT event_id AS seq, c_custkey AS id, c_name AS name FROM events JOIN customer ON user_id = c_custkey")
+def _changelog(rows) -> pa.RecordBatch:
+    kinds = to_arrow_schema(T.StructType.fromDDL(CHANGELOG_FOR))
+    return pa.RecordBatch.from_pylist([dict(zip(kinds.names, r, strict=True)) for r in rows], kinds)
+
+
+def _redo(spark, sf_dir) -> DataFrame:
+    """Redo records made of events, three at a change number, looked up in ``customer`` by the function that runs use."""
+    n = F.col("event_id")
+    gone = F.concat(F.lit('insert into "S"."CUSTOMER"("C_CUSTKEY") values ('), F.col("user_id").cast("string"), F.lit(");"))
+    operation = F.when(F.col("event_type") == "error", "DELETE").when(F.col("event_type") == "signup", "INSERT").otherwise("UPDATE")
+    at = F.col("user_id").cast("string")
+    records = load(spark, sf_dir, "events").select(F.floor(n / 3).alias("scn"), n.alias("n"), F.lit("S").alias("seg_owner"), F.lit("CUSTOMER").alias("table_name"), operation.alias("operation"), at.alias("row_id"), gone.alias("sql_undo"))
+    now = load(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("row_id"), F.col("c_custkey").alias("C_CUSTKEY"), F.col("c_name").alias("C_NAME"))
+    spread = F.pmod(F.xxhash64("row_id"), F.lit(64)).alias("part")
+
+    def run(records: pa.Table, now: pa.Table) -> pa.Table:
+        rows = {r.pop("row_id"): r for r in now.drop_columns(["part"]).to_pylist()}
+        return pa.Table.from_batches([_changelog(redo_changes(records.sort_by([("scn", "ascending"), ("n", "ascending")]).to_pylist(), lambda _, ids: {i: rows[i] for i in ids if i in rows}))])
+
+    return records.select("*", spread).groupBy("part").cogroup(now.select("*", spread).groupBy("part")).applyInArrow(run, CHANGELOG_FOR)
+
+
+@query("SELECT event_id // 3 AS scn, c_custkey AS id, c_name AS name FROM events JOIN customer ON user_id = c_custkey WHERE event_type <> 'error'")
 def looked_up_changes(spark, sf_dir):
     """Changes that carry an address only take the row as it is now; rows that are gone are left out."""
-    changes = load(spark, sf_dir, "events").select(F.lit("customer").alias("table"), F.lit("U").alias("op"), F.col("event_id").alias("seq"), "user_id")
-    now = load(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    row = F.from_json("data", "c_custkey long, c_name string").alias("r")
-    return lookup_current(changes, now, "user_id", "c_custkey").select("seq", row).select("seq", F.col("r.c_custkey").alias("id"), F.col("r.c_name").alias("name"))
+    row = F.from_json("data", "C_CUSTKEY long, C_NAME string").alias("r")
+    return _redo(spark, sf_dir).where("op <> 'D'").select(F.shiftright("seq", 24).alias("scn"), row).select("scn", F.col("r.C_CUSTKEY").alias("id"), F.col("r.C_NAME").alias("name"))
+
+
+def _applied(spark, changes: DataFrame, table: str, key: str, value: str, kinds: T.StructType) -> DataFrame:
+    m = node("row", table, "Row", key, "id", {"value": value}, mode="cdc")
+    cfg, g = parse_config({"mappings": [m]}), GraphStore(spark)
+    apply_changelog(g, cfg, changes, {table: kinds})
+    return g.node_frame(["Row"]).select("id", "value")
+
+
+@query("SELECT c_custkey AS id, c_name AS value FROM (SELECT user_id, max_by(event_type, event_id) AS last FROM events GROUP BY user_id) JOIN customer ON user_id = c_custkey WHERE last <> 'error'")
+def redo_to_graph(spark, sf_dir):
+    """A redo log applied to a graph: changes of one change number keep their order, deletes come from undo text."""
+    return _applied(spark, _redo(spark, sf_dir), "S.CUSTOMER", "C_CUSTKEY", "C_NAME", T.StructType().add("C_CUSTKEY", "long").add("C_NAME", "string"))
+
+
+@query("SELECT user_id AS id, max_by(event_type, event_id) AS value FROM events GROUP BY user_id HAVING max_by(event_type, event_id) <> 'error'")
+def binlog_to_graph(spark, sf_dir):
+    """A binlog of files of a few thousand row events in transactions of seven, a task a file, applied to a graph."""
+    df = load(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.floor(F.col("event_id") / 3500).alias("file"))
+
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        number = key[0].as_py()
+
+        def events(name: str, at: int):
+            for r in rows.sort_by("event_id").to_pylist():
+                op = {"signup": "I", "error": "D"}.get(r["event_type"], "U")
+                yield {"table": "app.users", "op": op, "names": ["user_id", "event_type"], "values": [r["user_id"], r["event_type"].encode()]}
+                if r["event_id"] % 7 == 6:
+                    yield {"place": f"{name}:{r['event_id']}"}
+            yield {"place": f"{name}:{2**40}"}
+
+        return pa.Table.from_batches([_changelog(BinlogLog(None, events, {"users"}).rows((number, f"f.{number}", 0, None)))])
+
+    return _applied(spark, df.groupBy("file").applyInArrow(run, CHANGELOG_FOR), "users", "user_id", "event_type", T.StructType().add("user_id", "long").add("event_type", "string"))
+
+
+@query("SELECT user_id AS id, max_by(event_type, event_id) AS value FROM events WHERE event_id >= 100 GROUP BY user_id HAVING max_by(event_type, event_id) <> 'error'")
+def slot_to_graph(spark, sf_dir):
+    """Replication messages in transactions of ten; those that end before a place were applied already and are skipped."""
+    df = load(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.pmod(F.col("user_id"), F.lit(16)).alias("part"))
+    relation = b"R" + struct.pack(">i", 9) + b"public\0events\0d" + struct.pack(">h", 2) + b"".join(b"\0" + c + b"\0" + struct.pack(">ii", 25, -1) for c in (b"user_id", b"event_type"))
+
+    def run(rows: pa.Table) -> pa.Table:
+        def messages():
+            yield relation
+            for r in rows.sort_by("event_id").to_pylist():
+                op = {"signup": b"I", "error": b"D"}.get(r["event_type"], b"U")
+                yield b"B" + struct.pack(">qqi", r["event_id"] // 10 * 10 + 9, 0, 0)
+                yield op + struct.pack(">i", 9) + (b"K" if op == b"D" else b"N") + _image([str(r["user_id"]), r["event_type"]])
+                yield b"C"
+
+        return pa.Table.from_batches([_changelog((*row, None) for row in decode(enumerate(after(messages(), 99))))])
+
+    return _applied(spark, df.groupBy("part").applyInArrow(run, CHANGELOG_FOR), "events", "user_id", "event_type", T.StructType().add("user_id", "long").add("event_type", "string"))
 
 
 @query("SELECT o_custkey AS src, o_orderkey AS dst FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_acctbal > 0")
