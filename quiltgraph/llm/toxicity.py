@@ -2,7 +2,7 @@
 
 Terms are lower-case words (runs of letters) of up to LONGEST letters, the first 4 to 8 letters of longer words (a stem:
 inflected and made-up forms share it), and either of them once more as a term of its own if it occurs twice, or four times. From a sample of the labelled documents, drawn for each label apart, the terms are
-kept whose document counts tell the labels apart (log-likelihood ratio of at least STRENGTH); an example is the vector of its kept
+kept whose document counts tell the labels apart (log-likelihood ratio of at least STRENGTH, and ODDS times as common with one label); an example is the vector of its kept
 terms, (1 + ln times) * idf, of length one. A document's neighbours are the K examples of highest cosine, found exactly:
 examples stand in blocks, an inverted index keeps the postings of each term and its highest weight in each block, and blocks are
 scored in order of the bound that those weights give until it falls below the K-th cosine (ties: the smaller example number).
@@ -46,6 +46,8 @@ STEMS, LONGEST = (4, 5, 6, 7, 8), 32
 OFTEN = (2, 4)
 #: Least log-likelihood ratio of a kept term: by chance alone one in a million terms has it.
 STRENGTH = 24.0
+#: How many times as often documents of one label hold a kept term: in a large sample slight differences are significant, too.
+ODDS = 4.0
 NEIGHBOURS, BLOCK, EVIDENCE = 15, 64, 5
 LEAST_SCORE = 0.7
 #: Counts of terms whose scores a task remembers, as copies have equal ones.
@@ -269,6 +271,8 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
 
     seen = rows.select("toxic", "text").mapInArrow(count, "term string, clean long, toxic long").groupBy("term").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
     seen = seen.withColumn("strength", strength(F.col("clean"), F.col("toxic"), float(drawn[0]), float(drawn[1]))).where(F.col("strength") >= STRENGTH)
+    odds = (F.col("toxic") + 0.5) * (drawn[0] + 1) / ((F.col("clean") + 0.5) * (drawn[1] + 1))
+    seen = seen.where((odds >= ODDS) | (odds <= 1 / ODDS))
     best = seen.orderBy(F.desc("strength"), "term").limit(MOST_TERMS).collect()  # bounded
     weights = {t: counts[t] / drawn[t] for t in (0, 1)}
     total = sum(counts.values())
