@@ -80,7 +80,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             else:
                 print(text)
         return 0
-    store, state, metrics = GraphStore(spark, args.graph_path or cfg.graph.get("path")), State(spark, cfg.state), Metrics()
+    store, state, metrics = GraphStore(spark, args.graph_path or cfg.graph.get("path"), cfg.graph.get("buckets"), bool(cfg.graph.get("ranges"))), State(spark, cfg.state), Metrics()
     server = metrics_server(metrics, args.metrics_port) if args.metrics_port is not None else None
 
     captured = changing(cfg)

@@ -239,9 +239,11 @@ def undo_statements(spark, sf_dir):
     return _decoded(sql, decode, "id long, name string, segment string, inserts boolean")
 
 
+_CHANGES = pa.schema([("table", pa.string()), ("op", pa.string()), ("seq", pa.int64()), ("data", pa.string()), ("unchanged", pa.list_(pa.string())), ("only", pa.list_(pa.string()))])
+
+
 def _changelog(rows) -> pa.RecordBatch:
-    kinds = to_arrow_schema(T.StructType.fromDDL(CHANGELOG_FOR))
-    return pa.RecordBatch.from_pylist([dict(zip(kinds.names, r, strict=True)) for r in rows], kinds)
+    return pa.RecordBatch.from_pylist([dict(zip(_CHANGES.names, r, strict=True)) for r in rows], _CHANGES)
 
 
 def _redo(spark, sf_dir) -> DataFrame:

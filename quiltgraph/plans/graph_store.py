@@ -8,6 +8,10 @@ in use back to it.
 A stored table is a base and a layer: the keys that changed since the base was written, and their rows as they are now.
 A merge or delete looks up the keys of its batch and writes the layer only, so what is written follows the changes and not
 the table; once the layer holds more than COMPACT of the base, both are written as a new base.
+
+With ``ranges`` a base is written in ranges of its key (``plans.ranges``), edges by their start and once more, as identities only,
+by their end. A lookup then reads the files that can hold a key of its batch, a reader lets the other files pass as they
+are, and edges that touch removed nodes are found from either end.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ import json
 import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +34,9 @@ from quiltgraph.operators.endpoints import resolve
 from quiltgraph.operators.fold import fold_last
 from quiltgraph.operators.mapping import EDGE_KEY, KEY, ORDER
 from quiltgraph.operators.merge import delete, detach, upsert
+from quiltgraph.plans import ranges as R
 from quiltgraph.plans.files import files, folders, read_json, remove, write_json
+from quiltgraph.plans.ranges import Ranges
 
 Labels = tuple[str, ...]
 EDGE_ID = ["src_key", "dst_key", "edge_key"]
@@ -48,15 +54,42 @@ class Layer:
     on: tuple[str, ...]
     keys: DataFrame | None = None
     rows: DataFrame | None = None
+    ranges: Ranges | None = None  # of the base, by its first key
+    ends: Ranges | None = None  # of an edge base's identities, by the end
+    touched: tuple[int, ...] | None = None  # files of the base that can hold one of ``keys`` (None: not known)
 
     def change(self, keys: DataFrame, rows: DataFrame) -> Layer:
         """``rows`` are now all there is of ``keys`` (distinct)."""
         if self.keys is None or self.rows is None:
-            return Layer(self.base, self.on, keys, rows)
-        return Layer(self.base, self.on, self.keys.unionByName(keys), _without(self.rows, keys, self.on).unionByName(rows, allowMissingColumns=True))
+            return replace(self, keys=keys, rows=rows, touched=None)
+        return replace(self, keys=self.keys.unionByName(keys), rows=_without(self.rows, keys, self.on).unionByName(rows, allowMissingColumns=True), touched=None)
 
     def frame(self) -> DataFrame:
-        return self.base if self.keys is None or self.rows is None else _without(self.base, self.keys, self.on).unionByName(self.rows, allowMissingColumns=True)
+        if self.keys is None or self.rows is None:
+            return self.base
+        if self.ranges is None or self.touched is None:
+            return _without(self.base, self.keys, self.on).unionByName(self.rows, allowMissingColumns=True)
+        rest = [i for i in range(len(self.ranges.files)) if i not in set(self.touched)]
+        out = _without(self.part(list(self.touched)), self.keys, self.on).unionByName(self.rows, allowMissingColumns=True)
+        return out.unionByName(self.part(rest), allowMissingColumns=True) if rest else out
+
+    def part(self, numbers: list[int]) -> DataFrame:
+        """Some files of the base."""
+        return self.ranges.read(self.base.sparkSession, numbers, self.base.schema)
+
+    def around(self, keys: DataFrame, column: str) -> DataFrame:
+        """All rows that can have one of ``keys`` in the first key column, and maybe others."""
+        if self.ranges is None:
+            return self.frame()
+        some = self.part(self.ranges.hit(keys, column))
+        return some if self.keys is None or self.rows is None else _without(some, self.keys, self.on).unionByName(self.rows, allowMissingColumns=True)
+
+    def ending_in(self, keys: DataFrame, column: str) -> DataFrame:
+        """Identities of all edges that can end in one of ``keys``, and maybe of others."""
+        if self.ends is None:
+            return self.frame().select(*EDGE_ID)
+        some = self.ends.read(self.base.sparkSession, self.ends.hit(keys, column), StructType([self.base.schema[c] for c in EDGE_ID]))
+        return some if self.keys is None or self.rows is None else _without(some, self.keys, self.on).unionByName(self.rows.select(*EDGE_ID))
 
 
 def _without(df: DataFrame, keys: DataFrame, on: tuple[str, ...], how: str = "left_anti") -> DataFrame:
@@ -74,11 +107,13 @@ class GraphStore:
     """``path``: where versions live; None keeps everything lazy in this session.
 
     ``buckets``: write node tables bucketed and sorted by their unique property, so that merges and endpoint joins
-    read them without a shuffle: only the batch moves, however large the graph has grown.
+    read them without a shuffle: only the batch moves, however large the graph has grown. ``ranges``: write tables sorted instead (edges
+    from both ends), so that a merge or delete reads only the files that can hold its keys: for batches whose keys lie close together, and
+    for removals.
     """
 
-    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None):
-        self.spark, self.path, self.buckets = spark, path, buckets
+    def __init__(self, spark: SparkSession, path: str | None = None, buckets: int | None = None, ranges: bool = False):
+        self.spark, self.path, self.buckets, self.ranges = spark, path, buckets, ranges
         self.nodes: dict[Labels, DataFrame] = {}
         self.edges: dict[tuple[str, Labels, Labels], DataFrame] = {}
         self.indexes: set[tuple[str, str]] = set()
@@ -156,12 +191,14 @@ class GraphStore:
             if key_property not in t.columns:
                 continue
             k = self._staged(keys.select(F.col(KEY).alias("__k")).distinct(), ("node", *s))
-            gone = t.join(k, field(key_property) == F.col("__k"), "left_semi").select(KEY)
+            own = self._layers.get(("node", *s))
+            near = own.around(k, "__k") if own is not None and own.on == (key_property,) else t
+            gone = near.join(k, field(key_property) == F.col("__k"), "left_semi").select(KEY)
             for e in [e for e in self.edges if s in e[1:]]:
                 table = self.edges[e]
-                if ("edge", *e) in self._layers:
-                    ends = [c for c, end in (("src_key", e[1]), ("dst_key", e[2])) if end == s]
-                    touching = reduce(DataFrame.unionByName, [_without(table, gone.select(F.col(KEY).alias(c)), (c,), "left_semi").select(*EDGE_ID) for c in ends])
+                if (layer := self._layers.get(("edge", *e))) is not None:
+                    ends = [(c, find) for c, end, find in (("src_key", e[1], layer.around), ("dst_key", e[2], layer.ending_in)) if end == s]
+                    touching = self._staged(reduce(DataFrame.unionByName, [_without(find(gone, KEY), gone.select(F.col(KEY).alias(c)), (c,), "left_semi").select(*EDGE_ID) for c, find in ends]), ("edge", *e))
                     self._replace(("edge", *e), tuple(EDGE_ID), touching.distinct(), lambda part: part.where("false"))
                 else:
                     self._put(("edge", *e), detach(table, gone, e[1] == s, e[2] == s))
@@ -255,7 +292,7 @@ class GraphStore:
             self._put(k, (whole or change)(t))
             return
         keys = batch.select(*map(field, on)).distinct()
-        layer = layer.change(keys, change(_without(t, keys, on, "left_semi")))
+        layer = layer.change(keys, change(_without(layer.around(keys, on[0]), keys, on, "left_semi")))
         self._layers[k] = layer
         self._set(k, layer.frame())
 
@@ -288,14 +325,26 @@ class GraphStore:
                 where = f"{self.path}/tables/{name}"
                 layer.keys.distinct().write.parquet(f"{where}/keys")
                 n = self.spark.read.parquet(f"{where}/keys").count()
-                if n <= COMPACT * layer.base.count():
+                if n <= COMPACT * (sum(layer.ranges.rows) if layer.ranges else layer.base.count()):
                     layer.rows.write.parquet(f"{where}/rows")
+                    if layer.ranges:
+                        write_json(self.spark, f"{where}/_touched.json", layer.ranges.hit(self.spark.read.parquet(f"{where}/keys"), layer.on[0]))
                     return k, name, True
                 remove(self.spark, where)
                 name = f"{k[0]}-{uuid.uuid4().hex}"
             by = self._bucket_column(k)
             if by is None:
-                df.write.parquet(f"{self.path}/tables/{name}")
+                where = f"{self.path}/tables/{name}"
+                first = [self.keys[k[1:]]] if k[0] == "node" and k[1:] in self.keys else EDGE_ID[:2] if k[0] == "edge" else []
+                if not (self.ranges and first and R.can_range(df, first)):
+                    df.write.parquet(where)
+                else:  # what made the table is run once; ranges are cut from what it wrote
+                    df.write.parquet(f"{where}/_made")
+                    made = self.spark.read.schema(df.schema).parquet(f"{where}/_made")
+                    R.write(made, where, first)
+                    if k[0] == "edge" and R.can_range(df, ["dst_key"]):
+                        R.write(made.select(*EDGE_ID), f"{where}/_ends", ["dst_key", "src_key"])
+                    remove(self.spark, f"{where}/_made")
             else:  # one task a bucket, so one file a bucket
                 writer = df.repartition(self.buckets, field(by)).write.format("parquet").bucketBy(self.buckets, by).sortBy(by)
                 writer.option("path", f"{self.path}/tables/{name}").saveAsTable(_table_name(name))
@@ -376,14 +425,16 @@ class GraphStore:
             df = self.spark.read.schema(schema).parquet(where)
         on = tuple(EDGE_ID) if k[0] == "edge" else (self.keys[k[1:]],) if k[1:] in self.keys else None
         if on and set(on) <= set(df.columns):
-            self._layers[k] = Layer(df, on)
+            near = k not in self._bucketed
+            self._layers[k] = Layer(df, on, ranges=R.load(self.spark, where) if near else None, ends=R.load(self.spark, f"{where}/_ends") if near and k[0] == "edge" else None)
         (self.nodes if k[0] == "node" else self.edges)[k[1:]] = df
 
     def _read_layer(self, k: tuple, name: str, schema) -> None:
         base = self._layers[k]
         where = f"{self.path}/tables/{name}"
         keys = StructType([base.base.schema[c] for c in base.on])
-        layer = Layer(base.base, base.on, self.spark.read.schema(keys).parquet(f"{where}/keys"), self.spark.read.schema(schema).parquet(f"{where}/rows"))
+        touched = read_json(self.spark, f"{where}/_touched.json") if base.ranges else None
+        layer = replace(base, keys=self.spark.read.schema(keys).parquet(f"{where}/keys"), rows=self.spark.read.schema(schema).parquet(f"{where}/rows"), touched=None if touched is None else tuple(touched))
         self._layers[k] = layer
         (self.nodes if k[0] == "node" else self.edges)[k[1:]] = layer.frame()
 

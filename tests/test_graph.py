@@ -35,12 +35,12 @@ class Simulator:
             self.edges.setdefault((a, b, k), {}).update(props)
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_merges_match_a_simulator(spark, tmp_path, seed):
+@pytest.mark.parametrize(("seed", "ranges"), [(0, False), (1, False), (2, False), (3, True), (4, True)])
+def test_merges_match_a_simulator(spark, tmp_path, seed, ranges):
     rng = random.Random(seed)
     flag = {"updated_at_column": "u", "deleted_flag_column": "gone", "deleted_flag_value": 1}
     cfg = parse_config({"mappings": [node(delta=flag), edge(keyed=seed % 2 == 0, delta=flag)]})
-    g, sim = GraphStore(spark, f"file://{tmp_path}/g"), Simulator()
+    g, sim = GraphStore(spark, f"file://{tmp_path}/g", ranges=ranges), Simulator()
     for _ in range(3):
         rows = [(rng.randrange(12), rng.choice([None, "x", "y"]), rng.choice([None, 1, 2]), i, int(rng.random() < 0.2)) for i in range(15)]
         apply_node(g, cfg.nodes[0], spark.createDataFrame(rows, "id long, a string, b int, u int, gone int"))
@@ -61,7 +61,7 @@ def test_merges_match_a_simulator(spark, tmp_path, seed):
             if r[5]:
                 sim.edges.pop((r[0], r[1], r[2] if keyed else None), None)
         g.commit()
-        g = GraphStore(spark, f"file://{tmp_path}/g")
+        g = GraphStore(spark, f"file://{tmp_path}/g", ranges=ranges)
         assert {r["id"]: {"a": r["a"], "b": r["b"]} for r in g.node_frame(["N"]).collect()} == sim.nodes
         got = g.edge_frame("R")
         assert {(r["src_key"], r["dst_key"], r["edge_key"]): {"w": r["w"]} for r in got.collect()} == sim.edges
@@ -200,6 +200,52 @@ def test_bucketed_nodes_merge_without_moving_the_graph(spark, tmp_path):
     assert g.vacuum() == 1 and g.node_frame(["N"]).count() == 250
 
 
+def test_ranged_tables_are_read_where_their_keys_are(spark, tmp_path):
+    """Merges and removals on 1 % of a sorted graph read less than a tenth of it, from either end of its edges."""
+    path, n = f"file://{tmp_path}/g", 20_000
+    cfg = parse_config({"mappings": [node(props=("a",)), edge()]})
+    sizes = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "40"}
+    old = {k: spark.conf.get(k) for k in sizes}
+    for k, v in sizes.items():
+        spark.conf.set(k, v)
+    try:
+        g = GraphStore(spark, path, ranges=True)
+        apply_node(g, cfg.nodes[0], spark.range(n).selectExpr("id", "md5(CAST(id AS STRING)) AS a"))
+        g.flush()
+        apply_edge(g, cfg, cfg.edges[0], spark.range(n).selectExpr("id AS f", f"(id + 7000) % {n} AS t", "rand(3) AS w").unionByName(spark.range(n // 2).selectExpr("5 AS f", "id AS t", "0.5D AS w")))
+        g.commit()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    g = GraphStore(spark, path, ranges=True)
+    nodes, edges = (next(v for k, v in g._layers.items() if k[0] == kind) for kind in ("node", "edge"))
+    assert len(nodes.ranges.files) > 30 and sum(nodes.ranges.rows) == n and len(edges.ends.files) > 30
+    assert len(edges.ranges.places(5)) > 5  # a hot start is in many files
+    some = spark.range(9000, 9000 + n // 100).selectExpr("id AS __key")
+    hit = nodes.ranges.hit(some, "__key")
+    assert sum(nodes.ranges.rows[i] for i in hit) < n / 10
+    for ranges in (edges.ranges, edges.ends):
+        assert sum(ranges.rows[i] for i in ranges.hit(some, "__key")) < sum(ranges.rows) / 10
+    apply_node(g, cfg.nodes[0], some.selectExpr("__key + 100 AS id", "'new' AS a"))
+    g.delete_nodes(["N"], "id", some)
+    g.commit()
+    g = GraphStore(spark, path, ranges=True)
+    layer = g._layers[("node", "N")]
+    assert layer.touched is not None and len(layer.touched) < len(layer.ranges.files) / 10
+    gone = set(range(9000, 9200))
+    assert {r["id"] for r in g.node_frame(["N"]).collect()} == (set(range(n)) - gone) | set(range(9200, 9300))
+    want = {(i, (i + 7000) % n) for i in range(n)} | {(5, i) for i in range(n // 2)}
+    assert {(r["src_key"], r["dst_key"]) for r in g.edge_frame("R").collect()} == {(a, b) for a, b in want if not {a, b} & gone}
+    # the files that hold no changed key pass without a shuffle
+    plan = g.node_frame(["N"])._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan
+    g.delete_nodes(["N"], "id", spark.range(12_000).selectExpr("id AS __key"))  # a large change makes a new base
+    g.commit()
+    g = GraphStore(spark, path, ranges=True)
+    assert g._layers[("node", "N")].keys is None and g.node_frame(["N"]).count() == 8000
+    assert {(r["src_key"], r["dst_key"]) for r in g.edge_frame("R").collect()} == {(a, b) for a, b in want if min(a, b) >= 12_000}
+
+
 def test_shared_sources_are_read_once(spark, tmp_path):
     calls = []
     rows = spark.createDataFrame([(1, 2, "x", 0.5), (2, 1, "y", 0.7)], "id long, t long, a string, w double")
