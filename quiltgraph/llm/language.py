@@ -7,7 +7,7 @@ The language with the highest sum wins; ``score`` is its posterior over the lang
 the mean per word times at most ``EVIDENCE`` words, so that it tells doubt in any text length.
 
 Training counts words and n-grams over a sample of the labelled texts, drawn for each language apart (at most about
-``FIT_ROWS`` documents of each, by the hash of doc_id; all of them where there are fewer), and keeps each language's
+``FIT_ROWS`` different rows of each, by the hash of doc_id and text, so that ids that repeat neither fill nor empty it; all of them where there are fewer), and keeps each language's
 ``WORDS`` and ``GRAMS`` most frequent entries: the model does not grow with the corpus, and a rare language is learned as
 well as a common one. A word beyond them is not lost: it is judged by its n-grams.
 
@@ -101,11 +101,12 @@ class Model:
 def learn(labelled: DataFrame) -> Model:
     """A model from columns doc_id, text and lang."""
     labelled = small_batches(labelled).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row a language
     whole = 1 << 30
-    rates = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, int(min(1.0, FIT_ROWS / n) * whole)))) if sizes else F.lit(None)
-    draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))), F.lit(whole))
-    sample = labelled.where(draw < F.element_at(rates, F.col("lang")) if sizes else F.lit(False)).select("lang", "text")
+    labelled = labelled.select("lang", "text", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text").alias("h"))
+    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.approx_count_distinct("h", 0.03).alias("n")).collect()}  # one row a language
+    rates = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, int(min(1.0, FIT_ROWS / (1.1 * n)) * whole) if n > FIT_ROWS / 1.1 else whole))) if sizes else F.lit(None)
+    drawn = labelled.where(F.pmod("h", F.lit(whole)) < F.element_at(rates, F.col("lang")) if sizes else F.lit(False))
+    sample = drawn.groupBy("lang", "h").agg(F.first("text").alias("text")).select("lang", "text")  # rows alike have one draw, and count once
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[tuple[str, str], Counter] = {}

@@ -1,6 +1,6 @@
 """Approximate nearest neighbours by learned partitions (operator 8).
 
-Fit, on a sample of usable vectors (by the hash of vec_id; all of them where there are fewer): the
+Fit, on a sample of usable vectors (by the hash of vec_id and vector, rows alike once; all of them where there are fewer): the
 sample's nearest-neighbour graph is cut into balanced parts by recursive spectral bisection with pairwise
 refinement; a small classifier (one hidden layer) learns which parts hold the neighbours of a vector.
 There is a part for about PART_ROWS vectors, and the sample holds PER_PART vectors a part, so both grow with the table, up to
@@ -213,26 +213,30 @@ def top(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k:
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-def parts_for(rows: int, size: int = 1) -> int:
+def parts_for(rows: int, size: int = 1, part_rows: int = PART_ROWS) -> int:
     """A power of two that grows with the table as far as the sample (of vectors of ``size`` components) does."""
     parts, most = 1, max(SAMPLE, min(MOST_SAMPLE, SAMPLE_BYTES // (8 * max(1, size))))
-    while parts * PART_ROWS < rows and 2 * parts * PER_PART <= most:
+    while parts * part_rows < rows and 2 * parts * PER_PART <= most:
         parts *= 2
     return parts
 
 
-def search(table: DataFrame, is_query: Column, k: int = NEAREST) -> DataFrame:
-    """query_id, rank, vec_id, score: the k nearest rows of each query among all rows but its own."""
+def search(table: DataFrame, is_query: Column, k: int = NEAREST, part_rows: int = PART_ROWS) -> DataFrame:
+    """query_id, rank, vec_id, score: the k nearest rows of each query among all rows but its own. There is a part for about
+    ``part_rows`` vectors."""
     e = F.col("embedding").cast("array<double>")
     found = table.select(F.col("vec_id").cast("long").alias("vec_id"), e.alias("x"), is_query.alias("asks")).where(F.col("vec_id").isNotNull() & usable(F.col("x")))
-    most = found.groupBy(F.size("x").alias("size")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "size").first()
-    size, n = (most["size"], most["n"]) if most else (0, 0)
-    parts = parts_for(n, size)
-    rate = min(1.0, max(SAMPLE, PER_PART * parts) / max(1, n))
-    pick = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 30)) < F.lit(int(rate * (1 << 30)))
+    row = F.xxhash64("vec_id", "x")
+    most = found.groupBy(F.size("x").alias("size")).agg(F.count("*").alias("n"), F.approx_count_distinct(row, 0.03).alias("different")).orderBy(F.desc("n"), "size").first()
+    size, n, different = tuple(most) if most else (0, 0, 0)
+    parts = parts_for(n, size, part_rows)
+    wanted = max(SAMPLE, PER_PART * parts)
+    rate = min(1.0, 1.1 * wanted / max(1, different))
+    pick = F.pmod(row, F.lit(1 << 30)) < F.lit(int(rate * (1 << 30)))
     sample = np.zeros((1, max(1, size)))
     if parts > 1:
-        got = found.where(pick & (F.size("x") == size)).select("vec_id", "x").toArrow().combine_chunks()
+        drawn = found.where(pick & (F.size("x") == size)).select("vec_id", "x").distinct()  # rows alike have one draw
+        got = drawn.orderBy(row, "vec_id").limit(wanted).toArrow().combine_chunks()  # so many rows at most, whatever ids repeat
         sample = matrix(got.column("x").combine_chunks())
         sample = sample[np.lexsort((*sample.T[::-1], got.column("vec_id").to_numpy()))]  # one order, whatever the partitions
     router = Router(sample, parts)

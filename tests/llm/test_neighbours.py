@@ -121,3 +121,24 @@ def test_every_row_a_query_in_bounded_groups(spark, monkeypatch):
 
 def test_parts_grow_with_the_table():
     assert [N.parts_for(n) for n in (0, 4000, 4001, 10**6, 4 * 10**6, 10**9)] == [1, 1, 2, 256, 1024, 1024]
+
+
+def test_an_id_that_repeats_does_not_fill_the_sample(spark, monkeypatch):
+    seen, router = [], N.Router
+    monkeypatch.setattr(N, "Router", lambda x, parts, seed=7: seen.append((len(x), parts)) or router(x, parts, seed))
+    monkeypatch.setattr(N, "SAMPLE", 300)
+    monkeypatch.setattr(N, "PER_PART", 16)
+    rng = np.random.default_rng(1)
+    for one in (3, 4, 5):
+        seen.clear()
+        rows = [(one, [float(v) for v in rng.normal(size=4)], 0) for _ in range(4000)] + [(100 + i, [float(v) for v in rng.normal(size=4)], 0) for i in range(600)] + [(7, [1.0, 2.0, 3.0, 4.0], 0)] * 2000
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+        assert N.search(df, F.col("vec_id") % 100 == 0, part_rows=500).count() == 60
+        assert seen[0][1] >= 8 and 150 <= seen[0][0] <= 300
+
+
+def test_recall_over_parts(spark):
+    from quiltgraph.llm.queries import queries
+
+    rows = queries()["neighbours_in_parts"](spark, "/root/testdata/sf0.001").collect()
+    assert len(rows) == 5 and all(r["enough"] for r in rows)

@@ -59,6 +59,31 @@ def test_rows_alike_get_slots_of_their_own_in_many_tasks(spark, monkeypatch):
     assert len({r["shard"] for r in got}) == 1 and sorted(r["slot"] for r in got) == list(range(1000))
 
 
+def test_slots_do_not_follow_the_read_order(spark, monkeypatch):
+    """Where rows alike fill a bucket, all other rows keep the slots that their columns give them."""
+    monkeypatch.setattr(sharding, "SLOT_ROWS", 40)
+    rows = [(5, "copy")] * 900 + [(None, None)] * 300 + [(i, f"text {i % 7}") for i in range(600)]
+    tree = sharding.production_tree()
+
+    def slots(docs):
+        out = sharding.assign(docs, tree, len(rows)).collect()
+        for shard in {r["shard"] for r in out}:
+            own = [r["slot"] for r in out if r["shard"] == shard]
+            assert sorted(own) == list(range(len(own)))
+        kinds = {}
+        for r in out:
+            kinds.setdefault((r["doc_id"], r["size"], r["text_crc32"]), []).append((r["shard"], r["slot"]))
+        return {k: sorted(v) for k, v in kinds.items()}
+
+    first = slots(frame(spark, rows))
+    assert first == slots(frame(spark, rows[::-1]).repartition(7)) and len(first) == 601
+    monkeypatch.setattr(sharding, "SLOT_ROWS", 10**6)  # one bucket, numbered by one window: the same order
+    whole = slots(frame(spark, rows))
+    monkeypatch.setattr(sharding, "buckets_for", lambda rows, each: 1)
+    monkeypatch.setattr(sharding, "SLOT_ROWS", 40)
+    assert slots(frame(spark, rows)) == whole
+
+
 def test_descent_stays_in_generated_code(spark):
     df = spark.range(10).selectExpr("CAST(id AS STRING) AS k")
     tree = sharding.production_tree()
