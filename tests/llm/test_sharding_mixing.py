@@ -76,7 +76,7 @@ def test_slots_do_not_follow_the_read_order(spark, monkeypatch):
         return {k: sorted(v) for k, v in kinds.items()}
 
     first = slots(frame(spark, rows))
-    assert first == slots(frame(spark, rows[::-1]).repartition(7)) and len(first) == 601
+    assert first == slots(frame(spark, rows[::-1]).repartition(7)) and len(first) == 602
     monkeypatch.setattr(sharding, "SLOT_ROWS", 10**6)  # one bucket, numbered by one window: the same order
     whole = slots(frame(spark, rows))
     monkeypatch.setattr(sharding, "buckets_for", lambda rows, each: 1)
