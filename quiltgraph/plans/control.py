@@ -87,14 +87,39 @@ class Registry:
             r |= {"status": "succeeded" if ok else "failed", "ended_at": datetime.now(timezone.utc), "error": error}
             self._save()
 
+    def run(self, key: str, spark: SparkSession, work: Callable[[], Any], timeout: float | None = None) -> Any:
+        """Do the work of a run that was started: its jobs and streams carry the run's id, so that ``stop`` ends them, as does a ``timeout``
+        (seconds). The run is finished by how it ends."""
+        sc = spark.sparkContext
+        timer = threading.Timer(timeout, lambda: self.stop(key, spark)) if timeout else None
+        sc.addJobTag(key)
+        if timer:
+            timer.start()
+        try:
+            out = work()
+            if self.runs[key]["status"] == "stopped":
+                raise RuntimeError(f"run {key} was stopped")
+            self.finish(key, True)
+            return out
+        except BaseException as e:
+            self.finish(key, False, str(e)[:2000])
+            raise
+        finally:
+            if timer:
+                timer.cancel()
+            sc.removeJobTag(key)
+
     def stop(self, key: str, spark: SparkSession | None = None) -> None:
-        """Mark as stopped and cancel the jobs that were started under the run's id."""
+        """Mark as stopped and end the jobs and streams that carry the run's id."""
         r = self.runs[key]
         if r["status"] == "running":
             r |= {"status": "stopped", "ended_at": datetime.now(timezone.utc)}
             self._save()
         if spark is not None:
-            spark.sparkContext.cancelJobGroup(key)
+            for q in spark.streams.active:
+                if q.name == key:
+                    q.stop()
+            spark.sparkContext.cancelJobsWithTag(key)
 
     def frame(self, spark: SparkSession, what: str = "runs") -> DataFrame:
         configs = "id string, tool string, name string, content string, created_at timestamp, updated_at timestamp"

@@ -23,6 +23,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -351,7 +352,7 @@ class GraphStore:
             return k, name, False
 
         with ThreadPoolExecutor(threads) as pool:
-            for k, name, is_layer in pool.map(write, sorted(self._changed, key=repr)):
+            for k, name, is_layer in pool.map(inheritable_thread_target(self.spark)(write), sorted(self._changed, key=repr)):
                 if is_layer:
                     self._layer_files[k] = name
                     self._read_layer(k, name, self._layers[k].rows.schema)

@@ -68,7 +68,8 @@ def build_sql(dialect: str, m: Node | Edge, watermark: str | None = None, page:
     if d.hints and s.partition and (s.partition.partitions or 0) > 1:
         hint = f"/*+ REPARTITION({s.partition.partitions}, {s.partition.column}) */ "
     if s.select:
-        sql = f"SELECT {hint}* FROM ({s.select}) AS s" if found or d.always_wraps else s.select
+        inner = s.select.strip().rstrip(";")
+        sql = f"SELECT {hint}* FROM ({inner}) AS s" if found or d.always_wraps else s.select
     else:
         sql = f"SELECT {hint}* FROM {s.table}"
     if found:

@@ -95,7 +95,11 @@ def read_source(spark: SparkSession, cfg: Config, m: Node | Edge, watermark=None
     if s.file:
         df = json_file(spark, s.file)
     else:
-        df = filtered(_scan(spark, cfg, m, watermark, tables), m, watermark)
+        df = _scan(spark, cfg, m, watermark, tables)
+        if not is_outside(cfg, m):
+            df = filtered(df, m, watermark)
+        elif s.limit:  # the rest was said in the engine's own SQL, which Spark may not understand
+            df = df.limit(s.limit)
         df = apply_strategy(df, s.strategy or cfg.strategy, s.depth or cfg.depth)
     missing = [c for c in needed_columns(m) if c not in df.columns]
     flag = m.delta.flag if m.delta else None
@@ -126,16 +130,28 @@ def _scan(spark: SparkSession, cfg: Config, m: Node | Edge, watermark, tables) -
 
 
 def jdbc(spark: SparkSession, engine: str, connection: dict[str, Any], m: Node | Edge, watermark=None) -> DataFrame:
-    """A JDBC read. Ranges become parallel partition reads; everything else is one consistent query, never pages."""
+    """A JDBC read of the mapping's statement. With a partition column and a number of partitions, tasks read ranges of it side by side,
+    of a table or a SELECT; bounds that are not given are asked for. Else it is one consistent query. Never pages."""
     d = DIALECTS[engine]
-    reader = spark.read.format("jdbc").option("url", names.normalise_ssl_mode(connection["url"])).option("driver", connection.get("driver") or d.driver)
+    options = {"url": names.normalise_ssl_mode(connection["url"]), "driver": connection.get("driver") or d.driver}
     for key, option in (("user", "user"), ("password", "password"), ("query_timeout_secs", "queryTimeout"), ("fetch_size", "fetchsize")):
         if connection.get(key) is not None:
-            reader = reader.option(option, str(connection[key]))
+            options[option] = str(connection[key])
+
+    def load(**more: str) -> DataFrame:
+        return spark.read.format("jdbc").options(**options, **more).load()
+
+    sql = build_sql(engine, m, None if watermark is None else watermark.isoformat(sep=" ")).strip().rstrip(";")
     p = m.source.partition
-    if p and p.lower is not None and p.partitions and m.source.table:
-        return reader.options(dbtable=m.source.table, partitionColumn=p.column, lowerBound=p.lower, upperBound=p.upper, numPartitions=str(p.partitions)).load()
-    return reader.option("query", build_sql(engine, m, None if watermark is None else watermark.isoformat(sep=" "))).load()
+    if not (p and (p.partitions or 0) > 1):
+        return load(query=sql)
+    low, high = p.lower, p.upper
+    if low is None or high is None:
+        ends = load(query=f"SELECT MIN({p.column}) AS low, MAX({p.column}) AS high FROM ({sql}) quilt_rows").first()
+        if ends[0] is None:  # no rows, or none with the column
+            return load(query=sql)
+        low, high = ends
+    return load(dbtable=f"({sql}) quilt_rows", partitionColumn=p.column, lowerBound=str(low), upperBound=str(high), numPartitions=str(p.partitions))
 
 
 def request(url: str, body: bytes | None, headers: dict[str, str], timeout: float = 60.0, retries: int = 3, base_ms: int = 250, most_ms: int = 5000, method: str | None = None) -> bytes:

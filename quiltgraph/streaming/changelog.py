@@ -175,4 +175,6 @@ def stream_to_graph(changes: DataFrame, cfg: Config, store: GraphStore, checkpoi
         commit_changes(store, cfg, batch, schemas, metrics, ignore_case)
 
     writer = changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
+    for run in sorted(changes.sparkSession.sparkContext.getJobTags())[:1]:  # a run that can be stopped
+        writer = writer.queryName(run)
     return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
