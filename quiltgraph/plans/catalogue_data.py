@@ -20,6 +20,7 @@ from quiltgraph.plans import cypher
 from quiltgraph.plans.catalogue import CUSTOMER, NATION, ORDER, PLACED, build, edge, end, load, node, query, resolver
 from quiltgraph.plans.graph_store import GraphStore
 from quiltgraph.plans.runtime import apply_node
+from quiltgraph.sources import json_arrays
 from quiltgraph.sources.decoders import paged_rows, session_rows
 from quiltgraph.sources.dialects import build_sql
 from quiltgraph.sources.readers import is_missing, json_variant_file, read_source, variant_field
@@ -90,6 +91,13 @@ def json_file_nodes(spark, sf_dir):
     return g.node_frame(["Order"]).select("id", "status", "total")
 
 
+@query("SELECT doc_id AS id, source, length(text) AS chars FROM documents")
+def json_array_in_ranges(spark, sf_dir):
+    """Arrays of objects with long texts, whose files are read in ranges."""
+    path = _arrays(load(spark, sf_dir, "documents").select("doc_id", "source", "text"), "doc_id", _shared(spark, "array"))
+    return json_arrays.rows(spark, path, "doc_id long, source string, text string").select(F.col("doc_id").alias("id"), "source", F.length("text").alias("chars"))
+
+
 @query("SELECT doc_id AS id, doc_id % 3 = 0 AS absent, n_chars FROM documents")
 def variant_rows(spark, sf_dir):
     """Objects of JSON arrays one by one: a missing field apart from a value."""
