@@ -44,21 +44,62 @@ def field(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def starts_with(v: Column, marks: str) -> Column:
+    """Whether a VARIANT is an object (``{``) or an array (``[``), row by row."""
+    return F.coalesce(F.substring(F.to_json(v), 1, 1).isin(*marks), F.lit(False))
+
+
+def stringified(v: Column) -> Column:
+    """A VARIANT whose objects and arrays are JSON text, and whose other values are as they are."""
+    return F.when(starts_with(v, "{["), F.to_json(v).cast("variant")).otherwise(v)
+
+
+def variant_leaves(df: DataFrame, name: str, depth: int) -> list[tuple[tuple[str, ...], str]]:
+    """Paths to the values of a VARIANT column that are no objects, or lie ``depth`` levels down, over all rows; and the type that
+    they have in common. One row a path comes to the driver: they become columns."""
+    found = []
+    at = df.select(field(name).alias("v"), F.array().cast("array<string>").alias("path")).where("v IS NOT NULL")
+    for level in range(depth + 1):
+        leaf = F.lit(level == depth) | ~starts_with(F.col("v"), "{")
+        found.append(at.where(leaf).select("path", stringified(F.col("v")).alias("v")))
+        if level < depth:
+            inner = at.where(~leaf).lateralJoin(df.sparkSession.tvf.variant_explode(F.col("v").outer()))
+            at = inner.select(F.col("value").alias("v"), F.concat("path", F.array("key")).alias("path"))
+    every = found[0]
+    for more in found[1:]:
+        every = every.unionByName(more)
+    rows = every.groupBy("path").agg(F.schema_of_variant_agg("v").alias("kind")).collect()
+    return sorted((tuple(r["path"]), r["kind"]) for r in rows)
+
+
+def variant_at(v: Column, path: tuple[str, ...], kind: str, depth: int) -> Column:
+    """The value at a path where it is a leaf of its row, typed where all rows agree."""
+    if any('"' in k and "'" in k for k in path):
+        raise ConfigError(f"a key with both kinds of quotes cannot be reached: {path}")
+    x = F.variant_get(v, "$" + "".join(f'["{k}"]' if '"' not in k else f"['{k}']" for k in path), "variant")
+    x = F.when(F.lit(len(path) == depth) | ~starts_with(x, "{"), stringified(x))
+    return F.variant_get(x, "$", kind.lower()) if kind in ("BIGINT", "DOUBLE", "BOOLEAN", "STRING") else x
+
+
 def apply_strategy(df: DataFrame, strategy: str = "preserve", depth: int = DEFAULT_DEPTH) -> DataFrame:
     """Shape nested columns before mapping.
 
     preserve: as they are. json_stringify: arrays, structs and maps become JSON text. drop_complex: they are dropped.
     flatten: structs become ``parent_child`` columns down to ``depth`` levels; what is deeper, and every array and
     map, becomes JSON text; of two columns with one name the later stays; an empty struct gives no column.
+
+    Rows of a VARIANT column may differ in shape; there each row's value counts: complex ones become null (drop_complex) or JSON text
+    (json_stringify), and an object's fields go to columns of their own while other rows keep theirs in the column itself (flatten).
     """
     if strategy not in STRATEGIES:
         raise ConfigError(f"unknown schema strategy {strategy!r}; one of {', '.join(STRATEGIES)}")
     if strategy == "preserve":
         return df
     if strategy == "drop_complex":
-        return df.select(*(field(f.name) for f in df.schema if not is_complex(f.dataType)))
+        kept = [f for f in df.schema if not is_complex(f.dataType) or isinstance(f.dataType, T.VariantType)]
+        return df.select(*((F.when(~starts_with(field(f.name), "{["), field(f.name)) if isinstance(f.dataType, T.VariantType) else field(f.name)).alias(f.name) for f in kept))
     if strategy == "json_stringify":
-        return df.select(*((sorted_json(field(f.name)) if is_complex(f.dataType) else field(f.name)).alias(f.name) for f in df.schema))
+        return df.select(*((stringified(field(f.name)) if isinstance(f.dataType, T.VariantType) else sorted_json(field(f.name)) if is_complex(f.dataType) else field(f.name)).alias(f.name) for f in df.schema))
     out: dict[str, Column] = {}
 
     def put(name: str, c: Column) -> None:
@@ -69,6 +110,9 @@ def apply_strategy(df: DataFrame, strategy: str = "preserve", depth: int = DEFAU
         if isinstance(kind, T.StructType) and level < max(depth, 1):
             for f in kind:
                 walk(c.getField(f.name), f.dataType, f"{name}_{f.name}", level + 1)
+        elif isinstance(kind, T.VariantType) and not level:
+            for path, common in variant_leaves(df, name, max(depth, 1)):
+                put("_".join((name, *path)), variant_at(c, path, common, max(depth, 1)))
         elif is_complex(kind):
             put(name, sorted_json(c))
         else:

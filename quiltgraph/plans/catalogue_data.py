@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from quiltgraph.config import parse_config
+from quiltgraph.functions.values import apply_strategy, field, normalise
 from quiltgraph.plans import cypher
 from quiltgraph.plans.catalogue import CUSTOMER, NATION, ORDER, PLACED, build, edge, end, load, node, query, resolver
 from quiltgraph.plans.graph_store import GraphStore
@@ -148,6 +149,40 @@ def session_answers(spark, sf_dir):
     return _decoded(df, decode, "id long, name string, balance double")
 
 
+_MIXED = """CASE event_id % 4 WHEN 0 THEN props WHEN 1 THEN '{"k": {"z": ' || event_id || '}}' WHEN 2 THEN event_id::VARCHAR ELSE '["a",' || event_id || ']' END"""
+
+
+def _mixed(spark, sf_dir) -> DataFrame:
+    """Values whose shape differs from row to row: an object, a deeper one, a number, an array."""
+    n, text = F.col("event_id") % 4, F.col("event_id").cast("string")
+    deep, items = F.concat(F.lit('{"k": {"z": '), text, F.lit("}}")), F.concat(F.lit('["a",'), text, F.lit("]"))
+    value = F.when(n == 0, F.col("props")).when(n == 1, deep).when(n == 2, text).otherwise(items)
+    return load(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.parse_json(value).alias("v"))
+
+
+def _plain(df: DataFrame) -> DataFrame:
+    return df.select(*(normalise(field(f.name), f.dataType).alias(f.name) for f in df.schema))
+
+
+@query("""SELECT event_id AS id, CASE WHEN event_id % 4 = 2 THEN event_id::VARCHAR END AS v FROM events""")
+def mixed_drop(spark, sf_dir):
+    """Rows lose their complex values one by one."""
+    return _plain(apply_strategy(_mixed(spark, sf_dir), "drop_complex"))
+
+
+@query(f"""SELECT event_id AS id, replace({_MIXED}, ' ', '') AS v FROM events""")
+def mixed_stringify(spark, sf_dir):
+    """Complex values become compact JSON text row by row."""
+    return _plain(apply_strategy(_mixed(spark, sf_dir), "json_stringify"))
+
+
+@query("""SELECT event_id AS id, CASE event_id % 4 WHEN 2 THEN event_id::VARCHAR WHEN 3 THEN '["a",' || event_id || ']' END AS v,
+  CASE WHEN event_id % 4 = 0 THEN (props->>'k')::BIGINT END AS v_k, CASE WHEN event_id % 4 = 1 THEN event_id END AS v_k_z FROM events""")
+def mixed_flatten(spark, sf_dir):
+    """Fields of the rows that are objects become columns, typed where they agree; other rows keep their value."""
+    return _plain(apply_strategy(_mixed(spark, sf_dir), "flatten"))
+
+
 # change data
 
 _SESSION = "(SELECT user_id * 100 + event_id % 50 AS k, event_id, event_type FROM events)"
