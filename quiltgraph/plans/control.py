@@ -6,15 +6,16 @@ import json
 import threading
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
 from pathlib import Path
 from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quiltgraph.plans.files import read_json, write_json
+from quiltgraph.plans.files import read_json, remove, write_json
 
 MANIFEST = "tool.manifest.json"
 STATUSES = ("running", "succeeded", "failed", "stopped")
@@ -207,6 +208,61 @@ def log_tail(lines: DataFrame, order: str, n: int = LOG_TAIL) -> DataFrame:
     return lines.orderBy(F.col(order).desc()).limit(max(1, min(n, MOST_LOG))).orderBy(order)
 
 
+def current(spark: SparkSession, path: str) -> DataFrame | None:
+    """What a live view shows now."""
+    found = read_json(spark, f"{path}/current.json")
+    return spark.read.parquet(f"{path}/{found['table']}") if found else None
+
+
+def _live(view: DataFrame, path: str, checkpoint: str, mode: str, interval: str | None, shown: Callable[[DataFrame], DataFrame]):
+    """A streaming query that keeps a table at ``path``: each batch makes a new one, then points to it and drops the one before the last."""
+    spark = view.sparkSession
+
+    def each(batch: DataFrame, number: int) -> None:
+        before = read_json(spark, f"{path}/current.json") or {}
+        shown(batch).write.mode("overwrite").parquet(f"{path}/v{number}")
+        write_json(spark, f"{path}/current.json", {"table": f"v{number}", "before": before.get("table")})
+        if before.get("before") not in (None, f"v{number}", before.get("table")):
+            remove(spark, f"{path}/{before['before']}")
+
+    writer = view.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(each)
+    return (writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)).start()
+
+
+def live_samples(scrapes: DataFrame, metrics: list[str], path: str, checkpoint: str, interval: str | None = None):
+    """:func:`latest_samples` of a stream of SCRAPES, kept up to date at ``path``. The state holds one value a series."""
+    seen = prometheus_samples(scrapes.where("line IS NOT NULL"))
+    last = seen.groupBy("tool", "config", "mapping", "metric").agg(F.max_by("value", "at").alias("value"))
+    return _live(last, path, checkpoint, "complete", interval, lambda b: b.groupBy("tool", "config", "mapping").pivot("metric", metrics).agg(F.first("value")))
+
+
+TAIL = "run string, n long, line string"
+
+
+def live_tail(lines: DataFrame, path: str, checkpoint: str, n: int = LOG_TAIL, interval: str | None = None):
+    """The last ``n`` lines (by ``n``, a number that rises) of each run of a stream of TAIL rows, kept up to date at ``path``. The state
+    of a run is those lines alone; runs whose lines came in a batch are written anew, the others are carried over."""
+    most = max(1, min(n, MOST_LOG))
+
+    def keep(key: tuple, parts: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        numbers, held = (list(map(list, state.get))) if state.exists else ([], [])
+        for p in parts:
+            numbers, held = numbers + p["n"].tolist(), held + p["line"].tolist()
+            order = sorted(range(len(numbers)), key=numbers.__getitem__)[-most:]
+            numbers, held = [numbers[i] for i in order], [held[i] for i in order]
+        state.update((numbers, held))
+        yield pd.DataFrame({"run": [key[0]] * len(numbers), "n": numbers, "line": held})
+
+    view = lines.groupBy("run").applyInPandasWithState(keep, TAIL, "n array<long>, line array<string>", "update", "NoTimeout")
+    spark = lines.sparkSession
+
+    def shown(batch: DataFrame) -> DataFrame:
+        old = current(spark, path)
+        return batch if old is None else old.join(batch.select("run").distinct(), "run", "left_anti").unionByName(batch)
+
+    return _live(view, path, checkpoint, "update", interval, shown)
+
+
 def newest_state(states: DataFrame, column: str = "watermark") -> DataFrame:
     """The newest of stored watermarks (RFC 3339 text); text that is none is left out."""
     from quiltgraph.functions.values import rfc3339, watermark_text
