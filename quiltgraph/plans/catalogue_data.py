@@ -17,12 +17,12 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from quiltgraph.config import parse_config
 from quiltgraph.functions.values import apply_strategy, field, normalise
-from quiltgraph.plans import cypher
+from quiltgraph.plans import cypher, scaffold
 from quiltgraph.plans.catalogue import CUSTOMER, NATION, ORDER, PLACED, build, edge, end, load, node, query, resolver
 from quiltgraph.plans.graph_store import GraphStore
-from quiltgraph.plans.runtime import apply_node
+from quiltgraph.plans.runtime import State, apply_node, run_once
 from quiltgraph.sources import json_arrays
-from quiltgraph.sources.decoders import paged_rows, session_rows
+from quiltgraph.sources.decoders import json_lines, paged_rows, session_rows
 from quiltgraph.sources.dialects import build_sql
 from quiltgraph.sources.readers import is_missing, json_variant_file, read_source, variant_field
 from quiltgraph.streaming.changelog import CHANGELOG_FOR, apply_changelog, of_table
@@ -183,6 +183,79 @@ def mixed_flatten(spark, sf_dir):
     return _plain(apply_strategy(_mixed(spark, sf_dir), "flatten"))
 
 
+@query("SELECT s_suppkey AS id, s_name AS name, s_acctbal AS balance FROM supplier")
+def json_lines_rows(spark, sf_dir):
+    """Answers of one JSON object a line, blank lines among them."""
+    df = load(spark, sf_dir, "supplier")
+    lines = df.select(F.concat(F.lit("\n"), F.to_json(F.struct("s_suppkey", "s_name", "s_acctbal")), F.lit("\n \n")).alias("text"))
+
+    def decode(rows: list[dict]) -> list[tuple]:
+        return [tuple(x.values()) for x in json_lines("".join(r["text"] for r in rows))]
+
+    return _decoded(lines, decode, "id long, name string, balance double")
+
+
+@query("""SELECT event_id AS id, replace(props, ' ', '') AS detail FROM events""")
+def strategy_precedence(spark, sf_dir):
+    """A mapping's own strategy counts before the configuration's, which would have dropped the column."""
+    df = load(spark, sf_dir, "events").select("event_id", F.from_json("props", "k long").alias("detail"))
+    m = node("m", "rows", "Event", "event_id", "id", {"detail": "detail"}, source={"schema_strategy": "json_stringify"})
+    cfg = parse_config({"mappings": [m], "schema_strategy": "drop_complex"})
+    return read_source(spark, cfg, cfg.nodes[0], None, lambda _: df).select(F.col("event_id").alias("id"), "detail")
+
+
+# stored graphs
+
+_LIVES = edge("lives", "customer", "LIVES_IN", end("customer", ("c_custkey", "id")), end("nation", ("c_nationkey", "id")))
+
+
+@query("SELECT n_nationkey AS id, CASE WHEN n_nationkey >= 20 THEN lower(n_name) ELSE n_name END AS name FROM nation")
+def committed_versions(spark, sf_dir):
+    """A graph on disk: what is rolled back is not there, what is committed is, for a store opened anew."""
+    path, m = _shared(spark, "graph"), parse_config({"mappings": [NATION]}).nodes[0]
+    rows = load(spark, sf_dir, "nation")
+    store = GraphStore(spark, path)
+    apply_node(store, m, rows)
+    store.commit()
+    apply_node(store, m, rows.withColumn("n_name", F.lit("lost")))
+    store.flush()
+    store.rollback()
+    apply_node(store, m, rows.where("n_nationkey >= 20").withColumn("n_name", F.lower("n_name")))
+    store.commit()
+    return GraphStore(spark, path).node_frame(["Nation"]).select("id", "name")
+
+
+@query("SELECT c_custkey AS src, c_nationkey AS dst FROM customer WHERE c_nationkey >= 5 AND c_custkey % 10 <> 3")
+def ranged_detach(spark, sf_dir):
+    """Removed nodes take their edges with them from either end, in a stored graph whose tables are in ranges of their keys."""
+    path, cfg = _shared(spark, "graph"), parse_config({"mappings": [CUSTOMER, NATION, _LIVES]})
+    store, tables = GraphStore(spark, path, ranges=True), resolver(spark, sf_dir)
+    run_once(spark, cfg, store, State(spark), tables=tables)
+    store = GraphStore(spark, path, ranges=True)
+    store.delete_nodes(["Nation"], "id", tables("nation").where("n_nationkey < 5").select(F.col("n_nationkey").alias("__key")))
+    store.delete_nodes(["Customer"], "id", tables("customer").where("c_custkey % 10 = 3").select(F.col("c_custkey").alias("__key")))
+    store.commit()
+    return GraphStore(spark, path, ranges=True).edge_frame("LIVES_IN").select(F.col("src_key").alias("src"), F.col("dst_key").alias("dst"))
+
+
+@query("""SELECT 'node' AS kind, 'Customer' AS name, count(*) AS n FROM customer UNION ALL SELECT 'node', 'Nation', count(*) FROM nation UNION ALL SELECT 'node', 'Order', count(*) FROM orders
+  UNION ALL SELECT 'node', 'Region', count(*) FROM region UNION ALL SELECT 'edge', '(Order)-[FK_CUSTOMER]->(Customer)', count(*) FROM orders JOIN customer ON o_custkey = c_custkey
+  UNION ALL SELECT 'edge', '(Customer)-[FK_NATION]->(Nation)', count(*) FROM customer JOIN nation ON c_nationkey = n_nationkey
+  UNION ALL SELECT 'edge', '(Nation)-[FK_REGION]->(Region)', count(*) FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def inferred_graph(spark, sf_dir):
+    """Constraints as a catalog gives them, the graph inferred from them, its starter configuration, and a run of that."""
+    keys = {"customer": "c_custkey", "nation": "n_nationkey", "orders": "o_orderkey", "region": "r_regionkey"}
+    tables = {t: load(spark, sf_dir, t) for t in keys}
+    columns = spark.createDataFrame([(t, f.name, f.dataType.simpleString(), i) for t, df in tables.items() for i, f in enumerate(df.schema)], "table_name string, column_name string, data_type string, position int")
+    foreign = [("orders", "fk_customer", "o_custkey", "customer"), ("customer", "fk_nation", "c_nationkey", "nation"), ("nation", "fk_region", "n_regionkey", "region")]
+    rows = [(t, f"pk_{t}", "primary", k, 1, None, None) for t, k in keys.items()] + [(t, n, "foreign", c, 1, to, keys[to]) for t, n, c, to in foreign]
+    constraints = spark.createDataFrame(rows, "table_name string, name string, kind string, column_name string, position int, ref_table string, ref_column string")
+    draft = scaffold.infer_graph(scaffold.from_constraints(columns, constraints))
+    store = GraphStore(spark)
+    run_once(spark, parse_config(scaffold.draft_config(draft)), store, State(spark), tables=tables.__getitem__)
+    return store.counts()
+
+
 # change data
 
 _SESSION = "(SELECT user_id * 100 + event_id % 50 AS k, event_id, event_type FROM events)"
