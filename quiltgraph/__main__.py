@@ -40,6 +40,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--purge-graph", action="store_true")
     p.add_argument("--purge-mapping", action="append", default=[])
     p.add_argument("--metrics-port", type=int)
+    p.add_argument("--runs", help="a file that lists configurations and runs")
+    p.add_argument("--timeout-secs", type=float, help="stop a run that takes longer")
+    p.add_argument("--stop", metavar="RUN", help="have the process that does a run of --runs stop it")
     p.add_argument("--introspect-schema", action="store_true")
     p.add_argument("--generate-template", action="store_true")
     p.add_argument("--output")
@@ -56,6 +59,7 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     from pyspark.sql import SparkSession
 
     from quiltgraph.plans import scaffold
+    from quiltgraph.plans.control import Registry
     from quiltgraph.plans.graph_store import GraphStore
     from quiltgraph.plans.runtime import Metrics, State, run_daemon, run_once
     from quiltgraph.streaming.capture import changing, run_all, run_changes
@@ -80,6 +84,17 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             else:
                 print(text)
         return 0
+    if args.stop:
+        if not args.runs:
+            raise SystemExit("--stop needs --runs")
+        Registry(spark, args.runs, look_only=True).ask_to_stop(args.stop)
+        return 0
+    registry = Registry(spark, args.runs)
+    config_id = registry.put_config(cfg.connection.get("engine", "spark"), args.config, json.dumps({"file": args.config}))
+
+    def recorded(work, mode: str = "once"):
+        return registry.run(registry.start("quiltgraph", config_id, mode), spark, work, args.timeout_secs)
+
     store, state, metrics = GraphStore(spark, args.graph_path or cfg.graph.get("path"), cfg.graph.get("buckets"), bool(cfg.graph.get("ranges"))), State(spark, cfg.state), Metrics()
     server = metrics_server(metrics, args.metrics_port) if args.metrics_port is not None else None
 
@@ -90,16 +105,16 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         return {"purge_graph": first and args.purge_graph, "purge_mappings": tuple(args.purge_mapping) if first else ()}
 
     def run(first: bool) -> None:
-        run_once(spark, cfg, store, state, metrics, skip_changes=True, **purges(first))
+        recorded(lambda: run_once(spark, cfg, store, state, metrics, skip_changes=True, **purges(first)), "daemon")
 
     def capture() -> None:
-        run_changes(spark, cfg, store, state, metrics)
+        recorded(lambda: run_changes(spark, cfg, store, state, metrics), "changes")
 
     try:
         if not args.daemon:
-            run_all(spark, cfg, store, state, metrics, **purges(True))
+            recorded(lambda: run_all(spark, cfg, store, state, metrics, **purges(True)))
         elif len(captured) == len(cfg.mappings):  # nothing but changes: one loop
-            run_daemon(lambda first: run_all(spark, cfg, store, state, metrics, **purges(first)), flush)
+            run_daemon(lambda first: recorded(lambda: run_all(spark, cfg, store, state, metrics, **purges(first)), "daemon"), flush)
         else:
             run_daemon(run, args.interval_secs, capture=capture if captured else None, flush=flush)
     finally:

@@ -20,6 +20,8 @@ from quiltgraph.plans.files import read_json, remove, write_json
 MANIFEST = "tool.manifest.json"
 STATUSES = ("running", "succeeded", "failed", "stopped")
 LOG_TAIL, MOST_LOG = 2000, 10_000
+#: Seconds between looks for a wish to stop.
+LOOK_SECONDS = 1.0
 
 
 def discover(root: str | Path, allowed: set[str] | None = None, depth: int = 4) -> dict[str, dict]:
@@ -45,15 +47,16 @@ def require_capability(manifest: dict, name: str) -> None:
 
 class Registry:
     """Configurations and runs, kept in a JSON file (None: in memory only). A run that was stopped stays stopped whatever its job
-    reports later; one that was running when its process ended is found as failed."""
+    reports later; one that was running when its process ended is found as failed, unless the file is only looked at beside that
+    process (``look_only``)."""
 
-    def __init__(self, spark: SparkSession | None = None, path: str | None = None):
+    def __init__(self, spark: SparkSession | None = None, path: str | None = None, look_only: bool = False):
         self.spark, self.path = spark, path
         found = (read_json(spark, path) or {}) if path else {}
         self.configs: dict[str, dict] = {k: _timed(v) for k, v in found.get("configs", {}).items()}
         self.runs: dict[str, dict] = {k: _timed(v) for k, v in found.get("runs", {}).items()}
         for key, r in self.runs.items():
-            if r["status"] == "running":
+            if r["status"] == "running" and not look_only:
                 self.finish(key, False, "the process ended")
 
     def _save(self) -> None:
@@ -89,13 +92,21 @@ class Registry:
             self._save()
 
     def run(self, key: str, spark: SparkSession, work: Callable[[], Any], timeout: float | None = None) -> Any:
-        """Do the work of a run that was started: its jobs and streams carry the run's id, so that ``stop`` ends them, as does a ``timeout``
-        (seconds). The run is finished by how it ends."""
-        sc = spark.sparkContext
-        timer = threading.Timer(timeout, lambda: self.stop(key, spark)) if timeout else None
+        """Do the work of a run that was started: its jobs and streams carry the run's id, so that ``stop`` ends them, as do a ``timeout``
+        (seconds) and, where the registry is a file, ``ask_to_stop`` in another process. The run is finished by how it ends."""
+        sc, over = spark.sparkContext, threading.Event()
+
+        def watch_for_stop() -> None:
+            ends = None if timeout is None else time.monotonic() + timeout
+            while not over.wait(LOOK_SECONDS):
+                late = ends is not None and time.monotonic() >= ends
+                if late or (self.path and read_json(spark, self._asked(key)) is not None):
+                    self.stop(key, spark)
+                    return
+
         sc.addJobTag(key)
-        if timer:
-            timer.start()
+        watcher = threading.Thread(target=watch_for_stop, daemon=True)
+        watcher.start()
         try:
             out = work()
             if self.runs[key]["status"] == "stopped":
@@ -106,9 +117,20 @@ class Registry:
             self.finish(key, False, str(e)[:2000])
             raise
         finally:
-            if timer:
-                timer.cancel()
+            over.set()
+            watcher.join()
             sc.removeJobTag(key)
+            if self.path:
+                remove(spark, self._asked(key))
+
+    def _asked(self, key: str) -> str:
+        return f"{self.path}.{key}.stop"
+
+    def ask_to_stop(self, key: str) -> None:
+        """Have the process that does a run stop it."""
+        if key not in self.runs:
+            raise KeyError(key)
+        write_json(self.spark, self._asked(key), {"at": datetime.now(timezone.utc).isoformat()})
 
     def stop(self, key: str, spark: SparkSession | None = None) -> None:
         """Mark as stopped and end the jobs and streams that carry the run's id."""

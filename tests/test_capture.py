@@ -408,6 +408,38 @@ def test_a_run_ends_when_it_is_stopped(spark, tmp_path):
             assert registry.runs[run]["status"] == "stopped" and people(GraphStore(spark, path)) == {"a": "ann"}
 
 
+def test_another_process_asks_a_run_to_stop(spark, tmp_path):
+    """The command line records its runs; ``--stop`` beside it ends one."""
+    from quiltgraph.__main__ import main
+
+    (tmp_path / "log").mkdir()
+    (tmp_path / "log" / "1.json").write_text(json.dumps({"table": "app.users", "op": "I", "seq": 1, "data": json.dumps({"id": "a", "name": "ann"})}))
+    cfg, runs = {"graph": {"path": f"file://{tmp_path}/g", "ranges": True}, "spark": {"changes": {"format": "json", "path": f"file://{tmp_path}/log"}}, "mappings": [NODE]}, f"file://{tmp_path}/runs.json"
+    (tmp_path / "c.json").write_text(json.dumps(cfg))
+    assert main(["--config", str(tmp_path / "c.json"), "--runs", runs], spark) == 0
+    assert [r["status"] for r in Registry(spark, runs).runs.values()] == ["succeeded"]
+    mine = Registry(spark, runs)
+    run, ended = mine.start("quiltgraph", next(iter(mine.configs))), []
+
+    def slow(batches):
+        for b in batches:
+            time.sleep(120)
+            yield b
+
+    def go():
+        try:
+            mine.run(run, spark, lambda: spark.range(1).mapInArrow(slow, "id long").collect())
+        except Exception as e:  # noqa: BLE001
+            ended.append(e)
+
+    t = threading.Thread(target=inheritable_thread_target(spark)(go))
+    t.start()
+    time.sleep(3)
+    assert main(["--config", str(tmp_path / "c.json"), "--runs", runs, "--stop", run], spark) == 0
+    t.join(40)
+    assert ended and mine.runs[run]["status"] == "stopped" and Registry(spark, runs).runs[run]["status"] == "stopped"
+
+
 def test_unknown_set_ups_fail_loudly(spark):
     for engine in ("clickhouse", "sqlserver", "spark"):
         with pytest.raises(ConfigError):

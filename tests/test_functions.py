@@ -68,3 +68,22 @@ def test_watermark_text(spark):
             assert r["u"] == int(want.timestamp()) * 10**6 + u and values.parse_rfc3339(r["t"]) == want and values.parse_rfc3339(r["r"]) == want
         else:
             assert r["u"] is None and values.parse_rfc3339(r["t"]) is None
+
+
+def test_strategies_take_each_row_of_a_variant_by_its_shape(spark):
+    rows = [(0, '{"a": 1, "b": {"c": "x", "d": {"e": 2}}}'), (1, '{"a": "t", "b": 7}'), (2, "[1,2]"), (3, "5"), (4, "null"), (5, None), (6, '{"b": {}}'), (7, '{"a": [1]}')]
+    df = spark.createDataFrame(rows, "id int, text string").select("id", F.parse_json("text").alias("v"))
+
+    def got(strategy, depth=2):
+        out = values.apply_strategy(df, strategy, depth)
+        out = out.select(*(values.normalise(values.field(f.name), f.dataType).alias(f.name) for f in out.schema))
+        return out.columns, {r["id"]: tuple(None if x is None else str(x) for x in r[1:]) for r in out.collect()}
+
+    assert got("drop_complex")[1] == {0: (None,), 1: (None,), 2: (None,), 3: ("5",), 4: (None,), 5: (None,), 6: (None,), 7: (None,)}
+    assert got("json_stringify")[1][0] == ('{"a":1,"b":{"c":"x","d":{"e":2}}}',) and got("json_stringify")[1][3] == ("5",)
+    columns, flat = got("flatten")
+    assert columns == ["id", "v", "v_a", "v_b", "v_b_c", "v_b_d"]
+    assert flat[0] == (None, "1", None, "x", '{"e":2}') and flat[1] == (None, "t", "7", None, None) and flat[2] == ("[1,2]", None, None, None, None)
+    assert flat[3][0] == "5" and flat[6] == (None,) * 5 and flat[7] == (None, "[1]", None, None, None)
+    columns, flat = got("flatten", 1)
+    assert columns == ["id", "v", "v_a", "v_b"] and flat[0] == (None, "1", '{"c":"x","d":{"e":2}}')
