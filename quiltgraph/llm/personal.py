@@ -12,12 +12,15 @@ clamped to "none", which cuts the chain there). Potentials:
 * skip: tokens of one document with the same digits (last seven of a phone-like number), the same mail name or the
   same letters, each linked to the next such token however far away, favour equal kinds.
 
-Loopy sum-product passes run over all tokens of a batch at once; a run of neighbouring tokens whose posterior for
+Loopy sum-product passes run over windows of tokens, each with every token that a message can reach it from, so the
+posteriors are those of the whole field; a run of neighbouring tokens whose posterior for
 one kind reaches CERTAIN, and which touches no base span, becomes a span. So a number or name that
 stands elsewhere in the document as personal data is found again in another form. Every document that has such tokens
 is inferred, with or without base spans and links, and its spans do not depend on the other documents of its batch.
 Tokens are taken whole, however long, and all tokens of a text take part, in fitting too: what is fitted on are counts of
-feature sets, made where the texts are.
+feature sets, made where the texts are. A token is held as numbers (its place, its feature set, a 63-bit digest of its skip
+key, its label), about 40 bytes, and messages are held for a window only, so a text of millions of numbers fits an executor. Where
+skip links lead from a window all over a long text (LOOSE), the rest of the batch is one window, at about 300 bytes a token.
 
 Null and empty texts have no spans. Repeated rows are judged each for itself. An empty table gives no rows;
 columns besides doc_id and text are ignored.
@@ -27,8 +30,11 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +57,8 @@ LEAK, CERTAIN, PASSES = 0.02, 0.9, 6
 SHAPE = 4.0  # the most that a shape says for or against a kind
 SAME = 10.0  # log potential of equal labels across a skip link
 OBSERVED = 20.0
+#: Tokens of a window, links whose messages are made at once, and how many times a window its surroundings may hold.
+WINDOW, LINKS, LOOSE = 1 << 18, 1 << 15, 2
 
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 _SEED = re.compile(r"[0-9@]")
@@ -90,7 +98,7 @@ def ips(text: str) -> list[tuple[int, int]]:
 def cards(text: str) -> list[tuple[int, int]]:
     out = []
     for m in CARD.finditer(text):
-        if m.end() - m.start() >= 13:
+        if 13 <= m.end() - m.start() <= 2 * 19 - 1:  # every second sign at least is a digit
             digits = _NOT_DIGIT.sub("", m.group())
             if 13 <= len(digits) <= 19 and luhn(digits):
                 out.append(m.span())
@@ -111,9 +119,9 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def tokens(text: str) -> list[tuple[int, int]]:
-    """Blank-separated tokens that hold a digit or an at sign. No code point is looked at more than twice."""
-    out, free = [], 0
+def tokens(text: str) -> np.ndarray:
+    """Start and end of the blank-separated tokens that hold a digit or an at sign. No code point is looked at more than twice."""
+    out, free = array("i"), 0
     m = _SEED.search(text)
     while m:
         s = m.start()
@@ -121,45 +129,122 @@ def tokens(text: str) -> list[tuple[int, int]]:
             s -= 1
         end = _BLANK.search(text, m.end())
         free = end.start() if end else len(text)
-        out.append((s, free))
+        out.append(s)
+        out.append(free)
         m = _SEED.search(text, free)
-    return out
+    return np.frombuffer(out, np.int32).reshape(-1, 2) if out else np.zeros((0, 2), np.int32)
 
 
 FEATURES = 40
 
 
-def features(text: str, spans: list[tuple[int, int]]) -> tuple[list[list[int]], list[str]]:
-    """Numbers of the features that hold, and the skip key, of each token."""
-    rows, keys = [], []
-    for i, (s, e) in enumerate(spans):
-        t = text[s:e]
-        core = t.strip(_EDGE)
-        digits = _NOT_DIGIT.sub("", t)
-        n = len(digits)
-        size = (n > 0) + (n > 2) + (n > 4) + (n > 6) + (n > 8) + (n > 12) + (n > 15) + (n > 19)
-        f = [0, 1 + size]
-        dots = core.count(".")
-        f.append(10 + min(dots, 4))
-        f.append(15 + min(core.count("-"), 2))
-        at = core.find("@")
-        f += [k for k, ok in ((18, at >= 0), (19, t[0] == "("), (20, t[0] == "+"), (21, core.isdigit()), (22, any(c.isalpha() for c in core)), (23, n and n + dots == len(core) and dots == 3), (24, at > 0 and "." in core[at:])) if ok]
-        for k, j in ((25, i - 1), (29, i + 1)):
-            near = 0 <= j < len(spans) and (text[spans[j][1] : s] if j < i else text[e : spans[j][0]]).isspace()
-            f.append(k + (0 if not near else 1 + (text[spans[j][0]] in "+(") if j < i else 1 + (text[spans[j][0]] == "(")))
-        f.append(33 + min(6, len(core) // 4))
-        rows.append(f)
-        if at > 0:
-            keys.append("m" + core[:at].casefold())
-        elif any(c.isalpha() for c in core):
-            keys.append("w" + core.casefold())
-        elif 7 <= n <= 12 and dots != 3:
-            keys.append("p" + digits[-7:])
-        elif n >= 7:
-            keys.append(("i" + core) if dots == 3 else "d" + digits)
-        else:
-            keys.append("")
-    return rows, keys
+def look(t: str) -> tuple[tuple[int, ...], int, str]:
+    """Numbers of the features of a token itself (the last apart), and its skip key."""
+    core = t.strip(_EDGE)
+    digits = _NOT_DIGIT.sub("", t)
+    n = len(digits)
+    size = (n > 0) + (n > 2) + (n > 4) + (n > 6) + (n > 8) + (n > 12) + (n > 15) + (n > 19)
+    f = [0, 1 + size]
+    dots = core.count(".")
+    f.append(10 + min(dots, 4))
+    f.append(15 + min(core.count("-"), 2))
+    at = core.find("@")
+    letter = any(c.isalpha() for c in core)
+    f += [k for k, ok in ((18, at >= 0), (19, t[0] == "("), (20, t[0] == "+"), (21, core.isdigit()), (22, letter), (23, n and n + dots == len(core) and dots == 3), (24, at > 0 and "." in core[at:])) if ok]
+    if at > 0:
+        key = "m" + core[:at].casefold()
+    elif letter:
+        key = "w" + core.casefold()
+    elif 7 <= n <= 12 and dots != 3:
+        key = "p" + digits[-7:]
+    elif n >= 7:
+        key = ("i" + core) if dots == 3 else "d" + digits
+    else:
+        key = ""
+    return tuple(f), 33 + min(6, len(core) // 4), key
+
+
+_look = lru_cache(1 << 14)(look)
+
+
+def features(text: str, spans: np.ndarray) -> Iterator[tuple[tuple[int, ...], str, bool]]:
+    """Numbers of the features that hold, the skip key, and whether only blanks part it from the token before; of each token."""
+    at = memoryview(spans)
+    near, before, n = False, "", len(spans)
+    for i in range(n):
+        s, e = at[i, 0], at[i, 1]
+        head, last, key = _look(text[s:e]) if e - s <= 64 else look(text[s:e])
+        left = 25 + (1 + (before in "+(") if near else 0)
+        follows = i + 1 < n and text[e : at[i + 1, 0]].isspace()
+        right = 29 + (1 + (text[at[i + 1, 0]] == "(") if follows else 0)
+        yield (*head, left, right, last), key, near
+        near, before = follows, text[s]
+
+
+class Tokens:
+    """The tokens of some texts as arrays: ``owner``, ``span``, ``form`` (place in ``forms``, the feature sets), ``key`` (digest of the
+    skip key, 0 for none), ``near`` (only blanks part it from the one before), ``label`` (1 + kind of a base span, else 0)."""
+
+    def __init__(self, texts: list[str], base: list[list[tuple[int, int, int]]]):
+        known: dict[tuple[int, ...], int] = {}
+        form, key, near = array("i"), array("Q"), array("b")
+        spans, labels = [], []
+        for text, found in zip(texts, base, strict=True):
+            own = tokens(text)
+            spans.append(own)
+            labels.append(label_of(own, found))
+            for f, k, joined in features(text, own):
+                form.append(known.setdefault(f, len(known)))
+                key.append(int.from_bytes(hashlib.blake2b(k.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little") | 1 if k else 0)
+                near.append(joined)
+        self.owner = np.repeat(np.arange(len(texts), dtype=np.int32), [len(x) for x in spans])
+        self.span = spans[0] if len(spans) == 1 else np.concatenate([np.zeros((0, 2), np.int32), *spans])
+        self.label = labels[0] if len(labels) == 1 else np.concatenate([np.zeros(0, np.int8), *labels])
+        self.forms = list(known)
+        self.form, self.key, self.near = np.frombuffer(form, np.int32), np.frombuffer(key, np.uint64), np.frombuffer(near, bool)
+
+    def __len__(self) -> int:
+        return len(self.span)
+
+    def skips(self) -> tuple[np.ndarray, np.ndarray]:
+        """The token of the same key before and after each token in its text, -1 for none."""
+        n = len(self)
+        before, after = np.full(n, -1, np.int32), np.full(n, -1, np.int32)
+        keyed = np.flatnonzero(self.key).astype(np.int32)
+        order = keyed[np.lexsort((self.key[keyed], self.owner[keyed]))]
+        one, two = order[:-1], order[1:]
+        same = (self.key[one] == self.key[two]) & (self.owner[one] == self.owner[two])
+        before[two[same]], after[one[same]] = one[same], two[same]
+        return before, after
+
+
+def windows(t: Tokens, before: np.ndarray, after: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Ranges of tokens, and for each the tokens (ascending) within PASSES links of it: no message comes from further away."""
+    n, lo = len(t), 0
+    inside = np.zeros(n, bool)
+    while lo < n:
+        hi = min(n, lo + WINDOW)
+        while True:
+            edge = np.arange(lo, hi, dtype=np.int32)
+            inside[edge] = True
+            all_, wide = [edge], hi - lo
+            for _ in range(PASSES):
+                left, right = edge[t.near[edge]] - 1, edge[edge + 1 < n] + 1
+                right = right[t.near[right]]
+                edge = np.concatenate([left, right, before[edge], after[edge]])
+                edge = np.unique(edge[edge >= 0])
+                edge = edge[~inside[edge]]
+                inside[edge] = True
+                all_.append(edge)
+                wide += len(edge)
+            nodes = np.concatenate(all_)
+            inside[nodes] = False
+            if hi == n or wide <= LOOSE * (hi - lo):
+                break
+            hi = n
+        nodes.sort()
+        yield lo, hi, nodes
+        lo = hi
 
 
 class Field:
@@ -168,52 +253,52 @@ class Field:
     def __init__(self, unary: np.ndarray, chain: np.ndarray):
         self.unary, self.chain = unary, chain
 
+    def settled(self, t: Tokens) -> np.ndarray:
+        """The label of each token that the field is certain of, else 0."""
+        out = np.zeros(len(t), np.int8)
+        if not len(t):
+            return out
+        weights = scores(t.forms, self.unary)
+        weights = (weights - weights[:, :1]).clip(-SHAPE, SHAPE)
+        weights[:, 1:] += np.log(LEAK)
+        before, after = t.skips()
+        potential = np.stack([self.chain, np.eye(5) * SAME])
+        for lo, hi, nodes in windows(t, before, after):
+            observed = t.label[nodes]
+            unary = weights[t.form[nodes]]
+            fixed = np.flatnonzero(observed)
+            unary[fixed] = -OBSERVED
+            unary[fixed, observed[fixed]] = 0
+            right = 1 + np.flatnonzero(t.near[nodes[1:]] & (nodes[1:] == nodes[:-1] + 1))
+            second = np.flatnonzero(before[nodes] >= 0)
+            first = np.searchsorted(nodes, before[nodes[second]])
+            here = nodes[first] == before[nodes[second]]
+            a, b = np.concatenate([right - 1, first[here]]).astype(np.int32), np.concatenate([right, second[here]]).astype(np.int32)
+            which = np.repeat(np.array([0, 1], np.int8), [len(right), len(a) - len(right)])
+            del right, second, first, here, fixed
+            posterior = loopy(unary, a, b, potential, which)
+            at = np.searchsorted(nodes, lo)
+            posterior, observed = posterior[at : at + hi - lo], observed[at : at + hi - lo]
+            best = posterior.argmax(axis=1)
+            sure = (best > 0) & (observed == 0) & (posterior.max(axis=1) >= CERTAIN)
+            out[lo:hi][sure] = best[sure]
+        return out
+
     def added(self, texts: list[str], base: list[list[tuple[int, int, int]]]) -> list[list[tuple[int, int, int]]]:
         """Spans beyond the base ones, for each text."""
         out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-        spans, rows, owner, label, chain, skip = [], [], [], [], [], []
-        for d, text in enumerate(texts):
-            own = tokens(text)
-            f, keys = features(text, own)
-            first = len(spans)
-            last: dict[str, int] = {}
-            labels = label_of(own, base[d])
-            for i, (key, (s, _)) in enumerate(zip(keys, own, strict=True)):
-                if i and text[own[i - 1][1] : s].isspace():
-                    chain.append(first + i)
-                if key:
-                    if key in last:
-                        skip.append((first + last[key], first + i))
-                    last[key] = i
-            spans += own
-            rows += f
-            label += labels
-            owner += [d] * len(own)
-        if not spans:
-            return out
-        observed = np.array(label)
-        unary = scores(rows, self.unary)
-        unary = (unary - unary[:, :1]).clip(-SHAPE, SHAPE)
-        unary[:, 1:] += np.log(LEAK)
-        fixed = np.flatnonzero(observed)
-        unary[fixed] = -OBSERVED
-        unary[fixed, observed[fixed]] = 0
-        right = np.array(chain, np.int64)
-        pairs = np.array(skip, np.int64).reshape(-1, 2)
-        a, b = np.concatenate([right - 1, pairs[:, 0]]), np.concatenate([right, pairs[:, 1]])
-        same = np.eye(5) * SAME
-        potential = np.concatenate([np.broadcast_to(self.chain, (len(right), 5, 5)), np.broadcast_to(same, (len(pairs), 5, 5))])
-        posterior = loopy(unary, a, b, potential)
-        best = posterior.argmax(axis=1)
-        sure = (best > 0) & (observed == 0) & (posterior.max(axis=1) >= CERTAIN)
-        joined = set(chain)
-        for i in np.flatnonzero(sure).tolist():
-            d, kind = owner[i], int(best[i]) - 1
-            s, e = trimmed(texts[d], *spans[i])
-            if s >= e or any(x < e and s < y for _, x, y in base[d]):
+        t = Tokens(texts, base)
+        label = self.settled(t)
+        doc, starts, ends = -1, [], []
+        for i in np.flatnonzero(label).tolist():
+            d, kind = int(t.owner[i]), int(label[i]) - 1
+            if d != doc:
+                doc, starts, ends = d, sorted(x for _, x, _ in base[d]), sorted(y for *_, y in base[d])
+            s, e = trimmed(texts[d], *t.span[i].tolist())
+            if s >= e or bisect_left(starts, e) > bisect_right(ends, s):  # more spans begin before its end than end before it
                 continue
             have = out[d]
-            if have and i in joined and sure[i - 1] and have[-1][0] == kind and best[i - 1] == best[i]:
+            if have and t.near[i] and label[i - 1] == label[i] and have[-1][0] == kind:
                 have[-1] = (kind, have[-1][1], e)
             else:
                 have.append((kind, s, e))
@@ -228,21 +313,20 @@ def trimmed(text: str, s: int, e: int) -> tuple[int, int]:
     return s, e
 
 
-def label_of(spans: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> list[int]:
-    """1 + kind of the base span that a token touches, else 0."""
-    out = [0] * len(spans)
-    for kind, s, e in sorted(base, key=lambda x: -x[0]):
-        lo, hi = 0, len(spans)
-        while lo < hi:  # the first token that ends after s
-            mid = (lo + hi) // 2
-            lo, hi = (mid + 1, hi) if spans[mid][1] <= s else (lo, mid)
-        while lo < len(spans) and spans[lo][0] < e:
-            out[lo] = 1 + kind
-            lo += 1
+def label_of(spans: np.ndarray, base: list[tuple[int, int, int]]) -> np.ndarray:
+    """1 + kind of the base span that a token touches (the first kind, of several), else 0."""
+    out = np.zeros(len(spans), np.int8)
+    if base and len(spans):
+        found = np.array(base, np.int64)
+        found = found[np.argsort(-found[:, 0], kind="stable")]
+        first = np.searchsorted(spans[:, 1], found[:, 1], "right")  # the first token that ends after it begins
+        last = np.searchsorted(spans[:, 0], found[:, 2], "left")
+        for kind, lo, hi in zip(found[:, 0].tolist(), first.tolist(), last.tolist(), strict=True):
+            out[lo:hi] = 1 + kind
     return out
 
 
-def scores(rows: list[list[int]], weights: np.ndarray) -> np.ndarray:
+def scores(rows: list[tuple[int, ...]], weights: np.ndarray) -> np.ndarray:
     flat = np.fromiter((f for r in rows for f in r), np.int64)
     at = np.cumsum([0, *map(len, rows)])[:-1]
     return np.add.reduceat(weights[flat], at, axis=0)
@@ -253,31 +337,48 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
     return np.log(np.exp(x - top).sum(axis=axis)) + np.squeeze(top, axis)
 
 
-def loopy(unary: np.ndarray, a: np.ndarray, b: np.ndarray, potential: np.ndarray, passes: int = PASSES) -> np.ndarray:
-    """Posterior of each node after some passes of sum-product messages along the links a-b (exact on trees that they span)."""
+def loopy(unary: np.ndarray, a: np.ndarray, b: np.ndarray, potential: np.ndarray, which: np.ndarray | None = None, passes: int = PASSES) -> np.ndarray:
+    """Posterior of each node after some passes of sum-product messages along the links a-b (exact on trees that they span).
+
+    ``which`` names the potential of each link; without it, link k has the k-th one."""
+    which = np.arange(len(a)) if which is None else which
     to_a, to_b = np.zeros((len(a), unary.shape[1])), np.zeros((len(b), unary.shape[1]))
+
+    def gather() -> None:
+        belief[:] = unary
+        for s in range(0, len(a), LINKS):
+            np.add.at(belief, a[s : s + LINKS], to_a[s : s + LINKS])
+        for s in range(0, len(a), LINKS):
+            np.add.at(belief, b[s : s + LINKS], to_b[s : s + LINKS])
+
+    belief = np.empty_like(unary)
     for _ in range(passes):
-        belief = unary.copy()
-        np.add.at(belief, a, to_a)
-        np.add.at(belief, b, to_b)
-        new_b = _log_sum((belief[a] - to_a)[:, :, None] + potential, 1)
-        new_a = _log_sum((belief[b] - to_b)[:, None, :] + potential, 2)
-        to_a, to_b = new_a - _log_sum(new_a, 1)[:, None], new_b - _log_sum(new_b, 1)[:, None]
-    belief = unary.copy()
-    np.add.at(belief, a, to_a)
-    np.add.at(belief, b, to_b)
-    return np.exp(belief - _log_sum(belief, 1)[:, None])
-
-
-def evidence(text: str) -> tuple[list[tuple[tuple[int, ...], int]], list[tuple[int, int]]]:
-    """What a text teaches: (features, label) of its tokens, and the labels of neighbouring tokens."""
-    own = tokens(text)
-    f, keys = features(text, own)
-    y = label_of(own, base_spans(text))
-    known = {k for k, v in zip(keys, y, strict=True) if v and k}
+        gather()
+        for s in range(0, len(a), LINKS):  # beliefs are those before the pass, so messages can take the place of old ones
+            at = slice(s, s + LINKS)
+            p = potential[which[at]]
+            new_b = _log_sum((belief[a[at]] - to_a[at])[:, :, None] + p, 1)
+            new_a = _log_sum((belief[b[at]] - to_b[at])[:, None, :] + p, 2)
+            to_a[at], to_b[at] = new_a - _log_sum(new_a, 1)[:, None], new_b - _log_sum(new_b, 1)[:, None]
+    gather()
+    for s in range(0, len(belief), LINKS):
+        part = belief[s : s + LINKS]
+        belief[s : s + LINKS] = np.exp(part - _log_sum(part, 1)[:, None])
+    return belief
+
+
+def evidence(text: str) -> tuple[Counter, Counter]:
+    """What a text teaches: how often (features, label) of its tokens, and labels of neighbouring tokens."""
+    t = Tokens([text], [base_spans(text)])
     # another form of a known span is neither for nor against
-    seen = [(tuple(x), v) for x, v, k in zip(f, y, keys, strict=True) if v or k not in known]
-    return seen, [(y[i - 1], y[i]) for i in range(1, len(own)) if text[own[i - 1][1] : own[i][0]].isspace()]
+    used = (t.label > 0) | ~np.isin(t.key, t.key[(t.label > 0) & (t.key > 0)])
+    seen, n = np.unique(t.form[used].astype(np.int64) * 5 + t.label[used], return_counts=True)
+    right = np.flatnonzero(t.near)
+    pairs, m = np.unique(t.label[right - 1].astype(np.int64) * 5 + t.label[right], return_counts=True)
+    return (
+        Counter({(t.forms[x // 5], x % 5): k for x, k in zip(seen.tolist(), n.tolist(), strict=True)}),
+        Counter({(x // 5, x % 5): k for x, k in zip(pairs.tolist(), m.tolist(), strict=True)}),
+    )
 
 
 def fitted(seen: dict[tuple[tuple[int, ...], int], int], follows: dict[tuple[int, int], int], steps: int = 150) -> Field:
@@ -323,7 +424,7 @@ def train(docs: DataFrame, rows: int) -> Field:
             for text in b.column("text").to_pylist():
                 own, pairs = evidence(text)
                 seen.update(own)
-                seen.update((None, p) for p in pairs)
+                seen.update({(None, p): k for p, k in pairs.items()})
             keys = [(f, label, None) if f is not None else (None, label[0], label[1]) for f, label in seen]
             kinds = (pa.list_(pa.int32()), pa.int32(), pa.int32())
             cols = zip(*keys, strict=True) if keys else ((), (), ())

@@ -2,6 +2,7 @@ import hashlib
 import itertools
 import random
 import re
+import tracemalloc
 
 import numpy as np
 from helpers import frame, odd_rows
@@ -63,12 +64,42 @@ def test_spans_are_the_same_alone_and_in_a_batch():
     assert alone[1] and alone[2]  # without a link, and without a base span
 
 
+def test_windows_give_the_spans_of_the_whole_field(monkeypatch):
+    rng = random.Random(8)
+    field = P.fit(TEXTS)
+    parts = ["988-555-2485", "+1 (988) 555-2485", "anna.27@", "anna.27@mail.example.com", "1234567", "word", "x,", "10.20.30.40", "(988)", "a1", "a2", "7"]
+    texts = [" ".join(rng.choice(parts) for _ in range(rng.randrange(0, 120))) for _ in range(30)]
+    base = [P.base_spans(t) for t in texts]
+    whole = field.added(texts, base)
+    t = P.Tokens(texts, base)
+    before, after = t.skips()
+    for window, loose in ((7, 2), (40, 50), (1, 10**9)):
+        monkeypatch.setattr(P, "WINDOW", window)
+        monkeypatch.setattr(P, "LOOSE", loose)
+        cuts = list(P.windows(t, before, after))
+        assert [lo for lo, *_ in cuts] == [0, *(hi for _, hi, _ in cuts[:-1])] and cuts[-1][1] == len(t)
+        assert loose == 2 or max(len(nodes) for *_, nodes in cuts) < len(t) / 2
+        assert field.added(texts, base) == whole
+    assert sum(map(len, whole)) > 20
+
+
+def test_a_token_of_a_long_text_takes_few_bytes():
+    text = "12 " * 400_000
+    field = P.fit(TEXTS)
+    tracemalloc.start()
+    try:
+        assert field.added([text], [P.base_spans(text)]) == [[]]
+        assert tracemalloc.get_traced_memory()[1] < 400_000 * 40 + 300 * P.WINDOW + (50 << 20)
+    finally:
+        tracemalloc.stop()
+
+
 def enumerated(field, text):
     """Posteriors of all tokens by summing over every labelling: the field written once more, from its definition."""
     own = P.tokens(text)
-    rows, keys = P.features(text, own)
+    rows, keys, _ = zip(*P.features(text, own))
     label = P.label_of(own, P.base_spans(text))
-    unary = np.array([[field.unary[r, k].sum() for k in range(5)] for r in rows])
+    unary = np.array([[field.unary[list(r), k].sum() for k in range(5)] for r in rows])
     unary = np.clip(unary - unary[:, :1], -P.SHAPE, P.SHAPE)
     unary[:, 1:] += np.log(P.LEAK)
     for i, k in enumerate(label):
@@ -110,10 +141,10 @@ def test_added_spans_equal_enumeration_of_the_field():
 
 def test_tokens_are_whole_and_late_ones_count():
     long = "a" * 500 + "7" + "b" * 500
-    assert P.tokens(f"x {long}\u2003y 1") == [(2, 1003), (1006, 1007)]
+    assert P.tokens(f"x {long}\u2003y 1").tolist() == [[2, 1003], [1006, 1007]]
     text = " ".join(f"n{i}" for i in range(400)) + " call +1 (988) 555-2485"
     seen, _ = P.evidence(text)
-    assert len(seen) == 403 and sum(v == 4 for _, v in seen) == 3
+    assert seen.total() == 403 and sum(n for (_, v), n in seen.items() if v == 4) == 3
 
 
 def test_spans_do_not_depend_on_partitions(spark):
