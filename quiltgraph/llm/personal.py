@@ -44,11 +44,11 @@ from pyspark.sql import functions as F
 from quiltgraph.llm.common import memory, slices, small_batches
 
 KINDS = ("email", "ip", "card", "phone")
-# Fixed patterns of the contract.
-DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+# Fixed patterns of the contract, possessive (nothing follows a repeat), so that a long match keeps no stack.
+DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 IP = re.compile(r"(?<![0-9])([0-9]+)\.([0-9]+)\.([0-9]+)\.([0-9]+)")
-CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
+CARD = re.compile(r"[0-9](?:[ -]?+[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 #: Documents that the unary model is fitted on, at most about; by the hash of doc_id.
