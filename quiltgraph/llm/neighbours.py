@@ -39,6 +39,8 @@ SAMPLE, MOST_SAMPLE, SAMPLE_BYTES = 4_096, 65_536, 64 << 20
 HELD_OUT = 8
 #: Bytes of a block of vectors, and of a group of queries, that a task compares.
 BLOCK_BYTES, QUERY_BYTES = 16 << 20, 32 << 20
+#: Bytes of a matrix of distances, and of the copies that a task hands on at once.
+TILE_BYTES, COPY_BYTES = 8 << 20, 8 << 20
 
 
 def usable(e: Column) -> Column:
@@ -163,7 +165,15 @@ class Router:
 
 
 def matrix(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(len(column), -1)
+
+
+def repeated(times: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row numbers, each as often as ``times`` says, and the number of the copy; about ``most`` at once (a row's own copies together)."""
+    ends = np.cumsum(times)
+    for rows in np.split(np.arange(len(times)), np.flatnonzero(np.diff((ends - 1) // most)) + 1):
+        many = times[rows]
+        yield np.repeat(rows, many), np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
 
 
 def exact(x: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -181,19 +191,21 @@ def top(query_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k:
     """query, vec_id, score of the k nearest of each query; scores are exact.
 
     A candidate is whatever the error of the binomial formula cannot rule out: its least possible distance is not above the
-    k-th of the greatest possible ones.
+    k-th of the greatest possible ones. Queries are taken so many at once that a matrix of distances has about TILE_BYTES.
     """
     out = []
     shift = x.mean(0)
-    xs, qs = x - shift, q - shift
-    x2, q2 = (xs * xs).sum(1), (qs * qs).sum(1)
+    xs = x - shift
+    x2 = (xs * xs).sum(1)
+    step = max(1, min(256, TILE_BYTES // (8 * max(1, len(ids)))))
     extra = len(ids) - len(np.unique(ids))  # repeated ids take places
     reach = k + extra
-    for s in range(0, len(q), 256):
-        rough = distances(qs[s : s + 256], xs)
-        error = 4 * np.finfo(float).eps * (x.shape[1] + 8) * (q2[s : s + 256, None] + x2[None])
+    for s in range(0, len(q), step):
+        qs = q[s : s + step] - shift
+        rough = distances(qs, xs)
+        error = 4 * np.finfo(float).eps * (x.shape[1] + 8) * ((qs * qs).sum(1)[:, None] + x2[None])
         low, high = rough - error, rough + error
-        other = query_ids[s : s + 256, None] != ids[None]
+        other = query_ids[s : s + step, None] != ids[None]
         low[~np.isfinite(low)] = -np.inf
         high[~np.isfinite(high) | ~other] = np.inf
         bounds = np.partition(high, reach - 1, axis=1)[:, reach - 1] if len(ids) > reach else np.full(len(high), np.inf)
@@ -255,17 +267,20 @@ def search(table: DataFrame, is_query: Column, k: int = NEAREST, part_rows: int
         return out
 
     held = counts(rows_)
+    copies_at_once = max(1, COPY_BYTES // (8 * max(1, size)))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for s in range(0, b.num_rows, 2048):
-                some = b.slice(s, 2048)
+            for s in range(0, b.num_rows, 512):
+                some = b.slice(s, 512)
                 order = np.argsort(-router(matrix(some.column("x"))), axis=1, kind="stable")
                 before = np.cumsum(held[order], axis=1) - held[order]
                 probes = (np.arange(parts)[None] < router.probes) | (before < 4 * k)
                 q, j = np.nonzero(probes & (held[order] > 0))
-                take = pa.array(q)
-                yield pa.RecordBatch.from_arrays([some.column("vec_id").take(take), some.column("x").take(take), pa.array(order[q, j].astype(np.int32))], ["query_id", "q", "part"])
+                for c in range(0, len(q), copies_at_once):
+                    take = pa.array(q[c : c + copies_at_once])
+                    to = order[q[c : c + copies_at_once], j[c : c + copies_at_once]]
+                    yield pa.RecordBatch.from_arrays([some.column("vec_id").take(take), some.column("x").take(take), pa.array(to.astype(np.int32))], ["query_id", "q", "part"])
 
     queries = rows_.where("asks").groupBy("vec_id").agg(F.min("x").alias("x"))
     asked = stored(queries.mapInArrow(route, "query_id long, q array<double>, part int"))
@@ -281,11 +296,9 @@ def search(table: DataFrame, is_query: Column, k: int = NEAREST, part_rows: int
                     continue
                 part = b.column("part").to_numpy()
                 mine = b.column("hash").to_numpy() % np.maximum(sizes[part], 1)
-                many = copies[part]
-                take = np.repeat(np.arange(len(part)), many)
-                number = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                kept = b.drop_columns(["hash"]).take(pa.array(take))
-                yield kept.append_column(own, pa.array(mine[take].astype(np.int32))).append_column(other, pa.array(number.astype(np.int32)))
+                for take, number in repeated(copies[part], copies_at_once):
+                    kept = b.drop_columns(["hash"]).take(pa.array(take))
+                    yield kept.append_column(own, pa.array(mine[take].astype(np.int32))).append_column(other, pa.array(number.astype(np.int32)))
 
         first = df.columns[0]
         return df.withColumn("hash", F.pmod(F.xxhash64(first, F.lit(2)), F.lit(1 << 40))).mapInArrow(run, f"{kinds}, part int, {own} int, {other} int")

@@ -142,3 +142,40 @@ def test_recall_over_parts(spark):
 
     rows = queries()["neighbours_in_parts"](spark, "/root/testdata/sf0.001").collect()
     assert len(rows) == 5 and all(r["enough"] for r in rows)
+
+
+def test_memory_does_not_grow_with_the_block():
+    """A worker that compares queries with a full block holds small matrices of distances only."""
+    import tracemalloc
+
+    rng = np.random.default_rng(6)
+    x, q = rng.normal(size=(120_000, 2)), rng.normal(size=(256, 2))
+    tracemalloc.start()
+    asks, ids, score = N.top(-1 - np.arange(256), q, np.arange(len(x)), x, 10)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 120 << 20
+    for i in range(0, 256, 51):
+        d = np.sqrt(((x - q[i]) ** 2).sum(1))
+        assert ids[asks == -1 - i].tolist() == np.argsort(d, kind="stable")[:10].tolist()
+        assert np.allclose(score[asks == -1 - i], np.sort(d)[:10], rtol=1e-12)
+
+
+def test_copies_for_many_blocks_are_handed_on_in_pieces():
+    times = np.array([3, 0, 4, 1, 9, 0, 0, 2, 2, 2] * 50)
+    pieces = list(N.repeated(times, 6))
+    take, number = (np.concatenate(c) for c in zip(*pieces, strict=True))
+    assert take.tolist() == [i for i, n in enumerate(times) for _ in range(n)]
+    assert number.tolist() == [k for n in times for k in range(n)]
+    assert max(len(t) for t, _ in pieces) < 6 + 9
+    assert [(t.tolist(), n.tolist()) for t, n in N.repeated(np.array([0, 0]), 6)] == [([], [])]
+
+
+def test_tasks_never_hand_on_all_copies_at_once(spark, monkeypatch):
+    """Every block gets its copy of every query; batches stay small however many blocks there are."""
+    monkeypatch.setattr(N, "BLOCK_BYTES", 8 * 4)
+    monkeypatch.setattr(N, "COPY_BYTES", 20 * 8 * 4)
+    rng = random.Random(8)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(4)]) for i in range(0, 3000, 10)]
+    got, want = run(table(spark, rows)), brute(rows)
+    assert {q: [v for _, v in x] for q, x in got.items()} == {q: [v for _, v in x] for q, x in want.items()}
